@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, token_counts, token_records
+from . import bpe, decontaminate, language_model, quality, secret_scan, simhash, substrings, suffix_dedup, token_counts, token_records
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,19 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contained(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_shingles", "n_shared")
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.apply_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = _vocabulary("byte_bpe_50k.tiktoken")
     coded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), ranks), ranks)
@@ -31,10 +44,34 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    return secret_scan.scan(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *(F.size(secret_scan.of_kind(spans, k)).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS),
+        F.sha2(secret_scan.listed(secret_scan.of_kind(spans, *secret_scan.BASE_KINDS)).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listed(spans).alias("spans"),
+    )
+
+
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(_table(spark, sf_dir, "documents"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return near.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), 2048)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.array_join(F.transform("removed", lambda x: F.concat_ws(":", x["start"], x["end"])), ",")
+    return suffix_dedup.dedup(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", spans.alias("repeated"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_records.new_folder(spark, "records")
     parts = token_records.write(_table(spark, sf_dir, "documents"), folder, _vocabulary("byte_bpe_50k.json"), 2)
@@ -44,11 +81,46 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontaminate": op1_decontaminate,
+        "op2_quality": op2_quality,
+        "op3_substrings": op3_substrings,
         "op4_bpe": op4_bpe,
+        "op5_secrets": op5_secrets,
+        "op6_language_model": op6_language_model,
+        "op7_simhash": op7_simhash,
         "op8_token_counts": op8_token_counts,
+        "op9_suffix_dedup": op9_suffix_dedup,
         "op10_token_records": op10_token_records,
     }
 
 
+_DECONTAMINATE = r"""
+WITH words AS (
+    SELECT doc_id AS id, 0 AS kind, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM documents
+    UNION ALL
+    SELECT item_id, 1, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') FROM benchmark
+), shingles AS (
+    SELECT DISTINCT id, kind, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT id, kind, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5)
+), items AS (SELECT id AS item_id, s, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE kind = 1)
+SELECT d.id AS doc_id, item_id, n AS n_shingles, count(*) AS n_shared
+FROM shingles d JOIN items USING (s) WHERE d.kind = 0
+GROUP BY d.id, item_id, n HAVING count(*) >= ceil(0.8 * n - 1e-9)
+"""
+
+_SUBSTRINGS = r"""
+WITH words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words WHERE len(w) >= 35)
+), twice AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+gone AS (
+    SELECT doc_id, list(DISTINCT i + j) AS at FROM (SELECT doc_id, i, unnest(range(0, 35)) AS j FROM windows WHERE h IN (SELECT h FROM twice)) GROUP BY doc_id
+), kept AS (
+    SELECT doc_id, w, list_filter(range(1, len(w) + 1), i -> NOT list_contains(coalesce(at, []), i)) AS own FROM words LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - len(own))::BIGINT AS n_removed, sha256(array_to_string(list_transform(own, i -> w[i]), ' ')) AS kept_sha256 FROM kept
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_decontaminate": _DECONTAMINATE, "op3_substrings": _SUBSTRINGS}
