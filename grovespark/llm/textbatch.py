@@ -111,7 +111,7 @@ def words(chunk: Chunk) -> Words:
     before = np.zeros_like(word)
     before[1:] = word[:-1]
     edge = word != before
-    inner = chunk.offsets[1:-1]
+    inner = np.unique(chunk.offsets[1:-1])  # once each: an empty text repeats an offset
     both = inner[word[inner] & before[inner]]  # one document ends with a word and the next begins with one
     starts = np.sort(np.concatenate([np.flatnonzero(edge & word), both]))
     ends = np.sort(np.concatenate([np.flatnonzero(edge & ~word), both]))
