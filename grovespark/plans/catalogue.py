@@ -1,9 +1,442 @@
 """The registered queries of the library and their SQL."""
 
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import hashing, network, numbers, shapes, text
+from ..operators import diff, graph, history, identity, limiter, matching, release, search, validation
+from ..sources import registry, snapshots
+from ..sources.tables import load
+from . import inputs
+from .oracle import ORACLES
+
+_FOREST = registry.forest
+_FOUND: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def query(f):
+    _FOUND[f.__name__] = f
+    return f
+
+
+@query
+def search_fold_page(spark, sf):
+    return search.page(search.view(search.matching(_FOREST(spark, sf), q="CÚSTOMER#00000000".replace("Ú", "u"), status="active")), 50)
+
+
+@query
+def search_filters(spark, sf):
+    return search.view(search.matching(_FOREST(spark, sf), type="component_locality", county_id="1-0000000001"))
+
+
+@query
+def search_code_lookup(spark, sf):
+    found = search.routed(registry.with_identifiers(_FOREST(spark, sf)), "1102")
+    return found.select("territory_id", "official_name", release.first_of_scheme(registry.CODE_SCHEME).alias("siruta"))
+
+
+@query
+def keyset_next_page(spark, sf):
+    return search.page(search.view(_FOREST(spark, sf)), 200, after="3-0000000100")
+
+
+@query
+def keyset_page_info(spark, sf):
+    return search.page_info(_FOREST(spark, sf), 200, after="3-0000000100")
+
+
+@query
+def children_list(spark, sf):
+    return search.children(_FOREST(spark, sf), "2-0000000005").select("territory_id", "official_name")
+
+
+@query
+def root_list(spark, sf):
+    return search.roots(_FOREST(spark, sf)).select("territory_id", "official_name")
+
+
+@query
+def ancestors_chain(spark, sf):
+    return graph.ancestors(registry.edges(_FOREST(spark, sf)))
+
+
+@query
+def descendants_page(spark, sf):
+    below = graph.descendants(registry.edges(_FOREST(spark, sf))).where("ancestor = '1-0000000001'").select(F.col("id").alias("territory_id"), "hop")
+    return search.page(below, 200, after="2-0000000003")
+
+
+@query
+def subtree_counts(spark, sf):
+    return graph.descendants(registry.edges(_FOREST(spark, sf))).groupBy("ancestor").agg(F.count("*").alias("n"), F.max("hop").alias("depth"))
+
+
+@query
+def partition_check(spark, sf):
+    return graph.partition_faults(inputs.broken_forest(spark, sf)).select("id", "n_roots", "root", "county_id")
+
+
+@query
+def unresolved_parents(spark, sf):
+    return graph.unresolved_parents(registry.edges(inputs.broken_forest(spark, sf)))
+
+
+@query
+def cycle_detect(spark, sf):
+    return graph.cycles(inputs.ringed_edges(spark, sf))
+
+
+@query
+def leaf_units(spark, sf):
+    return graph.leaves(_FOREST(spark, sf), registry.LOCAL_TYPES + registry.ROOT_TYPES).select("territory_id")
+
+
+@query
+def slug_paths(spark, sf):
+    return graph.paths(_FOREST(spark, sf))
+
+
+@query
+def release_counts(spark, sf):
+    return release.counts(_FOREST(spark, sf))
+
+
+@query
+def reference_faults(spark, sf):
+    return release.reference_faults(inputs.broken_forest(spark, sf))
+
+
+@query
+def level_profile(spark, sf):
+    return _FOREST(spark, sf).groupBy("level").agg(F.count("*").alias("n"), F.count_distinct("nuts").alias("nuts"))
+
+
+@query
+def dup_codes(spark, sf):
+    return validation.duplicate_codes(inputs.records(spark, sf))
+
+
+def _union(parts):
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+_OVERRIDES = {"1146": (77, 3, "sector", "administrative_subdivision", False, False, False), "1142": (77, 3, "village", "locality", False, True, False), "1": (12, 1, "county", "county_uat", True, False, False), "77777777": (1, 1, "county", "county_uat", True, False, False)}
+
+
+@query
+def type_findings(spark, sf):
+    return _union(validation.type_rules(inputs.records(spark, sf), _OVERRIDES))
+
+
+@query
+def type_override(spark, sf):
+    return validation.typed(inputs.records(spark, sf), _OVERRIDES).where("code IN ('1146', '1142', '1', '1144')").select("row_number", "code", "territory_type", "administrative_role", "expected_level", "is_uat")
+
+
+@query
+def nuts_findings(spark, sf):
+    profile = validation.Profile(corrections={"1": ("RO999", "RO000", 1, "1"), "2": ("RO001", "RO001", 2, "123456")})
+    return _union(validation.nuts_rules(inputs.records(spark, sf), profile))
+
+
+@query
+def parent_findings(spark, sf):
+    return _union(validation.parent_rules(inputs.records(spark, sf)))
+
+
+@query
+def checksum_warnings(spark, sf):
+    return validation.checksum_sample(inputs.records(spark, sf))
+
+
+@query
+def checksum_by_code(spark, sf):
+    return inputs.records(spark, sf).select("row_number", numbers.checksum_valid(F.col("code")).alias("valid"))
+
+
+_PROFILE = validation.Profile(rows=1, levels={1: 5, 2: 24, 3: 1}, nuts3=6, missing_nuts=4, checksum_warnings=3)
+
+
+@query
+def volume_findings(spark, sf):
+    return _union(validation.volume_rules(inputs.records(spark, sf), _PROFILE))
+
+
+@query
+def findings_by_rule(spark, sf):
+    return validation.by_rule(validation.all_findings(inputs.records(spark, sf), _PROFILE))
+
+
+@query
+def findings_summary(spark, sf):
+    return validation.summary(validation.all_findings(inputs.records(spark, sf), _PROFILE))
+
+
+@query
+def first_and_last(spark, sf):
+    """Of a repeated code validation takes the first record, building the last."""
+    r = inputs.records(spark, sf)
+    first = validation.first_by_code(r).select("code", F.col("name").alias("first_name"))
+    return first.join(validation.last_by_code(r).select("code", F.col("name").alias("last_name"), "position"), "code")
+
+
+@query
+def identity_decisions(spark, sf):
+    codes, known, asked = inputs.identities(spark, sf)
+    out = identity.reconcile(codes, identity.identity_index(known, asked))
+    new = F.col("territory_id").rlike(numbers.UUID7)
+    return out.withColumn("territory_id", F.when(new, "new").otherwise(F.col("territory_id")))
+
+
+@query
+def identity_ledger(spark, sf):
+    codes, known, asked = inputs.identities(spark, sf)
+    made = identity.reconcile(codes, identity.identity_index(known, asked)).where("decision = 'matched'")
+    before = known.where("status = 'retired'").select("code", "territory_id").union(codes.where("cast(code AS int) % 22 = 0").select("code", F.lit("old").alias("territory_id"))).groupBy("code").agg(F.min("territory_id").alias("territory_id"))
+    return identity.merged_ledger(before, made)
+
+
+@query
+def ambiguous_bindings(spark, sf):
+    return identity.ambiguous_bindings(inputs.identities(spark, sf)[2])
+
+
+def _changes(spark, sf):
+    return diff.changes(*inputs.snapshots(spark, sf), ("name", "segment"))
+
+
+@query
+def diff_changes(spark, sf):
+    return _changes(spark, sf).select("code", "kind", F.array_join("fields", ",").alias("fields"), "source_changed")
+
+
+@query
+def diff_ratios(spark, sf):
+    return diff.ratios(_changes(spark, sf))
+
+
+@query
+def diff_gates(spark, sf):
+    return diff.gates(diff.ratios(_changes(spark, sf)))
+
+
+@query
+def canonical_hash(spark, sf):
+    o = load(spark, sf, "orders")
+    return o.select("o_orderkey", hashing.canonical_sha256({"status": F.col("o_orderstatus"), "orderkey": F.col("o_orderkey"), "custkey": F.col("o_custkey"), "priority": F.col("o_orderpriority"), "none": F.lit(None).cast("string")}).alias("sha256"))
+
+
+@query
+def csv_rows(spark, sf):
+    return release.csv_lines(load(spark, sf, "part"), ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "absent"), "p_partkey")
+
+
+@query
+def ndjson_rows(spark, sf):
+    return release.json_lines(load(spark, sf, "nation"), ("n_regionkey", "n_name", "n_nationkey"), "n_nationkey")
+
+
+@query
+def identifiers_explode(spark, sf):
+    return release.identifier_rows(registry.with_identifiers(_FOREST(spark, sf)))
+
+
+@query
+def artifact_sums(spark, sf):
+    d = load(spark, sf, "documents").select(F.concat(F.lit("doc-"), "doc_id").alias("name"), F.octet_length("text").cast("long").alias("size"), F.sha2("text", 256).alias("sha256"))
+    return release.sums(d).join(d.select("name", "size"), "name")
+
+
+@query
+def bundle_verify(spark, sf):
+    d = load(spark, sf, "documents").select("doc_id", F.concat(F.lit("doc-"), "doc_id").alias("name"), F.octet_length("text").cast("long").alias("size"), F.sha2("text", 256).alias("sha256"))
+    manifest = d.where("doc_id % 10 != 1").drop("doc_id")
+    k = F.col("doc_id") % 10
+    found = d.where("doc_id % 10 != 2").select("name", F.when(k == 3, F.col("size") + 1).otherwise(F.col("size")).alias("size"), F.when(k == 4, F.lit("0")).otherwise(F.col("sha256")).alias("sha256"))
+    return release.verify(manifest, found)
+
+
+@query
+def latest_per_key(spark, sf):
+    o = load(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus")
+    return history.latest(o, ("o_custkey",), ("o_orderdate", "o_orderkey")).select("o_custkey", "o_orderkey", "o_orderstatus")
+
+
+@query
+def scd2_close_open(spark, sf):
+    before, after = (x.select(F.col("code").alias("key"), "name", "segment") for x in inputs.snapshots(spark, sf))
+    first = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
+    open_ = before.withColumns({"recorded_from": first, "recorded_to": F.lit(None).cast("timestamp")})
+    out = history.revise(open_, after, ("name", "segment"), F.to_timestamp(F.lit("2024-07-01 00:00:00")))
+    return out.select("key", "name", "segment", F.date_format("recorded_from", "yyyy-MM-dd").alias("recorded_from"), F.date_format("recorded_to", "yyyy-MM-dd").alias("recorded_to"))
+
+
+def _identifiers(spark, sf):
+    k = F.col("c_custkey")
+    c = load(spark, sf, "customer")
+    shape = lambda df, owner: df.select(F.lit(registry.CODE_SCHEME).alias("scheme"), (k % 700).cast("string").alias("value"), F.when(k % 3 == 0, F.lit("2024-01-01")).alias("valid_from"), F.concat(F.lit(owner), F.floor(k / 1000).cast("string")).alias("territory_id"))
+    return shape(c.where(k % 5 != 0), "t"), shape(c.where(k % 4 != 0), "t")
+
+
+@query
+def null_safe_anti(spark, sf):
+    return history.missing_identifiers(*_identifiers(spark, sf)).distinct()
+
+
+@query
+def conflict_join(spark, sf):
+    wanted, known = _identifiers(spark, sf)
+    keys = ["scheme", "value", "territory_id"]
+    return history.identifier_conflicts(wanted.select(*keys).distinct(), known.select(*keys).distinct())
+
+
+@query
+def semi_exists(spark, sf):
+    return load(spark, sf, "customer").join(load(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi").select("c_custkey", "c_name")
+
+
+@query
+def channel_state(spark, sf):
+    e = load(spark, sf, "events")
+    return history.channel_state(e.select(F.col("event_type").alias("channel"), F.col("user_id").alias("release"), F.col("ts").alias("at"), F.col("event_id").alias("seq"))).select("channel", "release")
+
+
+@query
+def url_policy(spark, sf):
+    e = load(spark, sf, "pages")
+    k = F.col("page_id")
+    url = F.when(k % 7 == 0, F.concat("url", F.lit("#part"))).when(k % 7 == 1, F.replace("url", F.lit("://"), F.lit("://user:word@"))).when(k % 7 == 2, F.lit("ftp://data.example.org/x")).when(k % 7 == 3, F.lit("not a url")).when(k % 7 == 4, F.lit("https://data.example.org:8443/x")).when(k % 7 == 5, F.lit("https://DATA.example.org/x?y=1")).otherwise(F.col("url"))
+    return e.select("page_id", network.url_error(url, ("https",), ("data.example.org",), (443,)).alias("error"))
+
+
+@query
+def cidr_public(spark, sf):
+    return inputs.addresses(spark, sf).select("event_id", network.is_public(F.col("ip")).alias("public"))
+
+
+@query
+def xff_client_key(spark, sf):
+    k = F.col("event_id")
+    forwarded = F.when(k % 5 == 0, F.lit(None).cast("string")).when(k % 5 == 1, F.concat(F.lit("10.0.0."), F.col("user_id"))).when(k % 5 == 2, F.concat(F.lit(" 1.1.1.1 , 10.0.0."), F.col("user_id"), F.lit(" , 2.2.2.2"))).otherwise(F.lit(" , "))
+    real = F.when(k % 2 == 0, F.lit("9.9.9.9"))
+    return load(spark, sf, "events").select("event_id", text.client_key(forwarded, real, 1).alias("one"), text.client_key(forwarded, real, 2).alias("two"))
+
+
+@query
+def etag(spark, sf):
+    return load(spark, sf, "events").select("event_id", hashing.etag(F.lit("a" * 64), F.concat(F.lit("q="), "event_type")).alias("etag"))
+
+
+@query
+def cursor_codec(spark, sf):
+    c = hashing.encode_cursor(F.col("territory_id"))
+    return _FOREST(spark, sf).select("territory_id", c.alias("cursor"), hashing.decode_cursor(c).alias("decoded"))
+
+
+@query
+def rate_limit_fixed_window(spark, sf):
+    return limiter.limited(inputs.hits(spark, sf), 6 * 3_600_000, 1).select("client", "id", "n", "limited", "remaining")
+
+
+@query
+def props_json(spark, sf):
+    e = load(spark, sf, "events")
+    listed = F.concat(F.lit("["), "props", F.lit(","), "props", F.lit("]"))
+    return e.select("event_id", F.inline(F.from_json(listed, "array<struct<k: int>>")))
+
+
+@query
+def text_fold(spark, sf):
+    t = F.concat(F.replace("text", F.lit("a"), F.lit("Ă")), F.lit(" Ștefan Țară ÎN"))
+    return load(spark, sf, "documents").where("lang = 'en'").select("doc_id", F.md5(text.fold(F.regexp_replace(t, "[^ -~ĂȘȚÎ]", ""))).alias("folded"), F.md5(text.slugify(F.regexp_replace(t, "[^ -~ĂȘȚÎ]", ""))).alias("slug"))
+
+
+@query
+def short_names(spark, sf):
+    k = F.col("n_nationkey")
+    name = F.when(k % 4 == 0, F.concat(F.lit("Județul  "), "n_name")).when(k % 4 == 1, F.concat(F.lit("ORAȘ "), "n_name")).when(k % 4 == 2, F.lit("Comuna ")).otherwise(F.col("n_name"))
+    return load(spark, sf, "nation").select(k, text.short_name(name).alias("short_name"), text.search_name(name).alias("search_name"), text.match_name(F.concat(F.lit("Sectorul "), k)).alias("match_name"))
+
+
+@query
+def code_candidates(spark, sf):
+    return load(spark, sf, "customer").select("c_custkey", F.array_join(text.code_candidates(F.concat(F.lit(" "), "c_name", F.lit("/0"), F.col("c_nationkey"))), "|").alias("candidates"))
+
+
+@query
+def redact(spark, sf):
+    m = F.concat(F.lit("at POSTGRES://u:p@host/db key sb_secret_A.b-c jwt eyJhbGci.eyJzdWIi.c2ln "), F.substring("text", 1, 600))
+    return load(spark, sf, "conversations").select("conv_id", "turn", F.md5(text.redact(m)).alias("message"))
+
+
+@query
+def media_sniff(spark, sf):
+    of = lambda t, key, content: load(spark, sf, t).select(F.lit(t).alias("source"), F.col(key).cast("long").alias("id"), snapshots.media_type_of_text(content).alias("media_type"))
+    return of("pages", "page_id", F.col("html")).union(of("events", "event_id", F.col("props"))).union(of("part", "p_partkey", F.concat_ws(";", "p_name", F.lit("1\n2")))).union(of("nation", "n_nationkey", F.col("n_name")))
+
+
+@query
+def int_parse(spark, sf):
+    k = F.col("event_id")
+    raw = F.when(k % 6 == 0, k.cast("string")).when(k % 6 == 1, F.concat(k.cast("string"), F.lit(".00"))).when(k % 6 == 2, F.lit(" ")).when(k % 6 == 3, F.concat(F.lit("-"), k.cast("string"))).when(k % 6 == 4, F.lit("99999999999999999")).otherwise(F.lit("0"))
+    got = numbers.source_integer(raw, "CODE", most=5000)
+    levels = F.when(k % 3 == 0, F.lit("NIVEL 2")).when(k % 3 == 1, F.lit("3.0")).otherwise(F.lit("4"))
+    limit = F.when(k % 4 == 0, F.lit("1.9")).when(k % 4 == 1, F.lit("abc")).when(k % 4 == 2, F.lit("99999999999")).otherwise((k % 300).cast("string"))
+    return load(spark, sf, "events").select("event_id", got["value"].alias("value"), got["error"].alias("error"), numbers.level(levels).alias("level"), numbers.clamp_limit(limit).alias("page"))
+
+
+def _cells(spark, sf):
+    k = F.col("c_custkey")
+    return load(spark, sf, "customer").select("c_custkey", "c_nationkey", shapes.cell(k % 100, F.floor(k / 100)).alias("shape"))
+
+
+@query
+def geo_bounds(spark, sf):
+    c = _cells(spark, sf).select("c_nationkey", shapes.bounds(F.col("shape")).alias("b"), shapes.area(F.col("shape")).alias("a"))
+    return c.groupBy("c_nationkey").agg(F.min("b.min_x").alias("min_x"), F.min("b.min_y").alias("min_y"), F.max("b.max_x").alias("max_x"), F.max("b.max_y").alias("max_y"), F.sum("a").alias("area"))
+
+
+@query
+def geo_svg_path(spark, sf):
+    box = F.struct(F.lit(0.0).alias("min_x"), F.lit(0.0).alias("min_y"), F.lit(100.0).alias("max_x"), F.lit(200.0).alias("max_y"))
+    p = shapes.label_point(F.col("shape"), box, 136.0, 236.0)
+    return _cells(spark, sf).select("c_custkey", shapes.svg_path(F.col("shape"), box, 136.0, 236.0).alias("path"), p["x"].alias("label_x"), p["y"].alias("label_y"))
+
+
+@query
+def geo_match_cascade(spark, sf):
+    units = _FOREST(spark, sf).where("level < 3").select("territory_id", "code", F.col("official_name").alias("name"), "territory_type", "county_id")
+    return matching.match(inputs.features(spark, sf), units)
+
+
+@query
+def geo_conflicts(spark, sf):
+    return matching.conflicts(geo_match_cascade(spark, sf))
+
+
+@query
+def geo_derive_gate(spark, sf):
+    k = F.col("c_custkey")
+    units = _FOREST(spark, sf).where("territory_type = 'village'").select("territory_id", "county_id")
+    some = load(spark, sf, "customer").where((F.col("c_nationkey") % 5 != 3) | (k % 50 != 0)).select(registry.unit_id(3, k).alias("territory_id"), F.when((F.col("c_nationkey") % 7 == 2) & (k % 2 == 0), "s2").otherwise("s1").alias("snapshot"))
+    return matching.derivable(units, some)
+
+
+@query
+def nfkc_normalize(spark, sf):
+    return load(spark, sf, "documents").select("doc_id", F.sha2(text.normalize_text(F.col("text")), 256).alias("normalized"))
+
 
 def queries():
-    return {}
+    return dict(_FOUND)
 
 
 def oracle_sql():
-    return {}
+    return {k: v for k, v in ORACLES.items() if k in _FOUND}
