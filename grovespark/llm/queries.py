@@ -96,9 +96,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _DECONTAMINATE = r"""
 WITH words AS (
-    SELECT doc_id AS id, 0 AS kind, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM documents
+    SELECT doc_id AS id, 0 AS kind, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
     UNION ALL
-    SELECT item_id, 1, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') FROM benchmark
+    SELECT item_id, 1, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') FROM benchmark
 ), shingles AS (
     SELECT DISTINCT id, kind, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT id, kind, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5)
 ), items AS (SELECT id AS item_id, s, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE kind = 1)
@@ -109,16 +109,16 @@ GROUP BY d.id, item_id, n HAVING count(*) >= ceil(0.8 * n - 1e-9)
 
 _SUBSTRINGS = r"""
 WITH words AS (
-    SELECT doc_id, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+    SELECT doc_id, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
 ), windows AS (
     SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words WHERE len(w) >= 35)
 ), twice AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
 gone AS (
-    SELECT doc_id, list(DISTINCT i + j) AS at FROM (SELECT doc_id, i, unnest(range(0, 35)) AS j FROM windows WHERE h IN (SELECT h FROM twice)) GROUP BY doc_id
+    SELECT doc_id, list(DISTINCT i + j) AS gone_at FROM (SELECT doc_id, i, unnest(range(0, 35)) AS j FROM windows WHERE h IN (SELECT h FROM twice)) GROUP BY doc_id
 ), kept AS (
-    SELECT doc_id, w, list_filter(range(1, len(w) + 1), i -> NOT list_contains(coalesce(at, []), i)) AS own FROM words LEFT JOIN gone USING (doc_id)
+    SELECT doc_id, w, list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(coalesce(gone_at, []), i)) AS own FROM words LEFT JOIN gone USING (doc_id)
 )
-SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - len(own))::BIGINT AS n_removed, sha256(array_to_string(list_transform(own, i -> w[i]), ' ')) AS kept_sha256 FROM kept
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - len(own))::BIGINT AS n_removed, sha256(array_to_string(list_transform(own, lambda i: w[i]), ' ')) AS kept_sha256 FROM kept
 """
 
 
