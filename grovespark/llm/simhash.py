@@ -32,6 +32,8 @@ from .shared import cut
 BITS = 64
 #: What it costs to send a probe to its bucket, in comparisons.
 PROBE_COST = 3.0
+#: Fewer fingerprints are planned for as if they were so many, so that work grows in proportion up to there.
+PLANNED_FOR = 10_000_000
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -118,6 +120,7 @@ def plan(n: int, both: np.ndarray, distance: int) -> list[tuple[list[int], int]]
     often as its share says; that estimates how many pairs meet in a partition.
     """
     share = np.diag(both) / max(n, 1)
+    planned = float(max(n, PLANNED_FOR))
     spread = np.sqrt(np.maximum(share * (1 - share), 1e-9))
     correlation = np.abs((both / max(n, 1) - np.outer(share, share)) / np.outer(spread, spread))
     best = None
@@ -129,7 +132,7 @@ def plan(n: int, both: np.ndarray, distance: int) -> list[tuple[list[int], int]]
             for i in own:
                 d = 2 * share[i] * (1 - share[i])
                 differ = np.append(differ, 0) * (1 - d) + np.append(0, differ) * d
-            cost.append([0.0] + [n * n * differ[: t + 1].sum() + PROBE_COST * n * (1 + sum(comb(len(own), k) for k in range(t + 1))) for t in range(distance + 1)])
+            cost.append([0.0] + [planned * planned * differ[: t + 1].sum() + PROBE_COST * planned * (1 + sum(comb(len(own), k) for k in range(t + 1))) for t in range(distance + 1)])
         table = {0: (0.0, [])}  # least cost by sum(t_i + 1) so far
         for row in cost:
             new = {}
