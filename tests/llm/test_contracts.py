@@ -74,7 +74,8 @@ def test_bpe(docs, rows):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(path).ranks, special_tokens={})
     want = Counter((i, np.array(library.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for i, t in rows)
     coded = bpe.decode(bpe.encode(docs, path), path)
-    assert Counter((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in coded.collect()) == want
+    for out in (coded, bpe.encode(docs, path, decoded=True)):
+        assert Counter((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in out.collect()) == want
 
 
 def test_secrets(docs, rows):
@@ -194,6 +195,10 @@ def test_record_checksums():
     samples = {bytes(32): 0x8A9136AA, b"\xff" * 32: 0x62A8AB43, bytes(range(32)): 0x46DD794E, b"123456789": 0xE3069283}
     for data, crc in samples.items():
         assert token_records.masked_crcs(np.frombuffer(data, np.uint8), np.array([0]), np.array([len(data)])).tolist() == [mask(crc)]
+    rows = [token_records.framed(np.array([k]), np.array(x, np.uint32), np.array([0, len(x)]))[0] for k, x in ((1, [5, 6]), (2, [70_000]), (3, [9]))]
+    begin = np.cumsum([0, *map(len, rows)])[:-1]
+    back = token_records._parsed(np.concatenate(rows), np.stack([begin, [2, 1, 1], [0, 2, 3]], 1))  # of two widths
+    assert [np.frombuffer(x.as_py(), "<u4").tolist() for x in back.column(2)] == [[5, 6], [70_000], [9]]
     raw, begin = token_records.framed(np.array([7]), np.array([1, 2, 3], np.uint32), np.array([0, 3]))
     raw[26] ^= 1
     with pytest.raises(ValueError):
