@@ -35,7 +35,7 @@ def is_public(address: Column) -> Column:
     mapped = F.regexp_extract(low, rf"^[0:]*::ffff:({IPV4})$", 1)
     six = low.rlike(r"^[0-9a-f:]*:[0-9a-f:]*$") | (mapped != "")
     return F.coalesce(
-        F.when(low.rlike(f"^{IPV4}$"), _public_ipv4(low)).when(~six | low.rlike(CLOSED_IPV6), F.lit(False)).when(mapped != "", _public_ipv4(mapped)).otherwise(F.lit(True)),
+        F.when(low.isNull(), F.lit(False)).when(low.rlike(f"^{IPV4}$"), _public_ipv4(low)).when(~six | low.rlike(CLOSED_IPV6), F.lit(False)).when(mapped != "", _public_ipv4(mapped)).otherwise(F.lit(True)),
         F.lit(False),
     )
 
