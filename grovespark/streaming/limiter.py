@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.limiter import MOST, WINDOW_MS, fold
 
 
-def limited_stream(hits: DataFrame, window_ms: int = WINDOW_MS, most: int = MOST) -> DataFrame:
-    """hits: a stream of (client string, id long, at long). Hits of one micro-batch are taken in the order of time and id."""
+def limited_stream(hits: DataFrame, window_ms: int = WINDOW_MS, most: int = MOST, lateness: str = "1 minute") -> DataFrame:
+    """hits: a stream of (client string, id long, at long in milliseconds).
+
+    Hits of one micro-batch are taken in the order of time and id; hits that
+    come later than `lateness` are dropped, as their windows may be gone.
+    """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     def step(key, frames, state):
@@ -19,9 +24,10 @@ def limited_stream(hits: DataFrame, window_ms: int = WINDOW_MS, most: int = MOST
         rows = pd.concat(list(frames)).sort_values(["at", "id"])
         counts, ends, last = fold(rows["at"].tolist(), state.get if state.exists else None, window_ms)
         state.update(last)
-        state.setTimeoutDuration(window_ms)
+        state.setTimeoutTimestamp(max(last[1], state.getCurrentWatermarkMs() + 1))
         yield rows.assign(n=counts, resets_at=ends, limited=[n > most for n in counts], remaining=[max(most - n, 0) for n in counts])[["client", "id", "at", "n", "resets_at", "limited", "remaining"]]
 
-    return hits.groupBy("client").applyInPandasWithState(
-        step, "client string, id long, at long, n long, resets_at long, limited boolean, remaining long", "n long, resets_at long", "append", GroupStateTimeout.ProcessingTimeTimeout
+    timed = hits.withColumn("time", F.timestamp_millis("at")).withWatermark("time", lateness)
+    return timed.groupBy("client").applyInPandasWithState(
+        step, "client string, id long, at long, n long, resets_at long, limited boolean, remaining long", "n long, resets_at long", "append", GroupStateTimeout.EventTimeTimeout
     )

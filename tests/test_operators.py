@@ -214,10 +214,10 @@ def test_limiter(spark):
 def test_limiter_stream(spark, tmp_path):
     from grovespark.streaming.limiter import limited_stream
 
-    hits = spark.createDataFrame([("a", i, i * 10) for i in range(5)], "client string, id long, at long")
+    hits = spark.createDataFrame([("a", i, 1000 + i * 10) for i in range(5)], "client string, id long, at long")
     hits.coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(hits.schema).parquet(str(tmp_path / "in"))
-    q = limited_stream(stream, 100, 3).writeStream.format("memory").queryName("limits").option("checkpointLocation", str(tmp_path / "cp")).outputMode("append").start()
-    q.processAllAvailable()
+    q = limited_stream(stream, 100, 3).writeStream.format("memory").queryName("limits").option("checkpointLocation", str(tmp_path / "cp")).outputMode("append").trigger(availableNow=True).start()
+    assert q.awaitTermination(90)
     q.stop()
     assert sorted((r.id, r.n, r.limited) for r in spark.table("limits").collect()) == [(i, i + 1, i + 1 > 3) for i in range(5)]
