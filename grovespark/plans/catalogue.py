@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import hashing, network, numbers, shapes, text
-from ..operators import diff, graph, history, identity, limiter, matching, release, search, validation
-from ..sources import registry, snapshots
+from ..operators import diff, graph, history, identity, limiter, matching, paging, release, search, validation
+from ..sources import features, registry, snapshots
 from ..sources.tables import load
 from . import inputs
 from .oracle import ORACLES
@@ -429,6 +429,17 @@ def geo_derive_gate(spark, sf):
     return matching.derivable(units, some)
 
 
+@query
+def geo_feature_lines(spark, sf):
+    return _cells(spark, sf).select("c_custkey", features.feature_line(registry.unit_id(3, F.col("c_custkey")), F.lit("source"), F.lit("full"), F.col("shape")).alias("line"))
+
+
+@query
+def chunk_numbers(spark, sf):
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return paging.chunked(o, 500, "o_custkey", "o_orderkey").select("o_orderkey", "chunk")
+
+
 @query
 def nfkc_normalize(spark, sf):
     return load(spark, sf, "documents").select("doc_id", F.sha2(text.normalize_text(F.col("text")), 256).alias("normalized"))

@@ -211,6 +211,8 @@ ORACLES = {
     "int_parse": "SELECT event_id, CASE WHEN event_id % 6 IN (0, 1) AND event_id BETWEEN 1 AND 5000 THEN event_id END AS value, CASE event_id % 6 WHEN 2 THEN 'CODE is required' WHEN 3 THEN 'CODE must be an integer' WHEN 4 THEN 'CODE is outside the safe integer range' WHEN 5 THEN 'CODE must be greater than zero' ELSE CASE WHEN event_id = 0 THEN 'CODE must be greater than zero' WHEN event_id > 5000 THEN 'CODE must be at most 5000' END END AS error, CASE event_id % 3 WHEN 0 THEN 2 WHEN 1 THEN 3 END AS level, CASE event_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 50 WHEN 2 THEN 200 ELSE CASE WHEN event_id % 300 = 0 THEN 50 ELSE least(event_id % 300, 200) END END::INTEGER AS page FROM events",
     "geo_bounds": f"SELECT c_nationkey, min(x) AS min_x, min(y) AS min_y, max(x) + 1 AS max_x, max(y) + 1 AS max_y, count(*)::DOUBLE AS area FROM (SELECT c_nationkey, {_CELL} FROM customer) GROUP BY c_nationkey",
     "geo_svg_path": f"SELECT c_custkey, printf('M%.2f,%.2f L%.2f,%.2f L%.2f,%.2f L%.2f,%.2f L%.2f,%.2f Z', 18 + x, 218 - y, 19 + x, 218 - y, 19 + x, 217 - y, 18 + x, 217 - y, 18 + x, 218 - y) AS path, 18 + (5 * x + 2) / 5 AS label_x, 236 - (18 + (5 * y + 2) / 5) AS label_y FROM (SELECT c_custkey, {_CELL} FROM customer)",
+    "geo_feature_lines": f"SELECT c_custkey, '{{\"geometry\":{{\"coordinates\":[[[[' || x || ',' || y || '],[' || x + 1 || ',' || y || '],[' || x + 1 || ',' || y + 1 || '],[' || x || ',' || y + 1 || '],[' || x || ',' || y || ']]]],\"type\":\"MultiPolygon\"}},\"properties\":{{\"detailLevel\":\"full\",\"geometryKind\":\"source\",\"territoryId\":\"' || {_ID(3, 'c_custkey')} || '\"}},\"type\":\"Feature\"}}' AS line FROM (SELECT c_custkey, {_CELL} FROM customer)",
+    "chunk_numbers": "SELECT o_orderkey, (row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1) // 500 AS chunk FROM orders",
     "geo_match_cascade": f"SELECT 'r' || r_regionkey AS feature, {_ID(1, 'r_regionkey')} AS territory_id, CASE WHEN r_regionkey % 2 = 0 THEN 'code' ELSE 'county name' END AS how FROM region UNION ALL SELECT 'n' || lpad(n_nationkey::VARCHAR, 3, '0'), CASE WHEN n_nationkey % 3 = 0 OR n_nationkey % 5 <> 4 THEN {_ID(2, 'n_nationkey')} END, CASE WHEN n_nationkey % 3 = 0 THEN 'code' WHEN n_nationkey % 5 <> 4 THEN 'unit name' END FROM nation UNION ALL SELECT 'z' || lpad(n_nationkey::VARCHAR, 3, '0'), {_ID(2, 'n_nationkey')}, 'code' FROM nation WHERE n_nationkey % 12 = 0",
     "geo_conflicts": f"SELECT {_ID(2, 'n_nationkey')} AS territory_id, 'z' || lpad(n_nationkey::VARCHAR, 3, '0') AS feature, 'n' || lpad(n_nationkey::VARCHAR, 3, '0') AS kept FROM nation WHERE n_nationkey % 12 = 0",
     "geo_derive_gate": f"SELECT county_id, expected, actual, snapshots, CASE WHEN actual < expected THEN 'incomplete-children' WHEN snapshots <> 1 THEN 'ambiguous-snapshot' ELSE 'derivable' END AS verdict FROM (SELECT {_ID(1, 'n_regionkey')} AS county_id, count(*) AS expected, count(s) AS actual, count(DISTINCT s) AS snapshots FROM (SELECT n_regionkey, CASE WHEN c_nationkey % 5 <> 3 OR c_custkey % 50 <> 0 THEN CASE WHEN c_nationkey % 7 = 2 AND c_custkey % 2 = 0 THEN 's2' ELSE 's1' END END AS s FROM customer JOIN nation ON c_nationkey = n_nationkey) GROUP BY ALL)",

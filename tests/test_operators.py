@@ -221,3 +221,29 @@ def test_limiter_stream(spark, tmp_path):
     assert q.awaitTermination(90)
     q.stop()
     assert sorted((r.id, r.n, r.limited) for r in spark.table("limits").collect()) == [(i, i + 1, i + 1 > 3) for i in range(5)]
+
+
+def test_features(spark, tmp_path):
+    from grovespark.sources import features
+
+    (tmp_path / "f.json").write_text('{"type":"FeatureCollection","features":[{"type":"Feature","properties":{"OBJECTID":7,"featureId":"f","name_1":"","name_2":"Alba","nationalCode":"RO1","nationalLevel":"x/2ndOrder"},"geometry":{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]}},{"type":"Feature","properties":{"OBJECTID":8},"geometry":{"type":"Point","coordinates":[0,1]}}]}')
+    a, b = features.read_features(spark, str(tmp_path / "f.json")).orderBy("object_id").collect()
+    assert (a.feature, a.code, a.name, a.rank, a.polygons) == ("f", "RO1", "Alba", 2, [[[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 0.0]]]])
+    assert (b.name, b.rank, b.polygons) == (None, None, None)
+
+
+def test_positions(spark):
+    from grovespark.operators import paging
+
+    rows = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k")).repartition(5)
+    assert {(r.k, r.position) for r in paging.numbered(rows, "k").collect()} == {(i, i) for i in range(1000)}
+    assert paging.numbered(rows.limit(0), "k").count() == 0
+
+
+def test_catalogue_and_registration(spark, tmp_path):
+    (tmp_path / "c.json").write_text('{"result": {"resources": [{"id": "r1", "url": "https://a/x.xlsx", "state": "active"}, {"id": "r2", "url": "https://a/y", "state": "deleted"}]}}')
+    refused = lambda i, u: snapshots.catalog_resources(spark, str(tmp_path / "c.json"), i, u).first().refused
+    assert (refused("r1", "https://a/x.xlsx"), refused("r1", "https://b"), refused("r2", "https://a/y")) == (None, "RESOURCE_URL_CHANGED", "RESOURCE_INACTIVE")
+    known = spark.createDataFrame([("s", "1")], "source string, sha256 string")
+    files = spark.createDataFrame([("s", "1"), ("s", "2"), ("s", "2")], "source string, sha256 string")
+    assert [tuple(r) for r in snapshots.register(known, files).collect()] == [("s", "2")]
