@@ -21,9 +21,9 @@ def media_type(content: Column) -> Column:
     head = F.hex(F.substring(content, 1, 4))
     zipped = head.rlike("^504B(03|05|07)(04|06|08)$")
     has = lambda name: F.contains(content, F.lit(name).cast("binary"))
-    sample = F.decode(F.substring(content, 1, SAMPLE), "UTF-8")
+    sample = F.make_valid_utf8(F.substring(content, 1, SAMPLE).cast("string"))
     text = F.regexp_replace(sample, r"(?U)^[\x{FEFF}\s]+", "")
-    as_json = text.rlike(r"^[{\[]") & F.try_parse_json(F.decode(content, "UTF-8")).isNotNull()
+    as_json = text.rlike(r"^[{\[]") & F.try_parse_json(F.make_valid_utf8(content.cast("string"))).isNotNull()
     return (
         F.when(zipped & has("[Content_Types].xml") & has("xl/workbook.xml"), XLSX)
         .when(zipped, ZIP)

@@ -80,7 +80,7 @@ def test_media_types(spark):
                 z.writestr(n, "x")
         return bytearray(out.getvalue())
 
-    cases = [(packed("[Content_Types].xml", "xl/workbook.xml"), snapshots.XLSX), (packed("a.txt"), snapshots.ZIP), (b' {"a": 1}', snapshots.JSON), (b"{no", snapshots.BYTES), (b"<a/>", snapshots.XML), (b"a;b\n1;2\n", snapshots.CSV), (b"", snapshots.BYTES), (b"a;b\n\x00", snapshots.BYTES)]
+    cases = [(packed("[Content_Types].xml", "xl/workbook.xml"), snapshots.XLSX), (packed("a.txt"), snapshots.ZIP), (b' {"a": 1}', snapshots.JSON), (b"{no", snapshots.BYTES), (b"<a/>", snapshots.XML), (b"a;b\n1;2\n", snapshots.CSV), (b"", snapshots.BYTES), (b"a;b\n\x00", snapshots.BYTES), (b"<" + b"x" * 8190 + "é".encode(), snapshots.XML), (b"\xff\xfe", snapshots.BYTES)]
     df = spark.createDataFrame([(i, bytearray(c)) for i, (c, _) in enumerate(cases)], "i int, c binary")
     assert [r[0] for r in df.orderBy("i").select(snapshots.media_type(F.col("c"))).collect()] == [t for _, t in cases]
 
