@@ -1,14 +1,14 @@
 """Byte-level BPE encoding and decoding by merge replay over a corpus slice.
 
-The distinct pre-tokens of a slice of the corpus (one Arrow batch of a
-partition) lie one after another as a linked list of tokens. An inverted index
+The distinct pre-tokens of a slice of the corpus (SLICE_BYTES of a partition's
+texts, or one longer text) lie one after another as a linked list of tokens. An inverted index
 holds, for each rank, the positions of the token pairs that would merge into
 it. Ranks are taken in rising order; each merge rewrites its positions and
 looks up again only the pairs with their neighbours. The documents are then
 put together from the encoded pre-tokens.
 
-A worker process keeps a table of at most TABLE_WORDS encoded pre-tokens between
-batches and tasks and drops it when full: a matter of speed only.
+A task keeps a table of at most TABLE_WORDS encoded pre-tokens and drops it when
+full: a matter of speed only. Nothing of it outlives the task.
 
 Defined cases: a null text has no tokens; a null id stays null; repeated rows
 give repeated rows; an empty table gives an empty result; columns other than
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from collections.abc import Iterable
 from functools import cache
 
 import numpy as np
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 
 from . import textbatch as tb
 
-TABLE_WORDS = 600_000
+TABLE_WORDS = 250_000
+SLICE_BYTES = 8 << 20
 NONE = np.int32(2**31 - 1)
 _BAND = 512
 
@@ -145,18 +147,18 @@ def load_ranks(path: str) -> Ranks:
 class WordTable:
     """Encoded pre-tokens: ids lie in one growing array."""
 
-    def __init__(self, encode):
-        self.encode, self.codes = encode, {}
+    def __init__(self, encode, most: int = TABLE_WORDS):
+        self.encode, self.most, self.codes = encode, most, {}
         self.ids, self.n, self.starts, self.lengths = np.zeros(0, np.uint32), 0, np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def add(self, words: list[str]) -> None:
-        """Encode those of the words that are new."""
-        new = [w for w in dict.fromkeys(words) if w not in self.codes]
+    def add(self, words: Iterable[str]) -> None:
+        """Encode those of the words (each given once) that are new."""
+        new = [w for w in words if w not in self.codes]
         if not new:
             return
-        if self.codes and len(self.codes) + len(new) > TABLE_WORDS:
-            self.__init__(self.encode)
-            new = list(dict.fromkeys(words))
+        if self.codes and len(self.codes) + len(new) > self.most:
+            self.__init__(self.encode, self.most)
+            new = list(words)
         ids, lengths = self.encode(new)
         self.codes.update(zip(new, range(len(self.codes), len(self.codes) + len(new))))
         self.starts = np.append(self.starts, len(self.ids) + np.cumsum(lengths) - lengths)
@@ -181,8 +183,7 @@ def encode_words(ranks: Ranks, words: list[str]) -> tuple[np.ndarray, np.ndarray
     return np.insert(ids, begin[known], whole[known]), lengths
 
 
-@cache
-def worker_table(path: str) -> WordTable:
+def word_table(path: str) -> WordTable:
     ranks = load_ranks(path)
     return WordTable(lambda words: encode_words(ranks, words))
 
@@ -193,25 +194,33 @@ def binaries(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * size).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(flat))]).cast(pa.binary())
 
 
-def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """Rows (id, ids): the token ids of each text as little-endian unsigned 32-bit integers.
 
-    vocabulary: path of a rank file that every worker can read.
+    vocabulary: path of a rank file that every worker can read. decoded: adds what decode() would, in the same pass.
     """
 
     def run(batches):
-        table = worker_table(vocabulary)
+        table, ranks = word_table(vocabulary), load_ranks(vocabulary)
         for batch in batches:
-            cut = [(c.rows, tb.pieces([c.bytes_of(i).decode() for i in range(len(c))], True)) for c in tb.chunks(batch.column(1))]
-            if len(set().union(*(p.distinct for _, p in cut))) <= TABLE_WORDS:
-                table.add([w for _, p in cut for w in p.distinct])
-            for rows, p in cut:
-                table.add(p.distinct)
-                ids, offsets = table.assemble(p)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[rows], binaries(ids, offsets)], names=[id_col, "ids"])
+            for own in tb.slices(batch.column(1), SLICE_BYTES):
+                cut = [(c.rows, tb.pieces([c.bytes_of(i).decode() for i in range(len(c))], True)) for c in own]
+                words = set().union(*(p.distinct for _, p in cut))
+                if len(words) <= TABLE_WORDS:
+                    table.add(words)
+                del words
+                for rows, p in cut:
+                    table.add(p.distinct)
+                    ids, offsets = table.assemble(p)
+                    columns = {id_col: batch.column(0)[rows], "ids": binaries(ids, offsets)}
+                    if decoded:
+                        text, begin = ranks.decoded(ids)
+                        columns["decoded"] = binaries(text, begin[offsets])
+                    yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+            tb.release()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, ids binary")
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, ids binary" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id") -> DataFrame:

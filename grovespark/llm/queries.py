@@ -35,7 +35,7 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = _vocabulary("byte_bpe_50k.tiktoken")
-    coded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), ranks), ranks)
+    coded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, decoded=True)
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

@@ -69,6 +69,24 @@ def chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[Chunk]:
     yield from _chunks(pc.fill_null(column.cast(pa.large_string()), ""), most)
 
 
+def slices(column: pa.Array, most: int) -> Iterator[list[Chunk]]:
+    """The same chunks, in groups of about `most` bytes."""
+    held, size = [], 0
+    for c in chunks(column):
+        if held and size + len(c.data) > most:
+            yield held
+            held, size = [], 0
+        held.append(c)
+        size += len(c.data)
+    if held:
+        yield held
+
+
+def release() -> None:
+    """Give memory that Arrow holds free back to the system."""
+    pa.default_memory_pool().release_unused()
+
+
 def chunks_of_binary(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[Chunk]:
     """The same for a binary column; each chunk's bytes are aligned anew."""
     for c in _chunks(pc.fill_null(column.cast(pa.large_binary()), b""), most):
