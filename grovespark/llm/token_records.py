@@ -35,6 +35,7 @@ from . import textbatch as tb
 from .bpe import WordTable
 
 NULL_ID = -(2**63)
+TABLE_WORDS = 600_000  # kept by a worker process; dropped when full
 _POLYNOMIAL = 0x82F63B78  # CRC-32C, bits reversed
 _BLOCK = 64
 
@@ -75,9 +76,8 @@ def masked_crcs(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
     np.cumsum(blocks, out=offsets[1:])
     padded = np.zeros(int(offsets[-1]) * _BLOCK, np.uint8)
     target = offsets[1:] * _BLOCK - lengths
-    begin = np.cumsum(lengths) - lengths
-    at = np.arange(int(lengths.sum()))
-    padded[at + np.repeat(target - begin, lengths)] = data[at + np.repeat(starts - begin, lengths)]
+    for t, s, n in zip(target.tolist(), starts.tolist(), lengths.tolist()):
+        padded[t : t + n] = data[s : s + n]
     padded[(target[:, None] + np.arange(4)).ravel()] ^= 0xFF
     state = np.zeros(len(padded) // _BLOCK, np.uint32)
     for column in np.ascontiguousarray(padded.reshape(-1, _BLOCK).T):
@@ -116,7 +116,7 @@ def _table(path: str) -> WordTable:
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum())), lengths
 
-    return WordTable(encode)
+    return WordTable(encode, TABLE_WORDS)
 
 
 def token_ids(texts: list[str], tokenizer: str) -> tuple[np.ndarray, np.ndarray]:
@@ -168,8 +168,8 @@ def framed(doc_ids: np.ndarray, ids: np.ndarray, offsets: np.ndarray) -> tuple[n
     put(begin[:-1] + 8, masked_crcs(out, begin[:-1], np.full(len(size), 8)), "<u4")
     put(begin[:-1] + 12, doc_ids, "<i8")
     put(begin[:-1] + 20, np.full(len(size), width), "<u4")
-    at = np.arange(len(body))
-    out[at + np.repeat(begin[:-1] + 24 - offsets[:-1] * width, size)] = body
+    for t, s, n in zip((begin[:-1] + 24).tolist(), (offsets[:-1] * width).tolist(), size.tolist()):
+        out[t : t + n] = body[s : s + n]
     put(begin[1:] - 4, masked_crcs(out, begin[:-1] + 12, payload), "<u4")
     return out, begin
 
@@ -261,15 +261,14 @@ def _parsed(data: np.ndarray, index: np.ndarray) -> pa.RecordBatch:
         raise ValueError("a record's length has a wrong checksum")
     if (masked_crcs(data, begin + 12, payload) != take(begin + 12 + payload, "<u4")).any():
         raise ValueError("a record has a wrong checksum")
-    width = int(data[begin[0] + 20])
+    width = take(begin + 20, "<u4")
     size = payload - 12
-    offsets = np.append(0, np.cumsum(size))
-    at = np.arange(int(size.sum()))
-    ids = data[at + np.repeat(begin + 24 - offsets[:-1], size)].view(f"<u{width}").astype("<u4")
+    offsets = np.append(0, np.cumsum(size // width))
+    ids = np.concatenate([data[a + 24 : a + 24 + n].view(f"<u{w}").astype("<u4") for a, n, w in zip(begin.tolist(), size.tolist(), width.tolist())])
     from .bpe import binaries
 
     key = take(begin + 12, "<i8")
-    return pa.RecordBatch.from_arrays([pa.array(key, mask=key == NULL_ID), pa.array(index[:, 2]), binaries(ids, offsets // width)], names=["doc_id", "start", "ids"])
+    return pa.RecordBatch.from_arrays([pa.array(key, mask=key == NULL_ID), pa.array(index[:, 2]), binaries(ids, offsets)], names=["doc_id", "start", "ids"])
 
 
 def crc32_of(column: pa.Array) -> pa.Array:
