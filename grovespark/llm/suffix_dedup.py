@@ -12,14 +12,17 @@ MATCH words from it on and of the words before it that a match can need.
    matches. One example of each goes on, so no group of copies is ever sorted.
 3. The examples are range-partitioned and sorted by the words from the suffix
    on, then by those before it, nearest first. Each is compared with its NEAR
-   neighbours on either side (over partition borders with the nearest), and the
-   common stretch is extended to the right and to the left. If it has MATCH
-   words, it is a match.
+   neighbours on either side, and the common stretch is extended to the right
+   and to the left. If it has MATCH words, it is a match.
+4. Suffixes that begin with the same GRAM words are partners. Where they are
+   more than the neighbours compared, or reach a partition's border, their
+   windows of MATCH words are grouped exactly by a 128-bit hash and their place
+   around the suffix. No suffix shares more words to the right with any other
+   than with one next to it in the order, so only windows that need no more
+   words to the right than that are hashed.
 
 A long passage has many minimisers, whose matches together cover it. All copies
-of a passage are marked. A suffix is compared with neighbours only, so of
-several different partners it may miss one whose words differ from the
-neighbours'; passages that share a partner set are found whole.
+of a passage are marked, wherever the partitions' borders fall.
 
 Defined cases: as in `substrings`: null texts have no words, repeated rows are
 copies of each other, rows are known by id and a hash of id and text.
@@ -27,6 +30,8 @@ copies of each other, rows are known by id and a hash of id and text.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -117,6 +122,33 @@ def extents(right: list[bytes], left: list[bytes], match: int) -> tuple[np.ndarr
     return lefts, rights
 
 
+def left_open(right: list[bytes], left: list[bytes], match: int, own: slice, first: bool, final: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of `match` words that neighbours do not settle: the suffix each is around, its words before the suffix, two hashes.
+
+    The suffixes are sorted; only those in `own` are asked for, and NEAR + 1 more stand on either side but at the
+    partition's borders. first, final: whether the first and the last one are next to a border.
+    """
+    r, le = (np.frombuffer(b"".join(x), ">u4").reshape(len(right), -1) for x in (right, left))
+    gram, before = min(GRAM, match), le.shape[1]
+    shared = _shared(r[1:], r[:-1])
+    most = np.maximum(np.append(match if first else 0, shared), np.append(shared, match if final else 0))
+    most = np.minimum(most, (r != 0).sum(1))
+    group = np.cumsum(np.append(0, shared < gram))
+    many = np.bincount(group) > NEAR + 1
+    many[group[0]] |= first
+    many[group[-1]] |= final
+    at = np.arange(len(r))[own]
+    at = at[many[group[at]]]
+    low = match - most[at]
+    n = np.maximum((le[at] != 0).sum(1) - low + 1, 0)
+    at, low, n = at[n > 0], low[n > 0], n[n > 0]
+    k = np.repeat(low, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    words = np.concatenate([le[at][:, ::-1], r[at]], 1).astype(np.uint64)
+    start = np.repeat(np.arange(len(at)) * words.shape[1] + before, n) - k
+    one, two = (tb.ngram_hashes(tb.mixed(words.ravel() + np.uint64(seed)), match)[start] if len(at) else np.zeros(0, np.uint64) for seed in (1 << 32, 1 << 33))
+    return np.repeat(at, n), k.astype(np.int32), one, two
+
+
 def matches(docs: DataFrame, match: int) -> DataFrame:
     """Rows (_id, _key, start, size): `size` windows of `match` words from word `start` on occur twice or more. docs: as keyed()."""
     spark = docs.sparkSession
@@ -163,46 +195,41 @@ def matches(docs: DataFrame, match: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(h[0]), pa.array(h[1]), _fixed(right), _fixed(left)], names=["one", "two", "right", "left"])
 
     def compare(batches):
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        first, last = None, []
-        for b in batches:
-            rows = list(zip(*(b.column(i).to_pylist() for i in range(4))))
-            if not rows:
+        rows, done, first = [], 0, True  # done: of the rows held, those that are only there for the ones after them
+        for b in chain(batches, [None]):
+            final = b is None
+            if not final:
+                rows += zip(*(b.column(i).to_pylist() for i in range(4)))
+            upto = len(rows) if final else len(rows) - NEAR - 1
+            if upto <= done:
                 continue
-            first = first or rows[0]
-            rows = last + rows
-            last = rows[-NEAR:]
-            lefts, rights = extents([x[2] for x in rows], [x[3] for x in rows], match)
+            right, left = [x[2] for x in rows], [x[3] for x in rows]
+            lefts, rights = extents(right, left, match)
             hit = np.flatnonzero(lefts + rights >= match)
-            yield _reached([rows[i] for i in hit], lefts[hit], rights[hit], -1)
-        if first:
-            edges = [first] if first == last[-1] else [first, last[-1]]
-            zero = np.zeros(len(edges), np.int32)
-            yield _reached(edges, zero, zero, part)
+            yield _reached([rows[i] for i in hit], lefts[hit], rights[hit])
+            at, k, *h = left_open(right, left, match, slice(done, upto), first, final)
+            yield _reached([rows[i] for i in at], k, match - k, *h)
+            gone = max(0, upto - NEAR - 1)
+            rows, done, first = rows[gone:], upto - gone, first and not gone
 
     ordered = docs.mapInArrow(suffixes, "one long, two long, right binary, left binary").repartitionByRange("right", "left").sortWithinPartitions("right", "left", "one", "two")
-    reached = cut(ordered.mapInArrow(compare, "one long, two long, right binary, left binary, lefts int, rights int, part int"))
-    # the first and the last suffix of each partition, to be compared over the borders: two rows a partition
-    edges = reached.where("part >= 0").orderBy("part", "right", "left").select("one", "two", "right", "left").collect()
-    lefts, rights = extents([bytes(x.right) for x in edges], [bytes(x.left) for x in edges], match)
-    over = [(x.one, x.two, int(a), int(z)) for x, a, z in zip(edges, lefts, rights) if a + z >= match]
-    schema = "one long, two long, lefts int, rights int"
-    by_neighbour = reached.where("part < 0").select("one", "two", "lefts", "rights").union(spark.createDataFrame(over, schema))
-    reach = by_neighbour.groupBy("one", "two").agg(F.max("lefts").alias("lefts"), F.max("rights").alias("rights"))
+    reached = cut(ordered.mapInArrow(compare, "one long, two long, lefts int, rights int, window long, window_too long"))
+    window = ["window", "window_too", "lefts"]
+    by_neighbour = reached.where("window IS NULL").select("one", "two", "lefts", "rights")
+    loose = reached.where("window IS NOT NULL")
+    twice = loose.groupBy(*window).agg(F.count("*").alias("n")).where("n > 1").select(*window)
+    by_window = loose.join(twice, window).select("one", "two", "lefts", "rights")
+    reach = by_neighbour.union(by_window).groupBy("one", "two").agg(F.max("lefts").alias("lefts"), F.max("rights").alias("rights"))
     own = marked.where(F.col("settled") & (F.col("lefts") + F.col("rights") >= match)).select("_id", "_key", "at", "lefts", "rights")
     other = marked.select("_id", "_key", "at", "one", "two").join(reach, ["one", "two"]).select("_id", "_key", "at", "lefts", "rights")
     return own.union(other).select("_id", "_key", (F.col("at") - F.col("lefts")).alias("start"), (F.col("lefts") + F.col("rights") - match + 1).alias("size"))
 
 
-def _reached(rows: list[tuple], lefts: np.ndarray, rights: np.ndarray, part: int) -> pa.RecordBatch:
-    one, two, right, left = zip(*rows) if rows else ((), (), (), ())
-    if part < 0:  # the words are of no more use
-        right = left = [None] * len(rows)
+def _reached(rows: list[tuple], lefts: np.ndarray, rights: np.ndarray, *window: np.ndarray) -> pa.RecordBatch:
+    hashes = [pa.array(x.view(np.int64)) for x in window] or [pa.nulls(len(rows), pa.int64())] * 2
     return pa.RecordBatch.from_arrays(
-        [pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(right, pa.binary()), pa.array(left, pa.binary()), pa.array(lefts, pa.int32()), pa.array(rights, pa.int32()), pa.array([part] * len(rows), pa.int32())],
-        names=["one", "two", "right", "left", "lefts", "rights", "part"],
+        [pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.int64()), pa.array(lefts, pa.int32()), pa.array(rights, pa.int32()), *hashes],
+        names=["one", "two", "lefts", "rights", "window", "window_too"],
     )
 
 
