@@ -358,6 +358,12 @@ def text_fold(spark, sf):
     return load(spark, sf, "documents").where("lang = 'en'").select("doc_id", F.md5(text.fold(F.regexp_replace(t, "[^ -~ĂȘȚÎ]", ""))).alias("folded"), F.md5(text.slugify(F.regexp_replace(t, "[^ -~ĂȘȚÎ]", ""))).alias("slug"))
 
 
+@query
+def text_fold_whole(spark, sf):
+    """All documents as they are; SQL cannot express the folding of every letter."""
+    return load(spark, sf, "documents").select("doc_id", F.md5(text.fold(F.col("text"))).alias("folded"), F.md5(text.slugify(F.col("text"))).alias("slug"))
+
+
 @query
 def short_names(spark, sf):
     k = F.col("n_nationkey")
@@ -372,7 +378,7 @@ def code_candidates(spark, sf):
 
 @query
 def redact(spark, sf):
-    m = F.concat(F.lit("at POSTGRES://u:p@host/db key sb_secret_A.b-c jwt eyJhbGci.eyJzdWIi.c2ln "), F.substring("text", 1, 600))
+    m = F.concat(F.lit("at POSTGRES://u:p@host/db key sb_secret_A.b-c jwt eyJhbGci.eyJzdWIi.c2ln "), F.col("text"))
     return load(spark, sf, "conversations").select("conv_id", "turn", F.md5(text.redact(m)).alias("message"))
 
 
