@@ -12,7 +12,8 @@ full: a matter of speed only. Nothing of it outlives the task.
 
 Defined cases: a null text has no tokens; a null id stays null; repeated rows
 give repeated rows; an empty table gives an empty result; columns other than
-id and text are ignored, whatever their names.
+id and text are ignored, whatever their names; a text of any length is encoded
+whole; of equal pairs in a chain the left one merges first.
 """
 
 from __future__ import annotations
@@ -149,7 +150,7 @@ class WordTable:
 
     def __init__(self, encode, most: int = TABLE_WORDS):
         self.encode, self.most, self.codes = encode, most, {}
-        self.ids, self.n, self.starts, self.lengths = np.zeros(0, np.uint32), 0, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.starts, self.lengths = tb.Growing(np.uint32), tb.Growing(np.int64), tb.Growing(np.int64)
 
     def add(self, words: Iterable[str]) -> None:
         """Encode those of the words (each given once) that are new."""
@@ -161,14 +162,14 @@ class WordTable:
             new = list(words)
         ids, lengths = self.encode(new)
         self.codes.update(zip(new, range(len(self.codes), len(self.codes) + len(new))))
-        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(lengths) - lengths)
-        self.lengths = np.append(self.lengths, lengths)
-        self.ids = np.append(self.ids, ids)
+        self.starts.add(len(self.ids) + np.cumsum(lengths) - lengths)
+        self.lengths.add(lengths)
+        self.ids.add(ids)
 
     def assemble(self, pieces: tb.Pieces) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and where each text's begin (and the end)."""
         codes = np.fromiter(map(self.codes.__getitem__, pieces.distinct), np.int64, len(pieces.distinct))[pieces.codes]
-        ids, begin = tb.gathered(self.ids, self.starts, self.lengths, codes)
+        ids, begin = tb.gathered(self.ids.all(), self.starts.all(), self.lengths.all(), codes)
         return ids, begin[pieces.offsets]
 
 

@@ -209,14 +209,39 @@ SPACES, LETTERS, NUMBERS, OTHERS = 0, 1, 2, 3
 
 @cache
 def char_classes() -> np.ndarray:
-    import unicodedata
-
-    kinds = {"L": LETTERS, "N": NUMBERS}
-    table = np.array([kinds.get(unicodedata.category(chr(i))[0], OTHERS) for i in range(0x110000)], np.uint8)
+    """The class of every code point, as the tokenizer libraries' own Unicode tables give it."""
+    import tiktoken
+
+    everything = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    byte = {bytes([i]): i for i in range(256)}
+    table = np.full(0x110000, OTHERS, np.uint8)
+    for pattern, kind in ((r"\p{L}+", LETTERS), (r"\p{N}+", NUMBERS)):
+        library = tiktoken.Encoding("classes", pat_str=pattern, mergeable_ranks=byte, special_tokens={})  # what it does not match has no tokens
+        table[np.frombuffer(library.decode(library.encode_ordinary(everything)).encode("utf-32-le"), np.uint32)] = kind
     table[WHITE_SPACE] = SPACES
     return table
 
 
+class Growing:
+    """An array that grows at its end without copying all of it each time."""
+
+    def __init__(self, kind: type):
+        self.held, self.n = np.zeros(1024, kind), 0
+
+    def __len__(self) -> int:
+        return self.n
+
+    def add(self, values: np.ndarray) -> None:
+        n = self.n + len(values)
+        if n > len(self.held):
+            self.held = np.append(self.held[: self.n], np.zeros(2 * n - self.n, self.held.dtype))
+        self.held[self.n : n] = values
+        self.n = n
+
+    def all(self) -> np.ndarray:
+        return self.held[: self.n]
+
+
 @dataclass
 class Pieces:
     """Pre-tokens of some texts: a code for each, the distinct ones by code, and where each text's begin."""

@@ -15,7 +15,8 @@ runs again after a lost executor, or twice, leaves the same file.
 Defined cases: a null text has only the end id; a null id sorts first and is
 read back as null; repeated rows are all written, ties in the order of a hash
 of the text and then the text; an empty table writes no parts; columns other
-than id and text are ignored, whatever their names.
+than id and text are ignored, whatever their names; a text of any length is
+one record (its length has 64 bits).
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from .bpe import WordTable
 
 NULL_ID = -(2**63)
 TABLE_WORDS = 600_000  # kept by a worker process; dropped when full
+BATCH_WORDS = 2_000
 _POLYNOMIAL = 0x82F63B78  # CRC-32C, bits reversed
 _BLOCK = 64
 
@@ -98,6 +100,7 @@ def masked_crcs(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; Spark runs the tasks side by side
     return Tokenizer.from_file(path)
 
 
@@ -109,12 +112,25 @@ def _special(path: str) -> dict[str, int]:
         return {x["content"]: x["id"] for x in json.load(f)["added_tokens"]}
 
 
+@cache
+def _token_bytes(path: str) -> np.ndarray:
+    """How many bytes each id stands for; a byte-level vocabulary writes each byte as one character."""
+    vocabulary = _tokenizer(path).get_vocab()
+    out = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    out[list(vocabulary.values())] = list(map(len, vocabulary))
+    return out
+
+
 @cache
 def _table(path: str) -> WordTable:
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [x.ids for x in _tokenizer(path).encode_batch_fast(words, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum())), lengths
+        """One result for many words; a word ends where the tokens' bytes reach its last one."""
+        batches = [words[k : k + BATCH_WORDS] for k in range(0, len(words), BATCH_WORDS)]
+        ids = np.concatenate([np.array(x.ids, np.uint32) for x in _tokenizer(path).encode_batch_fast(batches, is_pretokenized=True, add_special_tokens=False)])
+        token_ends = np.cumsum(_token_bytes(path)[ids])
+        ends = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
+        upto = np.searchsorted(token_ends, ends, "right")
+        return ids, np.diff(upto, prepend=0)
 
     return WordTable(encode, TABLE_WORDS)
 
