@@ -10,26 +10,27 @@ questions need no second encoding.
 Defined cases: a null text has no bytes and no tokens; a null id stays null;
 repeated rows give repeated rows; an empty table gives an empty result;
 columns other than id and text are ignored, whatever their names. The special
-strings of the vocabulary count as one token each, as in its library.
+strings of the vocabulary count as one token each, as in its library. A text of
+any length is counted whole, also one that is a single word; there are no ties.
 """
 
 from __future__ import annotations
 
 import json
 import re
-import unicodedata
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from . import textbatch as tb
 from .textbatch import U64
 
 TABLE_WORDS = 600_000  # kept by a worker process between batches and tasks; dropped when full
+LONG_WORD = 128  # bytes; longer words are walked over one at a time
 _SLOTS = 22
 
 
@@ -74,6 +75,7 @@ class Vocabulary:
         with open(path) as f:
             spec = json.load(f)
         model = spec["model"]
+        self.normalizer = Tokenizer.from_file(path).normalizer
         self.suffix = model["end_of_word_suffix"]
         letters = _byte_letters()
         self.special = [x["content"] for x in spec["added_tokens"]]
@@ -121,9 +123,65 @@ class Vocabulary:
             a, b = np.where(undo_b, a, self.right[a]), np.where(undo_b, self.left[b], b)
         return out[back]
 
+    @cached_property
+    def _merges(self) -> tuple[dict[int, int], list[int], list[int], list[int]]:
+        return dict(zip(self.keys[:-1].tolist(), self.ranks[:-1].tolist())), self.rank.tolist(), self.left.tolist(), self.right.tolist()
+
+    def follows_one(self, a: int, b: int) -> bool:
+        """The same for one pair."""
+        merges, rank, left, right = self._merges
+        limit = 2**40
+        while True:
+            if merges.get(a << 20 | b, limit) < limit:
+                return False
+            by_a, by_b = rank[a], rank[b]
+            if by_a < 0 and by_b < 0:
+                return True
+            if by_b >= by_a:
+                limit, b = by_b + 1, left[b]
+            else:
+                limit, a = by_a, right[a]
+
+    def long_counts(self, values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Open and closed counts of long words' prefixes: the tokens that may end at each byte are looked up for all bytes at once.
+
+        values: the bytes' hashes, one word after another; first: where each byte's word begins.
+        """
+        n = len(values)
+        power = tb.powers(max(self.inner.longest, self.final.longest) + 1)
+        h, found = np.zeros(n, np.uint64), []
+        for size in range(1, min(n, len(power) - 1) + 1):
+            h = h[1:] if size > 1 else h  # of the `size` bytes that end at each byte from size - 1 on
+            h = h + values[: n - size + 1] * power[size - 1]
+            for lookup, final in ((self.inner, 0), (self.final, 1)):
+                if size <= lookup.longest:
+                    at, token = lookup.find(h)
+                    inside = at >= first[at + size - 1]
+                    at, token = at[inside], token[inside]
+                    found.append(np.stack([at + size - 1, np.full(len(at), size), np.full(len(at), final), token]))
+        found = np.concatenate(found, 1)
+        end, size, final, token = (x.tolist() for x in found[:, np.argsort(found[0], kind="stable")])
+        begin = first.tolist()
+        last, opened, closed, known = [-1] * n, [0] * n, [0] * n, {}
+        for i, k, f, t in zip(end, size, final, token):
+            have = 0
+            if i - k >= begin[i]:
+                before = last[i - k]
+                fit = known.get(pair := before << 20 | t)
+                if fit is None:
+                    fit = known[pair] = self.follows_one(before, t)
+                if not fit:
+                    continue
+                have = opened[i - k]
+            if f:
+                closed[i] = have + 1
+            else:
+                last[i], opened[i] = t, have + 1
+        return np.array(opened, np.int32), np.array(closed, np.int32)
+
     def prefix_counts(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each prefix of 1.. bytes of all words, one word after another: its open and its closed token count; and where each word's begin."""
-        order = sorted(range(len(words)), key=lambda i: -len(words[i]))
+        order = sorted((i for i in range(len(words)) if len(words[i]) <= LONG_WORD), key=lambda i: -len(words[i]))
         length = np.array([len(words[i]) for i in order], np.int64)
         begin_of = np.zeros(len(words) + 1, np.int64)
         np.cumsum([len(w) for w in words], out=begin_of[1:])
@@ -132,6 +190,11 @@ class Vocabulary:
         n = len(values)
         last, opened, closed = np.full(n, -1, np.int32), np.zeros(n, np.int32), np.zeros(n, np.int32)
         power = tb.powers(max(self.inner.longest, self.final.longest) + 1)
+        size = np.diff(begin_of)
+        if (size > LONG_WORD).any():
+            own = np.repeat(size > LONG_WORD, size)
+            size = size[size > LONG_WORD]
+            opened[own], closed[own] = self.long_counts(values[own], np.repeat(np.cumsum(size) - size, size))
         for i in range(1, int(length[0]) + 1 if len(length) else 0):
             here = begin[: np.searchsorted(-length, -i, "right")] + i - 1  # of the words that have an i-th byte
             h = np.zeros(len(here), np.uint64)
@@ -165,9 +228,12 @@ def worker_table(path: str) -> PrefixTable:
     return PrefixTable(load_vocabulary(path))
 
 
-def normalized(text: str) -> str:
-    """NFC, then each character to lower case by itself."""
-    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+_BEYOND_LATIN = re.compile("[^\\x00-\u024f]")
+
+
+def normalized(text: str, normalizer) -> str:
+    """What the library makes of a text: NFC and lower case. Latin letters, of which none combine, need no library for that."""
+    return normalizer.normalize_str(text) if _BEYOND_LATIN.search(text) else text.lower()
 
 
 class PrefixTable:
@@ -175,7 +241,7 @@ class PrefixTable:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.codes = vocabulary, {}
-        self.counts, self.starts, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.counts, self.starts, self.lengths = tb.Growing(np.int32), tb.Growing(np.int64), tb.Growing(np.int64)
 
     def add(self, words: list[str]) -> None:
         new = [w for w in dict.fromkeys(words) if w not in self.codes]
@@ -190,27 +256,36 @@ class PrefixTable:
         whole = np.append((data[1:] & 0xC0) != 0x80, True)  # where a character ends
         self.codes.update(zip(new, range(len(self.codes), len(self.codes) + len(new))))
         chars = tb.per_doc(whole, begin)
-        self.starts = np.append(self.starts, len(self.counts) + np.cumsum(chars) - chars)
-        self.lengths = np.append(self.lengths, chars)
-        self.counts = np.append(self.counts, closed[whole])
+        self.starts.add(len(self.counts) + np.cumsum(chars) - chars)
+        self.lengths.add(chars)
+        self.counts.add(closed[whole])
 
     def of(self, pieces: tb.Pieces) -> np.ndarray:
         return np.fromiter(map(self.codes.__getitem__, pieces.distinct), np.int64, len(pieces.distinct))[pieces.codes]
 
+    def full(self, code: np.ndarray) -> np.ndarray:
+        """The counts of whole words."""
+        return self.counts.all()[self.starts.all()[code] + self.lengths.all()[code] - 1]
+
+    def prefixes(self, code: int) -> np.ndarray:
+        """The counts of one word's prefixes."""
+        first = self.starts.all()[code]
+        return self.counts.all()[first : first + self.lengths.all()[code]]
+
 
-def _cut(texts: list[str], special: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+def _cut(texts: list[str], v: Vocabulary) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Normalized stretches between special strings; of which text each is; and the count of special strings of each text."""
-    split = re.compile("|".join(map(re.escape, special))).split if special else lambda x: [x]
+    split = re.compile("|".join(map(re.escape, v.special))).split if v.special else lambda x: [x]
     parts = [split(x) for x in texts]
     size = np.array([len(p) for p in parts], np.int64)
-    return [normalized(x) for p in parts for x in p], np.repeat(np.arange(len(texts)), size), size - 1
+    return [normalized(x, v.normalizer) for p in parts for x in p], np.repeat(np.arange(len(texts)), size), size - 1
 
 
 def _prepared(column: pa.Array, v: Vocabulary, table: PrefixTable):
     """Chunks of a text column, cut, with all their words in the table."""
     out = []
     for c in tb.chunks(column):
-        texts, of, extra = _cut([c.bytes_of(i).decode() for i in range(len(c))], v.special)
+        texts, of, extra = _cut([c.bytes_of(i).decode() for i in range(len(c))], v)
         out.append((c, of, extra, tb.pieces(texts, False)))
     if len(set().union(*(p.distinct for *_, p in out))) <= TABLE_WORDS:
         table.add([w for *_, p in out for w in p.distinct])
@@ -229,7 +304,7 @@ def count(docs: DataFrame, vocabulary: str, limit: int, id_col: str = "doc_id",
         for batch in batches:
             for c, of, extra, p in _prepared(batch.column(1), v, table):
                 code = table.of(p)
-                full = table.counts[table.starts[code] + table.lengths[code] - 1] if len(code) else np.zeros(0, np.int32)
+                full = table.full(code)
                 total = np.zeros(len(full) + 1, np.int64)
                 np.cumsum(full, out=total[1:])
                 by_part = total[p.offsets[1:]] - total[p.offsets[:-1]]
@@ -257,7 +332,7 @@ def _fit(table: PrefixTable, code: np.ndarray, total: np.ndarray, offsets: np.nd
             continue
         at = int(np.searchsorted(total, limit - have + total[a], "right")) - 1  # this many words fit whole
         have += int(total[at] - total[a])
-        word = table.counts[table.starts[code[at]] : table.starts[code[at]] + table.lengths[code[at]]]
+        word = table.prefixes(code[at])
         fits = np.flatnonzero(word <= limit - have)
         return have + (int(word[fits[-1]]) if len(fits) else 0)
     return have
@@ -271,7 +346,7 @@ def prefix_table(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
         for batch in batches:
             for c, of, _, p in _prepared(batch.column(1), v, table):
                 code = table.of(p)
-                full = table.counts[table.starts[code] + table.lengths[code] - 1].tolist() if len(code) else []
+                full = table.full(code).tolist()
                 out: list[list[int]] = [[] for _ in range(len(c))]
                 for part, i in enumerate(of.tolist()):
                     if part and of[part - 1] == i:
