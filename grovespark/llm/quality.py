@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textbatch as tb
 
@@ -147,10 +148,10 @@ def apply_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     led = list(keep) or [id_col]
     names = [f"_{i}" for i in range(len(led))]
     text_at = led.index(text_col) if text_col in led else len(led)
-    schema = ", ".join(f"{n} {docs.schema[x].dataType.simpleString()}" for n, x in zip(names, led))
+    schema = T.StructType([T.StructField(n, docs.schema[x].dataType) for n, x in zip(names, led)])
     given = [F.col(x).alias(n) for n, x in zip(names, led)] + [F.col(text_col).alias("_text")]
     out = docs.select(*given[: max(len(led), text_at + 1)]).mapInArrow(
-        run, f"{schema}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, score double, kept boolean"
+        run, T.StructType([*schema, *T.StructType.fromDDL("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, score double, kept boolean")])
     )
     if as_column:
         out = out.select(*names, F.col("kept").alias(as_column))

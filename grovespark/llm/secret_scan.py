@@ -7,8 +7,9 @@ look for structure: chi-squared uniformity over that alphabet, runs above and
 below its middle, and serial correlation of neighbours; Fisher's method joins
 their p-values, and a joint one below STRUCTURED rules a candidate out. The
 rest are tested against ordinary text, whose chi-squared statistic grows with
-the length by TEXT_COLLISIONS: a candidate's p-value is the chance of text as
-even as that. Benjamini and Hochberg's procedure at rate FALSE_RATE, with
+the length by TEXT_COLLISIONS, and whose letters and digits take turns seldom
+(TEXT_CHANGES): a candidate's p-value joins the chances of text as even as that
+and as mixed as that, by Fisher's method. Benjamini and Hochberg's procedure at rate FALSE_RATE, with
 weights in proportion to length, picks the discoveries of each document (kind
 `random`). A document's spans depend on nothing but its text.
 
@@ -16,18 +17,21 @@ Starts and ends count code points; ends are exclusive.
 
 Defined cases: a null text has no spans; a null id stays null; repeated rows
 give repeated rows; an empty table gives an empty result; other columns are
-ignored; candidates that touch a pattern's span are not tested.
+ignored, or kept under their names if asked for; candidates that touch a
+pattern's span are not tested; equal p-values are taken from left to right; a
+text of any length is one unit, and no run reaches from one text into the next.
 """
 
 from __future__ import annotations
 
 import re
-from math import erf, erfc, log, sqrt
+from math import comb, erf, erfc, log, sqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textbatch as tb
 
@@ -37,6 +41,8 @@ FALSE_RATE = 0.01
 STRUCTURED = 0.001
 #: The chance that two characters of ordinary text are equal.
 TEXT_COLLISIONS = 0.066
+#: The chance that a letter of ordinary names and words follows a digit, or a digit a letter.
+TEXT_CHANGES = 0.1
 
 _ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -89,7 +95,10 @@ def battery(token: str) -> tuple[float, float]:
     ps.append(_both_sides((float((around[1:] * around[:-1]).sum()) / power + 1 / n) * sqrt(n)) if power else 0.0)
     joint = _chi_above(-2 * sum(log(max(p, 1e-300)) for p in ps), 6)
     more = n * max(k * TEXT_COLLISIONS - 1, 1.0)  # small alphabets: at least twice the collisions of chance
-    return joint, (1 + erf((chi - (k - 1) - more) / sqrt(2 * (k - 1) + 4 * more) / sqrt(2))) / 2
+    even = (1 + erf((chi - (k - 1) - more) / sqrt(2 * (k - 1) + 4 * more) / sqrt(2))) / 2
+    changes = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:]) if a.isalnum() and b.isalnum())
+    mixed = sum(comb(n - 1, j) * TEXT_CHANGES**j * (1 - TEXT_CHANGES) ** (n - 1 - j) for j in range(changes, n)) if n <= 1000 else _above((changes - (n - 1) * TEXT_CHANGES) / sqrt((n - 1) * TEXT_CHANGES * (1 - TEXT_CHANGES)))
+    return joint, _chi_above(-2 * (log(max(even, 1e-300)) + log(max(mixed, 1e-300))), 4)
 
 
 def spans_of(text: str) -> list[tuple[str, int, int]]:
@@ -111,16 +120,13 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
 
 def _worth_reading(c: tb.Chunk) -> np.ndarray:
     """Which texts of a chunk have a run of 16 or more candidate characters, or a hint of an assignment."""
-    long = np.zeros(len(c.data) + 2, np.int8)
-    long[1:-1] = _LONG[c.data]
-    edge = np.diff(long)
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    starts = starts[ends - starts >= 16]
-    out = np.diff(np.searchsorted(starts, c.offsets)) > 0
-    if len(starts):  # a run may have begun in the document before
-        out[:] |= np.isin(np.arange(len(c)), np.searchsorted(c.offsets, starts + 15, "right") - 1)
-        out[:-1] |= out[1:] & long[c.offsets[1:-1]].astype(bool)
-        out[1:] |= out[:-1] & long[c.offsets[1:-1]].astype(bool)
+    long = np.append(_LONG[c.data], False)
+    before = np.append(False, long[:-1])
+    border = np.zeros(len(long), bool)  # no run crosses from one text to the next
+    border[c.offsets] = True
+    starts, ends = np.flatnonzero(long & (~before | border)), np.flatnonzero(before & (~long | border))
+    out = np.zeros(len(c), bool)
+    out[np.searchsorted(c.offsets, starts[ends - starts >= 16], "right") - 1] = True
     for i in np.flatnonzero(~out).tolist():
         text = c.bytes_of(i).lower()
         out[i] = any(x in text for x in _HINTS)
@@ -142,9 +148,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
                 spans = [[{"kind": k, "start": a, "end": b} for k, a, b in spans_of(c.bytes_of(i).decode())] if worth[i] else [] for i in range(len(c))]
                 yield pa.RecordBatch.from_arrays([batch.column(i)[c.rows] for i in range(len(names))] + [pa.array(spans, kind)], names=[*names, "spans"])
 
-    schema = ", ".join(f"{n} {docs.schema[x].dataType.simpleString()}" for n, x in zip(names, led))
+    schema = T.StructType([T.StructField(n, docs.schema[x].dataType) for n, x in zip(names, led)])
     given = [F.col(x).alias(n) for n, x in zip(names, led)] + [F.col(text_col).alias("_text")]
-    out = docs.select(*given[: max(len(led), text_at + 1)]).mapInArrow(run, f"{schema}, spans array<struct<kind:string,start:bigint,end:bigint>>")
+    out = docs.select(*given[: max(len(led), text_at + 1)]).mapInArrow(run, T.StructType([*schema, *T.StructType.fromDDL("spans array<struct<kind:string,start:bigint,end:bigint>>")]))
     return out.withColumnRenamed("spans", as_column).withColumnsRenamed(dict(zip(names, led)))
 
 
