@@ -9,10 +9,15 @@ t_i bits, the pair would differ in more than `distance`. The thresholds come
 from dynamic programming over estimated candidate counts. A partition is probed
 with every value within t_i bits; the pairs that meet are verified on all bits.
 
+A fingerprint sends MOST_PROBES probes at most; no pair is lost by that, as the
+programme may choose more partitions with lower thresholds.
+
 Defined cases: null or wordless texts have fingerprint 0 and link like any
 other; a text of fewer words than a shingle is one shingle; repeated rows give
-repeated rows; rows without id are dropped, as they cannot name a component;
-an empty table gives an empty result; other columns are ignored.
+repeated rows; a row without id links like any other, but a component's id is
+the least of those that are not null (null if there is none); ids may be of any
+type that has an order; an empty table gives an empty result; other columns are
+ignored; a text of any length is one unit; a bit that half the hashes have is 0.
 """
 
 from __future__ import annotations
@@ -24,16 +29,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textbatch as tb
 from .components import components
-from .shared import cut
+from .shared import cut, join_counted
 
 BITS = 64
 #: What it costs to send a probe to its bucket, in comparisons.
 PROBE_COST = 3.0
 #: Fewer fingerprints are planned for as if they were so many, so that work grows in proportion up to there.
 PLANNED_FOR = 10_000_000
+MOST_PROBES = 200
+#: Bits count as if this many further fingerprints had each of them half the time: a few fingerprints say little of the others.
+PRIOR = 1_000
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -68,14 +77,15 @@ def fingerprints_of(c: tb.Chunk, size: int, seed: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, size: int, seed: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, fp) of all documents with an id; fp is the fingerprint as a signed long."""
+    """Rows (id, key, fp) of all documents; fp is the fingerprint as a signed long, key a hash of id and text."""
 
     def run(batches):
         for batch in batches:
-            for c in tb.chunks(batch.column(1)):
-                yield pa.RecordBatch.from_arrays([batch.column(0)[c.rows], pa.array(fingerprints_of(c, size, seed).view(np.int64))], names=["id", "fp"])
+            for c in tb.chunks(batch.column(2)):
+                yield pa.RecordBatch.from_arrays([batch.column(0)[c.rows], batch.column(1)[c.rows], pa.array(fingerprints_of(c, size, seed).view(np.int64))], names=["id", "key", "fp"])
 
-    return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "id long, fp long")
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("key", T.LongType()), T.StructField("fp", T.LongType())])
+    return docs.select(F.col(id_col), F.xxhash64(F.col(id_col), F.col(text_col)), F.col(text_col)).mapInArrow(run, schema)
 
 
 def _moments(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -119,10 +129,11 @@ def plan(n: int, both: np.ndarray, distance: int) -> list[tuple[list[int], int]]
     The bits of two fingerprints are taken to differ independently, each as
     often as its share says; that estimates how many pairs meet in a partition.
     """
-    share = np.diag(both) / max(n, 1)
+    both = (both + PRIOR * (0.25 + 0.25 * np.eye(BITS))) / (n + PRIOR)
+    share = np.diag(both)
     planned = float(max(n, PLANNED_FOR))
     spread = np.sqrt(np.maximum(share * (1 - share), 1e-9))
-    correlation = np.abs((both / max(n, 1) - np.outer(share, share)) / np.outer(spread, spread))
+    correlation = np.abs((both - np.outer(share, share)) / np.outer(spread, spread))
     best = None
     for parts in range(2, distance + 2):
         dealt = _dealt(correlation, parts)
@@ -132,19 +143,21 @@ def plan(n: int, both: np.ndarray, distance: int) -> list[tuple[list[int], int]]
             for i in own:
                 d = 2 * share[i] * (1 - share[i])
                 differ = np.append(differ, 0) * (1 - d) + np.append(0, differ) * d
-            cost.append([0.0] + [planned * planned * differ[: t + 1].sum() + PROBE_COST * planned * (1 + sum(comb(len(own), k) for k in range(t + 1))) for t in range(distance + 1)])
-        table = {0: (0.0, [])}  # least cost by sum(t_i + 1) so far
+            flips = [sum(comb(len(own), k) for k in range(t + 1)) for t in range(distance + 1)]
+            met = [planned * planned * differ[: t + 1].sum() for t in range(distance + 1)]
+            cost.append([(0.0, 0)] + [(m + PROBE_COST * planned * (1 + f), f) for m, f in zip(met, flips)])
+        table = {(0, 0): (0.0, [])}  # least cost by sum(t_i + 1) and probes so far
         for row in cost:
             new = {}
-            for have, (c, chosen) in table.items():
-                for t in range(-1, distance + 1):
-                    k = have + t + 1
-                    if k <= distance + 1 and (k not in new or c + row[t + 1] < new[k][0]):
-                        new[k] = c + row[t + 1], [*chosen, t]
+            for (have, probes), (c, chosen) in table.items():
+                for t, (own, f) in enumerate(row, -1):
+                    at = have + t + 1, probes + f
+                    if at[0] <= distance + 1 and at[1] <= MOST_PROBES and (at not in new or c + own < new[at][0]):
+                        new[at] = c + own, [*chosen, t]
             table = new
-        c, chosen = table[distance + 1]
-        if best is None or c < best[0]:
-            best = c, list(zip(dealt, chosen))
+        for (have, _), (c, chosen) in table.items():
+            if have == distance + 1 and (best is None or c < best[0]):
+                best = c, list(zip(dealt, chosen))
     return best[1]
 
 
@@ -155,28 +168,46 @@ def _signed(x: int) -> int:
 def links(fps: DataFrame, distance: int) -> DataFrame:
     """Rows (a, b): the pairs of different fingerprints that differ in at most `distance` bits. fps: distinct, column fp."""
     n, both = _moments(fps)
-    probes, kept = [], []
+    held, asked = [], []  # (part, mask), and (part, mask, bits to flip)
     for k, (own, t) in enumerate(plan(n, both, distance)):
-        if t < 0:
-            continue
-        mask = _signed(sum(1 << i for i in own))
-        flips = [_signed(sum(1 << i for i in x)) for size in range(t + 1) for x in combinations(own, size)]
-        key = F.col("fp").bitwiseAND(F.lit(mask))
-        kept.append(F.struct(F.lit(k).alias("part"), key.alias("key")))
-        probes += [F.struct(F.lit(k).alias("part"), key.bitwiseXOR(F.lit(x)).alias("key")) for x in flips]
-    held = fps.select(F.col("fp").alias("a"), F.inline(F.array(*kept)))
-    asked = fps.select(F.col("fp").alias("b"), F.inline(F.array(*probes)))
+        if t >= 0:
+            mask = _signed(sum(1 << i for i in own))
+            held.append((k, mask, 0))
+            asked += [(k, mask, _signed(sum(1 << i for i in x))) for size in range(t + 1) for x in combinations(own, size)]
+
+    def keyed(rows: list[tuple[int, int, int]], name: str) -> DataFrame:
+        """A row for each of `rows` and fingerprint; MOST_PROBES of a fingerprint at most."""
+        listed = F.array(*(F.struct(F.lit(p).alias("part"), F.lit(m).cast("long").alias("mask"), F.lit(x).cast("long").alias("flip")) for p, m, x in rows))
+        return fps.select(F.col("fp").alias(name), F.inline(listed)).select(name, "part", F.col(name).bitwiseAND(F.col("mask")).bitwiseXOR(F.col("flip")).alias("key"))
+
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    met = held.join(asked, (held.part == asked.part) & (held.key == asked.key) & (F.col("a") < F.col("b")) & near)
-    return met.select("a", "b").distinct()
+    return keyed(held, "a").join(keyed(asked, "b"), ["part", "key"]).where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = 4, distance: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, fp, component_id) of all documents with an id: component_id is the least id that links reach."""
+def assigned(docs: DataFrame, size: int = 4, distance: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (id, key, fp, root, component_id, total) of all documents: the least fingerprint and the least id that links reach, and how many documents the component has."""
     rows = cut(fingerprints(docs, size, seed, id_col, text_col))
-    groups = cut(rows.groupBy("fp").agg(F.min("id").alias("least_id")))
-    found = cut(components(links(groups, distance)).select(F.col("node").alias("fp"), F.col("least").alias("root")))
-    own = groups.join(found, "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    least = own.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_fp = own.join(least, "root").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    groups = cut(rows.groupBy("fp").agg(F.min("id").alias("least_id"), F.count("*").alias("n")))
+    found = components(links(groups.select("fp"), distance)).select(F.col("node").alias("fp"), F.col("least").alias("root"))
+    own = cut(groups.join(found, "fp", "left").select("fp", "least_id", "n", F.coalesce("root", "fp").alias("root")))
+    least = own.groupBy("root").agg(F.min("least_id").alias("component_id"), F.sum("n").alias("total"), F.count("*").alias("fps"))
+    by_fp = join_counted(own, least, ["root"], "fps").select("fp", "root", "component_id", "total", "n")
+    return join_counted(rows, by_fp, ["fp"], "n")
+
+
+def near_duplicates(docs: DataFrame, size: int = 4, distance: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (id, fp, component_id) of all documents: component_id is the least id that links reach."""
+    return assigned(docs, size, distance, seed, id_col, text_col).select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def losers(docs: DataFrame, size: int = 4, distance: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """What to drop so that each component keeps one document, as two tables of rows (id, key), key being a hash of id and text.
+
+    A component keeps the document with the least id (one without id only if none has one), of equal ids the one with the
+    least key. The first table has all other documents; the second those to keep of which there are several equal rows.
+    """
+    several = cut(assigned(docs, size, distance, seed, id_col, text_col).where("total > 1").select("id", "key", "root", "component_id", "total"))
+    first = several.where("id <=> component_id").groupBy("root").agg(F.min("key").alias("kept"), F.first("total").alias("n"))
+    marked = join_counted(several, first, ["root"], "n").select("id", "key", ((F.col("key") == F.col("kept")) & F.col("id").eqNullSafe(F.col("component_id"))).alias("keep"))
+    counted = cut(marked.groupBy("id", "key", "keep").count())
+    return counted.where("NOT keep").select("id", "key"), counted.where("keep AND count > 1").select("id", "key")
