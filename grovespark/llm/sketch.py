@@ -1,8 +1,9 @@
 """Sketches of hashes: made by each partition, merged by Spark, then small enough to broadcast.
 
 A sketch has `depth` rows of 2 ** bits cells, kept as sorted cell numbers in
-blocks of 2 ** 20 cells. Counts stop at 2, as nothing above matters here.
-Merging goes in two steps, so no task gets a block's share of every partition.
+blocks of 2 ** BLOCK cells. Counts stop at 2, as nothing above matters here.
+Sketches are merged FAN_IN at a time, in as many rounds as that takes, so a
+group never holds more than FAN_IN blocks, whatever the number of partitions.
 What is collected is one bit a cell: depth * 2 ** bits / 8 bytes, whatever the
 input. More hashes than cells only make more estimates too high; none is ever
 too low.
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from . import textbatch as tb
 
-BLOCK = 20
-SALTS = 4
+BLOCK = 18
+FAN_IN = 32
 
 
 def cells_of(h: np.ndarray, bits: int, row: int) -> np.ndarray:
@@ -67,11 +68,12 @@ def partition_sketch(hashes: Iterable[np.ndarray], bits: int, depth: int) -> Ite
 
 def bitmap(parts: DataFrame, bits: int, depth: int, least: int) -> np.ndarray:
     """The merged sketch as bits (depth x 2 ** bits / 8 bytes): set where the count is `least` (1 or 2) or more. parts: (block, cells)."""
+    partitions = parts.rdd.getNumPartitions()
     width = 1 << min(BLOCK, bits)
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         cells = _twice(np.concatenate([_unpacked(x) for x in group["cells"]]))
-        return pd.DataFrame({"block": group["block"].iloc[:1], "cells": [_packed(cells)]})
+        return pd.DataFrame({"block": group["block"].iloc[:1], "cells": [_packed(cells)], "part": group["part"].iloc[:1]})
 
     def finish(group: pd.DataFrame) -> pd.DataFrame:
         cells = _twice(np.concatenate([_unpacked(x) for x in group["cells"]]))
@@ -81,11 +83,11 @@ def bitmap(parts: DataFrame, bits: int, depth: int, least: int) -> np.ndarray:
         flags[cells] = True
         return pd.DataFrame({"block": group["block"].iloc[:1], "bits": [np.packbits(flags).tobytes()]})
 
-    rows = (
-        parts.withColumn("salt", F.spark_partition_id() % SALTS)
-        .groupBy("block", "salt").applyInPandas(merge, "block long, cells binary")
-        .groupBy("block").applyInPandas(finish, "block long, bits binary")
-    )
+    rows, n = parts.withColumn("part", F.spark_partition_id()), partitions
+    while n > FAN_IN:
+        n = -(-n // FAN_IN)
+        rows = rows.withColumn("part", F.col("part") % n).groupBy("block", "part").applyInPandas(merge, "block long, cells binary, part int")
+    rows = rows.groupBy("block").applyInPandas(finish, "block long, bits binary")
     out = np.zeros((depth, (1 << bits) // 8), np.uint8)
     for block, raw in rows.toLocalIterator():
         at = (block & 0xFFFFFF) * (width // 8)

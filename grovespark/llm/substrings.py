@@ -14,11 +14,14 @@
 
 A document is known by its id and a hash of id and text, so null and repeated
 ids do no harm: rows that agree in both have the same text and the same spans.
+Hashes that very many rows share are joined by broadcast (a bounded number of
+them), so no task gets all rows of one.
 
 Defined cases: a null text has no words; a null id stays null; repeated rows
 are copies of each other, and so lose whole windows; texts shorter than a
 window keep all words; an empty table gives an empty result; other columns are
-ignored.
+ignored; a text of any length is read whole; of equal least sequences in a
+window the leftmost is its anchor.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import sketch
 from . import textbatch as tb
-from .shared import cut
+from .shared import cut, join_counted
 
 GRAM = 16
 SKETCH_BITS, SKETCH_DEPTH = 26, 2
@@ -133,8 +136,8 @@ def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
 
     found = cut(docs.mapInArrow(runs, f"_id {id_type}, _key long, start int, size int, one long, two long"))
     place = F.struct("_key", "start")
-    same = found.groupBy("one", "two").agg(F.count("*").alias("n"), F.min(place).alias("example"))
-    marked = cut(found.join(same, ["one", "two"]).select("_id", "_key", "start", "size", (F.col("n") > 1).alias("settled"), (place == F.col("example")).alias("example")))
+    same = cut(found.groupBy("one", "two").agg(F.count("*").alias("n"), F.min(place).alias("example")).withColumn("rows", F.col("n")))
+    marked = cut(join_counted(found, same, ["one", "two"], "rows").select("_id", "_key", "start", "size", (F.col("n") > 1).alias("settled"), (place == F.col("example")).alias("example")))
     settled = marked.where("settled").select("_id", "_key", "start", "size")
 
     wanted = sketch.sketched(
@@ -162,8 +165,8 @@ def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
                 )
 
     loose = cut(docs.mapInArrow(windows, f"_id {id_type}, _key long, start int, one long, two long"))
-    twice = loose.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
-    edges = loose.join(twice, ["one", "two"]).select("_id", "_key", "start", F.lit(1).alias("size"))
+    twice = cut(loose.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1"))
+    edges = join_counted(loose, twice, ["one", "two"], "n").select("_id", "_key", "start", F.lit(1).alias("size"))
     return settled.unionByName(edges)
 
 
@@ -172,7 +175,7 @@ def removed(docs: DataFrame, spans: DataFrame, window: int, id_col: str) -> Data
 
     spans: (_id, _key, start, size) of windows; docs: as keyed().
     """
-    by_doc = spans.groupBy("_id", "_key").agg(F.collect_list(F.struct("start", "size")).alias("_spans"))
+    by_doc = spans.groupBy("_id", "_key").agg(F.collect_set(F.struct("start", "size")).alias("_spans"))  # equal rows have equal spans: once each, so a document's length bounds it
     d, s = docs.alias("d"), by_doc.alias("s")
     both = d.join(s, F.col("d._id").eqNullSafe(F.col("s._id")) & (F.col("d._key") == F.col("s._key")), "left").select("d._id", "d._text", "s._spans")
     id_type = docs.schema["_id"].dataType.simpleString()
