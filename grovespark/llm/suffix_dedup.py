@@ -19,13 +19,17 @@ MATCH words from it on and of the words before it that a match can need.
    windows of MATCH words are grouped exactly by a 128-bit hash and their place
    around the suffix. No suffix shares more words to the right with any other
    than with one next to it in the order, so only windows that need no more
-   words to the right than that are hashed.
+   words to the right than that are hashed, and only those whose minimiser the
+   suffix is. A suffix asks for those that would reach further than its
+   neighbours did; a bitmap of what is asked for drops most of the others
+   before they are grouped.
 
 A long passage has many minimisers, whose matches together cover it. All copies
 of a passage are marked, wherever the partitions' borders fall.
 
 Defined cases: as in `substrings`: null texts have no words, repeated rows are
-copies of each other, rows are known by id and a hash of id and text.
+copies of each other, rows are known by id and a hash of id and text, texts of
+any length are read whole, and of equal least sequences the leftmost counts.
 """
 
 from __future__ import annotations
@@ -39,7 +43,7 @@ from pyspark.sql import functions as F
 
 from . import sketch
 from . import textbatch as tb
-from .shared import cut
+from .shared import cut, join_counted
 from .substrings import GRAM, PLACE_BITS, SKETCH_BITS, SKETCH_DEPTH, anchors, keyed, place_hash, removed
 
 MATCH = 50
@@ -59,12 +63,15 @@ class Suffixes:
         g, at = anchors(h, gram, self.before + 1)
         n = max(len(h) - match + 1, 0)
         ok = np.flatnonzero(tb.whole_windows(self.words.offsets, match, n))
-        self.at = np.unique(at[ok])
+        self.at, first, size = np.unique(at[ok], return_index=True, return_counts=True)
+        self.most = (self.at - ok[first]).astype(np.int32)  # words before the minimiser in the first and the last window that has it
+        self.least = self.most - size.astype(np.int32) + 1
         self.anchor = g[self.at]
         self.doc = np.searchsorted(self.words.offsets, self.at, "right") - 1
 
     def take(self, keep: np.ndarray) -> None:
-        self.at, self.anchor, self.doc = self.at[keep], self.anchor[keep], self.doc[keep]
+        for x in ("at", "anchor", "doc", "least", "most"):
+            setattr(self, x, getattr(self, x)[keep])
 
     def inner(self) -> np.ndarray:
         """The minimisers' words, counted from their document's first."""
@@ -122,31 +129,33 @@ def extents(right: list[bytes], left: list[bytes], match: int) -> tuple[np.ndarr
     return lefts, rights
 
 
-def left_open(right: list[bytes], left: list[bytes], match: int, own: slice, first: bool, final: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of `match` words that neighbours do not settle: the suffix each is around, its words before the suffix, two hashes.
+def left_open(right: list[bytes], left: list[bytes], match: int, own: slice, first: bool, final: bool, lefts: np.ndarray, rights: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Windows of `match` words that neighbours do not settle: the suffix each is around, its words before the suffix, two hashes, whether it would reach further.
 
     The suffixes are sorted; only those in `own` are asked for, and NEAR + 1 more stand on either side but at the
-    partition's borders. first, final: whether the first and the last one are next to a border.
+    partition's borders. first, final: whether the first and the last one are next to a border. lefts, rights: what
+    neighbours reached. least, most: the words before the suffix in the windows whose minimiser it is.
     """
     r, le = (np.frombuffer(b"".join(x), ">u4").reshape(len(right), -1) for x in (right, left))
     gram, before = min(GRAM, match), le.shape[1]
     shared = _shared(r[1:], r[:-1])
-    most = np.maximum(np.append(match if first else 0, shared), np.append(shared, match if final else 0))
-    most = np.minimum(most, (r != 0).sum(1))
+    common = np.maximum(np.append(match if first else 0, shared), np.append(shared, match if final else 0))
+    common = np.minimum(common, (r != 0).sum(1))
     group = np.cumsum(np.append(0, shared < gram))
     many = np.bincount(group) > NEAR + 1
     many[group[0]] |= first
     many[group[-1]] |= final
     at = np.arange(len(r))[own]
     at = at[many[group[at]]]
-    low = match - most[at]
-    n = np.maximum((le[at] != 0).sum(1) - low + 1, 0)
+    low = np.maximum(match - common[at], least[at])
+    n = np.maximum(np.minimum((le[at] != 0).sum(1), most[at]) - low + 1, 0)
     at, low, n = at[n > 0], low[n > 0], n[n > 0]
     k = np.repeat(low, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
     words = np.concatenate([le[at][:, ::-1], r[at]], 1).astype(np.uint64)
     start = np.repeat(np.arange(len(at)) * words.shape[1] + before, n) - k
     one, two = (tb.ngram_hashes(tb.mixed(words.ravel() + np.uint64(seed)), match)[start] if len(at) else np.zeros(0, np.uint64) for seed in (1 << 32, 1 << 33))
-    return np.repeat(at, n), k.astype(np.int32), one, two
+    row = np.repeat(at, n)
+    return row, k.astype(np.int32), tb.joined(one, k.astype(np.uint64)), tb.joined(two, k.astype(np.uint64)), (k > lefts[row]) | (match - k > rights[row])
 
 
 def matches(docs: DataFrame, match: int) -> DataFrame:
@@ -176,8 +185,8 @@ def matches(docs: DataFrame, match: int) -> DataFrame:
 
     found = cut(docs.mapInArrow(found_in, f"_id {id_type}, _key long, at int, lefts int, rights int, one long, two long"))
     place = F.struct("_key", "at")
-    same = found.groupBy("one", "two").agg(F.count("*").alias("n"), F.min(place).alias("example"))
-    marked = cut(found.join(same, ["one", "two"]).withColumns({"settled": F.col("n") > 1, "example": place == F.col("example")}))
+    same = cut(found.groupBy("one", "two").agg(F.count("*").alias("n"), F.min(place).alias("example")).withColumn("rows", F.col("n")))
+    marked = cut(join_counted(found, same, ["one", "two"], "rows").withColumns({"settled": F.col("n") > 1, "example": place == F.col("example")}))
     examples = sketch.sketched(
         marked.where("example").select("_key", "at"), lambda b: iter([place_hash(np.array(b.column(0)), np.array(b.column(1)))]), PLACE_BITS, 1, 1
     )
@@ -192,14 +201,14 @@ def matches(docs: DataFrame, match: int) -> DataFrame:
                 if len(s.at):
                     right, left = s.around()
                     h = [x.view(np.int64) for x in s.hashes(right, left)]
-                    yield pa.RecordBatch.from_arrays([pa.array(h[0]), pa.array(h[1]), _fixed(right), _fixed(left)], names=["one", "two", "right", "left"])
+                    yield pa.RecordBatch.from_arrays([pa.array(h[0]), pa.array(h[1]), _fixed(right), _fixed(left), pa.array(s.least), pa.array(s.most)], names=["one", "two", "right", "left", "least", "most"])
 
     def compare(batches):
         rows, done, first = [], 0, True  # done: of the rows held, those that are only there for the ones after them
         for b in chain(batches, [None]):
             final = b is None
             if not final:
-                rows += zip(*(b.column(i).to_pylist() for i in range(4)))
+                rows += zip(*(b.column(i).to_pylist() for i in range(6)))
             upto = len(rows) if final else len(rows) - NEAR - 1
             if upto <= done:
                 continue
@@ -207,29 +216,40 @@ def matches(docs: DataFrame, match: int) -> DataFrame:
             lefts, rights = extents(right, left, match)
             hit = np.flatnonzero(lefts + rights >= match)
             yield _reached([rows[i] for i in hit], lefts[hit], rights[hit])
-            at, k, *h = left_open(right, left, match, slice(done, upto), first, final)
-            yield _reached([rows[i] for i in at], k, match - k, *h)
+            least, most = (np.array([x[i] for x in rows]) for i in (4, 5))
+            at, k, *window = left_open(right, left, match, slice(done, upto), first, final, lefts, rights, least, most)
+            yield _reached([rows[i] for i in at], k, match - k, *window)
             gone = max(0, upto - NEAR - 1)
             rows, done, first = rows[gone:], upto - gone, first and not gone
 
-    ordered = docs.mapInArrow(suffixes, "one long, two long, right binary, left binary").repartitionByRange("right", "left").sortWithinPartitions("right", "left", "one", "two")
-    reached = cut(ordered.mapInArrow(compare, "one long, two long, lefts int, rights int, window long, window_too long"))
-    window = ["window", "window_too", "lefts"]
+    ordered = docs.mapInArrow(suffixes, "one long, two long, right binary, left binary, least int, most int").repartitionByRange("right", "left").sortWithinPartitions("right", "left", "one", "two")
+    reached = cut(ordered.mapInArrow(compare, "one long, two long, lefts int, rights int, window long, window_too long, asked boolean"))
     by_neighbour = reached.where("window IS NULL").select("one", "two", "lefts", "rights")
-    loose = reached.where("window IS NOT NULL")
-    twice = loose.groupBy(*window).agg(F.count("*").alias("n")).where("n > 1").select(*window)
-    by_window = loose.join(twice, window).select("one", "two", "lefts", "rights")
+    asked = reached.where("asked")
+    hashes = lambda b: iter([np.array(b.column(0)).view(np.uint64)])
+    sought = spark.sparkContext.broadcast(sketch.sketched(asked.select("window"), hashes, PLACE_BITS, 1, 1))  # 2 ** PLACE_BITS / 8 bytes
+
+    def met(batches):
+        for b in batches:
+            yield b.filter(pa.array(sketch.present(sought.value, np.array(b.column(0)).view(np.uint64), PLACE_BITS)))
+
+    window = ["window", "window_too"]
+    loose = reached.where("window IS NOT NULL").select(*window).mapInArrow(met, "window long, window_too long")
+    twice = cut(loose.groupBy(*window).agg(F.count("*").alias("n")).where("n > 1"))
+    by_window = join_counted(asked.select(*window, "one", "two", "lefts", "rights"), twice, window, "n").select("one", "two", "lefts", "rights")
     reach = by_neighbour.union(by_window).groupBy("one", "two").agg(F.max("lefts").alias("lefts"), F.max("rights").alias("rights"))
+    reach = cut(reach.join(same.select("one", "two", "rows"), ["one", "two"]))
     own = marked.where(F.col("settled") & (F.col("lefts") + F.col("rights") >= match)).select("_id", "_key", "at", "lefts", "rights")
-    other = marked.select("_id", "_key", "at", "one", "two").join(reach, ["one", "two"]).select("_id", "_key", "at", "lefts", "rights")
+    other = join_counted(marked.select("_id", "_key", "at", "one", "two"), reach, ["one", "two"], "rows").select("_id", "_key", "at", "lefts", "rights")
     return own.union(other).select("_id", "_key", (F.col("at") - F.col("lefts")).alias("start"), (F.col("lefts") + F.col("rights") - match + 1).alias("size"))
 
 
 def _reached(rows: list[tuple], lefts: np.ndarray, rights: np.ndarray, *window: np.ndarray) -> pa.RecordBatch:
-    hashes = [pa.array(x.view(np.int64)) for x in window] or [pa.nulls(len(rows), pa.int64())] * 2
+    hashes = [pa.array(x.view(np.int64)) for x in window[:2]] or [pa.nulls(len(rows), pa.int64())] * 2
+    asked = pa.array(window[2]) if window else pa.nulls(len(rows), pa.bool_())
     return pa.RecordBatch.from_arrays(
-        [pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.int64()), pa.array(lefts, pa.int32()), pa.array(rights, pa.int32()), *hashes],
-        names=["one", "two", "lefts", "rights", "window", "window_too"],
+        [pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.int64()), pa.array(lefts, pa.int32()), pa.array(rights, pa.int32()), *hashes, asked],
+        names=["one", "two", "lefts", "rights", "window", "window_too", "asked"],
     )
 
 
