@@ -10,7 +10,9 @@ index of item sketches. Pairs that meet are verified on the shingles
 themselves.
 
 The index goes to all workers if it has at most `broadcast_rows` rows (it is
-counted), else both sides are shuffled; likewise the pairs to verify.
+counted), else both sides are shuffled; likewise the pairs to verify and the
+items, whose bytes are counted too. Documents are known by id and a hash of id
+and text.
 
 Words are runs of letters and digits in lower case. Shingles are SHINGLE words;
 a text of fewer words is one shingle, and is looked for at its own length.
@@ -18,7 +20,8 @@ a text of fewer words is one shingle, and is looked for at its own length.
 Defined cases: null texts and texts without words have no shingles and match
 nothing; a null id stays null; repeated rows give repeated pairs for documents
 and one pair for items; rows of items without id are dropped; empty tables
-give an empty result; other columns are ignored.
+give an empty result; other columns are ignored; texts of any length are
+searched whole; shingles of equal hash are told apart by the verification.
 """
 
 from __future__ import annotations
@@ -46,8 +49,8 @@ def shingles(items: Column, size: int) -> Column:
 
 
 def shingle_hashes(hashes: Column, size: int) -> Column:
-    """A hash of each run of `size` words from the words' hashes."""
-    return _windows(hashes, size, lambda i: F.xxhash64(*(F.get(hashes, i + (k - 1)) for k in range(size))))
+    """A hash of each run of `size` words from the words' hashes; of other sizes other hashes."""
+    return _windows(hashes, size, lambda i: F.xxhash64(F.lit(size), *(F.get(hashes, i + (k - 1)) for k in range(size))))
 
 
 def item_sketches(benchmark: DataFrame, share: float, id_col: str, text_col: str) -> DataFrame:
@@ -69,26 +72,30 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
+def _met(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """rows joined with keys on (_id, _key); null ids are equal."""
+    r, k = rows.alias("r"), keys.withColumnsRenamed({"_id": "_id_k", "_key": "_key_k"})
+    out = r.join(k, (F.col("r._key") == F.col("_key_k")) & F.col("r._id").eqNullSafe(F.col("_id_k")), how)
+    return out.drop("_id_k", "_key_k")
+
+
 def contained(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Rows (id, item, n_shingles, n_shared, row_key): documents that hold at least `share` of an item's shingles."""
     items = cut(item_sketches(benchmark, share, item_col, item_text_col))
-    index = items.select("item", "width", F.explode("sketch").alias("h")).groupBy("h", "width").agg(F.collect_set("item").alias("items"))
-    widths = sorted(r.width for r in items.select("width").distinct().collect())  # SHINGLE values at most
+    index = items.select("item", F.explode("sketch").alias("h")).distinct()
+    widths = sorted(r.width for r in items.select("width").distinct().collect()) or [SHINGLE]  # SHINGLE values at most
 
     rows = docs.select(F.col(id_col).alias("_id"), row_key(id_col, text_col).alias("_key"), F.col(text_col).alias("_text"))
-    hashed = rows.select("_key", F.transform(words(F.col("_text")), lambda x: F.xxhash64(x)).alias("hs"))
-    probes = None
-    for width in widths:
-        one = hashed.select("_key", F.lit(width).alias("width"), F.explode(shingle_hashes(F.col("hs"), width)).alias("h"))
-        probes = one if probes is None else probes.unionByName(one)
-    if probes is None:
-        probes = hashed.select("_key", F.lit(0).alias("width"), F.lit(0).cast("long").alias("h")).limit(0)
-    pairs = cut(probes.join(small(index, broadcast_rows), ["h", "width"]).select("_key", F.explode("items").alias("item")).distinct())
-
-    held = small(pairs, broadcast_rows)
-    asked = rows.join(small(pairs.select("_key").distinct(), broadcast_rows), "_key", "left_semi").select("_id", "_key", words(F.col("_text")).alias("w"))
-    by_width = F.map_from_arrays(F.array(*(F.lit(k) for k in widths or [0])), F.array(*(F.coalesce(shingles(F.col("w"), k), F.array().cast("array<string>")) for k in widths or [SHINGLE])))
-    met = asked.select("_id", "_key", by_width.alias("own")).join(held, "_key").join(small(items.select("item", "width", "shingles"), broadcast_rows), "item")
+    hashed = rows.select("_id", "_key", F.transform(words(F.col("_text")), lambda x: F.xxhash64(x)).alias("hs"))
+    own = [shingle_hashes(F.col("hs"), k) for k in widths]
+    none = F.array().cast("array<bigint>")
+    probes = hashed.select("_id", "_key", F.explode(own[0] if len(own) == 1 else F.concat(*(F.coalesce(x, none) for x in own))).alias("h"))
+    pairs = cut(probes.join(small(index, broadcast_rows), "h").select("_id", "_key", "item").distinct())
+
+    by_width = F.map_from_arrays(F.array(*(F.lit(k) for k in widths)), F.array(*(F.coalesce(shingles(F.col("w"), k), F.array().cast("array<string>")) for k in widths)))
+    asked = _met(rows, small(pairs.select("_id", "_key").distinct(), broadcast_rows), "left_semi").select("_id", "_key", words(F.col("_text")).alias("w"))
+    whole = items.select("item", "width", "shingles")
+    met = _met(asked.select("_id", "_key", by_width.alias("own")), small(pairs, broadcast_rows), "inner").join(small(whole, broadcast_rows, F.octet_length(F.array_join("shingles", ""))), "item")
     return (
         met.select(F.col("_id").alias(id_col), F.col("item").alias(item_col), F.size("shingles").cast("long").alias("n_shingles"), F.size(F.array_intersect("shingles", F.get(F.map_values("own"), F.array_position(F.map_keys("own"), F.col("width")).cast("int") - 1))).cast("long").alias("n_shared"), F.col("_key").alias("row_key"))
         .where(F.col("n_shared") >= F.ceil(F.col("n_shingles") * share - 1e-9))
