@@ -2,9 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next one's docs. All but the last return the
-columns of documents. Null ids, null texts, repeated rows, empty tables and
-further columns are as in the operators' docstrings; documents without an id
-cannot be named in a group of near copies and pass that stage.
+columns of documents. Null ids and texts, very long texts, ties, repeated rows,
+empty tables and further columns are as in the operators' docstrings.
 """
 
 from __future__ import annotations
@@ -27,6 +26,13 @@ def _free(name: str, docs: DataFrame) -> str:
     return name
 
 
+def _met(rows: DataFrame, own: str, keys: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join of rows, whose column `own` is their key, with (id, key); null ids are equal."""
+    i, k = _free("_id", rows), _free("_key", rows)
+    named = keys.select(F.col("id").alias(i), F.col("key").alias(k))
+    return rows.join(named, (F.col(own) == F.col(k)) & F.col("doc_id").eqNullSafe(F.col(i)), how)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -36,22 +42,26 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least id stays, once."""
-    near = cut(simhash.near_duplicates(docs).select("doc_id", "component_id"))
-    losers = near.where("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(small(losers), "doc_id", "left_anti").select(*docs.columns)
-    repeated = near.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return kept
-    again = small(repeated)
-    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).union(kept.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"]))
+    """Of each group of near copies one document stays, once: that with the least id, of equal ids that with the least hash of id and text."""
+    own = _free("_own", docs)
+    rows = docs.withColumn(own, decontaminate.row_key("doc_id", "text"))
+
+    def named(keys: DataFrame, how: str) -> DataFrame:
+        return _met(rows, own, small(keys), how)
+
+    gone, several = simhash.losers(docs)
+    if several.isEmpty():
+        return named(gone, "left_anti").select(*docs.columns)
+    once = named(several, "left_semi").dropDuplicates(["doc_id", own])
+    return named(gone.union(several), "left_anti").union(once).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     found = decontaminate.contained(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    keys = cut(found.select("row_key").distinct())
-    return docs.join(small(keys), decontaminate.row_key("doc_id", "text") == keys.row_key, "left_anti").select(*docs.columns)
+    keys = cut(found.select(F.col("doc_id").alias("id"), F.col("row_key").alias("key")).distinct())
+    own = _free("_own", docs)
+    return _met(docs.withColumn(own, decontaminate.row_key("doc_id", "text")), own, small(keys), "left_anti").select(*docs.columns)
 
 
 def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
