@@ -1,55 +1,69 @@
 """Language-model scores from a log-frequency Bloom filter, beside exact add-one unigram scores.
 
-Learning. Each partition counts the hashes of its training unigrams and
-bigrams and sends them on sorted, as differences; Spark groups them by bucket
-and adds the counts up. A count c is quantised to level 1 + floor(log c / log
-LOG_BASE); the filter holds the pairs (n-gram, 1) .. (n-gram, level). Each
-bucket fills its own slice, so the filter is built in parallel. Bigrams seen
-once are left to smoothing. The filter takes BITS_EACH bits for each pair,
-rounded up to a power of two, and MOST_BITS at most; a corpus that outgrows
-that gets more false answers, not less coverage.
+Learning. Each partition counts the hashes of its training n-grams (one to
+ORDERS words) and sends them on sorted, as differences; Spark groups them by
+bucket and adds the counts up. There is a bucket for every BUCKET_BYTES of
+text, so buckets do not grow with the corpus. A count is quantised to the
+number of THRESHOLDS that it reaches; the filter holds the pairs (n-gram, 1) ..
+(n-gram, level) of every n-gram of the training texts, BITS_EACH bits for each
+pair, and so grows with the corpus. All pairs of an n-gram lie in one block of
+512 bits of its bucket's slice, each pair in one 64-bit word.
 
 Scoring. An n-gram's level is found by probing (n-gram, 1), (n-gram, 2), ...
-until one is absent. With q(level) the least count of a level,
+until one is absent. With q the least and C the greatest count of a level,
 
-    P1(w)   = (q(w) + 1) / (sum of q over the vocabulary + V + 1)
-    P(w|u)  = WEIGHT * q(u w) / count above u's level + (1 - WEIGHT) * P1(w)
+    P1(w)     = (q(w) + 1) / (sum of q over the vocabulary + V + 1)
+    P(w|u)    = WEIGHTS[2] * (q(u w) - DISCOUNT) / C(u) + (1 - WEIGHTS[2]) * P1(w)
+    P(w|t,u)  = WEIGHTS[3] * (q(t u w) - DISCOUNT) / C(t u) + (1 - WEIGHTS[3]) * P(w|u)
 
-The exact unigram counts for the base score: words among the FREQUENT most
-frequent come from a broadcast table of that bound, all others by a join.
+where a context that was never seen leaves all weight to the shorter one.
+
+The filter is broadcast if it has at most BROADCAST_BYTES. A larger one stays a
+table of slices: every chunk of about a megabyte of text sends its distinct
+n-grams to their slices and gets the levels back, so the scores are the same.
+
+The exact unigram counts for the base score: words whose count lies above a
+limit, FREQUENT of them at most, come from a broadcast table; all others by a
+join.
 
 Tokens are words in lower case (A-Z only), then one end token per text.
 
 Defined cases: a null text is only an end token; a null id counts as the empty
 string for the fold and stays null; repeated rows count as often as they occur;
 an empty table gives an empty result; with no training text N and V are 0;
-other columns are ignored.
+other columns are ignored; a text of any length is one unit; there are no ties.
 """
 
 from __future__ import annotations
 
-from math import ceil, log, log2
+import os
+from math import ceil, log2
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textbatch as tb
 from .shared import cut
 
 FOLDS, HELD_OUT = 7, 2
+ORDERS = 3
 LOG_BASE = 1.4
-WEIGHT = 0.15
-PROBES = 4
+WEIGHTS = {2: 0.5, 3: 0.6}
+DISCOUNT = 0.75
 BITS_EACH = 12
-MOST_BITS = 1 << 31
-BUCKETS = 256
+BLOCK_BITS, PROBES = 512, 4
+BUCKET_BYTES = 2 << 20
+BROADCAST_BYTES = 256 << 20
 FREQUENT = 500_000
-LEAST = {1: 1, 2: 2}
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
-_KEPT = 40  # bits of an n-gram's hash
+#: Bits of an n-gram's hash; a word's hash keeps all 64, as the exact counts go by it.
+KEPT = 48
+#: The least count of each level: whole numbers that grow by LOG_BASE.
+THRESHOLDS = np.unique(np.ceil(LOG_BASE ** np.arange(125) - 1e-9)).astype(np.int64)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -64,23 +78,36 @@ class Tokens:
         self.h = np.insert(tb.word_hashes(c, w, lower=True), w.offsets[1:], END)
         self.offsets = w.offsets + np.arange(len(w.offsets))
 
-    def grams(self, order: int) -> np.ndarray:
-        """The _KEPT-bit hash of the n-gram that ends at each token."""
-        h = self.h
-        if order == 2:
-            before = np.append(START, h[:-1])
-            before[self.offsets[:-1]] = START
-            h = tb.joined(before, h)
-        return tb.mixed(h + np.uint64(order)) >> np.uint64(64 - _KEPT)
+    def grams(self) -> list[np.ndarray]:
+        """For each order the hash of the n-gram that ends at each token."""
+        begin = self.offsets[:-1]
+        out, longer = [tb.mixed(self.h + np.uint64(1))], self.h
+        for order in range(2, ORDERS + 1):  # START stands before a text as often as it takes
+            before = np.append(START, longer[:-1])
+            before[begin] = START
+            longer = tb.joined(before, self.h)
+            out.append(tb.mixed(longer + np.uint64(order)) >> np.uint64(64 - KEPT) << np.uint64(64 - KEPT))
+        return out
 
 
 def level_of(count: np.ndarray) -> np.ndarray:
-    return 1 + np.floor(np.log(count) / log(LOG_BASE) + 1e-9).astype(np.int64)
+    return np.searchsorted(THRESHOLDS, count, "right")
 
 
 def least_count(level: np.ndarray) -> np.ndarray:
-    """The least whole count of each level; 0 for level 0."""
-    return np.where(level > 0, np.ceil(LOG_BASE ** (level - 1.0) - 1e-9), 0.0)
+    """0 for level 0."""
+    return np.append(0, THRESHOLDS)[level]
+
+
+def greatest_count(level: np.ndarray) -> np.ndarray:
+    """0 for level 0."""
+    return np.append(0, THRESHOLDS[1:] - 1)[level]
+
+
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    values = np.sort(values)
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+    return values[first], np.diff(np.append(first, len(values)))
 
 
 def _added(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -92,196 +119,317 @@ def _added(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def _packed(values: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
     """Sorted values as differences, in planes of bytes, which compress well; counts likewise."""
-    planes = np.diff(values, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].T
-    return np.ascontiguousarray(planes).tobytes(), np.ascontiguousarray(counts.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes()
+
+    def planes(x: np.ndarray) -> bytes:
+        return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+    return planes(np.diff(values, prepend=np.uint64(0))), planes(counts)
 
 
 def _unpacked(values: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    def wide(raw: bytes, n: int) -> np.ndarray:
-        out = np.zeros((len(raw) // n, 8), np.uint8)
-        out[:, :n] = np.frombuffer(raw, np.uint8).reshape(n, -1).T
-        return out.view("<u8").ravel()
+    def wide(raw: bytes) -> np.ndarray:
+        return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
-    return np.cumsum(wide(values, 5), dtype=np.uint64), wide(counts, 6).astype(np.int64)
+    return np.cumsum(wide(values), dtype=np.uint64), wide(counts).astype(np.int64)
 
 
 def gram_counts(train: DataFrame) -> DataFrame:
-    """Rows (bucket, grams, counts): exact counts of the hashes of n-grams, packed. train: (text)."""
+    """Rows (order, bucket, grams, counts, pairs, q): exact counts of the hashes of n-grams, packed, and the sums of their levels and of those levels' least counts. train: (text)."""
+    size = train.agg(F.sum(F.octet_length(train.columns[0]))).first()[0] or 0
+    bits = max(6, ceil(log2(max(size, 1) / BUCKET_BYTES)))
 
     def run(batches):
-        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {1: [], 2: []}
-        size = 0
+        held, n = [[] for _ in range(ORDERS)], 0
         for b in batches:
             for c in tb.chunks(b.column(0)):
-                t = Tokens(c)
-                for order, own in held.items():
-                    g = t.grams(order)
-                    own.append((g, np.ones(len(g), np.int64)))
-                    size += len(g)
-                if size > 6_000_000:
-                    held = {k: [_added(*map(np.concatenate, zip(*v)))] for k, v in held.items()}
-                    size = sum(len(v[0][0]) for v in held.values())
-                    if size > 4_000_000:
-                        yield from flushed(held)
-                        held, size = {1: [], 2: []}, 0
+                for own, g in zip(held, Tokens(c).grams()):
+                    own.append(g)
+                    n += len(g)
+                if n > 6_000_000:
+                    yield from flushed(held)
+                    held, n = [[] for _ in range(ORDERS)], 0
         yield from flushed(held)
 
     def flushed(held):
-        for order, own in held.items():
-            if not own:
-                continue
-            g, n = _added(*map(np.concatenate, zip(*own)))
-            bucket = (g >> np.uint64(_KEPT - 8)).astype(np.int64)
-            cutp = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-            rows = [_packed(x, y) for x, y in zip(np.split(g, cutp[1:]), np.split(n, cutp[1:]))]
-            yield pa.RecordBatch.from_pydict({"bucket": pa.array(bucket[cutp] + BUCKETS * (order - 1)), "grams": pa.array([x for x, _ in rows], pa.binary()), "counts": pa.array([y for _, y in rows], pa.binary())})
+        for order, own in enumerate(held, 1):
+            if own:
+                g, n = _counted(np.concatenate(own))
+                own.clear()
+                bucket = (g >> np.uint64(64 - bits)).astype(np.int64)
+                at = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+                rows = [_packed(x, y) for x, y in zip(np.split(g, at[1:]), np.split(n, at[1:]))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), order)), pa.array(bucket[at]), pa.array([x for x, _ in rows], pa.binary()), pa.array([y for _, y in rows], pa.binary())], names=["order", "bucket", "grams", "counts"])
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
-        g, n = zip(*map(_unpacked, group["grams"], group["counts"]))
-        values, counts = _packed(*_added(np.concatenate(g), np.concatenate(n)))
-        return pd.DataFrame({"bucket": group["bucket"].iloc[:1], "grams": [values], "counts": [counts]})
+        g, n = map(np.concatenate, zip(*map(_unpacked, group["grams"], group["counts"])))
+        g, n = _added(g, n)
+        level = level_of(n)
+        values, counts = _packed(g, n)
+        return pd.DataFrame({"order": group["order"].iloc[:1], "bucket": group["bucket"].iloc[:1], "grams": [values], "counts": [counts], "pairs": [int(level.sum())], "q": [int(least_count(level).sum())]})
 
-    schema = "bucket long, grams binary, counts binary"
-    return train.mapInArrow(run, schema).groupBy("bucket").applyInPandas(merge, schema)
+    schema = "order long, bucket long, grams binary, counts binary"
+    return train.mapInArrow(run, schema).groupBy("order", "bucket").applyInPandas(merge, schema + ", pairs long, q long").withColumn("bits", F.lit(bits))
 
 
-class Filter:
-    """The merged filter: bits in slices of one bucket each."""
+class Shape:
+    """How the filter is laid out: buckets of each order, blocks of a slice by order, the highest level of any n-gram."""
+
+    def __init__(self, bits: int, pairs: list[int], top: int):
+        self.bits, self.top = bits, top
+        self.blocks = [max(1, ceil(p * BITS_EACH / BLOCK_BITS / 2**bits)) for p in pairs]
+        self.words = [n * (BLOCK_BITS // 64) for n in self.blocks]
+        self.begin = np.append(0, np.cumsum([n << bits for n in self.words]))  # in words, by order
+
+    def bytes(self) -> int:
+        return int(self.begin[-1]) * 8
+
+    def bucket(self, grams: np.ndarray) -> np.ndarray:
+        return (grams >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def __init__(self, bits: np.ndarray, slice_bits: int):
-        self.bits, self.slice_bits = bits, slice_bits
+    def block(self, grams: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+        """A hash of each n-gram, and the first word of its block in its slice."""
+        h = tb.mixed(grams + np.uint64(0x2545F4914F6CDD1D * order % 2**64))
+        return h, ((h >> np.uint64(32)) * np.uint64(self.blocks[order - 1]) >> np.uint64(32)).astype(np.int64) * (BLOCK_BITS // 64)
 
     @staticmethod
-    def places(grams: np.ndarray, level: np.ndarray | int, slice_bits: int) -> list[np.ndarray]:
-        """PROBES places in the slice of its bucket for each (n-gram, level)."""
-        h = tb.mixed(grams * np.uint64(64) + np.asarray(level).astype(np.uint64) + np.uint64(0x2545F491))
-        step = tb.mixed(h) | np.uint64(1)
-        return [(h + step * np.uint64(i)) >> np.uint64(64 - slice_bits) for i in range(PROBES)]
+    def places(h: np.ndarray, level: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The word of the block, and the PROBES bits in it, for (n-gram, level)."""
+        m = tb.mixed(h + np.uint64(level * 0x9E3779B97F4A7C15 % 2**64))
+        return (m & np.uint64(7)).astype(np.int64), [(m >> np.uint64(8 + 6 * i)) & np.uint64(63) for i in range(PROBES)]
 
-    def levels(self, grams: np.ndarray, order: int) -> np.ndarray:
-        """The highest level that is present with all below it."""
+    def levels(self, words: np.ndarray, slice_begin: np.ndarray | int, grams: np.ndarray, order: int) -> np.ndarray:
+        """The highest level that is present with all below it. slice_begin: where each n-gram's slice starts in words."""
         out = np.zeros(len(grams), np.int64)
-        base = ((grams >> np.uint64(_KEPT - 8)) + np.uint64(BUCKETS * (order - 1))) << np.uint64(self.slice_bits)
-        live, level = np.arange(len(grams)), 1
-        while len(live):
-            absent = np.zeros(len(live), bool)
-            for at in self.places(grams[live], level, self.slice_bits):
-                at = at + base[live]
-                absent |= self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 0
-            out[live[absent]] = level - 1
-            live = live[~absent]
-            level += 1
+        h, at = self.block(grams, order)
+        at += slice_begin
+        live = np.arange(len(grams))
+        for level in range(1, self.top + 1):
+            word, bits = self.places(h, level)
+            mask = np.uint64(1) << bits[0]
+            for b in bits[1:]:
+                mask |= np.uint64(1) << b
+            there = np.flatnonzero(words[at + word] & mask == mask)
+            live, h, at = live[there], h[there], at[there]
+            if not len(live):
+                break
+            out[live] = level
         return out
 
+    def filled(self, grams: np.ndarray, counts: np.ndarray, order: int) -> bytes:
+        """The slice of one bucket."""
+        flags = np.zeros(self.words[order - 1] * 64, bool)
+        level = level_of(counts)
+        h, at = self.block(grams, order)
+        for k in range(1, int(level.max(initial=0)) + 1):
+            live = level >= k
+            h, at, level = h[live], at[live], level[live]
+            word, bits = self.places(h, k)
+            for b in bits:
+                flags[(at + word) * 64 + b.astype(np.int64)] = True
+        return np.packbits(flags, bitorder="little").tobytes()
+
+
+class Filter:
+    """The whole filter in memory."""
 
-def build_filter(counts: DataFrame) -> tuple[Filter, float]:
-    """The filter over a table of gram_counts, and the sum of q over the vocabulary."""
+    def __init__(self, shape: Shape, words: np.ndarray):
+        self.shape, self.words = shape, words
 
-    def sizes(group):
-        for b in group:
-            for bucket, g, n in zip(*(x.to_pylist() for x in b.columns)):
-                order = 1 + bucket // BUCKETS
-                _, n = _unpacked(g, n)
-                lv = level_of(n[n >= LEAST[order]])
-                yield pa.RecordBatch.from_pydict({"pairs": [int(lv.sum())], "q": [float(least_count(lv).sum()) if order == 1 else 0.0]})
+    def levels(self, grams: np.ndarray, order: int) -> np.ndarray:
+        s = self.shape
+        return s.levels(self.words, s.begin[order - 1] + s.bucket(grams) * s.words[order - 1], grams, order)
 
-    pairs, q = counts.mapInArrow(sizes, "pairs long, q double").agg(F.sum("pairs"), F.sum(F.col("q").cast("decimal(30,0)"))).first()
-    total = min(MOST_BITS, 1 << ceil(log2(max((pairs or 0) * BITS_EACH, 1 << 16))))
-    slice_bits = int(log2(total / (2 * BUCKETS)))
 
-    def slices(group):
-        for b in group:
-            for bucket, g, n in zip(*(x.to_pylist() for x in b.columns)):
-                g, n = _unpacked(g, n)
-                keep = n >= LEAST[1 + bucket // BUCKETS]
-                g, lv = g[keep], level_of(n[keep])
-                flags = np.zeros(1 << slice_bits, bool)
-                for level in range(1, int(lv.max(initial=0)) + 1):
-                    for at in Filter.places(g[lv >= level], level, slice_bits):
-                        flags[at] = True
-                yield pa.RecordBatch.from_pydict({"bucket": [bucket], "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
+def filter_slices(counts: DataFrame) -> tuple[Shape, DataFrame, float]:
+    """The filter's shape, its slices as rows (order, bucket, words), and the sum of q over the vocabulary. counts: as gram_counts, cut."""
 
-    bits = np.zeros((2 * BUCKETS, (1 << slice_bits) // 8), np.uint8)
-    for bucket, raw in counts.mapInArrow(slices, "bucket long, bits binary").toLocalIterator():  # MOST_BITS / 8 bytes at most
-        bits[bucket] = np.frombuffer(raw, np.uint8)
-    return Filter(bits.ravel(), slice_bits), float(q or 0)
+    def tops(batches):
+        for b in batches:
+            for n in b.column(0).to_pylist():
+                yield pa.RecordBatch.from_pydict({"top": [int(_unpacked(b"", n)[1].max(initial=0))]})
 
+    by_order = {r["order"]: r for r in counts.groupBy("order").agg(F.sum("pairs").alias("pairs"), F.sum(F.col("q").cast("decimal(38,0)")).alias("q"), F.max("bits").alias("bits")).collect()}  # ORDERS rows
+    top = counts.where("order = 1").select("counts").mapInArrow(tops, "top long").agg(F.max("top")).first()[0] or 1  # no n-gram is more frequent than its words
+    shape = Shape(max((r.bits for r in by_order.values()), default=6), [by_order[k].pairs if k in by_order else 0 for k in range(1, ORDERS + 1)], int(level_of(top)))
 
-def unigram_counts(train: DataFrame) -> DataFrame:
-    """Rows (h, c): exact counts of the training tokens by their 64-bit hash. train: (text)."""
+    def slices(batches):
+        for b in batches:
+            for order, bucket, g, n in zip(*(b.column(i).to_pylist() for i in range(4))):
+                yield pa.RecordBatch.from_pydict({"order": [order], "bucket": [bucket], "words": pa.array([shape.filled(*_unpacked(g, n), order)], pa.binary())})
+
+    return shape, counts.select("order", "bucket", "grams", "counts").mapInArrow(slices, "order long, bucket long, words binary"), float(by_order[1].q if 1 in by_order else 0)
+
+
+def collected(shape: Shape, slices: DataFrame) -> Filter:
+    """The filter in the driver's memory; only for one of at most BROADCAST_BYTES."""
+    words = np.zeros(int(shape.begin[-1]), np.uint64)
+    for order, bucket, raw in slices.toLocalIterator():
+        own = np.frombuffer(raw, np.uint64)
+        at = int(shape.begin[order - 1]) + bucket * shape.words[order - 1]
+        words[at : at + len(own)] = own
+    return Filter(shape, words)
+
+
+class Scorer:
+    """What every task needs besides the filter: the frequent words' exact counts and the model's totals."""
+
+    def __init__(self, often_h: np.ndarray, often_c: np.ndarray, below: float, texts: int):
+        order = np.argsort(often_h)
+        self.often_h, self.often_c = np.append(often_h[order], np.uint64(2**64 - 1)), np.append(often_c[order], 0)
+        self.below, self.texts = below, texts
+
+    def log_p(self, grams: list[np.ndarray], begin: np.ndarray, levels) -> np.ndarray:
+        """log10 of each token's probability. levels(n-grams, order): their levels."""
+        code, words = pd.factorize(grams[0])
+        level = levels(words, 1)[code]
+        p = (least_count(level) + 1) / self.below
+        for order in range(2, ORDERS + 1):
+            context = np.append(0, greatest_count(level)[:-1])
+            context[begin] = self.texts
+            level = levels(grams[order - 1], order)
+            share = np.minimum(np.maximum(least_count(level) - DISCOUNT, 0) / np.maximum(context, 1), 1)
+            p = np.where(context > 0, WEIGHTS[order] * share + (1 - WEIGHTS[order]) * p, p)
+        return np.log10(p)
+
+    def scored(self, c: tb.Chunk, levels) -> list[pa.Array]:
+        """Columns n_tokens, n_often, whole, part, score, rare, times of a chunk's texts."""
+        t = Tokens(c)
+        grams, begin = t.grams(), t.offsets[:-1]
+        code, h = pd.factorize(grams[0])
+        at = np.searchsorted(self.often_h, h)
+        known = np.where(self.often_h[at] == h, self.often_c[at], 0)
+
+        def summed(x):
+            return np.add.reduceat(x, begin)
+
+        logs = np.round(np.log10(known + 1.0) * 1e15).astype(np.int64)[code]  # exact sums, in any order
+        rare = np.flatnonzero((known == 0)[code])
+        doc = np.searchsorted(t.offsets, rare, "right") - 1
+        pair, times = np.unique(doc * np.int64(len(h)) + code[rare], return_counts=True)
+        lists = pa.array(np.searchsorted(pair, np.arange(len(c) + 1) * np.int64(len(h))).astype(np.int32))
+        return [
+            pa.array(np.diff(t.offsets)), pa.array(summed((known > 0)[code].astype(np.int64))), pa.array(summed(logs // 10**9)), pa.array(summed(logs % 10**9)),
+            pa.array(summed(self.log_p(grams, begin, levels))), pa.ListArray.from_arrays(lists, pa.array(h[pair % max(len(h), 1)].view(np.int64))), pa.ListArray.from_arrays(lists, pa.array(times)),
+        ]
+
+
+_SCORED = ["n_tokens", "n_often", "whole", "part", "score", "rare", "times"]
+_SCORED_DDL = "n_tokens long, n_often long, whole long, part long, score double, rare array<bigint>, times array<bigint>"
+
+
+def _by_broadcast(rows: DataFrame, found: Filter, scorer: Scorer, schema: T.StructType) -> DataFrame:
+    model = rows.sparkSession.sparkContext.broadcast((found, scorer))
 
     def run(batches):
+        lm, own = model.value
         for b in batches:
-            parts = [Tokens(c).h for c in tb.chunks(b.column(0))]
-            if parts:
-                h, n = _added(np.concatenate(parts), np.ones(sum(map(len, parts)), np.int64))
-                yield pa.RecordBatch.from_pydict({"h": h.view(np.int64), "c": n})
+            for c in tb.chunks(b.column(3)):
+                yield pa.RecordBatch.from_arrays([*(b.column(i)[c.rows] for i in range(3)), *own.scored(c, lm.levels)], names=["_id", "_key", "held_out", *_SCORED])
+
+    return rows.mapInArrow(run, schema)
 
-    return train.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
+def _by_slices(rows: DataFrame, shape: Shape, slices: DataFrame, scorer: Scorer, schema: T.StructType) -> DataFrame:
+    """The same, with the distinct n-grams of every chunk sent to their slices. Slices are read once for each of SALTS parts of the chunks."""
+    shared = rows.sparkSession.sparkContext.broadcast(scorer)
+    salts = max(1, rows.rdd.getNumPartitions() // 64)
+
+    def named(batches):  # every chunk gets a name; written down once, so that it stays
+        for b in batches:
+            for c in tb.chunks(b.column(3)):
+                yield pa.RecordBatch.from_arrays([*(b.column(i)[c.rows] for i in range(4)), pa.array(np.full(len(c), int.from_bytes(os.urandom(8), "little", signed=True)))], names=["_id", "_key", "held_out", "_text", "chunk"])
+
+    table = cut(rows.mapInArrow(named, T.StructType([*rows.schema, T.StructField("chunk", T.LongType())])))
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def asked(batches):
+        for b in batches:
+            chunk = np.array(b.column(1))
+            for c in tb.chunks(b.column(0)):
+                for first in np.flatnonzero(np.append(True, chunk[c.rows][1:] != chunk[c.rows][:-1])).tolist():
+                    own = int(chunk[c.rows][first])
+                    texts = b.column(0)[c.rows].filter(pa.array(chunk[c.rows] == own))
+                    for part in tb.chunks(texts):
+                        for order, g in enumerate(Tokens(part).grams(), 1):
+                            g = np.unique(g)
+                            bucket = shape.bucket(g)
+                            at = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), own)), pa.array(np.full(len(at), own % salts)), pa.array(np.full(len(at), order)), pa.array(bucket[at]), pa.array([x.tobytes() for x in np.split(g, at[1:])], pa.binary())], names=["chunk", "salt", "order", "bucket", "grams"])
+
+    probes = table.select("_text", "chunk").mapInArrow(asked, "chunk long, salt long, order long, bucket long, grams binary")
+    salted = slices.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    keys = ["order", "bucket", "salt"]
+
+    def answer(mine: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if not len(mine) or not len(own):
+            return pd.DataFrame({"chunk": mine["chunk"][:0], "order": mine["order"][:0], "grams": mine["grams"][:0], "levels": mine["grams"][:0]})
+        words = np.frombuffer(own["words"].iloc[0], np.uint64)
+        levels = [shape.levels(words, 0, np.frombuffer(g, np.uint64), int(mine["order"].iloc[0])).astype(np.uint8).tobytes() for g in mine["grams"]]
+        return pd.DataFrame({"chunk": mine["chunk"], "order": mine["order"], "grams": mine["grams"], "levels": levels})
+
+    answers = probes.groupBy(*keys).cogroup(salted.groupBy(*keys)).applyInPandas(answer, "chunk long, order long, grams binary, levels binary")
+
+    def finish(mine: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        known = {}
+        for order in range(1, ORDERS + 1):
+            some = own[own["order"] == order]
+            g = np.frombuffer(b"".join(some["grams"]), np.uint64)
+            n = np.frombuffer(b"".join(some["levels"]), np.uint8)
+            by = np.argsort(g)
+            known[order] = np.append(g[by], np.uint64(2**64 - 1)), np.append(n[by], 0)
+
+        def levels(grams, order):
+            g, n = known[order]
+            at = np.searchsorted(g, grams)
+            return np.where(g[at] == grams, n[at], 0).astype(np.int64)
+
+        text = pa.array(mine["_text"], pa.string(), from_pandas=True)
+        parts = [pd.DataFrame({k: mine[k].iloc[c.rows] for k in ("_id", "_key", "held_out")} | {k: x.to_pylist() for k, x in zip(_SCORED, shared.value.scored(c, levels))}) for c in tb.chunks(text)]
+        return pd.concat(parts) if parts else pd.DataFrame({k: [] for k in ("_id", "_key", "held_out", *_SCORED)})
+
+    return table.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(finish, schema)
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Rows (id, held_out, n_tokens, n_known, train_tokens, base_score, score) of all documents."""
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("_key"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("_text"))
     train = rows.where("NOT held_out").select("_text")
     counts = cut(gram_counts(train))
-    found, q_total = build_filter(counts)
-    vocabulary = cut(unigram_counts(train))
+    shape, slices, q_total = filter_slices(counts)
+    vocabulary = cut(_vocabulary(counts))
     n_train = train.count()
     n, v = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    least, held = 1, 0
-    for c, k in sorted(map(tuple, vocabulary.groupBy(F.least("c", F.lit(1_000_000))).count().collect()), reverse=True):
-        held += k
+    least, held = 0.0, 0  # counts are told apart by a hundredth of their logarithm; words above the last step that fits are frequent
+    step = F.floor(F.log("c") * 100).cast("long")
+    for k, words in sorted(map(tuple, vocabulary.groupBy(step).count().collect()), reverse=True):  # some thousand rows at most
+        held += words
         if held > FREQUENT:
-            least = c + 1
+            least = k + 1
             break
-    often = vocabulary.where(F.col("c") >= least).toPandas()  # FREQUENT rows at most, but for ties above a million
-    h = often["h"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(h)
-    model = spark.sparkContext.broadcast((found, np.append(h[order], np.uint64(2**64 - 1)), np.append(often["c"].to_numpy(np.int64)[order], 0)))
-    below = q_total + v + 1
+    often = vocabulary.where(step >= least).toPandas()  # FREQUENT rows at most
+    scorer = Scorer(often["h"].to_numpy(np.int64).view(np.uint64), often["c"].to_numpy(np.int64), q_total + v + 1, n_train)
+    schema = T.StructType([T.StructField("_id", docs.schema[id_col].dataType), *T.StructType.fromDDL("_key long, held_out boolean, " + _SCORED_DDL)])
+    if shape.bytes() <= broadcast_bytes:
+        scored = cut(_by_broadcast(rows, collected(shape, slices), scorer, schema))
+    else:
+        scored = cut(_by_slices(rows, shape, slices, scorer, schema))
+
+    rare = scored.where(F.size("rare") > 0).select("_id", "_key", F.inline(F.arrays_zip("rare", "times"))).select("_id", "_key", F.col("rare").alias("h"), "times").distinct()
+    met = rare.join(vocabulary.where(step < least), "h").groupBy("_id", "_key").agg(F.sum("times").alias("n_rare"), F.sum(F.round(F.log10(F.col("c") + 1), 15).cast("decimal(38,15)") * F.col("times")).alias("rare_sum"))
+    s, m = scored.alias("s"), met.alias("m")
+    both = s.join(m, (F.col("s._key") == F.col("m._key")) & F.col("s._id").eqNullSafe(F.col("m._id")), "left")
+    base = (F.col("whole").cast("decimal(38,15)") / F.lit(10**6) + F.col("part").cast("decimal(38,15)") / F.lit(10**15)).cast("double") + F.coalesce(F.col("rare_sum").cast("double"), F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))
+    return both.select(
+        F.col("s._id").alias(id_col), "held_out", "n_tokens", (F.col("n_often") + F.coalesce("n_rare", F.lit(0))).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score"
+    )
+
 
-    id_type = docs.schema[id_col].dataType.simpleString()
+def _vocabulary(counts: DataFrame) -> DataFrame:
+    """Rows (h, c): the exact counts of the training tokens by their 64-bit hash."""
 
     def run(batches):
-        lm, often_h, often_c = model.value
         for b in batches:
-            for c in tb.chunks(b.column(3)):
-                t = Tokens(c)
-                code, h = pd.factorize(t.h)
-                at = np.searchsorted(often_h, h)
-                known = np.where(often_h[at] == h, often_c[at], 0)[code]
-                begin = t.offsets[:-1]
-
-                def summed(x):
-                    return np.add.reduceat(x, begin)
-
-                logs = np.round(np.log10(known + 1.0) * 1e15).astype(np.int64)  # exact sums, in any order
-                whole, part = logs // 10**9, logs % 10**9
-                one = lm.levels(t.grams(1)[np.unique(code, return_index=True)[1]], 1)[code] if len(code) else code
-                g2, kinds = pd.factorize(t.grams(2))
-                two = lm.levels(kinds, 2)[g2]
-                p1 = (least_count(one) + 1) / below
-                before = np.append(0, one[:-1])
-                context = np.maximum(LOG_BASE**before, 2.0)
-                context[begin] = max(n_train, 1)
-                p = WEIGHT * np.minimum(least_count(two) / context, 1.0) + (1 - WEIGHT) * p1
-                rare = np.flatnonzero(known == 0)
-                doc = np.searchsorted(t.offsets, rare, "right") - 1
-                pair, times = np.unique(np.stack([doc, code[rare]], 1), axis=0, return_counts=True) if len(rare) else (np.zeros((0, 2), np.int64), np.zeros(0, np.int64))
-                cut_at = np.searchsorted(pair[:, 0], np.arange(1, len(c)))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0)[c.rows], b.column(1)[c.rows], b.column(2)[c.rows], pa.array(np.diff(t.offsets)), pa.array(summed((known > 0).astype(np.int64))), pa.array(summed(whole)), pa.array(summed(part)), pa.array(summed(np.log10(p))),
-                     pa.array(np.split(h[pair[:, 1]].view(np.int64), cut_at), pa.list_(pa.int64())), pa.array(np.split(times, cut_at), pa.list_(pa.int64()))],
-                    names=["_id", "_key", "held_out", "n_tokens", "n_often", "whole", "part", "score", "rare", "times"],
-                )
-
-    scored = cut(rows.mapInArrow(run, f"_id {id_type}, _key long, held_out boolean, n_tokens long, n_often long, whole long, part long, score double, rare array<bigint>, times array<bigint>"))
-    rare = scored.select("_key", F.inline(F.arrays_zip("rare", "times"))).select("_key", F.col("rare").alias("h"), "times").distinct()
-    met = rare.join(vocabulary.where(F.col("c") < least), "h").groupBy("_key").agg(F.sum("times").alias("n_rare"), F.sum(F.round(F.log10(F.col("c") + 1), 15).cast("decimal(38,15)") * F.col("times")).alias("rare_sum"))
-    zero = F.lit(0)
-    base = (F.col("whole").cast("decimal(38,15)") / F.lit(10**6) + F.col("part").cast("decimal(38,15)") / F.lit(10**15)).cast("double") + F.coalesce(F.col("rare_sum").cast("double"), F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))
-    return scored.join(met, "_key", "left").select(
-        F.col("_id").alias(id_col), "held_out", "n_tokens", (F.col("n_often") + F.coalesce("n_rare", zero)).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score"
-    )
+            for g, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                h, c = _unpacked(g, n)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c)], names=["h", "c"])
+
+    return counts.where("order = 1").select("grams", "counts").mapInArrow(run, "h long, c long")

@@ -105,22 +105,44 @@ def test_language_model(docs, rows):
 
 
 def test_language_model_levels(docs, rows):
-    """Levels from the filter are never below the true ones, and rarely above."""
+    """Levels from the filter are never below the true ones, and rarely above; n-grams that were not seen have none."""
+    counts = language_model.cut(language_model.gram_counts(docs.select("text")))
+    found = language_model.collected(*language_model.filter_slices(counts)[:2])
     from grovespark.llm import textbatch as tb
     import pyarrow as pa
 
-    train = docs.select("text")
-    found, _ = language_model.build_filter(language_model.gram_counts(train))
-    for order in (1, 2):
-        exact = Counter()
-        for _, t in rows:
-            (c,) = tb.chunks(pa.array([t], pa.string()))
-            exact.update(language_model.Tokens(c).grams(order).tolist())
-        grams = np.array(list(exact), np.uint64)
-        n = np.array(list(exact.values()))
-        true = np.where(n >= language_model.LEAST[order], language_model.level_of(n), 0)
-        seen = found.levels(grams, order)
-        assert (seen >= true).all() and (seen > true).mean() < 0.02
+    exact = [Counter() for _ in range(language_model.ORDERS)]
+    for _, t in rows:
+        (c,) = tb.chunks(pa.array([t], pa.string()))
+        for own, g in zip(exact, language_model.Tokens(c).grams()):
+            own.update(g.tolist())
+    for order, own in enumerate(exact):
+        seen = found.levels(np.array(list(own), np.uint64), order + 1)
+        want = language_model.level_of(np.array(list(own.values())))
+        assert (seen >= want).all() and (seen > want).mean() < 0.03
+        others = np.random.default_rng(5).integers(0, 2**63, 20_000, dtype=np.uint64)
+        assert (found.levels(others, order + 1) > 0).mean() < 0.03
+
+
+def test_language_model_full_filter_ends():
+    shape = language_model.Shape(6, [100, 100, 100], 9)
+    full = language_model.Filter(shape, np.full(int(shape.begin[-1]), 2**64 - 1, np.uint64))
+    assert (full.levels(np.arange(50, dtype=np.uint64), 2) == 9).all()
+
+
+def test_language_model_score(docs, rows):
+    """The score from exact counts by the stated formula; the filter's few false answers move it a little at most. Both ways of probing agree."""
+    got = language_model.score(docs).select("doc_id", "n_tokens", "score").collect()
+    want = Counter()
+    for (i, t), x in zip(rows, brute.interpolated([(i, t) for i, t in rows])):
+        want[i, len(brute.words(t)) + 1, x] += 1
+    a = sorted(((str(r.doc_id), r.n_tokens, r.score) for r in got))
+    b = sorted((str(i), n, x) for (i, n, x), k in want.items() for _ in range(k))
+    assert [x[:2] for x in a] == [x[:2] for x in b]
+    off = [abs(x[2] - y[2]) / x[1] for x, y in zip(a, b)]
+    assert np.mean(off) < 0.03 and np.quantile(off, 0.99) < 0.25
+    sliced = language_model.score(docs, broadcast_bytes=0).select("doc_id", "n_tokens", "score").collect()
+    assert Counter((r.doc_id, r.n_tokens, round(r.score, 9)) for r in sliced) == Counter((r.doc_id, r.n_tokens, round(r.score, 9)) for r in got)
 
 
 def test_simhash(docs, rows):
