@@ -77,7 +77,7 @@ def iso_time(value: Column) -> Column:
 def backoff_ms(attempt: Column, retry_after_s: Column | None = None) -> Column:
     """Doubling from 500 ms to 8 s; what the server asked for instead, at most 30 s."""
     own = F.least(500 * F.pow(F.lit(2), attempt - 1), F.lit(8000)).cast("long")
-    return own if retry_after_s is None else F.coalesce(F.least(retry_after_s * 1000, F.lit(30_000)).cast("long"), own)
+    return own if retry_after_s is None else F.when(retry_after_s.isNotNull(), F.least(retry_after_s * 1000, F.lit(30_000)).cast("long")).otherwise(own)
 
 
 def uuid7(millis: Column, seed: Column) -> Column:

@@ -34,3 +34,31 @@ def gates(ratio: DataFrame, total: float = TOTAL, removed: float = REMOVED, chan
         raise ValueError("thresholds must be from 0 to 1")
     rows = F.array(*(F.struct(F.lit(f"SIRUTA_DIFF_{name}_MASS_CHANGE").alias("rule"), F.col(column).alias("ratio"), F.lit(most).alias("most")) for name, column, most in (("TOTAL", "total_ratio", total), ("REMOVALS", "removed_ratio", removed), ("RECORDS", "changed_ratio", changed))))
     return ratio.select(F.inline(rows)).where("ratio > most").select("rule", "ratio")
+
+
+def first_changes(current: DataFrame, key: str = "code") -> DataFrame:
+    """Changes where nothing was released before: every unit is added."""
+    return current.select(key, F.lit("added").alias("kind"), F.array().cast("array<string>").alias("fields"), F.lit(False).alias("source_changed"))
+
+
+def changelog(diff: DataFrame, previous_release: str | None) -> DataFrame:
+    """One row of a release's changes: counts, and shares of the previous total where there was one.
+
+    diff: of changes() or first_changes(). baseline: whether there was a release to compare with.
+    """
+    out = ratios(diff).withColumns({"previous_release_id": F.lit(previous_release).cast("string"), "baseline": F.lit(previous_release is not None), "skipped": F.lit(False), "reason": F.lit(None).cast("string")})
+    if previous_release is None:
+        out = out.withColumns({c: F.lit(None).cast("double") for c in ("total_ratio", "removed_ratio", "changed_ratio")})
+    return out
+
+
+def skipped(spark, reason: str) -> DataFrame:
+    """The row of a comparison that was left out."""
+    none = F.lit(None)
+    return spark.range(1).select(*(F.lit(0).cast("long").alias(c) for c in ("added", "removed", "changed", "unchanged", "source_changed")), *(none.cast("double").alias(c) for c in ("total_ratio", "removed_ratio", "changed_ratio")), none.cast("string").alias("previous_release_id"), none.cast("boolean").alias("baseline"), F.lit(True).alias("skipped"), F.lit(reason).alias("reason"))
+
+
+def listed(diff: DataFrame, key: str = "code") -> DataFrame:
+    """Rows (kind, position, code) of added, removed and changed units and of those whose source record changed, in the numeric order of their codes."""
+    kinds = F.array_compact(F.array(F.when(F.col("kind") != "unchanged", F.col("kind")), F.when(F.col("source_changed"), "source_record_changed")))
+    return diff.select(F.explode(kinds).alias("kind"), F.col(key).cast("long").alias("position"), key).orderBy("kind", "position")

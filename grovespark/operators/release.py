@@ -85,3 +85,29 @@ def reference_faults(units: DataFrame) -> DataFrame:
 def same_as_before(spark: SparkSession, path: str, sha256: str) -> bool:
     """Whether a file that was written once holds the same bytes."""
     return read_files(spark, path).where(F.col("sha256") == sha256).count() == 1
+
+
+def import_report(units: DataFrame, release_id: str, manifest_sha256: str, current: tuple[str, str] | None = None, pinned: tuple[str | None, str | None] = (None, None)) -> DataFrame:
+    """One row: whether a consumer takes a release, and to which one it could go back.
+
+    Rejected if ids or codes repeat, a parent or county is not in it, or the release or manifest is not the pinned one.
+    current and pinned: (release id, manifest hash).
+    """
+    ids = units.groupBy("territory_id").agg(F.count("*").alias("n")).where("n > 1").agg(F.count("*").alias("repeated_ids"))
+    faults = reference_faults(units).agg(F.count_if(F.col("fault") == "CODE_REPEATED").alias("repeated_codes"), F.count_if(F.col("fault") != "CODE_REPEATED").alias("unresolved"))
+    total = units.agg(F.count("*").alias("n"))
+    j = total.crossJoin(ids).crossJoin(faults)  # one row each
+    conflicts = F.col("repeated_ids") + F.col("repeated_codes") + F.col("unresolved")
+    fits = all(want is None or want == have for want, have in zip(pinned, (release_id, manifest_sha256)))
+    taken = (conflicts == 0) & F.lit(fits)
+    back = F.lit(current[0] if current else None).cast("string")
+    return j.select(
+        F.when(taken, "accepted").otherwise("rejected").alias("status"), F.when(taken, F.col("n")).otherwise(0).cast("long").alias("accepted"), F.when(taken, 0).otherwise(F.col("n")).cast("long").alias("rejected"),
+        conflicts.cast("long").alias("conflicts"), F.lit(release_id).alias("release_id"), F.lit(manifest_sha256).alias("manifest_sha256"), F.when(taken, back).alias("rollback_release_id"),
+    )
+
+
+def reconcile(observed: DataFrame, expected: DataFrame) -> DataFrame:
+    """Rows (name, expected, observed) whose counts differ or that only one side has. Both: (name, n)."""
+    o, e = observed.select("name", F.col("n").alias("observed")), expected.select("name", F.col("n").alias("expected"))
+    return e.join(o, "name", "full_outer").where(~F.col("expected").eqNullSafe(F.col("observed"))).select("name", "expected", "observed")

@@ -52,6 +52,31 @@ def view(units: DataFrame) -> DataFrame:
     return units.select(*VIEW)
 
 
+def full_view(units: DataFrame) -> DataFrame:
+    """The view with the short name and the identifiers, sorted by scheme and value. Needs identifiers."""
+    listed = F.array_sort(F.transform("identifiers", lambda x: F.struct(x["scheme"].alias("scheme"), x["value"].alias("value"), x["status"].alias("status"))))
+    return units.select(*VIEW, X.short_name(F.col("official_name")).alias("short_name"), listed.alias("identifiers"))
+
+
+def detail(units: DataFrame, territory_id: str, most: int = 32) -> DataFrame:
+    """Rows (relation, hop, ...view): the unit itself, its ancestors, nearest first by hop, and its children; empty if there is no such unit."""
+    own = units.where(F.col("territory_id") == territory_id)
+    out = [own.withColumns({"relation": F.lit("self"), "hop": F.lit(0)}), children(units, territory_id).withColumns({"relation": F.lit("child"), "hop": F.lit(1)})]
+    at, seen = own, [territory_id]
+    for hop in range(1, most + 1):
+        up = at.select(F.col("parent_id").alias("territory_id")).first()  # one unit's parent
+        if up is None or up[0] is None or up[0] in seen:
+            break
+        seen.append(up[0])
+        at = units.where(F.col("territory_id") == up[0])
+        out.append(at.withColumns({"relation": F.lit("ancestor"), "hop": F.lit(hop)}))
+    found = out[0]
+    for part in out[1:]:
+        found = found.unionByName(part)
+    view = full_view(found)
+    return found.select("relation", "hop", "territory_id").join(view, "territory_id")
+
+
 def children(units: DataFrame, parent_id: str) -> DataFrame:
     return units.where(F.col("parent_id") == parent_id)
 

@@ -1,7 +1,11 @@
-"""Validation: each rule is a DataFrame of findings; findings are unioned.
+"""Validation: what a record breaks is an array of findings beside it, made in one pass; few rules need more.
 
 Records: (row_number, code, name, county, parent, type, level, nuts), codes as
-text. Findings: (rule, severity, entity, detail).
+text. Findings: (rule, severity, entity, detail); described() adds the rest.
+
+Of a repeated code the first record by row number is what others refer to. The
+first NUTS value of a county, well formed or not, is the county's; an empty one
+is none.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numbers import checksum_valid
+from ..sources.tables import cut, small
 from .graph import cycles
 
 # Type code, territory type, administrative role, level, is a local unit, is a locality, is a county's seat.
@@ -97,11 +102,6 @@ def corrected(records: DataFrame, corrections: dict[str, tuple]) -> DataFrame:
     return records.withColumn("nuts", out)
 
 
-def duplicate_codes(records: DataFrame) -> DataFrame:
-    nth = F.row_number().over(W.partitionBy("code").orderBy("row_number"))
-    return finding(records.withColumn("_n", nth).where("_n > 1"), "DUPLICATE_CODE", "blocker", F.col("code"), F.col("row_number"))
-
-
 def first_by_code(records: DataFrame) -> DataFrame:
     """The first record of each code."""
     return records.groupBy("code").agg(F.min_by(F.struct("*"), "row_number").alias("_r")).select("_r.*")
@@ -112,63 +112,114 @@ def last_by_code(records: DataFrame) -> DataFrame:
     return records.groupBy("code").agg(F.max_by(F.struct("*"), "row_number").alias("_r"), F.min("row_number").alias("position")).select("_r.*", "position")
 
 
-def type_rules(records: DataFrame, overrides: dict[str, tuple] | None = None) -> list[DataFrame]:
-    t = typed(records, overrides)
-    out = [
-        finding(t.where("territory_type IS NULL"), "UNKNOWN_TYPE", "blocker", F.col("code"), F.col("type")),
-        finding(t.where("territory_type IS NOT NULL AND expected_level != level"), "TYPE_LEVEL_MISMATCH", "blocker", F.col("code"), F.col("level")),
-    ]
+GROUPS = ("codes", "types", "nuts", "parents")
+
+
+def row_findings(records: DataFrame, profile: Profile | None = None, groups: tuple[str, ...] = GROUPS) -> DataFrame:
+    """What single records break, of the groups of rules asked for."""
+    profile = profile or Profile()
+    r = typed(records, profile.overrides if "types" in groups else None)
+    r = corrected(r, profile.corrections).withColumn("up", effective_parent(F.col("parent"), F.col("level"), profile.sentinel))
+    items = []
+
+    def rule(when, name: str, detail=None, entity="code") -> None:
+        detail = F.lit(None) if detail is None else detail
+        items.append(F.when(when, F.struct(F.lit(PREFIX + name).alias("rule"), F.lit("blocker").alias("severity"), F.col(entity).cast("string").alias("entity"), detail.cast("string").alias("detail"))))
+
+    if "codes" in groups:
+        r = r.join(records.groupBy("code").agg(F.min("row_number").alias("_first_row")), "code")
+        rule(F.col("row_number") != F.col("_first_row"), "DUPLICATE_CODE", F.col("row_number"))
+    if "types" in groups:
+        rule(F.col("territory_type").isNull(), "UNKNOWN_TYPE", F.col("type"))
+        rule(F.col("territory_type").isNotNull() & (F.col("expected_level") != F.col("level")), "TYPE_LEVEL_MISMATCH", F.col("level"))
+        if profile.overrides:
+            rule(F.col("_type").isNotNull() & ~((F.col("_type") == F.col("type")) & (F.col("_level") == F.col("level"))), "REVIEWED_TYPE_OVERRIDE_MISMATCH")
+    if "nuts" in groups or "parents" in groups:
+        r = r.join(small(_counties(records, profile)), "county", "left")
+    if "nuts" in groups:
+        some = F.col("nuts") != ""
+        rule(some & ~F.col("nuts").rlike(NUTS), "NUTS_FORMAT_INVALID", F.col("nuts"))
+        rule(some & (F.col("nuts") != F.col("_county_nuts")), "NUTS_COUNTY_CONFLICT", F.col("nuts"))
+    if "parents" in groups:
+        r = r.join(small(_parents(r, records)), "up", "left")
+        rule((F.col("level") > 1) & F.col("up").isNull(), "REQUIRED_PARENT_MISSING", F.col("level"))
+        rule(F.col("up").isNotNull() & F.col("_up_level").isNull(), "PARENT_MISSING", F.col("up"))
+        rule((F.col("level") == 1) & F.col("up").isNotNull(), "ROOT_PARENT_INVALID", F.col("parent"))
+        rule((F.col("level") > 1) & (F.col("_up_level") != F.col("level") - 1), "PARENT_LEVEL_INVALID", F.col("_up_level"))
+        rule(F.col("_up_level").isNotNull() & ~F.col("county").eqNullSafe(F.col("_up_county")), "PARENT_COUNTY_MISMATCH", F.col("_up_county"))
+        rule(~F.coalesce("_has_county", F.lit(False)), "COUNTY_MISSING", F.col("county"))
+    return r.select(F.inline(F.array_compact(F.array(*items))))
+
+
+def _counties(records: DataFrame, profile: Profile) -> DataFrame:
+    """Rows (county, _county_nuts, _has_county): a county's first value, and whether it has a record of its own."""
+    fixed = corrected(records, profile.corrections)
+    return cut(fixed.groupBy("county").agg(F.min_by("nuts", F.when(F.col("nuts") != "", F.col("row_number"))).alias("_county_nuts"), F.bool_or(F.col("type") == COUNTY_TYPE).alias("_has_county")))
+
+
+def _parents(children: DataFrame, records: DataFrame) -> DataFrame:
+    """Rows (up, _up_level, _up_county) of the parents that are asked for and exist: as few as there are inner units."""
+    first = records.groupBy("code").agg(F.min_by(F.struct("level", "county"), "row_number").alias("_r"))
+    asked = children.where("up IS NOT NULL").select("up").distinct()
+    return cut(asked.join(first, asked["up"] == first["code"]).select("up", F.col("_r.level").alias("_up_level"), F.col("_r.county").alias("_up_county")))
+
+
+def duplicate_codes(records: DataFrame) -> DataFrame:
+    return row_findings(records, groups=("codes",))
+
+
+def type_rules(records: DataFrame, overrides: dict[str, tuple] | None = None) -> DataFrame:
+    out = row_findings(records, Profile(overrides=overrides or {}), ("types",))
     if overrides:
-        out.append(finding(t.where("_type IS NOT NULL AND NOT (_type = type AND _level = level)"), "REVIEWED_TYPE_OVERRIDE_MISMATCH", "blocker", F.col("code")))
         asked = records.sparkSession.createDataFrame([(c,) for c in overrides], "code string")
-        out.append(finding(asked.join(records, "code", "left_anti"), "REVIEWED_TYPE_OVERRIDE_MISSING", "blocker", F.col("code")))
+        out = out.unionByName(finding(asked.join(records, "code", "left_anti"), "REVIEWED_TYPE_OVERRIDE_MISSING", "blocker", F.col("code")))
     return out
 
 
-def nuts_rules(records: DataFrame, profile: Profile) -> list[DataFrame]:
-    fixed = corrected(records, profile.corrections)
-    good = fixed.where(F.col("nuts").rlike(NUTS))
-    first = good.groupBy("county").agg(F.min_by("nuts", "row_number").alias("_first"))
-    several = good.where(F.col("type") == COUNTY_TYPE).groupBy("nuts").agg(F.sort_array(F.collect_set("county")).alias("counties")).where("size(counties) > 1")  # a county code has two digits
-    counties = records.where(F.col("type") == COUNTY_TYPE)
-    nth = F.row_number().over(W.partitionBy("county").orderBy("row_number"))
-    out = [
-        finding(fixed.where(F.col("nuts").isNotNull() & ~F.col("nuts").rlike(NUTS)), "NUTS_FORMAT_INVALID", "blocker", F.col("code"), F.col("nuts")),
-        finding(good.join(first, "county").where("nuts != _first"), "NUTS_COUNTY_CONFLICT", "blocker", F.col("code"), F.col("nuts")),
-        finding(several, "NUTS_DUPLICATE_COUNTY_IDENTIFIER", "blocker", F.col("nuts"), F.array_join("counties", ",")),
-        finding(counties.withColumn("_n", nth).where("_n > 1"), "DUPLICATE_COUNTY_CODE", "blocker", F.col("county"), F.col("code")),
+def county_rules(records: DataFrame, profile: Profile) -> DataFrame:
+    """What counties break: one record after another with another code, one value in several counties, corrections that no longer fit."""
+    own = records.where(F.col("type") == COUNTY_TYPE)
+    before = F.lag("code").over(W.partitionBy("county").orderBy("row_number"))  # over county records only
+    several = _counties(records, profile).where("_county_nuts IS NOT NULL").groupBy("_county_nuts").agg(F.sort_array(F.collect_set("county")).alias("counties")).where("size(counties) > 1")  # a county code has two digits
+    parts = [
+        finding(own.withColumn("_before", before).where("_before != code"), "DUPLICATE_COUNTY_CODE", "blocker", F.col("code"), F.concat_ws(",", "_before", "code")),
+        finding(several, "NUTS_DUPLICATE_COUNTY_IDENTIFIER", "blocker", None, F.concat_ws(":", "_county_nuts", F.array_join("counties", ","))),
     ]
-    for county, (source, value, count, unit) in profile.corrections.items():
-        own = records.where(F.col("county") == county)
-        seen = own.agg(F.count_if(F.col("nuts").eqNullSafe(F.lit(source))).alias("n"), F.count_if(F.col("code") == unit).alias("units"), F.count_if((F.col("code") == unit) & F.col("nuts").eqNullSafe(F.lit(source))).alias("whole"))
-        out += [
-            finding(seen.where("units = 0"), "REVIEWED_NUTS_CORRECTION_MISSING", "blocker", F.lit(unit)),
-            finding(seen.where("units > 0 AND whole = 0"), "REVIEWED_NUTS_CORRECTION_MISMATCH", "blocker", F.lit(unit)),
-            finding(seen.where(F.col("n") != count), "REVIEWED_NUTS_CORRECTION_COUNT_CHANGED", "blocker", F.lit(None), F.col("n")),
-        ]
-    return out
+    if profile.corrections:
+        parts.append(_corrections(records, profile))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def parent_rules(records: DataFrame, sentinel: str | None = None) -> list[DataFrame]:
-    own = first_by_code(records).withColumn("up", effective_parent(F.col("parent"), F.col("level"), sentinel))
-    above = own.select(F.col("code").alias("up"), F.col("level").alias("up_level"), F.col("county").alias("up_county"), F.lit(True).alias("found"))
-    j = own.join(above, "up", "left")
-    known = j.where("found")
-    counties = own.where(F.col("type") == COUNTY_TYPE).select("county").distinct()
-    return [
-        finding(j.where("level > 1 AND up IS NULL"), "REQUIRED_PARENT_MISSING", "blocker", F.col("code")),
-        finding(j.where("up IS NOT NULL AND found IS NULL"), "PARENT_MISSING", "blocker", F.col("code"), F.col("up")),
-        finding(known.where("level = 1"), "ROOT_PARENT_INVALID", "blocker", F.col("code"), F.col("up")),
-        finding(known.where("level > 1 AND up_level != level - 1"), "PARENT_LEVEL_INVALID", "blocker", F.col("code"), F.col("up")),
-        finding(known.where("level > 1 AND NOT county <=> up_county"), "PARENT_COUNTY_MISMATCH", "blocker", F.col("code"), F.col("up")),
-        finding(own.join(counties, "county", "left_anti"), "COUNTY_MISSING", "blocker", F.col("code"), F.col("county")),
-    ]
+def _corrections(records: DataFrame, profile: Profile) -> DataFrame:
+    """The anchor of a correction is the first record of its code in the whole snapshot; the count is not looked at where it is absent."""
+    asked = records.sparkSession.createDataFrame([(county, source, count, unit) for county, (source, _, count, unit) in profile.corrections.items()], "_county string, _source string, _count long, _unit string")
+    asked = F.broadcast(asked)
+    anchors = records.join(asked.select(F.col("_unit").alias("code")).distinct(), "code", "left_semi").groupBy("code").agg(F.min_by(F.struct("county", "type", "level", "nuts"), "row_number").alias("_r"))
+    seen = records.join(asked, (F.col("county") == F.col("_county")) & (F.col("nuts") == F.col("_source"))).groupBy("_county").agg(F.count("*").alias("_n"))
+    j = asked.join(anchors, F.col("code") == F.col("_unit"), "left").join(seen, "_county", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    fits = (F.col("_r.county") == F.col("_county")) & (F.col("_r.type") == COUNTY_TYPE) & (F.col("_r.level") == 1) & F.col("_r.nuts").eqNullSafe(F.col("_source"))
+    return (
+        finding(j.where("code IS NULL"), "REVIEWED_NUTS_CORRECTION_MISSING", "blocker", F.col("_unit"))
+        .unionByName(finding(j.where(F.col("code").isNotNull() & ~F.coalesce(fits, F.lit(False))), "REVIEWED_NUTS_CORRECTION_MISMATCH", "blocker", F.col("_unit")))
+        .unionByName(finding(j.where("code IS NOT NULL AND _n != _count"), "REVIEWED_NUTS_CORRECTION_COUNT_CHANGED", "blocker", F.col("_unit"), F.col("_n")))
+    )
+
+
+def nuts_rules(records: DataFrame, profile: Profile) -> DataFrame:
+    return row_findings(records, profile, ("nuts",)).unionByName(county_rules(records, profile))
+
+
+def parent_rules(records: DataFrame, sentinel: str | None = None) -> DataFrame:
+    return row_findings(records, Profile(sentinel=sentinel), ("parents",))
 
 
 def cycle_rule(records: DataFrame, sentinel: str | None = None) -> DataFrame:
+    """A finding for each ring; the detail is its closed path from the least code on."""
     own = first_by_code(records)
     ring = cycles(own.select(F.col("code").alias("id"), effective_parent(F.col("parent"), F.col("level"), sentinel).alias("parent")))
-    return finding(ring.groupBy("cycle").agg(F.count("*").alias("n")), "HIERARCHY_CYCLE", "blocker", F.col("cycle"), F.col("n"))
+    path = ring.groupBy("cycle").agg(F.array_sort(F.collect_list(F.struct("position", "id"))).alias("_p"))  # as long as the ring
+    ids = F.transform("_p", lambda x: x["id"])
+    return finding(path, "HIERARCHY_CYCLE", "blocker", None, F.array_join(F.concat(ids, F.slice(ids, 1, 1)), ">"))
 
 
 def checksum_sample(records: DataFrame, most: int = 20) -> DataFrame:
@@ -183,19 +234,25 @@ def volume_rules(records: DataFrame, profile: Profile) -> list[DataFrame]:
         F.count("*").alias("n"),
         *(F.count_if(F.col("level") == k).alias(f"l{k}") for k in levels),
         F.count_if(~checksum_valid(F.col("code"))).alias("bad"),
-        F.count_if(F.col("nuts").isNull()).alias("missing"),
-        F.count_distinct(F.when(F.col("type") == COUNTY_TYPE, F.col("nuts"))).alias("nuts3"),
+        F.count_if(F.coalesce("nuts", F.lit("")) == "").alias("missing"),
         F.count_if((F.col("parent") == profile.sentinel) & (F.col("level") == 1)).alias("sentinels") if profile.sentinel else F.lit(0).alias("sentinels"),
-    )
-    out = [finding(seen.where(F.col(f"l{k}") != profile.levels[k]), "LEVEL_VOLUME_CHANGED", "blocker", F.lit(None), F.concat(F.lit(f"{k}:"), f"l{k}")) for k in levels]
-    for column, want, rule in (("n", profile.rows, "TOTAL_VOLUME_CHANGED"), ("nuts3", profile.nuts3, "NUTS3_VOLUME_CHANGED"), ("sentinels", profile.sentinel_count, "ROOT_PARENT_SENTINEL_COUNT_CHANGED")):
+    ).crossJoin(_counties(records, profile).agg(F.count_distinct("_county_nuts").alias("nuts3")))  # one row each
+    items = []
+
+    def rule(when, name: str, severity: str, detail) -> None:
+        items.append(F.when(when, F.struct(F.lit(PREFIX + name).alias("rule"), F.lit(severity).alias("severity"), F.lit(None).cast("string").alias("entity"), detail.cast("string").alias("detail"))))
+
+    for k in levels:
+        rule(F.col(f"l{k}") != profile.levels[k], "LEVEL_VOLUME_CHANGED", "blocker", F.concat(F.lit(f"{k}:"), f"l{k}"))
+    for column, want, name in (("n", profile.rows, "TOTAL_VOLUME_CHANGED"), ("nuts3", profile.nuts3, "NUTS3_VOLUME_CHANGED"), ("sentinels", profile.sentinel_count, "ROOT_PARENT_SENTINEL_COUNT_CHANGED")):
         if want is not None:
-            out.append(finding(seen.where(F.col(column) != want), rule, "blocker", F.lit(None), F.col(column)))
+            rule(F.col(column) != want, name, "blocker", F.col(column))
     for column, want, same, other in (("bad", profile.checksum_warnings, "CHECKSUM_OFFICIAL_WARNING", "CHECKSUM_WARNING_COUNT_CHANGED"), ("missing", profile.missing_nuts, "NUTS_MISSING_VALUES", "NUTS_MISSING_COUNT_CHANGED")):
         if want is not None:
-            some = seen.where((F.col(column) > 0) | F.lit(want > 0))
-            out += [finding(some.where(F.col(column) == want), same, "warning", F.lit(None), F.col(column)), finding(some.where(F.col(column) != want), other, "warning", F.lit(None), F.col(column))]
-    return out
+            some = (F.col(column) > 0) | F.lit(want > 0)
+            rule(some & (F.col(column) == want), same, "warning", F.col(column))
+            rule(some & (F.col(column) != want), other, "warning", F.col(column))
+    return [seen.select(F.inline(F.array_compact(F.array(*items))))] if items else []
 
 
 def row_rules(rows: DataFrame) -> list[DataFrame]:
@@ -205,10 +262,18 @@ def row_rules(rows: DataFrame) -> list[DataFrame]:
 
 def all_findings(records: DataFrame, profile: Profile | None = None) -> DataFrame:
     profile = profile or Profile()
-    parts = [duplicate_codes(records), *type_rules(records, profile.overrides), *nuts_rules(records, profile), *parent_rules(records, profile.sentinel), cycle_rule(records, profile.sentinel), *volume_rules(records, profile)]
+    parts = [row_findings(records, profile), county_rules(records, profile), cycle_rule(records, profile.sentinel), *volume_rules(records, profile)]
+    if profile.overrides:
+        asked = records.sparkSession.createDataFrame([(c,) for c in profile.overrides], "code string")
+        parts.append(finding(asked.join(records, "code", "left_anti"), "REVIEWED_TYPE_OVERRIDE_MISSING", "blocker", F.col("code")))
     return reduce(DataFrame.unionByName, parts)
 
 
+def described(findings: DataFrame, version: str = "1.0.0") -> DataFrame:
+    """Adds the rule's version and what kind of thing the finding is about."""
+    return findings.withColumns({"rule_version": F.lit(version), "entity_kind": F.when(F.col("entity").isNull(), "import_run").otherwise("territory")})
+
+
 def summary(findings: DataFrame) -> DataFrame:
     """One row: how many findings of each severity, and whether the import is blocked."""
     n = lambda s: F.count_if(F.col("severity") == s)

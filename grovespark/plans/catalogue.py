@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import hashing, network, numbers, shapes, text
-from ..operators import diff, graph, history, identity, limiter, matching, paging, release, search, validation
+from ..operators import canonical, diff, graph, history, identity, limiter, matching, paging, release, search, validation
 from ..sources import features, registry, snapshots
 from ..sources.tables import load
 from . import inputs
@@ -66,8 +66,21 @@ def ancestors_chain(spark, sf):
 
 @query
 def descendants_page(spark, sf):
-    below = graph.descendants(registry.edges(_FOREST(spark, sf))).where("ancestor = '1-0000000001'").select(F.col("id").alias("territory_id"), "hop")
-    return search.page(below, 200, after="2-0000000003")
+    units = _FOREST(spark, sf)
+    below = graph.subtree(registry.edges(units), units.where("territory_id = '1-0000000001'").select(F.col("territory_id").alias("id")))
+    return search.page(below.select(F.col("id").alias("territory_id"), "hop"), 200, after="2-0000000003")
+
+
+@query
+def descendants_filtered(spark, sf):
+    units = _FOREST(spark, sf)
+    below = graph.subtree(registry.edges(units), units.where("territory_id = '1-0000000002'").select(F.col("territory_id").alias("id")))
+    return search.matching(units, type="village", status="abolished").join(below.select(F.col("id").alias("territory_id"), "hop"), "territory_id").select("territory_id", "official_name", "hop")
+
+
+@query
+def unit_detail(spark, sf):
+    return search.detail(registry.with_identifiers(_FOREST(spark, sf)), "2-0000000005").select("relation", "hop", "territory_id", "official_name", "short_name", F.array_join(F.transform("identifiers", lambda x: F.concat_ws("=", x["scheme"], x["value"])), ",").alias("identifiers"))
 
 
 @query
@@ -87,7 +100,7 @@ def unresolved_parents(spark, sf):
 
 @query
 def cycle_detect(spark, sf):
-    return graph.cycles(inputs.ringed_edges(spark, sf))
+    return graph.cycles(inputs.ringed_edges(spark, sf)).select("id", "cycle", "position")
 
 
 @query
@@ -132,7 +145,7 @@ _OVERRIDES = {"1146": (77, 3, "sector", "administrative_subdivision", False, Fal
 
 @query
 def type_findings(spark, sf):
-    return _union(validation.type_rules(inputs.records(spark, sf), _OVERRIDES))
+    return validation.type_rules(inputs.records(spark, sf), _OVERRIDES)
 
 
 @query
@@ -140,15 +153,18 @@ def type_override(spark, sf):
     return validation.typed(inputs.records(spark, sf), _OVERRIDES).where("code IN ('1146', '1142', '1', '1144')").select("row_number", "code", "territory_type", "administrative_role", "expected_level", "is_uat")
 
 
+# county: (source value, corrected value, count, the county's code); the second anchor is absent, the third one is a unit of level 2
+_CORRECTED = validation.Profile(corrections={"1": ("RO999", "RO000", 1, "1"), "2": ("RO001", "RO001", 2, "123456"), "4": ("RO003", "RO093", 3, "103"), "5": ("RO004", "RO004", 5, "5")})
+
+
 @query
 def nuts_findings(spark, sf):
-    profile = validation.Profile(corrections={"1": ("RO999", "RO000", 1, "1"), "2": ("RO001", "RO001", 2, "123456")})
-    return _union(validation.nuts_rules(inputs.records(spark, sf), profile))
+    return validation.nuts_rules(inputs.records(spark, sf), _CORRECTED)
 
 
 @query
 def parent_findings(spark, sf):
-    return _union(validation.parent_rules(inputs.records(spark, sf)))
+    return validation.parent_rules(inputs.records(spark, sf))
 
 
 @query
@@ -187,6 +203,41 @@ def first_and_last(spark, sf):
     return first.join(validation.last_by_code(r).select("code", F.col("name").alias("last_name"), "position"), "code")
 
 
+@query
+def cycle_findings(spark, sf):
+    return validation.described(validation.cycle_rule(inputs.records(spark, sf)))
+
+
+@query
+def canonical_units(spark, sf):
+    r = inputs.records(spark, sf)
+    ids = r.groupBy("code").agg(F.concat(F.lit("t-"), "code").alias("territory_id")).where("cast(code AS long) % 7 != 0 OR cast(code AS long) < 200")
+    units = canonical.build(r, ids, _CORRECTED)
+    return units.select("territory_id", "code", "official_name", "short_name", "territory_type", "administrative_level", "parent_territory_id", "county_territory_id", "is_uat", F.array_join(F.transform("identifiers", lambda x: F.concat_ws("=", x["scheme"], x["value"])), ",").alias("identifiers"), "corrected_from")
+
+
+@query
+def changelog_row(spark, sf):
+    return diff.changelog(_changes(spark, sf), "release-1")
+
+
+@query
+def changelog_first(spark, sf):
+    return diff.changelog(diff.first_changes(inputs.snapshots(spark, sf)[1]), None).unionByName(diff.skipped(spark, "validation_blocked"))
+
+
+@query
+def changelog_codes(spark, sf):
+    return diff.listed(_changes(spark, sf))
+
+
+@query
+def consumer_import(spark, sf):
+    good = release.import_report(_FOREST(spark, sf), "r2", "b" * 64, ("r1", "a" * 64), ("r2", None))
+    bad = release.import_report(inputs.broken_forest(spark, sf), "r2", "b" * 64, ("r1", "a" * 64))
+    return good.unionByName(bad).unionByName(release.import_report(_FOREST(spark, sf), "r2", "b" * 64, None, ("r3", None)))
+
+
 @query
 def identity_decisions(spark, sf):
     codes, known, asked = inputs.identities(spark, sf)
@@ -263,6 +314,41 @@ def bundle_verify(spark, sf):
     return release.verify(manifest, found)
 
 
+@query
+def sums_parse(spark, sf):
+    k = F.col("doc_id")
+    sha = F.sha2(F.coalesce("text", F.lit("")), 256)
+    line = F.when(k % 5 == 0, F.concat(F.upper(sha), F.lit("  a"))).when(k % 5 == 1, F.concat(sha, F.lit(" a"))).when(k % 5 == 2, F.lit("")).otherwise(F.concat(sha, F.lit("  part "), k))
+    return release.parse_sums(load(spark, sf, "documents").select(line.alias("line")))
+
+
+@query
+def count_reconciliation(spark, sf):
+    seen = _FOREST(spark, sf).groupBy(F.col("territory_type").alias("name")).agg(F.count("*").alias("n"))
+    return release.reconcile(seen, spark.createDataFrame([("county", 5), ("municipality", 1), ("sector", 6)], "name string, n long"))
+
+
+@query
+def release_forms(spark, sf):
+    k = F.col("event_id")
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    release_id = F.concat_ws(".", (2000 + k % 100).cast("string"), two(k % 13), two(k % 32), (k % 3).cast("string"))
+    version = F.when(k % 4 == 0, F.lit("v1.2.3")).otherwise(F.concat_ws(".", (k % 20).cast("string"), (k % 3).cast("string"), F.lit("0")))
+    time = F.when(k % 4 == 0, F.lit("2024-02-30T00:00:00.000Z")).when(k % 4 == 1, F.lit("2024-02-29T10:11:12.345Z")).when(k % 4 == 2, F.lit("2024-02-29T10:11:12Z")).otherwise(F.lit("x"))
+    header = F.when(k % 3 == 0, F.lit(" Text/HTML ; charset=utf-8")).when(k % 3 == 1, F.lit(";")).otherwise(F.lit("APPLICATION/json"))
+    sha = F.sha2(k.cast("string"), 256)
+    folder = F.when(k % 2 == 0, F.substring(sha, 1, 2)).otherwise(F.lit("zz"))
+    parameters = F.create_map(F.lit("q"), F.when(k % 2 == 0, F.lit("a")), F.lit("limit"), (k % 9).cast("string"), F.lit("code"), F.lit(""))
+    return load(spark, sf, "events").select(
+        "event_id", numbers.semver_major(version).alias("major"), numbers.release_date(release_id).alias("released"), numbers.utc_milliseconds(time).alias("exact"),
+        numbers.backoff_ms(k % 7 + 1, F.when(k % 3 == 0, k % 50)).alias("backoff"), text.media_type_header(header).alias("media_type"),
+        network.storage_uri(F.concat(F.lit("s3://archive/raw/"), folder, F.lit("/"), sha, F.lit(".xlsx")), "s3", "archive").alias("stored"),
+        hashing.idempotency_key(F.lit("c" * 40), sha, (k % 5).cast("string")).alias("idempotency_key"), text.query_string(parameters).alias("query"),
+        history.move_kind(F.col("ts"), F.lit("2024-01-15 00:00:00").cast("timestamp")).alias("move"), text.optional_text(F.when(k % 3 == 0, F.lit("  ")).when(k % 3 == 1, F.lit(" a  b "))).alias("optional"),
+        sha.rlike(numbers.SHA256).alias("is_sha"), version.rlike(numbers.SEMVER).alias("is_semver"),
+    )
+
+
 @query
 def latest_per_key(spark, sf):
     o = load(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus")

@@ -25,14 +25,14 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
     customer = load(spark, folder, "customer").join(of_nation, F.col("c_nationkey") == F.col("_n"))
     supplier = load(spark, folder, "supplier").join(of_nation, F.col("s_nationkey") == F.col("_n"))
     return (
-        rows(region, r + 1, r + 1, F.col("r_name"), r + 1, F.lit(0), F.lit(40), 1, nuts(r))
+        rows(region, r + 1, r + 1, F.col("r_name"), r + 1, F.when(r == 4, 888888).otherwise(0), F.lit(40), 1, F.when(r != 2, nuts(r)).otherwise("BAD"))
         .unionByName(rows(nation, n + 100, n + 100, F.col("n_name"), F.col("n_regionkey") + 1, F.col("n_regionkey") + 1, n % 3 + 1, 2, F.when(n % 7 != 0, nuts(F.col("n_regionkey")))))
         .unionByName(rows(
             customer, 2 * k + 1000, F.when(of(97), 2 * k + 998).otherwise(2 * k + 1000), F.col("c_name"), F.when(of(53), 99).otherwise(F.col("_r") + 1),
-            F.when(of(89), 999999).when(of(83), 0).when(of(79), F.col("_r") + 1).otherwise(F.col("c_nationkey") + 100), F.when(of(71), 77).when(of(73), 2).otherwise(11), 3,
+            F.when(k % 113 == 1, 2 * k + 1002).when(k % 113 == 2, 2 * k + 998).when(of(89), 999999).when(of(83), 0).when(of(79), F.col("_r") + 1).otherwise(F.col("c_nationkey") + 100), F.when(of(71), 77).when(of(73), 2).otherwise(11), 3,
             F.when(of(61), F.lit("XX1")).when(of(67), F.lit("RO999")).otherwise(nuts(F.col("_r"))),
         ))
-        .unionByName(rows(supplier, 2 * s + 1001, 2 * s + 1001, F.col("s_name"), F.col("_r") + 1, F.col("s_nationkey") + 100, F.lit(9), 3, nuts(F.col("_r"))))
+        .unionByName(rows(supplier, 2 * s + 1001, 2 * s + 1001, F.col("s_name"), F.col("_r") + 1, F.col("s_nationkey") + 100, F.when(s % 199 == 7, 40).otherwise(9), 3, F.when(s % 41 == 0, "").otherwise(nuts(F.col("_r")))))
     )
 
 

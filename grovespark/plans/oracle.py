@@ -27,16 +27,17 @@ _VIEW = "territory_id, official_name, normalized_name, territory_type, administr
 
 _RECORDS = """
 records AS (
-  SELECT (r_regionkey + 1)::INTEGER AS row_number, (r_regionkey + 1)::VARCHAR AS code, r_name AS name, (r_regionkey + 1)::VARCHAR AS county, '0' AS parent, 40 AS type, 1 AS level, 'RO0' || lpad(r_regionkey::VARCHAR, 2, '0') AS nuts FROM region
+  SELECT (r_regionkey + 1)::INTEGER AS row_number, (r_regionkey + 1)::VARCHAR AS code, r_name AS name, (r_regionkey + 1)::VARCHAR AS county, CASE WHEN r_regionkey = 4 THEN '888888' ELSE '0' END AS parent, 40 AS type, 1 AS level, CASE WHEN r_regionkey = 2 THEN 'BAD' ELSE 'RO0' || lpad(r_regionkey::VARCHAR, 2, '0') END AS nuts FROM region
   UNION ALL SELECT n_nationkey + 100, (n_nationkey + 100)::VARCHAR, n_name, (n_regionkey + 1)::VARCHAR, (n_regionkey + 1)::VARCHAR, n_nationkey % 3 + 1, 2, CASE WHEN n_nationkey % 7 <> 0 THEN 'RO0' || lpad(n_regionkey::VARCHAR, 2, '0') END FROM nation
   UNION ALL SELECT (2 * c_custkey + 1000)::INTEGER, (2 * c_custkey + CASE WHEN c_custkey % 97 = 0 THEN 998 ELSE 1000 END)::VARCHAR, c_name, CASE WHEN c_custkey % 53 = 0 THEN '99' ELSE (n_regionkey + 1)::VARCHAR END,
-    CASE WHEN c_custkey % 89 = 0 THEN '999999' WHEN c_custkey % 83 = 0 THEN '0' WHEN c_custkey % 79 = 0 THEN (n_regionkey + 1)::VARCHAR ELSE (c_nationkey + 100)::VARCHAR END,
+    CASE WHEN c_custkey % 113 = 1 THEN (2 * c_custkey + 1002)::VARCHAR WHEN c_custkey % 113 = 2 THEN (2 * c_custkey + 998)::VARCHAR WHEN c_custkey % 89 = 0 THEN '999999' WHEN c_custkey % 83 = 0 THEN '0' WHEN c_custkey % 79 = 0 THEN (n_regionkey + 1)::VARCHAR ELSE (c_nationkey + 100)::VARCHAR END,
     CASE WHEN c_custkey % 71 = 0 THEN 77 WHEN c_custkey % 73 = 0 THEN 2 ELSE 11 END, 3,
     CASE WHEN c_custkey % 61 = 0 THEN 'XX1' WHEN c_custkey % 67 = 0 THEN 'RO999' ELSE 'RO0' || lpad(n_regionkey::VARCHAR, 2, '0') END FROM customer JOIN nation ON c_nationkey = n_nationkey
-  UNION ALL SELECT (2 * s_suppkey + 1001)::INTEGER, (2 * s_suppkey + 1001)::VARCHAR, s_name, (n_regionkey + 1)::VARCHAR, (s_nationkey + 100)::VARCHAR, 9, 3, 'RO0' || lpad(n_regionkey::VARCHAR, 2, '0') FROM supplier JOIN nation ON s_nationkey = n_nationkey
+  UNION ALL SELECT (2 * s_suppkey + 1001)::INTEGER, (2 * s_suppkey + 1001)::VARCHAR, s_name, (n_regionkey + 1)::VARCHAR, (s_nationkey + 100)::VARCHAR, CASE WHEN s_suppkey % 199 = 7 THEN 40 ELSE 9 END, 3, CASE WHEN s_suppkey % 41 = 0 THEN '' ELSE 'RO0' || lpad(n_regionkey::VARCHAR, 2, '0') END FROM supplier JOIN nation ON s_nationkey = n_nationkey
 ), numbered AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY row_number) AS nth FROM records),
 own AS (SELECT * EXCLUDE (nth), CASE WHEN parent <> '0' THEN parent END AS up FROM numbered WHERE nth = 1),
-joined AS (SELECT o.*, p.level AS up_level, p.county AS up_county, p.code IS NOT NULL AS found FROM own o LEFT JOIN own p ON o.up = p.code),
+each_row AS (SELECT *, CASE WHEN parent <> '0' THEN parent END AS up FROM records),
+joined AS (SELECT o.*, p.level AS up_level, p.county AS up_county, p.code IS NOT NULL AS found FROM each_row o LEFT JOIN own p ON o.up = p.code),
 kinds(type, kind, role, want, uat) AS (VALUES (1, 'municipality', 'local_uat', 2, true), (2, 'city', 'local_uat', 2, true), (3, 'commune', 'local_uat', 2, true), (4, 'municipality', 'local_uat', 2, true), (5, 'city', 'local_uat', 2, true), (6, 'sector', 'administrative_subdivision', 3, false), (9, 'component_locality', 'locality', 3, false), (10, 'component_locality', 'locality', 3, false), (11, 'village', 'locality', 3, false), (17, 'component_locality', 'locality', 3, false), (18, 'component_locality', 'locality', 3, false), (19, 'village', 'locality', 3, false), (22, 'village', 'locality', 3, false), (23, 'village', 'locality', 3, false), (40, 'county', 'county_uat', 1, true)),
 checked AS (
   SELECT *, code::BIGINT AS v, (11 - list_sum(list_transform([[1, 10], [2, 100], [3, 1000], [5, 10000], [7, 100000]], lambda x: ((code::BIGINT // x[2]) % 10 * x[1]) // 10 + ((code::BIGINT // x[2]) % 10 * x[1]) % 10)) % 10) % 10 = code::BIGINT % 10 AND code::BIGINT < 1000000 AS valid FROM records
@@ -53,26 +54,34 @@ _TYPE = [
     _found("TYPE_LEVEL_MISMATCH", "blocker", "code", "level", "records JOIN kinds USING (type) WHERE want <> level"),
 ]
 _PARENT = [
-    _found("REQUIRED_PARENT_MISSING", "blocker", "code", "NULL", "joined WHERE level > 1 AND up IS NULL"),
+    _found("REQUIRED_PARENT_MISSING", "blocker", "code", "level", "joined WHERE level > 1 AND up IS NULL"),
     _found("PARENT_MISSING", "blocker", "code", "up", "joined WHERE up IS NOT NULL AND NOT found"),
-    _found("ROOT_PARENT_INVALID", "blocker", "code", "up", "joined WHERE found AND level = 1"),
-    _found("PARENT_LEVEL_INVALID", "blocker", "code", "up", "joined WHERE found AND level > 1 AND up_level <> level - 1"),
-    _found("PARENT_COUNTY_MISMATCH", "blocker", "code", "up", "joined WHERE found AND level > 1 AND county IS DISTINCT FROM up_county"),
-    _found("COUNTY_MISSING", "blocker", "code", "county", "own WHERE county NOT IN (SELECT county FROM own WHERE type = 40)"),
+    _found("ROOT_PARENT_INVALID", "blocker", "code", "parent", "joined WHERE up IS NOT NULL AND level = 1"),
+    _found("PARENT_LEVEL_INVALID", "blocker", "code", "up_level", "joined WHERE found AND level > 1 AND up_level <> level - 1"),
+    _found("PARENT_COUNTY_MISMATCH", "blocker", "code", "up_county", "joined WHERE found AND county IS DISTINCT FROM up_county"),
+    _found("COUNTY_MISSING", "blocker", "code", "county", "records WHERE county NOT IN (SELECT county FROM records WHERE type = 40)"),
 ]
 
 
+def _known(source: str) -> str:
+    return f"(SELECT county, arg_min(nuts, row_number) AS known FROM {source} WHERE nuts <> '' GROUP BY county)"
+
+
 def _nuts(source: str) -> list[str]:
-    good = f"(SELECT *, first_value(nuts) OVER (PARTITION BY county ORDER BY row_number) AS first_nuts FROM {source} WHERE regexp_full_match(nuts, 'RO[0-9A-Z]{{3}}'))"
     return [
-        _found("NUTS_FORMAT_INVALID", "blocker", "code", "nuts", f"{source} WHERE nuts IS NOT NULL AND NOT regexp_full_match(nuts, 'RO[0-9A-Z]{{3}}')"),
-        _found("NUTS_COUNTY_CONFLICT", "blocker", "code", "nuts", f"{good} WHERE nuts <> first_nuts"),
-        _found("NUTS_DUPLICATE_COUNTY_IDENTIFIER", "blocker", "nuts", "c", f"(SELECT nuts, string_agg(DISTINCT county, ',' ORDER BY county) AS c, count(DISTINCT county) AS k FROM {good} WHERE type = 40 GROUP BY nuts) WHERE k > 1"),
-        _found("DUPLICATE_COUNTY_CODE", "blocker", "county", "code", "(SELECT *, row_number() OVER (PARTITION BY county ORDER BY row_number) AS k FROM records WHERE type = 40) WHERE k > 1"),
+        _found("NUTS_FORMAT_INVALID", "blocker", "code", "nuts", f"{source} WHERE nuts <> '' AND NOT regexp_full_match(nuts, 'RO[0-9A-Z]{{3}}')"),
+        _found("NUTS_COUNTY_CONFLICT", "blocker", "code", "nuts", f"{source} JOIN {_known(source)} USING (county) WHERE nuts <> '' AND nuts <> known"),
+        _found("NUTS_DUPLICATE_COUNTY_IDENTIFIER", "blocker", "NULL", "known || ':' || c", f"(SELECT known, string_agg(county, ',' ORDER BY county) AS c, count(*) AS k FROM {_known(source)} GROUP BY known) WHERE k > 1"),
+        _found("DUPLICATE_COUNTY_CODE", "blocker", "code", "b || ',' || code", "(SELECT *, lag(code) OVER (PARTITION BY county ORDER BY row_number) AS b FROM records WHERE type = 40) WHERE b <> code"),
     ]
 
 
-_SEEN = "(SELECT count(*) AS n, count(*) FILTER (level = 1) AS l1, count(*) FILTER (level = 2) AS l2, count(*) FILTER (level = 3) AS l3, count(*) FILTER (NOT valid) AS bad, count(*) FILTER (nuts IS NULL) AS missing, count(DISTINCT nuts) FILTER (type = 40) AS nuts3 FROM checked)"
+_WALK = """, walk AS (
+  SELECT code AS start, up AS above, [code] AS path FROM own WHERE up IS NOT NULL
+  UNION ALL SELECT start, o.up, list_append(path, o.code) FROM walk JOIN own o ON o.code = above WHERE above <> start AND o.up IS NOT NULL AND NOT list_contains(path, above)
+)"""
+_CYCLE = _found("HIERARCHY_CYCLE", "blocker", "NULL", "array_to_string(path, '>') || '>' || start", "walk WHERE above = start AND start = list_min(path)")
+_SEEN = "(SELECT count(*) AS n, count(*) FILTER (level = 1) AS l1, count(*) FILTER (level = 2) AS l2, count(*) FILTER (level = 3) AS l3, count(*) FILTER (NOT valid) AS bad, count(*) FILTER (coalesce(nuts, '') = '') AS missing, (SELECT count(DISTINCT known) FROM " + _known("records") + ") AS nuts3 FROM checked)"
 _VOLUME = [
     _found("LEVEL_VOLUME_CHANGED", "blocker", "NULL", f"'{k}:' || l{k}", f"{_SEEN} WHERE l{k} <> {want}") for k, want in ((1, 5), (2, 24), (3, 1))
 ] + [
@@ -89,16 +98,16 @@ def _with(ctes: str, parts: str | list[str], recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' * recursive}{ctes} " + (parts if isinstance(parts, str) else " UNION ALL ".join(parts))
 
 
-_ALL = [_DUP, *_TYPE, *_nuts("records"), *_PARENT, *_VOLUME]
-_CORRECTED = ", corrected AS (SELECT * REPLACE (CASE WHEN county = '1' AND nuts = 'RO999' THEN 'RO000' WHEN county = '2' AND nuts = 'RO001' THEN 'RO001' ELSE nuts END AS nuts) FROM records)"
+_ALL = [_DUP, *_TYPE, *_nuts("records"), *_PARENT, _CYCLE, *_VOLUME]
+_CORRECTED = ", corrected AS (SELECT * REPLACE (CASE WHEN county = '1' AND nuts = 'RO999' THEN 'RO000' WHEN county = '2' AND nuts = 'RO001' THEN 'RO001' WHEN county = '4' AND nuts = 'RO003' THEN 'RO093' ELSE nuts END AS nuts) FROM records)"
 
 
 def _correction(county: str, source: str, count: int, unit: str) -> list[str]:
-    seen = f"(SELECT count(*) FILTER (nuts = '{source}') AS n, count(*) FILTER (code = '{unit}') AS units, count(*) FILTER (code = '{unit}' AND nuts = '{source}') AS whole FROM records WHERE county = '{county}')"
+    anchor = f"(SELECT * FROM own WHERE code = '{unit}')"
     return [
-        _found("REVIEWED_NUTS_CORRECTION_MISSING", "blocker", f"'{unit}'", "NULL", f"{seen} WHERE units = 0"),
-        _found("REVIEWED_NUTS_CORRECTION_MISMATCH", "blocker", f"'{unit}'", "NULL", f"{seen} WHERE units > 0 AND whole = 0"),
-        _found("REVIEWED_NUTS_CORRECTION_COUNT_CHANGED", "blocker", "NULL", "n", f"{seen} WHERE n <> {count}"),
+        _found("REVIEWED_NUTS_CORRECTION_MISSING", "blocker", f"'{unit}'", "NULL", f"(SELECT 1) WHERE NOT EXISTS {anchor}"),
+        _found("REVIEWED_NUTS_CORRECTION_MISMATCH", "blocker", "code", "NULL", f"{anchor} WHERE county <> '{county}' OR type <> 40 OR level <> 1 OR nuts IS DISTINCT FROM '{source}'"),
+        _found("REVIEWED_NUTS_CORRECTION_COUNT_CHANGED", "blocker", "code", "n", f"{anchor}, (SELECT count(*) AS n FROM records WHERE county = '{county}' AND nuts = '{source}') WHERE n <> {count}"),
     ]
 
 
@@ -143,6 +152,28 @@ def _closed() -> str:
 
 _URL = "CASE page_id % 7 WHEN 0 THEN url || '#part' WHEN 1 THEN replace(url, '://', '://user:word@') WHEN 2 THEN 'ftp://data.example.org/x' WHEN 3 THEN 'not a url' WHEN 4 THEN 'https://data.example.org:8443/x' WHEN 5 THEN 'https://DATA.example.org/x?y=1' ELSE url END"
 
+_LISTED = "CASE WHEN nuts <> '' THEN 'eu.eurostat.nuts=' || nuts || ',' ELSE '' END || 'ro.ins.siruta=' || code"
+
+
+def _detail(relation: str, hop: int, where: str) -> str:
+    return f"SELECT '{relation}' AS relation, {hop} AS hop, territory_id, official_name, official_name AS short_name, {_LISTED} AS identifiers FROM forest WHERE {where}"
+
+
+_CANONICAL = f"""
+SELECT i.tid AS territory_id, c.code, c.name AS official_name, c.name AS short_name, kind AS territory_type, c.level AS administrative_level, p.tid AS parent_territory_id, q.tid AS county_territory_id, uat AS is_uat,
+  CASE WHEN role = 'county_uat' AND c.nuts <> '' THEN 'eu.eurostat.nuts=' || c.nuts || ',' ELSE '' END || 'ro.ins.siruta=' || c.code AS identifiers, CASE WHEN role = 'county_uat' AND c.nuts IS DISTINCT FROM r.nuts THEN r.nuts END AS corrected_from
+FROM corrected c JOIN records r USING (row_number) LEFT JOIN kinds k ON c.type = k.type LEFT JOIN ids i ON i.code = c.code LEFT JOIN ids p ON p.code = c.parent AND c.parent <> '0'
+LEFT JOIN (SELECT county, arg_max(code, row_number) AS cc FROM records WHERE type = 40 GROUP BY county) m ON m.county = c.county LEFT JOIN ids q ON q.code = m.cc"""
+_IDS = ", ids AS (SELECT DISTINCT code, 't-' || code AS tid FROM records WHERE code::BIGINT % 7 <> 0 OR code::BIGINT < 200)"
+
+
+def _import(table: str, back: str, fits: str) -> str:
+    faults = f"(SELECT count(*) FROM (SELECT territory_id FROM {table} GROUP BY 1 HAVING count(*) > 1)) + (SELECT count(*) FROM (SELECT code FROM {table} GROUP BY 1 HAVING count(*) > 1))"
+    faults += "".join(f" + (SELECT count(*) FROM {table} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT territory_id FROM {table}))" for c in ("parent_id", "county_id"))
+    ok = f"c = 0 AND {fits}"
+    return f"SELECT CASE WHEN {ok} THEN 'accepted' ELSE 'rejected' END AS status, CASE WHEN {ok} THEN n ELSE 0 END::BIGINT AS accepted, CASE WHEN {ok} THEN 0 ELSE n END::BIGINT AS rejected, c::BIGINT AS conflicts, 'r2' AS release_id, '{'b' * 64}' AS manifest_sha256, CASE WHEN {ok} THEN {back} END::VARCHAR AS rollback_release_id FROM (SELECT count(*) AS n, {faults} AS c FROM {table})"
+
+
 ORACLES = {
     "search_fold_page": _with(_FOREST, f"SELECT {_VIEW} FROM forest WHERE status = 'active' AND contains(normalized_name, 'customer#00000000') ORDER BY territory_id LIMIT 50"),
     "search_filters": _with(_FOREST, f"SELECT {_VIEW} FROM forest WHERE territory_type = 'component_locality' AND county_id = '1-0000000001'"),
@@ -156,7 +187,7 @@ ORACLES = {
     "subtree_counts": _with(_FOREST + _UP.format(t="forest"), "SELECT ancestor, count(*) AS n, max(hop) AS depth FROM up GROUP BY ancestor", True),
     "partition_check": _with(_BROKEN + _UP.format(t="broken"), "SELECT b.territory_id AS id, n_roots, root, county_id FROM broken b LEFT JOIN (SELECT id, count(*) AS n_roots, min(root) AS root FROM (SELECT id, ancestor AS root FROM up WHERE ancestor IN (SELECT territory_id FROM broken WHERE parent_id IS NULL) UNION ALL SELECT territory_id, territory_id FROM broken WHERE parent_id IS NULL) GROUP BY id) t ON b.territory_id = t.id WHERE coalesce(n_roots, 0) <> 1 OR root IS DISTINCT FROM county_id", True),
     "unresolved_parents": _with(_BROKEN, "SELECT territory_id AS id, parent_id AS parent FROM broken WHERE parent_id IS NOT NULL AND parent_id NOT IN (SELECT territory_id FROM broken)"),
-    "cycle_detect": f"WITH e AS (SELECT c_custkey AS k, c_custkey + CASE c_custkey % 10 WHEN 1 THEN 1 WHEN 2 THEN -1 WHEN 3 THEN 1 WHEN 4 THEN 1 WHEN 5 THEN -2 WHEN 6 THEN -1 END AS p FROM customer), f AS (SELECT a.k, b.k AS k2, c.k AS k3, a.p AS p1, b.p AS p2, c.p AS p3 FROM e a LEFT JOIN e b ON a.p = b.k LEFT JOIN e c ON b.p = c.k) SELECT {_ID(3, 'k')} AS id, {_ID(3, 'CASE WHEN p2 = k THEN least(k, k2) ELSE least(k, k2, k3) END')} AS cycle FROM f WHERE p2 = k OR p3 = k",
+    "cycle_detect": f"WITH e AS (SELECT c_custkey AS k, c_custkey + CASE c_custkey % 10 WHEN 1 THEN 1 WHEN 2 THEN -1 WHEN 3 THEN 1 WHEN 4 THEN 1 WHEN 5 THEN -2 WHEN 6 THEN -1 END AS p FROM customer), f AS (SELECT a.k, b.k AS k2, c.k AS k3, a.p AS p1, b.p AS p2, c.p AS p3 FROM e a LEFT JOIN e b ON a.p = b.k LEFT JOIN e c ON b.p = c.k) SELECT {_ID(3, 'k')} AS id, {_ID(3, 'CASE WHEN p2 = k THEN least(k, k2) ELSE least(k, k2, k3) END')} AS cycle, CASE WHEN p2 = k THEN CASE WHEN k < k2 THEN 0 ELSE 1 END WHEN k < least(k2, k3) THEN 0 WHEN k3 < least(k, k2) THEN 1 ELSE 2 END AS position FROM f WHERE p2 = k OR p3 = k",
     "leaf_units": _with(_FOREST, "SELECT territory_id FROM forest f WHERE level < 3 AND NOT EXISTS (SELECT 1 FROM forest c WHERE c.level < 3 AND c.parent_id = f.territory_id)"),
     "slug_paths": _with(_FOREST, f"SELECT a.territory_id, concat_ws('/', {_SLUG.format('c.official_name')}, {_SLUG.format('b.official_name')}, {_SLUG.format('a.official_name')}) AS path, a.level AS depth FROM forest a LEFT JOIN forest b ON a.parent_id = b.territory_id LEFT JOIN forest c ON b.parent_id = c.territory_id"),
     "release_counts": _with(_FOREST, "SELECT count(*) AS territories, count(*) FILTER (administrative_role = 'county_uat') AS counties, count(*) FILTER (administrative_role = 'local_uat') AS local_uats, count(*) FILTER (administrative_role = 'locality') AS localities, count(*) FILTER (administrative_role = 'administrative_subdivision') AS subdivisions FROM forest"),
@@ -170,13 +201,34 @@ ORACLES = {
         _found("REVIEWED_TYPE_OVERRIDE_MISSING", "blocker", "code", "NULL", "overrides WHERE code NOT IN (SELECT code FROM records)"),
     ]),
     "type_override": _with(_RECORDS + _OVERRIDES, "SELECT row_number, code, k AS territory_type, r AS administrative_role, w AS expected_level, u AS is_uat FROM typed WHERE code IN ('1146', '1142', '1', '1144')"),
-    "nuts_findings": _with(_RECORDS + _CORRECTED, _nuts("corrected") + _correction("1", "RO999", 1, "1") + _correction("2", "RO001", 2, "123456")),
+    "nuts_findings": _with(_RECORDS + _CORRECTED, _nuts("corrected") + _correction("1", "RO999", 1, "1") + _correction("2", "RO001", 2, "123456") + _correction("4", "RO003", 3, "103") + _correction("5", "RO004", 5, "5")),
     "parent_findings": _with(_RECORDS, _PARENT),
     "checksum_warnings": _with(_RECORDS, "SELECT row_number, code FROM checked WHERE NOT valid ORDER BY row_number LIMIT 20"),
     "checksum_by_code": _with(_RECORDS, "SELECT row_number, valid FROM checked"),
     "volume_findings": _with(_RECORDS, _VOLUME),
-    "findings_by_rule": _with(_RECORDS, "SELECT rule, severity, count(*) AS n FROM (" + " UNION ALL ".join(_ALL) + ") GROUP BY ALL"),
-    "findings_summary": _with(_RECORDS, "SELECT count(*) FILTER (severity = 'warning') AS warnings, count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'blocker') AS blockers, CASE WHEN count(*) FILTER (severity <> 'warning') > 0 THEN 'blocked' ELSE 'passed' END AS status FROM (" + " UNION ALL ".join(_ALL) + ")"),
+    "findings_by_rule": _with(_RECORDS + _WALK, "SELECT rule, severity, count(*) AS n FROM (" + " UNION ALL ".join(_ALL) + ") GROUP BY ALL", True),
+    "descendants_filtered": _with(_FOREST + _UP.format(t="forest"), "SELECT territory_id, official_name, hop FROM up JOIN forest ON id = territory_id WHERE ancestor = '1-0000000002' AND territory_type = 'village' AND status = 'abolished'", True),
+    "unit_detail": _with(_FOREST, [_detail("self", 0, "territory_id = '2-0000000005'"), _detail("ancestor", 1, "territory_id = (SELECT parent_id FROM forest WHERE territory_id = '2-0000000005')"), _detail("child", 1, "parent_id = '2-0000000005'")]),
+    "canonical_units": _with(_RECORDS + _CORRECTED + _IDS, _CANONICAL),
+    "changelog_row": _with(_SNAPSHOTS, "SELECT *, 'release-1' AS previous_release_id, true AS baseline, false AS skipped, NULL::VARCHAR AS reason FROM ratios"),
+    "changelog_first": _with(_SNAPSHOTS, "SELECT count(*) AS added, 0::BIGINT AS removed, 0::BIGINT AS changed, 0::BIGINT AS unchanged, 0::BIGINT AS source_changed, NULL::DOUBLE AS total_ratio, NULL::DOUBLE AS removed_ratio, NULL::DOUBLE AS changed_ratio, NULL::VARCHAR AS previous_release_id, false AS baseline, false AS skipped, NULL::VARCHAR AS reason FROM after UNION ALL SELECT 0, 0, 0, 0, 0, NULL, NULL, NULL, NULL, NULL, true, 'validation_blocked'"),
+    "changelog_codes": _with(_SNAPSHOTS, "SELECT kind, code::BIGINT AS position, code FROM (SELECT kind, code FROM changes WHERE kind <> 'unchanged' UNION ALL SELECT 'source_record_changed', code FROM changes WHERE source_changed)"),
+    "consumer_import": _with(_BROKEN, [_import("forest", "'r1'", "true"), _import("broken", "'r1'", "true"), _import("forest", "NULL", "false")]),
+    "sums_parse": "SELECT nullif(regexp_extract(line, '^([0-9a-f]{64})  (.+)$', 2), '') AS name, nullif(regexp_extract(line, '^([0-9a-f]{64})  (.+)$', 1), '') AS sha256 FROM (SELECT CASE doc_id % 5 WHEN 0 THEN upper(sha256(coalesce(text, ''))) || '  a' WHEN 1 THEN sha256(coalesce(text, '')) || ' a' WHEN 2 THEN '' ELSE sha256(coalesce(text, '')) || '  part ' || doc_id END AS line FROM documents)",
+    "count_reconciliation": _with(_FOREST, "SELECT coalesce(e.name, o.name) AS name, expected, observed FROM (VALUES ('county', 5), ('municipality', 1), ('sector', 6)) e(name, expected) FULL JOIN (SELECT territory_type AS name, count(*) AS observed FROM forest GROUP BY 1) o ON e.name = o.name WHERE expected IS DISTINCT FROM observed"),
+    "release_forms": r"""
+WITH e AS (SELECT *, (2000 + event_id % 100) || '.' || lpad((event_id % 13)::VARCHAR, 2, '0') || '.' || lpad((event_id % 32)::VARCHAR, 2, '0') || '.' || (event_id % 3) AS rid,
+  CASE WHEN event_id % 4 = 0 THEN 'v1.2.3' ELSE (event_id % 20) || '.' || (event_id % 3) || '.0' END AS version, sha256(event_id::VARCHAR) AS sha FROM events)
+SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN (event_id % 20)::INTEGER END AS major,
+  CASE WHEN event_id % 3 <> 0 THEN try_strptime(left(rid, 10), '%Y.%m.%d')::DATE END AS released, event_id % 4 = 1 AS exact,
+  CASE WHEN event_id % 3 = 0 THEN least(event_id % 50 * 1000, 30000) ELSE least(500 * (1 << (event_id % 7)::INTEGER), 8000) END::BIGINT AS backoff,
+  CASE event_id % 3 WHEN 0 THEN 'text/html' WHEN 2 THEN 'application/json' END AS media_type, CASE WHEN event_id % 2 = 0 THEN sha END AS stored,
+  sha256('{"commit":"' || repeat('c', 40) || '","snapshot":"' || sha || '","transformation":"' || (event_id % 5) || '"}') AS idempotency_key,
+  'limit=' || (event_id % 9) || CASE WHEN event_id % 2 = 0 THEN '&q=a' ELSE '' END AS query,
+  CASE WHEN ts < TIMESTAMP '2024-01-15 00:00:00' THEN 'rollback' ELSE 'promote' END AS move, CASE WHEN event_id % 3 = 1 THEN 'a b' END AS optional,
+  true AS is_sha, event_id % 4 <> 0 AS is_semver FROM e""",
+    "cycle_findings": _with(_RECORDS + _WALK, f"SELECT *, '1.0.0' AS rule_version, 'import_run' AS entity_kind FROM ({_CYCLE})", True),
+    "findings_summary": _with(_RECORDS + _WALK, "SELECT count(*) FILTER (severity = 'warning') AS warnings, count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'blocker') AS blockers, CASE WHEN count(*) FILTER (severity <> 'warning') > 0 THEN 'blocked' ELSE 'passed' END AS status FROM (" + " UNION ALL ".join(_ALL) + ")", True),
     "first_and_last": _with(_RECORDS, "SELECT code, arg_min(name, row_number) AS first_name, arg_max(name, row_number) AS last_name, min(row_number) AS position FROM records GROUP BY code"),
     "identity_decisions": _with(_IDENTITY, "SELECT code, CASE WHEN m IN (0, 1) THEN 'matched' WHEN m IN (4, 10) THEN 'create' ELSE 'needs_review' END AS decision, CASE WHEN m IN (0, 1) THEN 'a' || code WHEN m = 4 THEN 'p' || code WHEN m = 10 THEN 'new' END AS territory_id, CASE m WHEN 2 THEN 'IDENTITY_ACTIVE_PROPOSAL_CONFLICT' WHEN 3 THEN 'IDENTITY_AMBIGUOUS_ACTIVE' WHEN 5 THEN 'IDENTITY_PROPOSAL_HISTORICAL_CONFLICT' WHEN 6 THEN 'IDENTITY_AMBIGUOUS_PROPOSAL' WHEN 7 THEN 'IDENTITY_HISTORICAL_REUSE_REVIEW' WHEN 8 THEN 'IDENTITY_HISTORICAL_REUSE_REVIEW' WHEN 9 THEN 'IDENTITY_HISTORICAL_REUSE_REVIEW' END AS rule FROM identities"),
     "identity_ledger": _with(_IDENTITY, "SELECT code, CASE WHEN m IN (0, 1) THEN 'a' || code WHEN m IN (5, 7) THEN least('h' || code, CASE WHEN code::INT % 22 = 0 THEN 'old' ELSE 'z' END) ELSE 'old' END AS territory_id FROM identities WHERE m IN (0, 1, 5, 7) OR code::INT % 22 = 0"),

@@ -16,13 +16,16 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset (local runs) a temporary folder."""
+    """spark.checkpoint.dir; where it is unset a temporary folder in local runs, and an error on a cluster."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = known.get() if known.isDefined() else "file://" + tempfile.mkdtemp(prefix="shared-")
-        if not known.isDefined():
-            spark.sparkContext.setCheckpointDir(folder)
+        if known.isDefined():
+            return known.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="shared-")
+        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
@@ -33,6 +36,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df marked for broadcast if it has at most `rows` rows (they are counted); else as it is, and a join shuffles it."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

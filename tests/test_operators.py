@@ -144,10 +144,43 @@ def test_graph(spark):
     assert {r.id for r in graph.unresolved_parents(edges).collect()} == {"o"}
     below = {(r.ancestor, r.id) for r in graph.descendants(edges).collect()}
     assert {("x", "t"), ("x", "y"), ("x", "z"), ("a", "c")} <= below and ("x", "x") not in below
+    assert {(r.id, r.position) for r in graph.cycles(edges).where("cycle = 'x'").collect()} == {("x", 0), ("y", 1), ("z", 2)}
+    asked = spark.createDataFrame([("x",), ("a",)], "id string")
+    assert {(r.ancestor, r.id) for r in graph.subtree(edges, asked).collect()} == {(x, y) for x, y in below if x in "xa"}
     none = edges.limit(0)
+    assert graph.subtree(none, asked).count() == 0
     assert graph.ancestors(none).count() == 0 and graph.cycles(none).count() == 0
 
 
+def test_deep_chain(spark):
+    """Ancestors stop after 32 hops; descendants and subtrees do not."""
+    chain = spark.createDataFrame([(f"{i:03d}", f"{i - 1:03d}" if i else None) for i in range(40)], "id string, parent string")
+    assert graph.ancestors(chain).where("id = '039'").count() == 32
+    assert graph.descendants(chain).where("ancestor = '000'").count() == 39
+    assert graph.subtree(chain, spark.createDataFrame([("000",)], "id string")).agg({"hop": "max"}).first()[0] == 39
+
+
+def test_validation_cases(spark):
+    """Cases in which a first look at a record misleads."""
+    P = validation.Profile
+    rows = [
+        (1, "10", "A", "1", "777", 40, 1, "bad"),  # a root under an unknown parent; its badly formed value is the county's first
+        (2, "20", "B", "1", "10", 3, 2, "RO001"),
+        (3, "20", "B again", "1", "0", 3, 2, "RO001"),  # the later row of a code is judged as well
+        (4, "10", "A again", "1", "0", 40, 1, "bad"),  # the same county once more: no second county
+        (5, "30", "C", "2", "20", 11, 3, ""),
+    ]
+    r = spark.createDataFrame(rows, "row_number int, code string, name string, county string, parent string, type int, level int, nuts string")
+    found = {(x.rule.removeprefix("SIRUTA_"), x.entity) for x in validation.all_findings(r, P(corrections={"1": ("RO001", "RO002", 2, "30")})).collect()}
+    assert {("ROOT_PARENT_INVALID", "10"), ("PARENT_MISSING", "10"), ("NUTS_FORMAT_INVALID", "10"), ("NUTS_COUNTY_CONFLICT", "20"), ("REQUIRED_PARENT_MISSING", "20"), ("DUPLICATE_CODE", "20"), ("PARENT_COUNTY_MISMATCH", "30"), ("COUNTY_MISSING", "30"), ("REVIEWED_NUTS_CORRECTION_MISMATCH", "30")} <= found
+    assert not {x for x in found if x[0] in ("DUPLICATE_COUNTY_CODE", "REVIEWED_NUTS_CORRECTION_COUNT_CHANGED", "REVIEWED_NUTS_CORRECTION_MISSING")}
+    again = validation.county_rules(r, P(corrections={"1": ("RO001", "RO002", 9, "99")}))
+    assert [x.rule for x in again.collect()] == ["SIRUTA_REVIEWED_NUTS_CORRECTION_MISSING"]
+    ring = spark.createDataFrame([(1, "5", "A", "1", "6", 11, 3, None), (2, "6", "B", "1", "7", 11, 3, None), (3, "7", "C", "1", "5", 11, 3, None)], r.schema)
+    assert [x.detail for x in validation.cycle_rule(ring).collect()] == ["5>6>7>5"]
+    assert validation.all_findings(r.limit(0), P()).count() == 0
+
+
 def test_slugs(spark):
     rows = [("1", None, "Same", "10"), ("2", None, "same!", "11"), ("3", "1", "Same", "12")]
     got = graph.slugs(spark.createDataFrame(rows, "territory_id string, parent_id string, official_name string, code string"))
