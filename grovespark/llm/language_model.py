@@ -54,7 +54,7 @@ ORDERS = 3
 LOG_BASE = 1.4
 WEIGHTS = {2: 0.5, 3: 0.6}
 DISCOUNT = 0.75
-BITS_EACH = 12
+BITS_EACH = 10
 BLOCK_BITS, PROBES = 512, 4
 BUCKET_BYTES = 2 << 20
 BROADCAST_BYTES = 256 << 20
@@ -118,19 +118,23 @@ def _added(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _packed(values: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
-    """Sorted values as differences, in planes of bytes, which compress well; counts likewise."""
+    """Sorted values as differences, in planes of bytes, compressed; counts likewise. The count of values leads."""
 
     def planes(x: np.ndarray) -> bytes:
-        return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+        raw = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+        return len(x).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
     return planes(np.diff(values, prepend=np.uint64(0))), planes(counts)
 
 
-def _unpacked(values: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    def wide(raw: bytes) -> np.ndarray:
-        return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+def _wide(packed: bytes) -> np.ndarray:
+    n = int.from_bytes(packed[:8], "little")
+    raw = pa.decompress(packed[8:], decompressed_size=8 * n, codec="zstd", asbytes=True) if n else b""
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
 
-    return np.cumsum(wide(values), dtype=np.uint64), wide(counts).astype(np.int64)
+def _unpacked(values: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(_wide(values), dtype=np.uint64), _wide(counts).astype(np.int64)
 
 
 def gram_counts(train: DataFrame) -> DataFrame:
@@ -145,7 +149,7 @@ def gram_counts(train: DataFrame) -> DataFrame:
                 for own, g in zip(held, Tokens(c).grams()):
                     own.append(g)
                     n += len(g)
-                if n > 6_000_000:
+                if n > 5_000_000:
                     yield from flushed(held)
                     held, n = [[] for _ in range(ORDERS)], 0
         yield from flushed(held)
@@ -246,7 +250,7 @@ def filter_slices(counts: DataFrame) -> tuple[Shape, DataFrame, float]:
     def tops(batches):
         for b in batches:
             for n in b.column(0).to_pylist():
-                yield pa.RecordBatch.from_pydict({"top": [int(_unpacked(b"", n)[1].max(initial=0))]})
+                yield pa.RecordBatch.from_pydict({"top": [int(_wide(n).max(initial=0))]})
 
     by_order = {r["order"]: r for r in counts.groupBy("order").agg(F.sum("pairs").alias("pairs"), F.sum(F.col("q").cast("decimal(38,0)")).alias("q"), F.max("bits").alias("bits")).collect()}  # ORDERS rows
     top = counts.where("order = 1").select("counts").mapInArrow(tops, "top long").agg(F.max("top")).first()[0] or 1  # no n-gram is more frequent than its words
