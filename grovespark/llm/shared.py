@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 #: So many keys can be hot at most.
-HOT_KEYS = 100_000
+HOT_KEYS = 10_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -48,11 +48,10 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: Column | None = None)
 def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], count: str) -> DataFrame:
     """rows.join(table, keys), where table has one row a key and the column `count` says how many of the rows have that key.
 
-    Keys with more than a HOT_KEYS-th of all rows, so HOT_KEYS keys at most, are broadcast: no task gets all rows of one.
+    Keys with more than a HOT_KEYS-th of all rows, so HOT_KEYS keys at most at any size, are broadcast: no task gets all rows of one.
     rows and table must be cheap to read again. The column `count` is left out.
     """
-    total = rows.count()
-    least = max(1_000, total // HOT_KEYS)
+    least = rows.count() // HOT_KEYS
     hot = F.broadcast(table.where(F.col(count) > least))
     cold = table.where(F.col(count) <= least).drop(count)
     apart = rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys)
