@@ -71,3 +71,15 @@ def cell(x: Column, y: Column) -> Column:
     """The unit square with its lower left corner at (x, y), as polygons."""
     corner = lambda dx, dy: F.array((x + dx).cast("double"), (y + dy).cast("double"))
     return F.array(F.array(F.array(corner(0, 0), corner(1, 0), corner(1, 1), corner(0, 1), corner(0, 0))))
+
+
+def directed_edges(polygons: Column) -> Column:
+    """Edges (x1, y1, x2, y2) of all rings, exteriors counterclockwise and holes clockwise."""
+
+    def steps(ring: Column, hole: Column) -> Column:
+        n = F.greatest(F.size(ring) - 1, F.lit(0))
+        turned = F.when((_ring_area(ring) > 0) == hole, F.reverse(ring)).otherwise(ring)
+        point = lambda p, x, y: (F.get(p, 0).alias(x), F.get(p, 1).alias(y))
+        return F.zip_with(F.slice(turned, 1, n), F.slice(turned, 2, n), lambda a, b: F.struct(*point(a, "x1", "y1"), *point(b, "x2", "y2")))
+
+    return F.flatten(F.flatten(F.transform(polygons, lambda p: F.transform(p, lambda ring, i: steps(ring, i > 0)))))

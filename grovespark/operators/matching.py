@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import shapes as S
 from ..functions.text import code_candidates, match_name
 from ..sources.registry import ROOT_TYPES
 
@@ -50,3 +51,24 @@ def derivable(units: DataFrame, shapes: DataFrame) -> DataFrame:
     j = units.where("county_id IS NOT NULL").join(shapes, "territory_id", "left")
     by = j.groupBy("county_id").agg(F.count("*").alias("expected"), F.count("snapshot").alias("actual"), F.count_distinct("snapshot").alias("snapshots"))
     return by.withColumn("verdict", F.when(F.col("expected") == 0, "no-eligible-children").when(F.col("actual") < F.col("expected"), "incomplete-children").when(F.col("snapshots") != 1, "ambiguous-snapshot").otherwise("derivable"))
+
+
+def union_boundary(shapes: DataFrame, by: str) -> DataFrame:
+    """Rows (by, x1, y1, x2, y2): the directed edges around the union of each group's polygons, the inside to their left.
+
+    For polygons that meet edge to edge and do not overlap: an edge that two of them share runs both ways and falls out. shapes: (by, polygons).
+    """
+    e = shapes.select(by, F.inline(S.directed_edges(F.col("polygons"))))
+    ahead = F.struct("x1", "y1") < F.struct("x2", "y2")
+    turned = lambda a, b: F.when(ahead, F.col(a)).otherwise(F.col(b)).alias(a)
+    once = e.select(by, turned("x1", "x2"), turned("y1", "y2"), turned("x2", "x1"), turned("y2", "y1"), F.when(ahead, 1).otherwise(-1).alias("way"))
+    kept = once.groupBy(by, "x1", "y1", "x2", "y2").agg(F.sum("way").alias("way")).where("way != 0")
+    back = F.col("way") < 0
+    swap = lambda a, b: F.when(back, F.col(b)).otherwise(F.col(a)).alias(a)
+    return kept.select(by, swap("x1", "x2"), swap("y1", "y2"), swap("x2", "x1"), swap("y2", "y1"))
+
+
+def union_measures(boundary: DataFrame, by: str) -> DataFrame:
+    """Rows (by, edges, perimeter, area) of a union, from its boundary."""
+    length = F.sqrt(F.pow(F.col("x2") - F.col("x1"), 2) + F.pow(F.col("y2") - F.col("y1"), 2))
+    return boundary.groupBy(by).agg(F.count("*").alias("edges"), F.sum(length).alias("perimeter"), (F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) / 2).alias("area"))

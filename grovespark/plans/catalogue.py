@@ -11,8 +11,8 @@ from ..functions import hashing, network, numbers, shapes, text
 from ..operators import canonical, diff, graph, history, identity, limiter, matching, paging, release, search, validation
 from ..sources import features, registry, snapshots
 from ..sources.tables import load
-from . import inputs
-from .oracle import ORACLES
+from . import governed, inputs
+from .oracle import FOREST, ORACLES
 
 _FOREST = registry.forest
 _FOUND: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -440,13 +440,6 @@ def props_json(spark, sf):
 
 @query
 def text_fold(spark, sf):
-    t = F.concat(F.replace("text", F.lit("a"), F.lit("Ă")), F.lit(" Ștefan Țară ÎN"))
-    return load(spark, sf, "documents").where("lang = 'en'").select("doc_id", F.md5(text.fold(F.regexp_replace(t, "[^ -~ĂȘȚÎ]", ""))).alias("folded"), F.md5(text.slugify(F.regexp_replace(t, "[^ -~ĂȘȚÎ]", ""))).alias("slug"))
-
-
-@query
-def text_fold_whole(spark, sf):
-    """All documents as they are; SQL cannot express the folding of every letter."""
     return load(spark, sf, "documents").select("doc_id", F.md5(text.fold(F.col("text"))).alias("folded"), F.md5(text.slugify(F.col("text"))).alias("slug"))
 
 
@@ -538,8 +531,8 @@ def nfkc_normalize(spark, sf):
 
 
 def queries():
-    return dict(_FOUND)
+    return _FOUND | governed.FOUND
 
 
 def oracle_sql():
-    return {k: v for k, v in ORACLES.items() if k in _FOUND}
+    return {k: v for k, v in ORACLES.items() if k in _FOUND} | governed.oracles(FOREST)

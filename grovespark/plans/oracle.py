@@ -2,7 +2,7 @@
 
 _ID = lambda kind, key: f"'{kind}-' || lpad(({key})::VARCHAR, 10, '0')"
 
-_FOREST = f"""
+FOREST = f"""
 forest AS (
   SELECT {_ID(1, 'r_regionkey')} AS territory_id, (r_regionkey + 1)::VARCHAR AS code, r_name AS official_name, lower(r_name) AS normalized_name, 'county' AS territory_type, 'county_uat' AS administrative_role, 1 AS level, NULL::VARCHAR AS parent_id, {_ID(1, 'r_regionkey')} AS county_id, 'active' AS status, 'RO0' || lpad(r_regionkey::VARCHAR, 2, '0') AS nuts FROM region
   UNION ALL SELECT {_ID(2, 'n_nationkey')}, (n_nationkey + 100)::VARCHAR, n_name, lower(n_name), ['municipality', 'city', 'commune'][n_nationkey % 3 + 1], 'local_uat', 2, {_ID(1, 'n_regionkey')}, {_ID(1, 'n_regionkey')}, 'active', NULL FROM nation
@@ -11,7 +11,7 @@ forest AS (
 )"""
 
 _BROKEN = (
-    _FOREST
+    FOREST
     + """, broken AS (
   SELECT * REPLACE (
     CASE WHEN territory_type = 'village' AND right(territory_id, 10)::BIGINT % 101 = 0 THEN '2-9999999999' ELSE parent_id END AS parent_id,
@@ -135,8 +135,7 @@ known AS (SELECT 'ro.ins.siruta' AS scheme, (c_custkey % 700)::VARCHAR AS value,
 _HITS = "hits AS (SELECT user_id AS client, event_id AS id, epoch_ms(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY epoch_ms(ts), event_id) AS k FROM events)"
 _CELL = "(c_custkey % 100)::DOUBLE AS x, (c_custkey // 100)::DOUBLE AS y"
 _SLUG = "regexp_replace(regexp_replace(lower({0}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
-_PLAIN = "regexp_replace(replace(text, 'a', 'Ă') || ' Ștefan Țară ÎN', '[^ -~ĂȘȚÎ]', '', 'g')"
-_FOLDED = f"translate(lower({_PLAIN}), 'ăâîșțşţ', 'aaistst')"
+_FOLDED = "translate(lower(coalesce(text, '')), 'ăâîșțşţ', 'aaistst')"
 _CLOSED = [("0.0.0.0", 8), ("10.0.0.0", 8), ("100.64.0.0", 10), ("127.0.0.0", 8), ("169.254.0.0", 16), ("172.16.0.0", 12), ("192.0.0.0", 24), ("192.0.2.0", 24), ("192.168.0.0", 16), ("198.18.0.0", 15), ("198.51.100.0", 24), ("203.0.113.0", 24), ("224.0.0.0", 4), ("240.0.0.0", 4)]
 
 
@@ -175,24 +174,24 @@ def _import(table: str, back: str, fits: str) -> str:
 
 
 ORACLES = {
-    "search_fold_page": _with(_FOREST, f"SELECT {_VIEW} FROM forest WHERE status = 'active' AND contains(normalized_name, 'customer#00000000') ORDER BY territory_id LIMIT 50"),
-    "search_filters": _with(_FOREST, f"SELECT {_VIEW} FROM forest WHERE territory_type = 'component_locality' AND county_id = '1-0000000001'"),
-    "search_code_lookup": _with(_FOREST, "SELECT territory_id, official_name, code AS siruta FROM forest WHERE code = '1102'"),
-    "keyset_next_page": _with(_FOREST, f"SELECT {_VIEW} FROM forest WHERE territory_id > '3-0000000100' ORDER BY territory_id LIMIT 200"),
-    "keyset_page_info": _with(_FOREST, "SELECT (SELECT count(*) FROM forest) AS total, least(count(*), 200) AS returned, CASE WHEN count(*) > 200 THEN rtrim(translate(base64((SELECT territory_id FROM forest WHERE territory_id > '3-0000000100' ORDER BY 1 LIMIT 1 OFFSET 199)::BLOB), '+/', '-_'), '=') END AS next_cursor FROM forest WHERE territory_id > '3-0000000100'"),
-    "children_list": _with(_FOREST, "SELECT territory_id, official_name FROM forest WHERE parent_id = '2-0000000005'"),
-    "root_list": _with(_FOREST, "SELECT territory_id, official_name FROM forest WHERE parent_id IS NULL"),
-    "ancestors_chain": _with(_FOREST + _UP.format(t="forest"), "SELECT * FROM up", True),
-    "descendants_page": _with(_FOREST + _UP.format(t="forest"), "SELECT id AS territory_id, hop FROM up WHERE ancestor = '1-0000000001' AND id > '2-0000000003' ORDER BY id LIMIT 200", True),
-    "subtree_counts": _with(_FOREST + _UP.format(t="forest"), "SELECT ancestor, count(*) AS n, max(hop) AS depth FROM up GROUP BY ancestor", True),
+    "search_fold_page": _with(FOREST, f"SELECT {_VIEW} FROM forest WHERE status = 'active' AND contains(normalized_name, 'customer#00000000') ORDER BY territory_id LIMIT 50"),
+    "search_filters": _with(FOREST, f"SELECT {_VIEW} FROM forest WHERE territory_type = 'component_locality' AND county_id = '1-0000000001'"),
+    "search_code_lookup": _with(FOREST, "SELECT territory_id, official_name, code AS siruta FROM forest WHERE code = '1102'"),
+    "keyset_next_page": _with(FOREST, f"SELECT {_VIEW} FROM forest WHERE territory_id > '3-0000000100' ORDER BY territory_id LIMIT 200"),
+    "keyset_page_info": _with(FOREST, "SELECT (SELECT count(*) FROM forest) AS total, least(count(*), 200) AS returned, CASE WHEN count(*) > 200 THEN rtrim(translate(base64((SELECT territory_id FROM forest WHERE territory_id > '3-0000000100' ORDER BY 1 LIMIT 1 OFFSET 199)::BLOB), '+/', '-_'), '=') END AS next_cursor FROM forest WHERE territory_id > '3-0000000100'"),
+    "children_list": _with(FOREST, "SELECT territory_id, official_name FROM forest WHERE parent_id = '2-0000000005'"),
+    "root_list": _with(FOREST, "SELECT territory_id, official_name FROM forest WHERE parent_id IS NULL"),
+    "ancestors_chain": _with(FOREST + _UP.format(t="forest"), "SELECT * FROM up", True),
+    "descendants_page": _with(FOREST + _UP.format(t="forest"), "SELECT id AS territory_id, hop FROM up WHERE ancestor = '1-0000000001' AND id > '2-0000000003' ORDER BY id LIMIT 200", True),
+    "subtree_counts": _with(FOREST + _UP.format(t="forest"), "SELECT ancestor, count(*) AS n, max(hop) AS depth FROM up GROUP BY ancestor", True),
     "partition_check": _with(_BROKEN + _UP.format(t="broken"), "SELECT b.territory_id AS id, n_roots, root, county_id FROM broken b LEFT JOIN (SELECT id, count(*) AS n_roots, min(root) AS root FROM (SELECT id, ancestor AS root FROM up WHERE ancestor IN (SELECT territory_id FROM broken WHERE parent_id IS NULL) UNION ALL SELECT territory_id, territory_id FROM broken WHERE parent_id IS NULL) GROUP BY id) t ON b.territory_id = t.id WHERE coalesce(n_roots, 0) <> 1 OR root IS DISTINCT FROM county_id", True),
     "unresolved_parents": _with(_BROKEN, "SELECT territory_id AS id, parent_id AS parent FROM broken WHERE parent_id IS NOT NULL AND parent_id NOT IN (SELECT territory_id FROM broken)"),
     "cycle_detect": f"WITH e AS (SELECT c_custkey AS k, c_custkey + CASE c_custkey % 10 WHEN 1 THEN 1 WHEN 2 THEN -1 WHEN 3 THEN 1 WHEN 4 THEN 1 WHEN 5 THEN -2 WHEN 6 THEN -1 END AS p FROM customer), f AS (SELECT a.k, b.k AS k2, c.k AS k3, a.p AS p1, b.p AS p2, c.p AS p3 FROM e a LEFT JOIN e b ON a.p = b.k LEFT JOIN e c ON b.p = c.k) SELECT {_ID(3, 'k')} AS id, {_ID(3, 'CASE WHEN p2 = k THEN least(k, k2) ELSE least(k, k2, k3) END')} AS cycle, CASE WHEN p2 = k THEN CASE WHEN k < k2 THEN 0 ELSE 1 END WHEN k < least(k2, k3) THEN 0 WHEN k3 < least(k, k2) THEN 1 ELSE 2 END AS position FROM f WHERE p2 = k OR p3 = k",
-    "leaf_units": _with(_FOREST, "SELECT territory_id FROM forest f WHERE level < 3 AND NOT EXISTS (SELECT 1 FROM forest c WHERE c.level < 3 AND c.parent_id = f.territory_id)"),
-    "slug_paths": _with(_FOREST, f"SELECT a.territory_id, concat_ws('/', {_SLUG.format('c.official_name')}, {_SLUG.format('b.official_name')}, {_SLUG.format('a.official_name')}) AS path, a.level AS depth FROM forest a LEFT JOIN forest b ON a.parent_id = b.territory_id LEFT JOIN forest c ON b.parent_id = c.territory_id"),
-    "release_counts": _with(_FOREST, "SELECT count(*) AS territories, count(*) FILTER (administrative_role = 'county_uat') AS counties, count(*) FILTER (administrative_role = 'local_uat') AS local_uats, count(*) FILTER (administrative_role = 'locality') AS localities, count(*) FILTER (administrative_role = 'administrative_subdivision') AS subdivisions FROM forest"),
+    "leaf_units": _with(FOREST, "SELECT territory_id FROM forest f WHERE level < 3 AND NOT EXISTS (SELECT 1 FROM forest c WHERE c.level < 3 AND c.parent_id = f.territory_id)"),
+    "slug_paths": _with(FOREST, f"SELECT a.territory_id, concat_ws('/', {_SLUG.format('c.official_name')}, {_SLUG.format('b.official_name')}, {_SLUG.format('a.official_name')}) AS path, a.level AS depth FROM forest a LEFT JOIN forest b ON a.parent_id = b.territory_id LEFT JOIN forest c ON b.parent_id = c.territory_id"),
+    "release_counts": _with(FOREST, "SELECT count(*) AS territories, count(*) FILTER (administrative_role = 'county_uat') AS counties, count(*) FILTER (administrative_role = 'local_uat') AS local_uats, count(*) FILTER (administrative_role = 'locality') AS localities, count(*) FILTER (administrative_role = 'administrative_subdivision') AS subdivisions FROM forest"),
     "reference_faults": _with(_BROKEN, "SELECT territory_id, 'PARENT_ID_MISSING' AS fault FROM broken WHERE parent_id NOT IN (SELECT territory_id FROM broken) UNION ALL SELECT territory_id, 'COUNTY_ID_MISSING' FROM broken WHERE county_id NOT IN (SELECT territory_id FROM broken) UNION ALL SELECT min(territory_id), 'CODE_REPEATED' FROM broken GROUP BY code HAVING count(*) > 1"),
-    "level_profile": _with(_FOREST, "SELECT level, count(*) AS n, count(DISTINCT nuts) AS nuts FROM forest GROUP BY level"),
+    "level_profile": _with(FOREST, "SELECT level, count(*) AS n, count(DISTINCT nuts) AS nuts FROM forest GROUP BY level"),
     "dup_codes": _with(_RECORDS, _DUP),
     "type_findings": _with(_RECORDS + _OVERRIDES, [
         _found("UNKNOWN_TYPE", "blocker", "code", "type", "typed WHERE k IS NULL"),
@@ -207,15 +206,15 @@ ORACLES = {
     "checksum_by_code": _with(_RECORDS, "SELECT row_number, valid FROM checked"),
     "volume_findings": _with(_RECORDS, _VOLUME),
     "findings_by_rule": _with(_RECORDS + _WALK, "SELECT rule, severity, count(*) AS n FROM (" + " UNION ALL ".join(_ALL) + ") GROUP BY ALL", True),
-    "descendants_filtered": _with(_FOREST + _UP.format(t="forest"), "SELECT territory_id, official_name, hop FROM up JOIN forest ON id = territory_id WHERE ancestor = '1-0000000002' AND territory_type = 'village' AND status = 'abolished'", True),
-    "unit_detail": _with(_FOREST, [_detail("self", 0, "territory_id = '2-0000000005'"), _detail("ancestor", 1, "territory_id = (SELECT parent_id FROM forest WHERE territory_id = '2-0000000005')"), _detail("child", 1, "parent_id = '2-0000000005'")]),
+    "descendants_filtered": _with(FOREST + _UP.format(t="forest"), "SELECT territory_id, official_name, hop FROM up JOIN forest ON id = territory_id WHERE ancestor = '1-0000000002' AND territory_type = 'village' AND status = 'abolished'", True),
+    "unit_detail": _with(FOREST, [_detail("self", 0, "territory_id = '2-0000000005'"), _detail("ancestor", 1, "territory_id = (SELECT parent_id FROM forest WHERE territory_id = '2-0000000005')"), _detail("child", 1, "parent_id = '2-0000000005'")]),
     "canonical_units": _with(_RECORDS + _CORRECTED + _IDS, _CANONICAL),
     "changelog_row": _with(_SNAPSHOTS, "SELECT *, 'release-1' AS previous_release_id, true AS baseline, false AS skipped, NULL::VARCHAR AS reason FROM ratios"),
     "changelog_first": _with(_SNAPSHOTS, "SELECT count(*) AS added, 0::BIGINT AS removed, 0::BIGINT AS changed, 0::BIGINT AS unchanged, 0::BIGINT AS source_changed, NULL::DOUBLE AS total_ratio, NULL::DOUBLE AS removed_ratio, NULL::DOUBLE AS changed_ratio, NULL::VARCHAR AS previous_release_id, false AS baseline, false AS skipped, NULL::VARCHAR AS reason FROM after UNION ALL SELECT 0, 0, 0, 0, 0, NULL, NULL, NULL, NULL, NULL, true, 'validation_blocked'"),
     "changelog_codes": _with(_SNAPSHOTS, "SELECT kind, code::BIGINT AS position, code FROM (SELECT kind, code FROM changes WHERE kind <> 'unchanged' UNION ALL SELECT 'source_record_changed', code FROM changes WHERE source_changed)"),
     "consumer_import": _with(_BROKEN, [_import("forest", "'r1'", "true"), _import("broken", "'r1'", "true"), _import("forest", "NULL", "false")]),
     "sums_parse": "SELECT nullif(regexp_extract(line, '^([0-9a-f]{64})  (.+)$', 2), '') AS name, nullif(regexp_extract(line, '^([0-9a-f]{64})  (.+)$', 1), '') AS sha256 FROM (SELECT CASE doc_id % 5 WHEN 0 THEN upper(sha256(coalesce(text, ''))) || '  a' WHEN 1 THEN sha256(coalesce(text, '')) || ' a' WHEN 2 THEN '' ELSE sha256(coalesce(text, '')) || '  part ' || doc_id END AS line FROM documents)",
-    "count_reconciliation": _with(_FOREST, "SELECT coalesce(e.name, o.name) AS name, expected, observed FROM (VALUES ('county', 5), ('municipality', 1), ('sector', 6)) e(name, expected) FULL JOIN (SELECT territory_type AS name, count(*) AS observed FROM forest GROUP BY 1) o ON e.name = o.name WHERE expected IS DISTINCT FROM observed"),
+    "count_reconciliation": _with(FOREST, "SELECT coalesce(e.name, o.name) AS name, expected, observed FROM (VALUES ('county', 5), ('municipality', 1), ('sector', 6)) e(name, expected) FULL JOIN (SELECT territory_type AS name, count(*) AS observed FROM forest GROUP BY 1) o ON e.name = o.name WHERE expected IS DISTINCT FROM observed"),
     "release_forms": r"""
 WITH e AS (SELECT *, (2000 + event_id % 100) || '.' || lpad((event_id % 13)::VARCHAR, 2, '0') || '.' || lpad((event_id % 32)::VARCHAR, 2, '0') || '.' || (event_id % 3) AS rid,
   CASE WHEN event_id % 4 = 0 THEN 'v1.2.3' ELSE (event_id % 20) || '.' || (event_id % 3) || '.0' END AS version, sha256(event_id::VARCHAR) AS sha FROM events)
@@ -239,7 +238,7 @@ SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN (event_id % 20)::INTEGER END A
     "canonical_hash": "SELECT o_orderkey, sha256('{\"custkey\":' || o_custkey || ',\"none\":null,\"orderkey\":' || o_orderkey || ',\"priority\":\"' || o_orderpriority || '\",\"status\":\"' || o_orderstatus || '\"}') AS sha256 FROM orders",
     "csv_rows": "SELECT p_partkey, '\"' || p_partkey || '\",\"' || replace(p_name, '\"', '\"\"') || '\",\"' || p_brand || '\",\"' || p_type || '\",\"' || p_size || '\",\"\"' AS line FROM part",
     "ndjson_rows": "SELECT n_nationkey, '{\"n_name\":\"' || n_name || '\",\"n_nationkey\":' || n_nationkey || ',\"n_regionkey\":' || n_regionkey || '}' AS line FROM nation",
-    "identifiers_explode": _with(_FOREST, "SELECT territory_id, 'ro.ins.siruta' AS scheme, code AS value, status FROM forest UNION ALL SELECT territory_id, 'eu.eurostat.nuts', nuts, status FROM forest WHERE nuts IS NOT NULL"),
+    "identifiers_explode": _with(FOREST, "SELECT territory_id, 'ro.ins.siruta' AS scheme, code AS value, status FROM forest UNION ALL SELECT territory_id, 'eu.eurostat.nuts', nuts, status FROM forest WHERE nuts IS NOT NULL"),
     "artifact_sums": "SELECT 'doc-' || doc_id AS name, sha256(text) || '  doc-' || doc_id AS line, strlen(text)::BIGINT AS size FROM documents",
     "bundle_verify": "SELECT 'doc-' || doc_id AS name, CASE doc_id % 10 WHEN 1 THEN 'UNEXPECTED' WHEN 2 THEN 'MISSING' WHEN 3 THEN 'SIZE' ELSE 'HASH' END AS fault FROM documents WHERE doc_id % 10 IN (1, 2, 3, 4)",
     "latest_per_key": "SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1",
@@ -252,13 +251,13 @@ SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN (event_id % 20)::INTEGER END A
     "cidr_public": f"SELECT event_id, NOT ({_closed()}) AS public FROM (SELECT event_id, (event_id * 2654435761) % 4294967296 AS n FROM events)",
     "xff_client_key": "SELECT event_id, CASE WHEN event_id % 5 = 1 THEN '10.0.0.' || user_id WHEN event_id % 5 = 2 THEN '2.2.2.2' WHEN event_id % 2 = 0 THEN '9.9.9.9' ELSE 'unknown' END AS one, CASE WHEN event_id % 5 = 2 THEN '10.0.0.' || user_id WHEN event_id % 2 = 0 THEN '9.9.9.9' ELSE 'unknown' END AS two FROM events",
     "etag": "SELECT event_id, '\"' || left(sha256(repeat('a', 64) || 'q=' || event_type), 32) || '\"' AS etag FROM events",
-    "cursor_codec": _with(_FOREST, "SELECT territory_id, rtrim(translate(base64(territory_id::BLOB), '+/', '-_'), '=') AS cursor, territory_id AS decoded FROM forest"),
+    "cursor_codec": _with(FOREST, "SELECT territory_id, rtrim(translate(base64(territory_id::BLOB), '+/', '-_'), '=') AS cursor, territory_id AS decoded FROM forest"),
     "rate_limit_fixed_window": f"WITH RECURSIVE {_HITS}, f AS (SELECT client, id, k, 1::BIGINT AS n, t + 21600000 AS ends FROM hits WHERE k = 1 UNION ALL SELECT h.client, h.id, h.k, CASE WHEN h.t >= f.ends THEN 1 ELSE f.n + 1 END, CASE WHEN h.t >= f.ends THEN h.t + 21600000 ELSE f.ends END FROM f JOIN hits h ON h.client = f.client AND h.k = f.k + 1) SELECT client, id, n, n > 1 AS limited, greatest(1 - n, 0) AS remaining FROM f",
     "props_json": "SELECT event_id, (props::JSON ->> 'k')::INTEGER AS k FROM events, range(2)",
-    "text_fold": f"SELECT doc_id, md5({_FOLDED}) AS folded, md5(regexp_replace(regexp_replace({_FOLDED}, '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')) AS slug FROM documents WHERE lang = 'en'",
+    "text_fold": f"SELECT doc_id, md5({_FOLDED}) AS folded, md5(coalesce(nullif(regexp_replace(regexp_replace({_FOLDED}, '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'unit')) AS slug FROM documents",
     "short_names": "SELECT n_nationkey, CASE n_nationkey % 4 WHEN 2 THEN 'Comuna' ELSE n_name END AS short_name, CASE n_nationkey % 4 WHEN 0 THEN 'județul ' || lower(n_name) WHEN 1 THEN 'oraș ' || lower(n_name) WHEN 2 THEN 'comuna' ELSE lower(n_name) END AS search_name, 'SECTOR ' || n_nationkey AS match_name FROM nation",
     "code_candidates": "SELECT c_custkey, concat_ws('|', c_name || '/0' || c_nationkey, regexp_extract(c_name, '[0-9]+'), CASE WHEN c_custkey::VARCHAR <> regexp_extract(c_name, '[0-9]+') THEN c_custkey END, '0' || c_nationkey, CASE WHEN c_nationkey <> c_custkey THEN c_nationkey END) AS candidates FROM customer",
-    "redact": "SELECT conv_id, turn, md5(left('at [redacted] key [redacted] jwt [redacted] ' || left(text, 600), 500)) AS message FROM conversations",
+    "redact": "SELECT conv_id, turn, md5(left('at [redacted] key [redacted] jwt [redacted] ' || text, 500)) AS message FROM conversations",
     "media_sniff": "SELECT 'pages' AS source, page_id AS id, 'application/xml' AS media_type FROM pages UNION ALL SELECT 'events', event_id, 'application/json' FROM events UNION ALL SELECT 'part', p_partkey, 'text/csv' FROM part UNION ALL SELECT 'nation', n_nationkey, 'application/octet-stream' FROM nation",
     "int_parse": "SELECT event_id, CASE WHEN event_id % 6 IN (0, 1) AND event_id BETWEEN 1 AND 5000 THEN event_id END AS value, CASE event_id % 6 WHEN 2 THEN 'CODE is required' WHEN 3 THEN 'CODE must be an integer' WHEN 4 THEN 'CODE is outside the safe integer range' WHEN 5 THEN 'CODE must be greater than zero' ELSE CASE WHEN event_id = 0 THEN 'CODE must be greater than zero' WHEN event_id > 5000 THEN 'CODE must be at most 5000' END END AS error, CASE event_id % 3 WHEN 0 THEN 2 WHEN 1 THEN 3 END AS level, CASE event_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 50 WHEN 2 THEN 200 ELSE CASE WHEN event_id % 300 = 0 THEN 50 ELSE least(event_id % 300, 200) END END::INTEGER AS page FROM events",
     "geo_bounds": f"SELECT c_nationkey, min(x) AS min_x, min(y) AS min_y, max(x) + 1 AS max_x, max(y) + 1 AS max_y, count(*)::DOUBLE AS area FROM (SELECT c_nationkey, {_CELL} FROM customer) GROUP BY c_nationkey",

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grovespark.functions import hashing, network, numbers, shapes, text
-from grovespark.operators import diff, graph, history, identity, limiter, matching, parsing, release, search, validation
+from grovespark.operators import diff, governance, graph, history, identity, limiter, matching, parsing, release, search, validation
 from grovespark.sources import snapshots, workbook
 
 
@@ -280,3 +280,43 @@ def test_catalogue_and_registration(spark, tmp_path):
     known = spark.createDataFrame([("s", "1")], "source string, sha256 string")
     files = spark.createDataFrame([("s", "1"), ("s", "2"), ("s", "2")], "source string, sha256 string")
     assert [tuple(r) for r in snapshots.register(known, files).collect()] == [("s", "2")]
+
+
+def test_unions_of_polygons(spark):
+    ring = lambda *p: "[" + ",".join(f"[{x},{y}]" for x, y in p) + "]"
+    left = ring((0, 0), (2, 0), (2, 2), (0, 2), (0, 0))
+    turned = ring((2, 0), (2, 2), (4, 2), (4, 0), (2, 0))  # clockwise
+    hole = ring((10, 0), (13, 0), (13, 3), (10, 3), (10, 0)), ring((11, 1), (12, 1), (12, 2), (11, 2), (11, 1))
+    one = lambda *rings: '{"type":"Polygon","coordinates":[' + ",".join(rings) + "]}"
+    rows = spark.createDataFrame([("a", one(left)), ("a", one(turned)), ("b", one(*hole)), ("c", "{}"), ("d", None)], "county string, g string").select("county", shapes.parse(F.col("g")).alias("polygons"))
+    edges = matching.union_boundary(rows, "county")
+    got = {r.county: (r.edges, r.perimeter, r.area) for r in matching.union_measures(edges, "county").collect()}
+    assert got == {"a": (6, 12.0, 8.0), "b": (8, 16.0, 8.0)}
+    assert matching.union_boundary(rows.limit(0), "county").count() == 0
+
+
+def test_governance(spark, tmp_path):
+    run = lambda rows, extra: spark.createDataFrame(rows, "run int, " + extra)
+    ask = run([(i, "h") for i in range(8)] + [(9, None)], "sha256 string")
+    runs = run([(1, "review", "h"), (2, "running", "h"), (3, "review", "g"), (4, "review", "h"), (5, "review", "h"), (6, "approved", "h"), (7, None, "h"), (9, "review", "h")], "status string, sha256 string")
+    findings = run([(4, "error"), (1, "warning")], "severity string")
+    decisions = run([(1, "matched"), (1, "create"), (6, "create"), (5, "needs_review")], "decision string")
+    staged = run([(1, True), (1, True), (1, False), (6, True), (5, True)], "parsed boolean")
+    approvals = run([(6, "h")], "sha256 string")
+    got = {r.run: r.verdict for r in governance.approval_verdicts(ask, runs, findings, decisions, staged, approvals).collect()}
+    assert got == {0: "IMPORT_RUN_NOT_FOUND", 1: "approved", 2: "IMPORT_RUN_NOT_REVIEWABLE", 3: "CANDIDATE_HASH_MISMATCH", 4: "CANDIDATE_HAS_BLOCKERS", 5: "IDENTITY_REVIEW_INCOMPLETE", 6: "replayed", 7: "IMPORT_RUN_NOT_REVIEWABLE", 9: "CANDIDATE_HASH_MISMATCH"}
+
+    rows = spark.range(10).toDF("id")
+    folder = f"file://{tmp_path}/staged"
+    assert governance.append_once(rows, folder, "k1") and not governance.append_once(rows.limit(1), folder, "k1") and governance.append_once(rows, folder, "k2", 10)
+    with pytest.raises(ValueError):
+        governance.append_once(rows, folder, "k3", 11)
+    assert spark.read.parquet(folder).groupBy("run").count().orderBy("run").collect() == [("k1", 10), ("k2", 10)]
+
+    m = "release_id string, previous_release_id string, published_at string, commit string, repository string, approved_by string, approved_at string, rationale string, sha256 string, uri string, size long"
+    good = ("2026.07.22.1", None, "2026-07-22T10:00:00.000Z", "a" * 40, "o/n", "me", "2026-07-22T09:00:00.000Z", "long enough", "b" * 64, "https://data.gov.ro/x", 1)
+    assert governance.metadata_faults(spark.createDataFrame([good], m)).count() == 0
+    nothing = governance.metadata_faults(spark.createDataFrame([(None,) * 11], m))
+    assert {r.fault for r in nothing.collect()} == {"RELEASE_ID", "PUBLISHED_AT", "COMMIT", "REPOSITORY", "APPROVED_BY", "APPROVED_AT", "RATIONALE", "CANDIDATE_SHA256", "SOURCE_URI", "SOURCE_SIZE"}
+    units = spark.createDataFrame([("a", "2", 0), ("b", "10", 1), ("c", "9", 2), ("d", None, 3), ("e", "1", 4)], "territory_id string, code string, position long")
+    assert [r.territory_id for r in governance.out_of_order(units).collect()] == ["c"]
