@@ -12,7 +12,7 @@ from ..operators import canonical, diff, graph, history, identity, limiter, matc
 from ..sources import features, registry, snapshots
 from ..sources.tables import load
 from . import governed, inputs
-from .oracle import FOREST, ORACLES
+from .oracle import FOREST, ORACLES, SLUG
 
 _FOREST = registry.forest
 _FOUND: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -535,4 +535,4 @@ def queries():
 
 
 def oracle_sql():
-    return {k: v for k, v in ORACLES.items() if k in _FOUND} | governed.oracles(FOREST)
+    return {k: v for k, v in ORACLES.items() if k in _FOUND} | governed.oracles(FOREST, SLUG)

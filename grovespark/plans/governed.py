@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import shapes
-from ..operators import governance, matching
-from ..sources import registry
+from ..operators import bundle, governance, graph, matching
+from ..sources import features, registry
 from ..sources.tables import load
 
 FOUND: dict = {}
@@ -202,6 +202,31 @@ def registry_report(spark, sf):
     return governance.registry_report(names, present, _runs(spark, sf), load(spark, sf, "orders").select(F.when(_order() % 4 == 0, "draft").otherwise("published").alias("status")))
 
 
+@query
+def contract_rows(spark, sf):
+    return bundle.listed(bundle.contract(spark, shapes=True)).select("name", "required")
+
+
+@query
+def contract_verdicts(spark, sf):
+    k = F.col("o_orderkey")
+    names = F.array(*(F.lit(a[0]) for a in bundle.ARTIFACTS))
+    version = F.when(k % 5 == 0, "2.1.0").when(k % 5 == 1, "1.0").otherwise(F.concat(F.lit("1."), k, F.lit(".0")))
+    held = F.when(k % 7 == 0, F.slice(names, 2, 20)).when(k % 7 == 1, F.concat(names, F.slice(names, 1, 1))).when(k % 7 == 2, F.concat(names, F.array(F.lit("more")))).otherwise(names)
+    return bundle.compatibility(load(spark, sf, "orders").select(k.alias("contract"), version.alias("version"), held.alias("names")))
+
+
+@query
+def legacy_redirects(spark, sf):
+    return graph.redirects(graph.paths(registry.forest(spark, sf)))
+
+
+@query
+def feature_downloads(spark, sf):
+    k = F.col("c_custkey")
+    return features.downloaded(load(spark, sf, "customer").select(F.when(k % 5 != 0, k).alias("object_id"), F.concat(F.lit("f"), k).alias("feature"), F.col("c_name").alias("line")))
+
+
 _RUNS = "runs AS (SELECT o_orderkey AS run, o_orderkey % 50 AS snapshot, sha256((o_orderkey % 3)::VARCHAR) AS commit, CASE WHEN o_orderkey % 9 = 0 THEN 'failed' WHEN o_orderkey % 5 = 0 THEN 'approved' WHEN o_orderkey % 8 = 0 THEN 'completed' ELSE 'review' END AS status, sha256(o_orderkey::VARCHAR) AS sha256 FROM orders)"
 _DECISIONS = "decisions AS (SELECT l_orderkey AS run, l_linenumber::VARCHAR AS code, CASE WHEN l_orderkey % 40 = 7 THEN 'needs_review' WHEN (l_orderkey + l_linenumber) % 2 = 0 THEN 'matched' ELSE 'create' END AS decision, CASE WHEN l_orderkey % 40 <> 7 AND (l_orderkey + l_linenumber) % 2 <> 0 THEN 'p' || l_partkey END AS proposed_id FROM lineitem WHERE l_orderkey % 45 <> 2 OR l_linenumber > 1)"
 _APPROVALS = "approvals AS (SELECT o_orderkey AS run, CASE WHEN o_orderkey % 12 = 0 THEN sha256('other') ELSE sha256(o_orderkey::VARCHAR) END AS approved, o_custkey::VARCHAR AS approved_by, strftime(o_orderdate, '%Y-%m-%d') AS approved_at FROM orders WHERE o_orderkey % 5 < 2)"
@@ -213,13 +238,17 @@ _UNITS = """units AS (SELECT * FROM (SELECT CASE WHEN c_custkey % 79 = 11 THEN '
 parents AS (SELECT territory_id AS id, any_value(parent_id) AS p FROM units WHERE parent_id IS NOT NULL GROUP BY territory_id)"""
 
 
-def oracles(forest: str) -> dict[str, str]:
-    """The SQL of the queries. forest: a common table expression of that name."""
+def oracles(forest: str, slug: str) -> dict[str, str]:
+    """The SQL of the queries. forest: a common table expression of that name; slug: the pattern of a slug."""
     meta = "m AS (SELECT o_orderkey AS k, strftime(o_orderdate, '%Y-%m-%d') AS d, strftime(o_orderdate, '%Y.%m.%d') || CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE '.1' END AS release_id FROM orders)"
     rules = {"RELEASE_ID": "k % 7 = 0", "RELEASE_DATE": "k % 7 <> 0 AND k % 11 = 0", "PREVIOUS_RELEASE_ID": "k % 5 = 1", "COMMIT": "k % 3 = 0", "REPOSITORY": "k % 4 = 0", "APPROVED_BY": "k % 6 = 0", "APPROVED_AT": "k % 8 = 0", "RATIONALE": "k % 9 = 0", "SOURCE_URI": "k % 10 = 0", "SOURCE_SIZE": "k % 12 = 0"}
     k = "o_orderkey"
     diff_rules = {"DIFF_SKIPPED": f"{k} % 7 = 0", "DIFF_BLOCKED": f"{k} % 9 = 8", "DIFF_BASELINE": f"({k} % 5 = 0) = ({k} % 6 <> 0)", "DIFF_TOTALS": f"{k} % 10 = 0", "DIFF_REMOVALS": f"{k} % 8 = 0 AND {k} % 3 > 0"}
     return {
+        "contract_rows": "SELECT name, name NOT LIKE 'territory-geometries%' AS required FROM (VALUES ('SHA256SUMS'), ('changelog.json'), ('contract.json'), ('contract.schema.json'), ('manifest.json'), ('release-manifest.schema.json'), ('territories.csv'), ('territories.json'), ('territories.ndjson'), ('territories.schema.json'), ('territory-identifiers.csv'), ('territory.schema.json'), ('validation-report.json'), ('territory-geometries.geojson'), ('territory-geometries.schema.json')) t(name)",
+        "contract_verdicts": "SELECT o_orderkey AS contract, CASE WHEN o_orderkey % 5 = 0 THEN 'MAJOR_DIFFERS' WHEN o_orderkey % 5 = 1 THEN 'VERSION_INVALID' WHEN o_orderkey % 7 = 0 THEN 'ARTIFACT_MISSING' WHEN o_orderkey % 7 = 1 THEN 'ARTIFACTS_REPEATED' ELSE 'compatible' END AS verdict FROM orders",
+        "legacy_redirects": f"WITH {forest} SELECT '/teritorii/' || a.territory_id AS old, '/' || concat_ws('/', {slug.format('c.official_name')}, {slug.format('b.official_name')}, {slug.format('a.official_name')}) AS location FROM forest a LEFT JOIN forest b ON a.parent_id = b.territory_id LEFT JOIN forest c ON b.parent_id = c.territory_id",
+        "feature_downloads": "SELECT CASE WHEN c_custkey % 5 <> 0 THEN c_custkey ELSE 0 END AS object_id, 'f' || c_custkey AS feature, sha256(c_name) AS sha256 FROM customer",
         "approve_gate": f"""WITH {_RUNS}, {_DECISIONS}, {_APPROVALS},
             asked AS (SELECT CASE WHEN o_orderkey % 11 = 0 THEN -o_orderkey ELSE o_orderkey END AS run, CASE WHEN o_orderkey % 7 = 0 THEN 'x' ELSE sha256(o_orderkey::VARCHAR) END AS sha256 FROM orders),
             b AS (SELECT l_orderkey AS run, count(*) AS n FROM lineitem WHERE l_orderkey % 30 IN (4, 5) GROUP BY 1), d AS (SELECT run, count(*) AS n, count(*) FILTER (decision <> 'needs_review') AS ok FROM decisions GROUP BY 1),

@@ -134,7 +134,7 @@ known AS (SELECT 'ro.ins.siruta' AS scheme, (c_custkey % 700)::VARCHAR AS value,
 
 _HITS = "hits AS (SELECT user_id AS client, event_id AS id, epoch_ms(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY epoch_ms(ts), event_id) AS k FROM events)"
 _CELL = "(c_custkey % 100)::DOUBLE AS x, (c_custkey // 100)::DOUBLE AS y"
-_SLUG = "regexp_replace(regexp_replace(lower({0}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
+SLUG = "regexp_replace(regexp_replace(lower({0}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
 _FOLDED = "translate(lower(coalesce(text, '')), 'ăâîșțşţ', 'aaistst')"
 _CLOSED = [("0.0.0.0", 8), ("10.0.0.0", 8), ("100.64.0.0", 10), ("127.0.0.0", 8), ("169.254.0.0", 16), ("172.16.0.0", 12), ("192.0.0.0", 24), ("192.0.2.0", 24), ("192.168.0.0", 16), ("198.18.0.0", 15), ("198.51.100.0", 24), ("203.0.113.0", 24), ("224.0.0.0", 4), ("240.0.0.0", 4)]
 
@@ -188,7 +188,7 @@ ORACLES = {
     "unresolved_parents": _with(_BROKEN, "SELECT territory_id AS id, parent_id AS parent FROM broken WHERE parent_id IS NOT NULL AND parent_id NOT IN (SELECT territory_id FROM broken)"),
     "cycle_detect": f"WITH e AS (SELECT c_custkey AS k, c_custkey + CASE c_custkey % 10 WHEN 1 THEN 1 WHEN 2 THEN -1 WHEN 3 THEN 1 WHEN 4 THEN 1 WHEN 5 THEN -2 WHEN 6 THEN -1 END AS p FROM customer), f AS (SELECT a.k, b.k AS k2, c.k AS k3, a.p AS p1, b.p AS p2, c.p AS p3 FROM e a LEFT JOIN e b ON a.p = b.k LEFT JOIN e c ON b.p = c.k) SELECT {_ID(3, 'k')} AS id, {_ID(3, 'CASE WHEN p2 = k THEN least(k, k2) ELSE least(k, k2, k3) END')} AS cycle, CASE WHEN p2 = k THEN CASE WHEN k < k2 THEN 0 ELSE 1 END WHEN k < least(k2, k3) THEN 0 WHEN k3 < least(k, k2) THEN 1 ELSE 2 END AS position FROM f WHERE p2 = k OR p3 = k",
     "leaf_units": _with(FOREST, "SELECT territory_id FROM forest f WHERE level < 3 AND NOT EXISTS (SELECT 1 FROM forest c WHERE c.level < 3 AND c.parent_id = f.territory_id)"),
-    "slug_paths": _with(FOREST, f"SELECT a.territory_id, concat_ws('/', {_SLUG.format('c.official_name')}, {_SLUG.format('b.official_name')}, {_SLUG.format('a.official_name')}) AS path, a.level AS depth FROM forest a LEFT JOIN forest b ON a.parent_id = b.territory_id LEFT JOIN forest c ON b.parent_id = c.territory_id"),
+    "slug_paths": _with(FOREST, f"SELECT a.territory_id, concat_ws('/', {SLUG.format('c.official_name')}, {SLUG.format('b.official_name')}, {SLUG.format('a.official_name')}) AS path, a.level AS depth FROM forest a LEFT JOIN forest b ON a.parent_id = b.territory_id LEFT JOIN forest c ON b.parent_id = c.territory_id"),
     "release_counts": _with(FOREST, "SELECT count(*) AS territories, count(*) FILTER (administrative_role = 'county_uat') AS counties, count(*) FILTER (administrative_role = 'local_uat') AS local_uats, count(*) FILTER (administrative_role = 'locality') AS localities, count(*) FILTER (administrative_role = 'administrative_subdivision') AS subdivisions FROM forest"),
     "reference_faults": _with(_BROKEN, "SELECT territory_id, 'PARENT_ID_MISSING' AS fault FROM broken WHERE parent_id NOT IN (SELECT territory_id FROM broken) UNION ALL SELECT territory_id, 'COUNTY_ID_MISSING' FROM broken WHERE county_id NOT IN (SELECT territory_id FROM broken) UNION ALL SELECT min(territory_id), 'CODE_REPEATED' FROM broken GROUP BY code HAVING count(*) > 1"),
     "level_profile": _with(FOREST, "SELECT level, count(*) AS n, count(DISTINCT nuts) AS nuts FROM forest GROUP BY level"),

@@ -31,3 +31,14 @@ def feature_line(territory: Column, kind: Column, detail: Column, polygons: Colu
     geometry = F.struct(polygons.alias("coordinates"), F.lit("MultiPolygon").alias("type"))
     properties = F.struct(detail.alias("detailLevel"), kind.alias("geometryKind"), territory.alias("territoryId"))
     return F.to_json(F.struct(geometry.alias("geometry"), properties.alias("properties"), F.lit("Feature").alias("type")), {"ignoreNullFields": "false"})
+
+
+def in_order(rows: DataFrame) -> DataFrame:
+    """Features (territory_id, geometry_kind, detail_level, ...) in the order of a collection."""
+    return rows.orderBy("territory_id", "geometry_kind", "detail_level")
+
+
+def downloaded(features: DataFrame) -> DataFrame:
+    """Rows (object_id, feature, sha256) of downloaded features by number, those without one first. features: (object_id, feature, line)."""
+    number = F.coalesce("object_id", F.lit(0))
+    return features.select(number.alias("object_id"), "feature", F.sha2("line", 256).alias("sha256")).orderBy("object_id", "feature")

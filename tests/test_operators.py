@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grovespark.functions import hashing, network, numbers, shapes, text
-from grovespark.operators import diff, governance, graph, history, identity, limiter, matching, parsing, release, search, validation
+from grovespark.operators import bundle, diff, governance, graph, history, identity, limiter, matching, parsing, release, search, validation
 from grovespark.sources import snapshots, workbook
 
 
@@ -320,3 +320,33 @@ def test_governance(spark, tmp_path):
     assert {r.fault for r in nothing.collect()} == {"RELEASE_ID", "PUBLISHED_AT", "COMMIT", "REPOSITORY", "APPROVED_BY", "APPROVED_AT", "RATIONALE", "CANDIDATE_SHA256", "SOURCE_URI", "SOURCE_SIZE"}
     units = spark.createDataFrame([("a", "2", 0), ("b", "10", 1), ("c", "9", 2), ("d", None, 3), ("e", "1", 4)], "territory_id string, code string, position long")
     assert [r.territory_id for r in governance.out_of_order(units).collect()] == ["c"]
+
+
+def test_bundle(spark, tmp_path):
+    one = lambda code: [("ro.ins.siruta", "active", code)]
+    schema = "territory_id string, code string, position long, snapshot string, identifiers array<struct<scheme string, status string, value string>>, parent_id string, county_id string"
+    units = spark.createDataFrame([("a", "1", 0, "s", one("1"), None, "a"), ("b", "2", 1, "s", one("2"), "a", "a"), ("c", "10", 2, "s", one("10"), "a", "a")], schema)
+    changes = diff.changelog(diff.first_changes(units), None)
+    findings = spark.createDataFrame([("CHECKSUM", "warning")], "rule string, severity string")
+    folder = f"{tmp_path}/r1"
+    made = {r.name: r.lines for r in bundle.build(units, changes, findings, folder, "r1", "s").collect()}
+    assert made == {"territories.ndjson": 3, "territories.csv": 3, "territory-identifiers.csv": 3, "changelog.json": 1, "contract.json": 13, "validation-report.json": 1}
+    assert bundle.verified(spark, folder, "r1").count() == 3
+    again = f"{tmp_path}/again"
+    bundle.build(units.repartition(3), changes, findings, again, "r1", "s")
+    digests = [sorted(map(tuple, spark.read.json(f"{f}/manifest.json").collect())) for f in (folder, again)]
+    assert digests[0] == digests[1]
+    with pytest.raises(ValueError, match="another"):
+        bundle.verified(spark, folder, "r2")
+    part = next(p for p in (tmp_path / "r1" / "territories.ndjson").iterdir() if p.name.startswith("part") and p.stat().st_size)
+    part.write_text(part.read_text().replace('"b"', '"x"'))
+    (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(ValueError, match="sums"):
+        bundle.verified(spark, folder)
+    for bad, rows in ((units.where("code != '1'"), findings), (units, spark.createDataFrame([("X", "blocker")], "rule string, severity string")), (units.limit(0), findings)):
+        with pytest.raises(ValueError):
+            bundle.build(bad, changes, rows, f"{tmp_path}/bad", "r1", "s")
+    assert not (tmp_path / "bad").exists()
+    names = [r.name for r in bundle.contract(spark).collect()]
+    offered = spark.createDataFrame([("a", "1.2.0", names), ("b", "2.0.0", names), ("c", "1.0", names), ("d", "1.0.0", names[1:]), ("e", "1.0.0", names + names), ("f", "1.0.0", None)], "contract string, version string, names array<string>")
+    assert [r.verdict for r in bundle.compatibility(offered).orderBy("contract").collect()] == ["compatible", "MAJOR_DIFFERS", "VERSION_INVALID", "ARTIFACT_MISSING", "ARTIFACTS_REPEATED", "ARTIFACTS_REPEATED"]
