@@ -131,8 +131,8 @@ def paths(units: DataFrame) -> DataFrame:
     return joined.select("territory_id", F.array_join(parts, "/").alias("path"), F.size(parts).alias("depth"))
 
 
-def redirects(paths_: DataFrame, old: str = "/teritorii/") -> DataFrame:
-    """Rows (old, location): the addresses by id of before, and the path that each leads to now."""
+def redirects(paths_: DataFrame, old: str) -> DataFrame:
+    """Rows (old, location): the addresses of before, which are `old` and an id, and the path that each leads to now."""
     return paths_.select(F.concat(F.lit(old), "territory_id").alias("old"), F.concat(F.lit("/"), "path").alias("location"))
 
 

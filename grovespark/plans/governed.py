@@ -218,7 +218,7 @@ def contract_verdicts(spark, sf):
 
 @query
 def legacy_redirects(spark, sf):
-    return graph.redirects(graph.paths(registry.forest(spark, sf)))
+    return graph.redirects(graph.paths(registry.forest(spark, sf)), "/units/")
 
 
 @query
@@ -247,7 +247,7 @@ def oracles(forest: str, slug: str) -> dict[str, str]:
     return {
         "contract_rows": "SELECT name, name NOT LIKE 'territory-geometries%' AS required FROM (VALUES ('SHA256SUMS'), ('changelog.json'), ('contract.json'), ('contract.schema.json'), ('manifest.json'), ('release-manifest.schema.json'), ('territories.csv'), ('territories.json'), ('territories.ndjson'), ('territories.schema.json'), ('territory-identifiers.csv'), ('territory.schema.json'), ('validation-report.json'), ('territory-geometries.geojson'), ('territory-geometries.schema.json')) t(name)",
         "contract_verdicts": "SELECT o_orderkey AS contract, CASE WHEN o_orderkey % 5 = 0 THEN 'MAJOR_DIFFERS' WHEN o_orderkey % 5 = 1 THEN 'VERSION_INVALID' WHEN o_orderkey % 7 = 0 THEN 'ARTIFACT_MISSING' WHEN o_orderkey % 7 = 1 THEN 'ARTIFACTS_REPEATED' ELSE 'compatible' END AS verdict FROM orders",
-        "legacy_redirects": f"WITH {forest} SELECT '/teritorii/' || a.territory_id AS old, '/' || concat_ws('/', {slug.format('c.official_name')}, {slug.format('b.official_name')}, {slug.format('a.official_name')}) AS location FROM forest a LEFT JOIN forest b ON a.parent_id = b.territory_id LEFT JOIN forest c ON b.parent_id = c.territory_id",
+        "legacy_redirects": f"WITH {forest} SELECT '/units/' || a.territory_id AS old, '/' || concat_ws('/', {slug.format('c.official_name')}, {slug.format('b.official_name')}, {slug.format('a.official_name')}) AS location FROM forest a LEFT JOIN forest b ON a.parent_id = b.territory_id LEFT JOIN forest c ON b.parent_id = c.territory_id",
         "feature_downloads": "SELECT CASE WHEN c_custkey % 5 <> 0 THEN c_custkey ELSE 0 END AS object_id, 'f' || c_custkey AS feature, sha256(c_name) AS sha256 FROM customer",
         "approve_gate": f"""WITH {_RUNS}, {_DECISIONS}, {_APPROVALS},
             asked AS (SELECT CASE WHEN o_orderkey % 11 = 0 THEN -o_orderkey ELSE o_orderkey END AS run, CASE WHEN o_orderkey % 7 = 0 THEN 'x' ELSE sha256(o_orderkey::VARCHAR) END AS sha256 FROM orders),
