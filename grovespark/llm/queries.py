@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language_model, quality, secret_scan, simhash, substrings, suffix_dedup, token_counts, token_records
+from . import bpe, decontaminate, jaccard_join, language_model, quality, secret_scan, simhash, substrings, suffix_dedup, token_counts, token_records
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,10 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -91,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_token_records": op10_token_records,
+        "op12_jaccard_join": op12_jaccard_join,
     }
 
 
