@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard_join, language_model, quality, secret_scan, simhash, substrings, suffix_dedup, token_counts, token_records
+from . import bpe, collocations, decontaminate, jaccard_join, language_model, quality, secret_scan, simhash, substrings, suffix_dedup, token_counts, token_records
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +83,10 @@ def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar(_table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -96,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_token_records": op10_token_records,
         "op12_jaccard_join": op12_jaccard_join,
+        "op13_collocations": op13_collocations,
     }
 
 
@@ -127,5 +132,27 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - len(own))::BIGINT AS n_remov
 """
 
 
+_COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(p, '[ \t]+'), lambda x: x <> '') AS w
+    FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)
+), grams AS (
+    SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS g, k, count(*) AS a
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) s(k) WHERE len(w) >= k) GROUP BY ALL
+), total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+cand AS (SELECT lang, g, k, a, string_split(g, ' ') AS w FROM grams WHERE k > 1 AND a >= 10),
+cuts AS (
+    SELECT c.lang, c.g, c.k, c.a, i, x.a AS l, y.a AS r, ((1000000::HUGEINT * c.a * c.a) // (x.a::HUGEINT * y.a))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, k)) AS i FROM cand) c
+    JOIN grams x ON x.lang = c.lang AND x.g = array_to_string(c.w[1:i], ' ')
+    JOIN grams y ON y.lang = c.lang AND y.g = array_to_string(c.w[i + 1:c.k], ' ')
+), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, i) = 1),
+held AS (SELECT lang, g, max(a) AS held FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS g FROM cand WHERE k = 3) GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN held h USING (lang, g) WHERE h.held IS NULL OR 100 * h.held < 50 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n, score
+FROM kept JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": _DECONTAMINATE, "op3_substrings": _SUBSTRINGS}
+    return {"op13_collocations": _COLLOCATIONS, "op1_decontaminate": _DECONTAMINATE, "op3_substrings": _SUBSTRINGS}
