@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, collocations, decontaminate, jaccard_join, language_model, quality, secret_scan, simhash, substrings, suffix_dedup, token_counts, token_records
+from . import bpe, collocations, decontaminate, jaccard_join, language_model, lexical_search, quality, secret_scan, simhash, substrings, suffix_dedup, token_counts, token_records
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,11 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build(_table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, _table(spark, sf_dir, "benchmark"), 10)
+
+
 def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar(_table(spark, sf_dir, "documents"))
 
@@ -99,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_token_records": op10_token_records,
+        "op11_lexical_search": op11_lexical_search,
         "op12_jaccard_join": op12_jaccard_join,
         "op13_collocations": op13_collocations,
     }
@@ -154,5 +160,24 @@ FROM kept JOIN total USING (lang) QUALIFY rank <= 2000
 """
 
 
+_LEXICAL_SEARCH = r"""
+WITH words AS (
+    SELECT rowid_ AS r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+    FROM (SELECT *, row_number() OVER () AS rowid_ FROM documents)
+), tfs AS (SELECT r, doc_id, t, count(*) AS tf FROM words GROUP BY ALL),
+sizes AS (SELECT r, count(*) AS n FROM words GROUP BY r),
+corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM sizes),
+asked AS (
+    SELECT DISTINCT i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+    FROM (SELECT *, row_number() OVER () AS i FROM benchmark)
+), weights AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tfs, corpus WHERE t IN (SELECT t FROM asked) GROUP BY t, docs),
+scores AS (
+    SELECT i, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+    FROM asked JOIN tfs USING (t) JOIN weights USING (t) JOIN sizes USING (r), corpus GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op13_collocations": _COLLOCATIONS, "op1_decontaminate": _DECONTAMINATE, "op3_substrings": _SUBSTRINGS}
+    return {"op11_lexical_search": _LEXICAL_SEARCH, "op13_collocations": _COLLOCATIONS, "op1_decontaminate": _DECONTAMINATE, "op3_substrings": _SUBSTRINGS}

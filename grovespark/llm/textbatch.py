@@ -123,9 +123,10 @@ class Words:
         return np.repeat(np.arange(len(self.offsets) - 1), self.counts())
 
 
-def words(chunk: Chunk) -> Words:
+def words(chunk: Chunk, space: np.ndarray = _SPACE) -> Words:
+    """space: for each byte whether it stands between words."""
     word = np.zeros(len(chunk.data) + 1, bool)
-    word[:-1] = ~_SPACE[chunk.data]
+    word[:-1] = ~space[chunk.data]
     before = np.zeros_like(word)
     before[1:] = word[:-1]
     edge = word != before
@@ -151,10 +152,10 @@ def segment_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mixed(h + mixed(length.astype(np.uint64)))
 
 
-def word_hashes(chunk: Chunk, w: Words, lower: bool = False) -> np.ndarray:
+def word_hashes(chunk: Chunk, w: Words, lower: bool = False, space: np.ndarray = _SPACE) -> np.ndarray:
     """A 64-bit hash of each word; lower: A-Z count as a-z."""
     values = (_LOWER_HASH if lower else _BYTE_HASH)[chunk.data]
-    values[_SPACE[chunk.data]] = 0
+    values[space[chunk.data]] = 0
     return segment_hash(values, w.starts, w.ends)
 
 
