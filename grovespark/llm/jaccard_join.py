@@ -17,8 +17,8 @@ Documents with one set are one class; only classes are joined. A key's classes
 are first compared with one of them, its pivot, so that a group of copies needs
 links in proportion to its size. Classes that are connected by then need no
 further comparison: what is left are pairs of a key's classes in different
-components. While these are many, further pivots are taken; then all of them
-are compared. No pair is left out. Rows that many pairs ask for are salted by
+components. Under keys with many classes, sets that have too many elements of
+their own go; then all pairs are compared. None is left out. Rows that many pairs ask for are salted by
 the key's count.
 
 Defined cases: null or wordless texts have an empty set, link with nothing and
@@ -47,9 +47,8 @@ FEW_BITS = 3
 FOLD = 16
 #: Rows of a class that one task joins with its pairs.
 SALT = 2_000
-#: Further pivots are taken while the pairs left are more than this many times the rows they come from.
-MANY = 4
-MOST_PIVOTS = 2
+#: Keys with more rows have those classes left out first that cannot be like another.
+FEW_ROWS = 32
 #: How often sets with many elements of their own are looked for.
 LONE_PASSES = 2
 
@@ -115,45 +114,45 @@ def sketch(values: np.ndarray, offsets: np.ndarray, docs: np.ndarray, band: int,
     return out.reshape(len(docs), parts)
 
 
-def _sketches(values: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[list, list]:
-    """For each document the lists of bands and of sketches (signed words)."""
+def keys_of(values: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of each document's sketches, hashed with their bands and places, without those that may be left out; and where each document's begin."""
     n = np.diff(offsets)
     most = n * 100 // percent  # the largest size that a set may be like
     edges = np.array(bands(int(most.max(initial=1)) + 1))
     own, last = np.searchsorted(edges, n, "right") - 1, np.searchsorted(edges, most, "right") - 1
-    found_bands, found = [[] for _ in n], [[] for _ in n]
+    found, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for band in range(int(last.max(initial=0)) + 1):
-        _, parts = words_of(int(edges[band + 1]) - 1, percent)
+        d, parts = words_of(int(edges[band + 1]) - 1, percent)
         docs = np.flatnonzero((n > 0) & (own <= band) & (band <= last))
-        if parts and len(docs):
-            for i, row in zip(docs.tolist(), sketch(values, offsets, docs, band, parts).view(np.int64)):
-                found_bands[i].append(band)
-                found[i].append(row)
-    return found_bands, found
+        if not parts or not len(docs):
+            continue
+        words = sketch(values, offsets, docs, band, parts)
+        few = np.bitwise_count(words) < FEW_BITS
+        keep = ~few | (few.sum(axis=1) >= parts - d)[:, None]
+        places = tb.mixed(np.arange(parts, dtype=np.uint64) + np.uint64(band << 32))
+        found.append(tb.mixed(words ^ places)[keep])
+        owners.append(np.repeat(docs, keep.sum(axis=1)))
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate(found)[order], np.searchsorted(owner[order], np.arange(len(n) + 1))
 
 
-_SKETCHED = "sig binary, n long, th long, sketches array<struct<band:int,words:array<bigint>>>"
+def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.view(np.int64)))
 
 
 def sketched(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Rows (id, sig, n, th, sketches) of all documents."""
-    inner = pa.struct([("band", pa.int32()), ("words", pa.list_(pa.int64()))])
+    """Rows (id, sig, n, th, keys, fold) of all documents: signature and size of the set, hash of the text, keys of the sketches, and a sketch of FOLD words."""
 
     def run(batches):
         for batch in batches:
             for c in tb.chunks(batch.column(2)):
                 values, offsets = shingle_sets(c, size)
-                numbers, rows = _sketches(values, offsets, percent)
-                flat = [x for own in rows for x in own]
-                ends = np.cumsum([0, *map(len, flat)])
-                words = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int64)))
-                pairs = pa.StructArray.from_arrays([pa.array([b for own in numbers for b in own], pa.int32()), words], fields=list(inner))
-                held = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]), pa.int32()), pairs)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[c.rows], pa.array(signatures(values, offsets), pa.binary()), pa.array(np.diff(offsets)), batch.column(1)[c.rows], held], names=["id", "sig", "n", "th", "sketches"]
-                )
-
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *T._parse_datatype_string(_SKETCHED).fields])
+                folds = sketch(values, offsets, np.arange(len(c)), 0, FOLD).ravel()
+                columns = [batch.column(0)[c.rows], pa.array(signatures(values, offsets), pa.binary()), pa.array(np.diff(offsets)), batch.column(1)[c.rows], _lists(*keys_of(values, offsets, percent)), _lists(folds, np.arange(len(c) + 1) * FOLD)]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "sig", "n", "th", "keys", "fold"])
+
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *T._parse_datatype_string("sig binary, n long, th long, keys array<bigint>, fold array<bigint>").fields])
     return docs.select(F.col(id_col), F.xxhash64(F.col(text_col)), F.col(text_col)).mapInArrow(run, schema)
 
 
@@ -162,22 +161,6 @@ def _apart(total: Column, percent: int) -> Column:
     return F.floor(total * (100 - percent) / F.lit(100 + percent))
 
 
-def _keys(classes: DataFrame, percent: int) -> DataFrame:
-    """Rows (key, gid, n): the words of each class's sketches with their places, without those that may be left out."""
-    words = F.col("s.words")
-    bits = F.transform(words, lambda w: F.bit_count(w))
-    few = F.size(F.filter(bits, lambda b: b < FEW_BITS))
-    size = F.size(words)
-    # P = D + 2 + D div 16, so P - D - 1 = 1 + D div 16, where D follows from P
-    spare = 1 + F.floor((size - 2) / 17)
-    return (
-        classes.select("gid", "n", F.explode("sketches").alias("s"))
-        .select("gid", "n", F.col("s.band").alias("band"), (few <= spare).alias("leave"), F.posexplode(words).alias("at", "word"))
-        .where(~F.col("leave") | (F.bit_count("word") >= FEW_BITS))
-        .select(F.xxhash64("band", "at", "word").alias("key"), "gid", "n")
-    )
-
-
 def _joined(pairs: DataFrame, table: DataFrame, payload: str) -> DataFrame:
     """pairs (a, b, c) with the column `payload` of both, as `of_a` and `of_b`. c is a bound of how often a class occurs; table has a row (gid, payload) a class."""
     need = pairs.select(F.explode(F.array("a", "b")).alias("gid"), "c").groupBy("gid").agg(F.max("c").alias("c"))
@@ -190,7 +173,7 @@ def _joined(pairs: DataFrame, table: DataFrame, payload: str) -> DataFrame:
 
 
 def sets_of(asked: DataFrame, docs: DataFrame, size: int, text_col: str) -> DataFrame:
-    """Rows (gid, held, fold) of the asked classes (gid, sig, th): the sets, from texts with that hash, and a sketch of FOLD words of each."""
+    """Rows (gid, held) of the asked classes (gid, sig, th): the sets, from texts with that hash."""
 
     def run(batches):
         for batch in batches:
@@ -199,13 +182,10 @@ def sets_of(asked: DataFrame, docs: DataFrame, size: int, text_col: str) -> Data
                 own = np.array(signatures(values, offsets), object)
                 keep = np.flatnonzero(own == np.array(batch.column(1)[c.rows].to_pylist(), object))  # another text may have the same 64 bits
                 flat, begin = tb.gathered(values, offsets[:-1], np.diff(offsets), keep)
-                held = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(flat.view(np.int64)))
-                folds = sketch(values, offsets, keep, 0, FOLD).view(np.int64).ravel()
-                fold = pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1) * FOLD, pa.int32()), pa.array(folds))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[c.rows].take(pa.array(keep)), held, fold], names=["gid", "held", "fold"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[c.rows].take(pa.array(keep)), _lists(flat, begin)], names=["gid", "held"])
 
     texts = docs.select(F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text")).join(small(asked, size=F.lit(40)), "th").select("gid", "sig", "text")
-    return texts.mapInArrow(run, "gid long, held array<bigint>, fold array<bigint>").groupBy("gid").agg(F.first(F.struct("held", "fold")).alias("s")).select("gid", "s.*")
+    return texts.mapInArrow(run, "gid long, held array<bigint>").groupBy("gid").agg(F.first("held").alias("held"))
 
 
 def lone_counts(sets: DataFrame) -> DataFrame:
@@ -217,7 +197,7 @@ def lone_counts(sets: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity."""
     shared = F.size(F.array_intersect("of_a", "of_b"))
-    return _joined(pairs, sets.select("gid", "held"), "held").where(100 * shared >= percent * (F.size("of_a") + F.size("of_b") - shared)).select("a", "b")
+    return _joined(pairs, sets, "held").where(100 * shared >= percent * (F.size("of_a") + F.size("of_b") - shared)).select("a", "b")
 
 
 def _may_link(percent: int) -> Column:
@@ -232,14 +212,19 @@ def _may_link(percent: int) -> Column:
 
 
 def _row() -> Column:
-    return F.struct("gid", "n", "lone", "label", "fold")
+    return F.struct("gid", "n", "lone", "label", "fold", "met")
+
 
+def _with_pivot(rows: DataFrame, percent: int) -> DataFrame:
+    """Each class with one of its keys' pivots: those whose keys most others have, which are likest to be what the others are copies of."""
 
-def _with_pivot(rows: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each of a key's rows with the key's pivot of this turn: first that whose keys most others have, which is likest to be what the others are copies of."""
-    order = F.struct(-F.col("met") if turn == 0 else F.lit(0), F.xxhash64("gid", F.lit(turn)))
-    pivots = rows.groupBy("key").agg(F.min_by(_row(), order).alias("y"), F.count("*").alias("held"))
-    return join_counted(rows.select("key", "c", _row().alias("x")), pivots, ["key"], "held").where(_may_link(percent)).select("x", "y", "c")
+    def order(at: str) -> Column:
+        return F.struct(-F.col(at + "met"), F.xxhash64(F.col(at + "gid")))
+
+    pivots = rows.groupBy("key").agg(F.min_by(_row(), order("")).alias("y"), F.count("*").alias("held"))
+    met = join_counted(rows.select("key", "c", _row().alias("x")), pivots, ["key"], "held").where(_may_link(percent))
+    one = F.min_by(F.struct(F.col("y.gid").alias("y"), "c"), order("y."))
+    return met.groupBy(F.col("x.gid").alias("x")).agg(one.alias("p")).select("x", "p.y", "p.c")
 
 
 def _cross(rows: DataFrame, percent: int) -> DataFrame:
@@ -247,53 +232,52 @@ def _cross(rows: DataFrame, percent: int) -> DataFrame:
     parts = F.floor(F.col("c") / SALT).cast("int")
     one = rows.select("key", _row().alias("x"), "c", F.pmod(F.xxhash64("gid"), parts + 1).cast("int").alias("part"))
     other = rows.select("key", _row().alias("y"), F.explode(F.sequence(F.lit(0), parts)).alias("part"))
-    return one.join(other, ["key", "part"]).where((F.col("x.gid") < F.col("y.gid")) & _may_link(percent)).select("x", "y", "c")
+    return one.join(other, ["key", "part"]).where((F.col("x.gid") < F.col("y.gid")) & _may_link(percent)).select(F.col("x.gid").alias("x"), F.col("y.gid").alias("y"), "c")
 
 
 def _distinct(met: DataFrame) -> DataFrame:
-    x, y = F.col("x.gid"), F.col("y.gid")
-    return met.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), "c").groupBy("a", "b").agg(F.max("c").alias("c"))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "c").groupBy("a", "b").agg(F.max("c").alias("c"))
 
 
 def class_components(classes: DataFrame, docs: DataFrame, size: int, percent: int, text_col: str) -> DataFrame:
     """Rows (gid, label) of the classes that link to another; label is the least gid that links reach."""
-    keys = _keys(classes, percent)
+    def sets(gids: DataFrame) -> DataFrame:
+        return cut(sets_of(cut(gids.join(classes.select("gid", "sig", "th"), "gid")), docs, size, text_col))
+
+    keys = classes.select("gid", F.explode("keys").alias("key"))
     several = keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     members = cut(join_counted(keys, cut(several.withColumn("held", F.col("c"))), ["key"], "held"))
-    asked = cut(members.groupBy("gid").agg(F.sum("c").alias("met")).join(classes.select("gid", "n", "sig", "th"), "gid"))
-    sets = cut(sets_of(asked.select("gid", "sig", "th"), docs, size, text_col))
-    # a set with more elements of its own than the similarity allows is like no other; without such sets others may be found out
-    some = asked.select("gid", "met", "n")
+    some = members.groupBy("gid").agg(F.sum("c").alias("met")).join(classes.select("gid", "n", "fold"), "gid")
+    some = cut(some.withColumn("lone", F.lit(0).cast("long")))
+    first = cut(_distinct(_with_pivot(cut(members.withColumn("label", F.col("gid")).join(some, "gid")), percent)))
+    links = cut(verified(first, sets(_ends(first)), percent))
+    labels = cut(components(links).select(F.col("node").alias("gid"), F.col("least").alias("label")))
+    rows = members.drop("c").join(labels, "gid", "left").withColumn("label", F.coalesce("label", "gid"))
+    by_label = rows.groupBy("key", "label").agg(F.count("*").alias("k"))
+    left = cut(by_label.groupBy("key").agg(F.sum("k").alias("c"), F.count("*").alias("labels")).where("labels > 1").select("key", "c", F.col("c").alias("held")))
+    rows = cut(join_counted(rows, left, ["key"], "held"))
+    few = rows.where(F.col("c") <= FEW_ROWS).join(some, "gid")
+    # of the classes under keys with many, those with more elements of their own than the similarity allows are like no other; without such sets others may be found out
+    many = rows.where(F.col("c") > FEW_ROWS)
+    own = some.join(many.select("gid").distinct(), "gid")
+    held = sets(own.select("gid"))
     for _ in range(LONE_PASSES):
-        lone = lone_counts(sets.join(some.select("gid"), "gid"))
-        some = cut(some.drop("lone").join(lone, "gid", "left").withColumn("lone", F.coalesce("lone", F.lit(0))).where(100 * F.col("lone") <= (100 - percent) * F.col("n")))
-    members = cut(members.select("key", "gid").join(some, "gid"))
-    links = labels = seen = None
-    for turn in range(MOST_PIVOTS + 1):
-        rows = members.withColumn("label", F.col("gid")) if labels is None else members.join(labels, "gid", "left").withColumn("label", F.coalesce("label", "gid"))
-        by_label = rows.groupBy("key", "label").agg(F.count("*").alias("k"))
-        left = by_label.groupBy("key").agg(F.sum("k").alias("c"), F.sum(F.col("k").cast("double") * F.col("k")).alias("s")).where("c * c > s")
-        left = cut(left.withColumn("held", F.col("c")))
-        n, pairs = left.agg(F.sum("c"), F.sum((F.col("c").cast("double") * F.col("c") - F.col("s")) / 2)).first()
-        if not n:
-            break
-        rows = cut(join_counted(rows, left.select("key", "c", "held"), ["key"], "held").join(sets.select("gid", "fold"), "gid"))
-        last = turn == MOST_PIVOTS or turn > 0 and pairs <= MANY * n
-        new = _distinct(_cross(rows, percent) if last else _with_pivot(rows, turn, percent))
-        new = cut(new if seen is None else new.join(seen, ["a", "b"], "left_anti"))
-        seen = new.select("a", "b") if seen is None else seen.union(new.select("a", "b"))
-        good = cut(verified(new, sets, percent))
-        links = good if links is None else links.union(good)
-        labels = cut(components(links).select(F.col("node").alias("gid"), F.col("least").alias("label")))
-        if last:
-            break
-    return labels
+        lone = lone_counts(held.join(own.select("gid"), "gid"))
+        own = cut(own.drop("lone").join(lone, "gid", "left").withColumn("lone", F.coalesce("lone", F.lit(0))).where(100 * F.col("lone") <= (100 - percent) * F.col("n")))
+    met = _cross(few, percent).union(_cross(many.join(own, "gid"), percent))
+    new = cut(_distinct(met).join(first.select("a", "b"), ["a", "b"], "left_anti"))
+    links = links.union(cut(verified(new, sets(_ends(new)), percent)))
+    return components(links).select(F.col("node").alias("gid"), F.col("least").alias("label"))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("gid")).distinct()
 
 
 def similar(docs: DataFrame, size: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, n_shingles, component_id) of all documents: component_id is the least id that links of at least percent / 100 reach."""
     rows = cut(sketched(docs, size, percent, id_col, text_col))
-    some = rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("least_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sketches").alias("sketches"), F.min("th").alias("th"))
+    some = rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("least_id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("fold").alias("fold"), F.min("th").alias("th"))
     classes = cut(some.withColumn("gid", F.monotonically_increasing_id()))
     found = class_components(classes, docs, size, percent, text_col)
     own = classes.select("gid", "sig", "least_id", "copies")
