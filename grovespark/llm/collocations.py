@@ -1,7 +1,8 @@
 """Phrases whose words stand together more often than apart, for each language.
 
 Texts are cut at punctuation into pieces. Equal pieces are gathered into one
-with a multiplicity before anything is counted. Every task then counts the
+with a multiplicity before anything is counted. Words are counted first, then
+the longer n-grams that have only frequent words. Every task counts the
 weighted n-grams of its pieces in chunks, so that a frequent n-gram leaves a
 chunk once, and sends them to hash buckets. A bucket's counts are added up by
 DuckDB with a memory limit; what is beyond it spills to the task's scratch
@@ -25,20 +26,25 @@ columns are ignored; a piece of any length is one unit.
 from __future__ import annotations
 
 import tempfile
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from . import sketch
 from . import textbatch as tb
 from .shared import cut, join_counted
 
 #: What one task holds of a bucket in memory.
 MEMORY = "256MB"
 CHUNK = 4 << 20
+#: The filter of frequent words has so many bits, twice, at most (2 ** 29: 128 MB).
+MOST_BITS = 29
 PIECE_ENDS = "[.,;:!?\n-\r]"
 
 
@@ -50,90 +56,129 @@ def pieces(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> D
     return rows.groupBy("lang", "piece").agg(F.count("*").alias("m"))
 
 
-def chunk_grams(c: tb.Chunk, lang: np.ndarray, hashes: np.ndarray, weight: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct n-grams of up to `most` words of a chunk's pieces: hash, byte start and end, number of their language, weight. hashes: of each language."""
-    w = tb.words(c)
-    h = tb.word_hashes(c, w)
-    doc = w.doc()
-    found = []
+def _texts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    flat, begin = tb.gathered(data, starts, ends - starts, np.arange(len(starts)))
+    return pa.StringArray.from_buffers(len(starts), pa.py_buffer(begin.astype(np.int32)), pa.py_buffer(flat))
+
+
+def chunk_grams(w: tb.Words, wid: np.ndarray, weight: np.ndarray, some: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of `least` to `most` words of a chunk's pieces, as rows of word numbers (-1 behind the end) sorted for each n, and their weights. wid: each word's number; some: which words count."""
+    own = weight[w.doc()]
+    last = np.repeat(w.offsets[1:], w.counts())
+    ahead = np.append(0, np.cumsum(~some))  # words before that do not count
+    code, rows, totals = wid, [np.zeros((0, most), np.int64)], [np.zeros(0, np.int64)]
     for n in range(1, most + 1):
-        grams = tb.ngram_hashes(h, n)
-        at = np.flatnonzero(tb.whole_windows(w.offsets, n, len(grams)))
-        own = tb.joined(grams[at], hashes[lang[doc[at]]] + np.uint64(n))
-        kinds, first, code = np.unique(own, return_index=True, return_inverse=True)
-        total = np.bincount(code, weight[doc[at]], len(kinds)).astype(np.int64)
+        at = np.flatnonzero(np.arange(len(wid)) + n <= last)
+        at = at[ahead[at + n] == ahead[at]]
+        key = wid[at].astype(np.int64) if n == 1 else (code[at] << 32) | wid[at + n - 1]
+        _, first, inner = np.unique(key, return_index=True, return_inverse=True)
         first = at[first]
-        found.append((kinds, w.starts[first], w.ends[first + n - 1], lang[doc[first]], total))
-    return tuple(np.concatenate(x) for x in zip(*found))
+        if n >= least:
+            rows.append(np.stack([wid[first + k] if k < n else np.full(len(first), -1) for k in range(most)], axis=1))
+            totals.append(np.bincount(inner, own[at], len(first)).astype(np.int64))
+        code = np.zeros(len(wid), np.int64)
+        code[at] = inner
+    return np.concatenate(rows), np.concatenate(totals)
+
+
+def packed(words: pa.Array, langs: pa.Array, rows: np.ndarray, totals: np.ndarray) -> bytes:
+    """N-grams with a dictionary of the words that they have. Sorted word numbers compress well."""
+    used = np.zeros(len(words), bool)
+    used[rows[rows >= 0]] = True
+    local = np.append(np.cumsum(used) - 1, -1).astype(np.int32)  # -1 stays -1
+    some = pa.array(np.flatnonzero(used))
+    one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+    held = {"word": one(words.take(some)), "lang": one(langs.take(some)), "w": one(pa.array(totals))} | {f"w{k}": one(pa.array(local[rows[:, k]])) for k in range(rows.shape[1])}
+    batch = pa.RecordBatch.from_pydict(held)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
-_GRAMS = pa.schema([("lang", pa.int32()), ("gram", pa.string()), ("w", pa.int64())])
+def unpacked(blob: pa.Buffer, most: int) -> pa.Table:
+    """Rows (lang, gram, w) of what `packed` made."""
+    with pa.ipc.open_stream(blob) as reader:
+        held = {name: column.chunk(0).values for name, column in zip(reader.schema.names, reader.read_all().columns)}
+    parts = []
+    for k in range(most):
+        at = np.asarray(held[f"w{k}"])
+        parts.append(held["word"].take(pa.array(at, mask=at < 0)))
+    return pa.table({"lang": held["lang"].take(held["w0"]), "gram": pc.binary_join_element_wise(*parts, " ", null_handling="skip"), "w": held["w"]})
 
 
-def _texts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    flat, begin = tb.gathered(data, starts, ends - starts, np.arange(len(starts)))
-    return pa.StringArray.from_buffers(len(starts), pa.py_buffer(begin.astype(np.int32)), pa.py_buffer(flat))
+def hash_of(text: str) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(text.encode())
+
+
+def frequent(words: DataFrame) -> tuple[np.ndarray, int]:
+    """A Bloom filter of (lang, gram), with 16 bits or more for each up to 2 ** MOST_BITS; what is in it by mistake costs a row, nothing is ever missing."""
+    bits = min(max((16 * words.count()).bit_length(), 20), MOST_BITS)
+
+    def hashes(batch):
+        salt = {x: hash_of(x) for x in batch.column(0).unique().to_pylist()}
+        lang = np.array([salt[x] for x in batch.column(0).to_pylist()], np.uint64)
+        for c in tb.chunks(batch.column(1)):
+            w = tb.words(c)
+            yield tb.joined(tb.word_hashes(c, w), lang[c.rows][w.doc()])
 
+    return sketch.sketched(words.select("lang", "gram"), hashes, bits, 2, 1), bits
 
-def counts(found: DataFrame, most: int, least: int) -> DataFrame:
-    """Rows (lang, gram, a): the n-grams of up to `most` words that occur `least` times or more, and each language's number of words as that of the empty n-gram."""
-    spark = found.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+def counts(found: DataFrame, fewest: int, most: int, least: int, words: tuple[np.ndarray, int] | None = None) -> DataFrame:
+    """Rows (lang, gram, a): the n-grams of `fewest` to `most` words, all of them in the filter `words`, that occur `least` times or more; and as the empty n-gram, in parts, each language's number of words."""
+    known = found.sparkSession.sparkContext.broadcast(words)
+    buckets = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def send(batches):
         for batch in batches:
             langs, weights = batch.column(0).dictionary_encode(), np.asarray(batch.column(2))
-            names, codes = langs.dictionary.to_pylist(), np.asarray(langs.indices)
-            hashes = np.array([hash_of(x) for x in names], np.uint64)
+            codes = np.asarray(langs.indices)
+            salt = np.array([hash_of(x) for x in langs.dictionary.to_pylist()], np.uint64)
             for c in tb.chunks(batch.column(1), CHUNK):
-                h, starts, ends, lang, w = chunk_grams(c, codes[c.rows], hashes, weights[c.rows], most)
-                bucket = ((h >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+                w = tb.words(c)
+                lang = codes[c.rows][w.doc()]
+                wid, h = pd.factorize(tb.joined(tb.word_hashes(c, w), salt[lang]))  # a word of each language on its own
+                first = np.full(len(h), -1)
+                first[wid[::-1]] = np.arange(len(wid))[::-1]
+                texts, own = _texts(c.data, w.starts[first], w.ends[first]), langs.dictionary.take(pa.array(lang[first]))
+                some = sketch.present(known.value[0], h, known.value[1]) if known.value else np.ones(len(h), bool)
+                rows, totals = chunk_grams(w, wid, weights[c.rows], some[wid], fewest, most)
+                mixed = h[rows[:, 0]]
+                for k in range(1, most):
+                    mixed = np.where(rows[:, k] >= 0, tb.joined(mixed, h[rows[:, k]]), mixed)
+                bucket = ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.uint32)
                 order = np.argsort(bucket, kind="stable")
-                table = pa.table({"lang": pa.array(names).take(pa.array(lang[order])), "gram": _texts(c.data, starts[order], ends[order]), "w": pa.array(w[order])})
                 bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
                 full = np.flatnonzero(np.diff(bounds)).tolist()
-                blobs = [packed(table.slice(bounds[k], bounds[k + 1] - bounds[k])) for k in full]
-                total = np.bincount(codes[c.rows], weights[c.rows] * tb.words(c).counts(), len(names)).astype(np.int64)
-                some = np.flatnonzero(total)
-                full.append(0)
-                blobs.append(packed(pa.table({"lang": pa.array(names).take(pa.array(some)), "gram": pa.array([""] * len(some)), "w": pa.array(total[some])})))
+                blobs = [packed(texts, own, rows[x], totals[x]) for x in (order[bounds[k] : bounds[k + 1]] for k in full)]
                 yield pa.RecordBatch.from_pydict({"bucket": pa.array(full, pa.int32()), "grams": pa.array(blobs, pa.binary())})
 
     def add(batches):
         import duckdb
 
-        with tempfile.TemporaryDirectory() as scratch, duckdb.connect(config={"memory_limit": MEMORY, "threads": 1, "temp_directory": scratch, "preserve_insertion_order": False}) as con:
-            con.execute("CREATE TABLE grams (lang VARCHAR, gram VARCHAR, w BIGINT)")
+        total = Counter()
+
+        def rows():
             for batch in batches:
                 for blob in batch.column(1):
-                    with pa.ipc.open_stream(blob.as_buffer()) as reader:
-                        part = reader.read_all()
-                    con.register("part", part)
-                    con.execute("INSERT INTO grams SELECT * FROM part")
-                    con.unregister("part")
-            yield from con.sql(f"SELECT lang, gram, CAST(sum(w) AS BIGINT) AS a FROM grams GROUP BY lang, gram HAVING sum(w) >= {least} OR gram = ''").to_arrow_reader(10_000)
+                    part = unpacked(blob.as_buffer(), most)
+                    if fewest == 1:
+                        for lang, n in zip(*part.group_by("lang").aggregate([("w", "sum")]).to_pydict().values()):
+                            total[lang] += n
+                    yield from part.to_batches()
+
+        with tempfile.TemporaryDirectory() as scratch, duckdb.connect(config={"memory_limit": MEMORY, "threads": 1, "temp_directory": scratch, "preserve_insertion_order": False}) as con:
+            con.register("grams", pa.RecordBatchReader.from_batches(pa.schema([("lang", pa.string()), ("gram", pa.string()), ("w", pa.int64())]), rows()))
+            yield from con.sql(f"SELECT lang, gram, CAST(sum(w) AS BIGINT) AS a FROM grams GROUP BY lang, gram HAVING sum(w) >= {least}").to_arrow_reader(10_000)
+        yield pa.RecordBatch.from_pydict({"lang": pa.array(list(total), pa.string()), "gram": pa.array([""] * len(total), pa.string()), "a": pa.array(list(total.values()), pa.int64())})
 
     sent = found.select("lang", "piece", "m").mapInArrow(send, "bucket int, grams binary")
     return sent.repartition(buckets, "bucket").mapInArrow(add, "lang string, gram string, a long")
 
 
-def hash_of(text: str) -> int:
-    import xxhash
-
-    return xxhash.xxh64_intdigest(text.encode())
-
-
-def packed(table: pa.Table) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
-        writer.write_table(table)
-    return sink.getvalue().to_pybytes()
-
-
-def _cut(words: Column, start: int, length: Column | int) -> Column:
-    return F.array_join(F.slice(words, start, length), " ")
-
-
 def with_parts(grams: DataFrame, most: int) -> DataFrame:
     """Rows (lang, phrase, size, a, l, r, score) of the n-grams (lang, gram, size, a) of two words and more, by their lowest-scoring cut."""
     words = F.split("gram", " ")
@@ -160,7 +205,10 @@ def collocations(docs: DataFrame, most: int = 3, least: int = 10, share: int = 5
 
     A phrase goes if a longer candidate that holds it has at least share / 100 of its occurrences.
     """
-    found = cut(counts(pieces(docs, lang_col, text_col), most, least))
+    held = cut(pieces(docs, lang_col, text_col))
+    single = cut(counts(held, 1, 1, least))
+    # a phrase as frequent as that has only words that are
+    found = single.union(cut(counts(held, 2, most, least, frequent(single.where("gram != ''")))))
     grams = found.where("gram != ''").withColumn("size", F.size(F.split("gram", " ")))
     total = found.where("gram = ''").groupBy("lang").agg(F.sum("a").alias("n"))
     words = F.split("gram", " ")
