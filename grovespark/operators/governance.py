@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import numbers
 from ..sources.registry import CODE_SCHEME
-from . import graph, release
+from ..sources.tables import cut
+from . import graph, paging, release
 
 # Severities that block, states of runs, forms of codes and repositories, the types that polygons are matched to.
 BLOCKING = ("error", "blocker")
@@ -132,13 +133,14 @@ def stable_release(channels: DataFrame, releases: DataFrame, approvals: DataFram
 
 
 def out_of_order(units: DataFrame) -> DataFrame:
-    """Rows (territory_id, code) whose code as a number is not above that of the unit one position before. units: (territory_id, code, position).
+    """Rows (territory_id, code) whose code as a number is not above that of the unit before in the order of positions, which may have gaps. units: (territory_id, code, position).
 
     Codes that are no numbers are left to the check of their form.
-    Positions are compared by an equi-join, so no task holds all units.
+    Units are numbered over range partitions and compared by an equi-join, so no task holds all of them.
     """
-    before = units.select((F.col("position") + 1).alias("position"), F.col("code").try_cast("long").alias("_before"))
-    return units.join(before, "position").where(F.col("code").try_cast("long") <= F.col("_before")).select("territory_id", "code")
+    units = cut(paging.numbered(units.select("territory_id", "code", "position"), "position", "territory_id", name="_at"))
+    before = units.select((F.col("_at") + 1).alias("_at"), F.col("code").try_cast("long").alias("_before"))
+    return units.join(before, "_at").where(F.col("code").try_cast("long") <= F.col("_before")).select("territory_id", "code")
 
 
 def candidate_faults(units: DataFrame, snapshot: str) -> DataFrame:
@@ -149,7 +151,9 @@ def candidate_faults(units: DataFrame, snapshot: str) -> DataFrame:
     named = lambda df, fault: df.select("territory_id", F.lit(fault).alias("fault"))
     invalid = units.where(~F.coalesce(F.col("code").rlike(CODE), F.lit(False)))
     repeated = units.groupBy("territory_id").agg(F.count("*").alias("n")).where("n > 1")
-    owners = units.select("territory_id", F.inline("identifiers")).groupBy("scheme", "value").agg(F.count("*").alias("n"), F.min("territory_id").alias("territory_id")).where("n > 1")
+    # one identifier may pass from unit to unit in time
+    since = ["valid_from"] if "valid_from" in units.schema["identifiers"].dataType.elementType.names else []
+    owners = units.select("territory_id", F.inline("identifiers")).groupBy("scheme", "value", *since).agg(F.count("*").alias("n"), F.min("territory_id").alias("territory_id")).where("n > 1")
     rings = graph.cycles(units.select(F.col("territory_id").alias("id"), F.col("parent_id").alias("parent"))).where("id = cycle").select(F.col("id").alias("territory_id"))
     return (
         release.reference_faults(units)

@@ -113,10 +113,10 @@ def leaves(units: DataFrame, types: tuple[str, ...]) -> DataFrame:
 
 
 def slugs(units: DataFrame) -> DataFrame:
-    """Adds slug: of siblings with one slug the first by id keeps it, others add their code."""
+    """Adds slug: of siblings with one slug the first by id keeps it, others add their code, or their id if they have none."""
     base = units.withColumn("slug", slugify(F.coalesce("short_name", "official_name") if "short_name" in units.columns else F.col("official_name")))
     nth = F.row_number().over(W.partitionBy("parent_id", "slug").orderBy("territory_id"))
-    return base.withColumn("_nth", nth).withColumn("slug", F.when(F.col("_nth") == 1, F.col("slug")).otherwise(F.concat_ws("-", "slug", "code"))).drop("_nth")
+    return base.withColumn("_nth", nth).withColumn("slug", F.when(F.col("_nth") == 1, F.col("slug")).otherwise(F.concat_ws("-", "slug", F.coalesce("code", F.col("territory_id").cast("string"))))).drop("_nth")
 
 
 def paths(units: DataFrame) -> DataFrame:

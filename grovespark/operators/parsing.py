@@ -43,6 +43,6 @@ def parse_rows(sheet: DataFrame, headers: tuple[str, ...] = HEADERS) -> DataFram
         *(fields[k]["value"].cast("int" if k in ("type", "environment", "region", "order") else "string").alias(k) for k in fields),
         name.alias("name"), level.alias("level"), fsl.alias("fsl"), nuts.alias("nuts"),
     )
-    extra = F.exists(F.slice("cells", len(headers) + 1, 10_000), lambda c: c.isNotNull() & (F.trim(c) != ""))
+    extra = F.exists(F.slice("cells", len(headers) + 1, F.greatest(F.size("cells") - len(headers), F.lit(0))), lambda c: c.isNotNull() & (F.trim(c) != ""))
     out = rows.select("row_number", F.concat(F.lit("row:"), "row_number").alias("record_key"), record_hash(F.col("cells")).alias("record_hash"), F.map_from_arrays(F.array(*map(F.lit, headers)), F.slice(F.concat("cells", F.array_repeat(F.lit(None).cast("string"), len(headers))), 1, len(headers))).alias("raw"), extra.alias("extra_cells"), F.coalesce(*errors).alias("error"), record.alias("record"))
     return out.withColumn("record", F.when(F.col("error").isNull(), F.col("record"))).withColumn("parse_status", F.when(F.col("error").isNull(), "parsed").otherwise("invalid"))

@@ -274,7 +274,7 @@ def oracles(forest: str, slug: str) -> dict[str, str]:
             _FAULT("CODE_REPEATED", "(SELECT code FROM units GROUP BY 1 HAVING count(*) > 1)"),
             _FAULT("IDENTIFIER_REPEATED", "(SELECT code FROM units GROUP BY 1 HAVING count(*) > 1 UNION ALL SELECT region FROM units GROUP BY 1 HAVING count(*) > 1)"),
             _FAULT("SNAPSHOT_DIFFERS", "units WHERE snapshot <> 's1'"),
-            _FAULT("ORDER", "units a JOIN units b ON b.position = a.position - 1 WHERE try_cast(a.code AS BIGINT) <= try_cast(b.code AS BIGINT)"),
+            _FAULT("ORDER", "(SELECT code, lag(code) OVER (ORDER BY position) AS before FROM units) WHERE try_cast(code AS BIGINT) <= try_cast(before AS BIGINT)"),
             _FAULT("HIERARCHY_CYCLE", "parents a JOIN parents b ON a.p = b.id AND b.p = a.id WHERE a.id < b.id"),
         ]),
         "changelog_faults": " UNION ALL ".join(f"SELECT {k} AS release_id, '{n}' AS fault FROM orders WHERE {c}" for n, c in diff_rules.items()),

@@ -350,3 +350,22 @@ def test_bundle(spark, tmp_path):
     names = [r.name for r in bundle.contract(spark).collect()]
     offered = spark.createDataFrame([("a", "1.2.0", names), ("b", "2.0.0", names), ("c", "1.0", names), ("d", "1.0.0", names[1:]), ("e", "1.0.0", names + names), ("f", "1.0.0", None)], "contract string, version string, names array<string>")
     assert [r.verdict for r in bundle.compatibility(offered).orderBy("contract").collect()] == ["compatible", "MAJOR_DIFFERS", "VERSION_INVALID", "ARTIFACT_MISSING", "ARTIFACTS_REPEATED", "ARTIFACTS_REPEATED"]
+
+
+def test_order_across_gaps_and_identifiers_in_time(spark):
+    from grovespark.operators import governance
+
+    units = spark.createDataFrame([("a", "5", 0), ("b", "3", 2), ("c", "7", 9), ("d", "x", 10), ("e", "9", 30)], "territory_id string, code string, position long")
+    assert [r.territory_id for r in governance.out_of_order(units).collect()] == ["b"]
+    assert governance.out_of_order(units.limit(0)).count() == 0
+    held = [("a", "1", 0, "s", [("k", "v", "2001")]), ("b", "2", 1, "s", [("k", "v", "2002")]), ("c", "3", 2, "s", [("k", "v", "2002")])]
+    schema = "territory_id string, code string, position long, snapshot string, identifiers array<struct<scheme:string,value:string,valid_from:string>>, parent_id string, county_id string"
+    found = governance.candidate_faults(spark.createDataFrame([(*r, None, None) for r in held], schema), "s").where("fault = 'IDENTIFIER_REPEATED'").collect()
+    assert [r.territory_id for r in found] == ["b"]
+
+
+def test_siblings_without_code(spark):
+    from grovespark.operators import graph
+
+    units = spark.createDataFrame([("u1", None, "Same", None), ("u2", None, "Same", None), ("u3", "9", "Same", None)], "territory_id string, code string, official_name string, parent_id string")
+    assert {r.territory_id: r.slug for r in graph.slugs(units).collect()} == {"u1": "same", "u2": "same-u2", "u3": "same-9"}
