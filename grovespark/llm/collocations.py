@@ -2,8 +2,8 @@
 
 Texts are cut at punctuation into pieces. Equal pieces are gathered into one
 with a multiplicity before anything is counted. Words are counted first, then
-the longer n-grams that have only frequent words. Every task counts the
-weighted n-grams of its pieces in chunks, so that a frequent n-gram leaves a
+the n-grams of each length whose two shorter parts were frequent enough, which
+loses none. Every task counts the weighted n-grams of its pieces in chunks, so that a frequent n-gram leaves a
 chunk once, and sends them to hash buckets. A bucket's counts are added up by
 DuckDB with a memory limit; what is beyond it spills to the task's scratch
 folder, which goes with the task. Only n-grams that are frequent enough leave a
@@ -43,7 +43,7 @@ from .shared import cut, join_counted
 #: What one task holds of a bucket in memory.
 MEMORY = "256MB"
 CHUNK = 4 << 20
-#: The filter of frequent words has so many bits, twice, at most (2 ** 29: 128 MB).
+#: A filter of frequent n-grams has so many bits, twice, at most (2 ** 29: 128 MB).
 MOST_BITS = 29
 PIECE_ENDS = "[.,;:!?\n-\r]"
 
@@ -61,31 +61,41 @@ def _texts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(starts), pa.py_buffer(begin.astype(np.int32)), pa.py_buffer(flat))
 
 
-def chunk_grams(w: tb.Words, wid: np.ndarray, weight: np.ndarray, some: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct n-grams of `least` to `most` words of a chunk's pieces, as rows of word numbers (-1 behind the end) sorted for each n, and their weights. wid: each word's number; some: which words count."""
-    own = weight[w.doc()]
-    last = np.repeat(w.offsets[1:], w.counts())
-    ahead = np.append(0, np.cumsum(~some))  # words before that do not count
-    code, rows, totals = wid, [np.zeros((0, most), np.int64)], [np.zeros(0, np.int64)]
-    for n in range(1, most + 1):
-        at = np.flatnonzero(np.arange(len(wid)) + n <= last)
-        at = at[ahead[at + n] == ahead[at]]
-        key = wid[at].astype(np.int64) if n == 1 else (code[at] << 32) | wid[at + n - 1]
-        _, first, inner = np.unique(key, return_index=True, return_inverse=True)
-        first = at[first]
-        if n >= least:
-            rows.append(np.stack([wid[first + k] if k < n else np.full(len(first), -1) for k in range(most)], axis=1))
-            totals.append(np.bincount(inner, own[at], len(first)).astype(np.int64))
-        code = np.zeros(len(wid), np.int64)
-        code[at] = inner
-    return np.concatenate(rows), np.concatenate(totals)
+def starting(w: tb.Words, n: int) -> np.ndarray:
+    """The places where n words of one piece begin."""
+    return np.flatnonzero(np.arange(len(w.starts)) + n <= np.repeat(w.offsets[1:], w.counts()))
+
+
+def gram_hashes(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """The hashes of the n words from each place on, from those of the words."""
+    out = h[at]
+    for k in range(1, n):
+        out = tb.joined(out, h[at + k])
+    return out
+
+
+def _folded(h: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    out = h[rows[:, 0]]
+    for k in range(1, rows.shape[1]):
+        out = tb.joined(out, h[rows[:, k]])
+    return out
+
+
+def chunk_grams(wid: np.ndarray, weight: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams that begin at the places `at`, as sorted rows of word numbers, and their weights. wid, weight: each word's number and its piece's multiplicity."""
+    code = wid[at].astype(np.int64)
+    for k in range(1, n):
+        code = (pd.factorize(code, sort=True)[0] << 32) | wid[at + k]
+    _, first, inner = np.unique(code, return_index=True, return_inverse=True)
+    own = at[first]
+    return np.stack([wid[own + k] for k in range(n)], axis=1), np.bincount(inner, weight[at], len(first)).astype(np.int64)
 
 
 def packed(words: pa.Array, langs: pa.Array, rows: np.ndarray, totals: np.ndarray) -> bytes:
     """N-grams with a dictionary of the words that they have. Sorted word numbers compress well."""
     used = np.zeros(len(words), bool)
-    used[rows[rows >= 0]] = True
-    local = np.append(np.cumsum(used) - 1, -1).astype(np.int32)  # -1 stays -1
+    used[rows] = True
+    local = (np.cumsum(used) - 1).astype(np.int32)
     some = pa.array(np.flatnonzero(used))
     one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
     held = {"word": one(words.take(some)), "lang": one(langs.take(some)), "w": one(pa.array(totals))} | {f"w{k}": one(pa.array(local[rows[:, k]])) for k in range(rows.shape[1])}
@@ -96,15 +106,12 @@ def packed(words: pa.Array, langs: pa.Array, rows: np.ndarray, totals: np.ndarra
     return sink.getvalue().to_pybytes()
 
 
-def unpacked(blob: pa.Buffer, most: int) -> pa.Table:
+def unpacked(blob: pa.Buffer, n: int) -> pa.Table:
     """Rows (lang, gram, w) of what `packed` made."""
     with pa.ipc.open_stream(blob) as reader:
         held = {name: column.chunk(0).values for name, column in zip(reader.schema.names, reader.read_all().columns)}
-    parts = []
-    for k in range(most):
-        at = np.asarray(held[f"w{k}"])
-        parts.append(held["word"].take(pa.array(at, mask=at < 0)))
-    return pa.table({"lang": held["lang"].take(held["w0"]), "gram": pc.binary_join_element_wise(*parts, " ", null_handling="skip"), "w": held["w"]})
+    parts = [held["word"].take(held[f"w{k}"]) for k in range(n)]
+    return pa.table({"lang": held["lang"].take(held["w0"]), "gram": pc.binary_join_element_wise(*parts, " "), "w": held["w"]})
 
 
 def hash_of(text: str) -> int:
@@ -113,23 +120,24 @@ def hash_of(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode())
 
 
-def frequent(words: DataFrame) -> tuple[np.ndarray, int]:
-    """A Bloom filter of (lang, gram), with 16 bits or more for each up to 2 ** MOST_BITS; what is in it by mistake costs a row, nothing is ever missing."""
-    bits = min(max((16 * words.count()).bit_length(), 20), MOST_BITS)
+def frequent(grams: DataFrame, n: int) -> tuple[np.ndarray, int]:
+    """A Bloom filter of n-grams (lang, gram), with 16 bits or more for each up to 2 ** MOST_BITS; what is in it by mistake costs a row, nothing is ever missing."""
+    bits = min(max((16 * grams.count()).bit_length(), 20), MOST_BITS)
 
     def hashes(batch):
         salt = {x: hash_of(x) for x in batch.column(0).unique().to_pylist()}
         lang = np.array([salt[x] for x in batch.column(0).to_pylist()], np.uint64)
         for c in tb.chunks(batch.column(1)):
             w = tb.words(c)
-            yield tb.joined(tb.word_hashes(c, w), lang[c.rows][w.doc()])
+            h = tb.joined(tb.word_hashes(c, w), lang[c.rows][w.doc()])
+            yield gram_hashes(h, np.arange(0, len(h), n), n)
 
-    return sketch.sketched(words.select("lang", "gram"), hashes, bits, 2, 1), bits
+    return sketch.sketched(grams.select("lang", "gram"), hashes, bits, 2, 1), bits
 
 
-def counts(found: DataFrame, fewest: int, most: int, least: int, words: tuple[np.ndarray, int] | None = None) -> DataFrame:
-    """Rows (lang, gram, a): the n-grams of `fewest` to `most` words, all of them in the filter `words`, that occur `least` times or more; and as the empty n-gram, in parts, each language's number of words."""
-    known = found.sparkSession.sparkContext.broadcast(words)
+def counts(found: DataFrame, n: int, least: int, shorter: tuple[np.ndarray, int] | None = None) -> DataFrame:
+    """Rows (lang, gram, a): the n-grams that occur `least` times or more, if both their (n - 1)-grams are in the filter `shorter`. With n = 1 also, as the empty n-gram, in parts, each language's number of words."""
+    known = found.sparkSession.sparkContext.broadcast(shorter)
     buckets = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def send(batches):
@@ -139,19 +147,22 @@ def counts(found: DataFrame, fewest: int, most: int, least: int, words: tuple[np
             salt = np.array([hash_of(x) for x in langs.dictionary.to_pylist()], np.uint64)
             for c in tb.chunks(batch.column(1), CHUNK):
                 w = tb.words(c)
-                lang = codes[c.rows][w.doc()]
-                wid, h = pd.factorize(tb.joined(tb.word_hashes(c, w), salt[lang]))  # a word of each language on its own
+                lang, weight = codes[c.rows][w.doc()], weights[c.rows][w.doc()]
+                hashes = tb.joined(tb.word_hashes(c, w), salt[lang])
+                wid, h = pd.factorize(hashes)  # a word of each language on its own
                 first = np.full(len(h), -1)
                 first[wid[::-1]] = np.arange(len(wid))[::-1]
                 texts, own = _texts(c.data, w.starts[first], w.ends[first]), langs.dictionary.take(pa.array(lang[first]))
-                some = sketch.present(known.value[0], h, known.value[1]) if known.value else np.ones(len(h), bool)
-                rows, totals = chunk_grams(w, wid, weights[c.rows], some[wid], fewest, most)
-                mixed = h[rows[:, 0]]
-                for k in range(1, most):
-                    mixed = np.where(rows[:, k] >= 0, tb.joined(mixed, h[rows[:, k]]), mixed)
-                bucket = ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.uint32)
-                order = np.argsort(bucket, kind="stable")
-                bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                at = starting(w, n)
+                if known.value:
+                    often = np.zeros(len(wid) + 1, bool)
+                    begin = starting(w, n - 1)
+                    often[begin] = sketch.present(known.value[0], gram_hashes(hashes, begin, n - 1), known.value[1])
+                    at = at[often[at] & often[at + 1]]
+                rows, totals = chunk_grams(wid, weight, at, n)
+                bucket = ((_folded(h, rows)) >> np.uint64(33)) % np.uint64(buckets)
+                order = np.argsort(bucket.astype(np.uint32), kind="stable")
+                bounds = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
                 full = np.flatnonzero(np.diff(bounds)).tolist()
                 blobs = [packed(texts, own, rows[x], totals[x]) for x in (order[bounds[k] : bounds[k + 1]] for k in full)]
                 yield pa.RecordBatch.from_pydict({"bucket": pa.array(full, pa.int32()), "grams": pa.array(blobs, pa.binary())})
@@ -164,10 +175,10 @@ def counts(found: DataFrame, fewest: int, most: int, least: int, words: tuple[np
         def rows():
             for batch in batches:
                 for blob in batch.column(1):
-                    part = unpacked(blob.as_buffer(), most)
-                    if fewest == 1:
-                        for lang, n in zip(*part.group_by("lang").aggregate([("w", "sum")]).to_pydict().values()):
-                            total[lang] += n
+                    part = unpacked(blob.as_buffer(), n)
+                    if n == 1:
+                        for lang, held in zip(*part.group_by("lang").aggregate([("w", "sum")]).to_pydict().values()):
+                            total[lang] += held
                     yield from part.to_batches()
 
         with tempfile.TemporaryDirectory() as scratch, duckdb.connect(config={"memory_limit": MEMORY, "threads": 1, "temp_directory": scratch, "preserve_insertion_order": False}) as con:
@@ -206,9 +217,11 @@ def collocations(docs: DataFrame, most: int = 3, least: int = 10, share: int = 5
     A phrase goes if a longer candidate that holds it has at least share / 100 of its occurrences.
     """
     held = cut(pieces(docs, lang_col, text_col))
-    single = cut(counts(held, 1, 1, least))
-    # a phrase as frequent as that has only words that are
-    found = single.union(cut(counts(held, 2, most, least, frequent(single.where("gram != ''")))))
+    last = cut(counts(held, 1, least))
+    found = last
+    for n in range(2, most + 1):  # both n-grams inside a frequent one are frequent
+        last = cut(counts(held, n, least, frequent(last.where("gram != ''"), n - 1)))
+        found = found.union(last)
     grams = found.where("gram != ''").withColumn("size", F.size(F.split("gram", " ")))
     total = found.where("gram = ''").groupBy("lang").agg(F.sum("a").alias("n"))
     words = F.split("gram", " ")
