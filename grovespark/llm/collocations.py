@@ -45,6 +45,8 @@ MEMORY = "256MB"
 CHUNK = 4 << 20
 #: A filter of frequent n-grams has so many bits, twice, at most (2 ** 29: 128 MB).
 MOST_BITS = 29
+#: A language's phrases are ranked in so many parts first.
+PARTS = 16
 PIECE_ENDS = "[.,;:!?\n-\r]"
 
 
@@ -228,6 +230,9 @@ def collocations(docs: DataFrame, most: int = 3, least: int = 10, share: int = 5
     inner = F.flatten(F.transform(F.sequence(F.lit(2), F.col("size") - 1), lambda s: F.transform(F.sequence(F.lit(1), F.col("size") - s + 1), lambda i: F.array_join(F.slice(words, i, s), " "))))
     longer = grams.where("size > 2").select("lang", "a", F.explode(F.array_distinct(inner)).alias("phrase")).groupBy("lang", "phrase").agg(F.max("a").alias("held"))
     kept = with_parts(grams, most).join(longer, ["lang", "phrase"], "left").where(F.col("held").isNull() | (100 * F.col("held") < share * F.col("a")))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= first)
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # the best of each part of a language first, so that no task ranks all its phrases
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    some = kept.withColumn("_part", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order))).where(F.col("rank") <= first)
+    best = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= first)
     return best.join(F.broadcast(total), "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
