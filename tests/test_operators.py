@@ -244,6 +244,36 @@ def test_limiter(spark):
     assert got == {("a", 0): (1, False, 1, 100), ("a", 1): (2, False, 0, 100), ("a", 2): (3, True, 0, 100), ("a", 3): (1, False, 1, 200), ("a", 4): (2, False, 0, 200), ("a", 5): (1, False, 1, 400), ("b", 9): (1, False, 1, 150)}
 
 
+def _folded(rows, window):
+    """By the plain fold: {(client, id): (n, resets_at)}. Ids are not repeated."""
+    out = {}
+    for client in {c for c, _, _ in rows}:
+        own = sorted((t, i) for c, i, t in rows if c == client)
+        counts, ends, _ = limiter.fold([t for t, _ in own], None, window)
+        out |= {(client, i): (n, end) for (_, i), n, end in zip(own, counts, ends)}
+    return out
+
+
+def test_limiter_one_client_has_all_hits(spark, sf):
+    events = spark.read.parquet(f"{sf}/events.parquet").select(F.lit("one").alias("client"), F.col("event_id").cast("long").alias("id"), F.unix_millis(F.col("ts").cast("timestamp")).alias("at"))
+    rows = [tuple(r) for r in events.collect()]
+    for window in (60_000, 21_600_000):
+        assert {(r.client, r.id): (r.n, r.resets_at) for r in limiter.limited(events, window, 3).collect()} == _folded(rows, window)
+
+
+def test_limiter_times(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(rng.choice("abc"), i, rng.choice([rng.randrange(-300, 300), rng.randrange(5000), 77, -100])) for i in range(700)]
+    hits = spark.createDataFrame(rows, "client string, id long, at long").repartition(5)
+    for window in (1, 7, 100, 10_000):
+        assert {(r.client, r.id): (r.n, r.resets_at) for r in limiter.limited(hits, window, 3).collect()} == _folded(rows, window)
+    same = spark.createDataFrame([("a", None, 5)] * 4 + [(None, 1, 5), ("a", 1, None)], "client string, id long, at long")
+    assert sorted(r.n for r in limiter.limited(same, 10, 3).collect()) == [1, 2, 3, 4]
+    assert limiter.limited(same.limit(0), 10, 3).count() == 0
+
+
 def test_limiter_stream(spark, tmp_path):
     from grovespark.streaming.limiter import limited_stream
 
