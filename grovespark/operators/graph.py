@@ -2,7 +2,9 @@
 
 Each unit has at most one parent. Closures take one join a level, so as many as
 the forest is deep. Cycles are found by dropping leaves and trees first, then by
-pointer doubling over what is left. Nothing is collected.
+pointer doubling over what is left, which ends once a round changes nothing: in
+the logarithm of the longest way left, not of the number of units. Nothing is
+collected.
 """
 
 from __future__ import annotations
@@ -77,27 +79,26 @@ def _trimmed(step: DataFrame) -> DataFrame:
 def cycles(edges: DataFrame) -> DataFrame:
     """Rows (id, cycle, position): the units on a cycle, the least id on it, and how many steps to parents lead from that to the unit."""
     step = _trimmed(cut(edges.where("parent IS NOT NULL").dropDuplicates(["id"]).select("id", F.col("parent").alias("to"))))
-    jump, reach, n = step, 1, step.count()
-    while reach < n:
+    # where so many steps end; once twice as many end at as many units, these are the units on cycles
+    jump, ends, before = step, step.select("to").distinct().count(), -1
+    while ends != before:
         ahead = jump.select(F.col("id").alias("to"), F.col("to").alias("_to"))
         jump = cut(jump.join(ahead, "to").select("id", F.col("_to").alias("to")))
-        reach *= 2
-        if jump.isEmpty():
-            break
-    on = jump.select(F.col("to").alias("id")).distinct()  # wherever so many steps end is a cycle
+        before, ends = ends, jump.select("to").distinct().count()
+    on = jump.select(F.col("to").alias("id")).distinct()
     ring = cut(step.join(on, "id", "left_semi"))
-    least, reach, n = ring.select("id", "to", F.col("id").alias("least")), 1, ring.count()
-    while reach < n:
+    # the least id of so many steps, until no unit finds a lesser one
+    least, lower = ring.select("id", "to", F.col("id").alias("least")), not ring.isEmpty()
+    while lower:
         ahead = least.select(F.col("id").alias("to"), F.col("to").alias("_to"), F.col("least").alias("_least"))
-        least = cut(least.join(ahead, "to").select("id", F.col("_to").alias("to"), F.least("least", "_least").alias("least")))
-        reach *= 2
+        found = cut(least.join(ahead, "to").select("id", F.col("_to").alias("to"), F.least("least", "_least").alias("least"), (F.col("_least") < F.col("least")).alias("_lower")))
+        lower = not found.where("_lower").isEmpty()
+        least = found.drop("_lower")
     # steps from each unit on to the least one, where the walk stays
     walk = cut(ring.join(least.select("id", "least"), "id").select("id", "least", F.when(F.col("id") == F.col("least"), F.col("id")).otherwise(F.col("to")).alias("to"), F.when(F.col("id") == F.col("least"), 0).otherwise(1).cast("long").alias("steps")))
-    reach = 1
-    while reach < n:
+    while not walk.where("to != least").isEmpty():
         ahead = walk.select(F.col("id").alias("to"), F.col("to").alias("_to"), F.col("steps").alias("_steps"))
         walk = cut(walk.join(ahead, "to").select("id", "least", F.col("_to").alias("to"), (F.col("steps") + F.col("_steps")).alias("steps")))
-        reach *= 2
     size = walk.groupBy("least").agg(F.count("*").alias("size"))
     return walk.join(size, "least").select("id", F.col("least").alias("cycle"), ((F.col("size") - F.col("steps")) % F.col("size")).alias("position"))
 

@@ -63,15 +63,19 @@ def jumps(times: DataFrame, window_ms: int) -> DataFrame:
 def starts(times: DataFrame, window_ms: int) -> DataFrame:
     """Rows (client, start): the times at which windows start. times: distinct (client, at).
 
-    After k rounds the first 2 ** k starts of each client are known and jumps are as many windows long.
+    Jumps are made one, two, four and more windows long until none is left;
+    then each length doubles the starts that are known, from a client's first on.
     """
     jump = cut(jumps(times, window_ms))
     known = times.groupBy("client").agg(F.min("at").alias("start"))
+    lengths = []
     while not jump.isEmpty():
-        more = known.withColumnRenamed("start", "at").join(jump, ["client", "at"]).select("client", F.col("to").alias("start"))
-        known = cut(known.unionByName(more))
+        lengths.append(small(jump))
         onward = jump.select("client", F.col("at").alias("to"), F.col("to").alias("_to"))
         jump = cut(jump.join(onward, ["client", "to"]).select("client", "at", F.col("_to").alias("to")))
+    for jump in lengths:
+        reached = known.withColumnRenamed("start", "at").join(jump, ["client", "at"], "left")
+        known = reached.select("client", F.explode(F.array_compact(F.array("at", "to"))).alias("start"))
     return known
 
 

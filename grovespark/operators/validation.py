@@ -115,8 +115,8 @@ def last_by_code(records: DataFrame) -> DataFrame:
 GROUPS = ("codes", "types", "nuts", "parents")
 
 
-def row_findings(records: DataFrame, profile: Profile | None = None, groups: tuple[str, ...] = GROUPS) -> DataFrame:
-    """What single records break, of the groups of rules asked for."""
+def row_findings(records: DataFrame, profile: Profile | None = None, groups: tuple[str, ...] = GROUPS, counties: DataFrame | None = None) -> DataFrame:
+    """What single records break, of the groups of rules asked for. counties: what `_counties` gives for the same records and profile, if it is made already."""
     profile = profile or Profile()
     r = typed(records, profile.overrides if "types" in groups else None)
     r = corrected(r, profile.corrections).withColumn("up", effective_parent(F.col("parent"), F.col("level"), profile.sentinel))
@@ -127,7 +127,7 @@ def row_findings(records: DataFrame, profile: Profile | None = None, groups: tup
         items.append(F.when(when, F.struct(F.lit(PREFIX + name).alias("rule"), F.lit("blocker").alias("severity"), F.col(entity).cast("string").alias("entity"), detail.cast("string").alias("detail"))))
 
     if "codes" in groups:
-        r = r.join(records.groupBy("code").agg(F.min("row_number").alias("_first_row")), "code")
+        r = r.join(records.groupBy("code").agg(F.min("row_number").alias("_first_row")), "code", "left")
         rule(F.col("row_number") != F.col("_first_row"), "DUPLICATE_CODE", F.col("row_number"))
     if "types" in groups:
         rule(F.col("territory_type").isNull(), "UNKNOWN_TYPE", F.col("type"))
@@ -135,7 +135,7 @@ def row_findings(records: DataFrame, profile: Profile | None = None, groups: tup
         if profile.overrides:
             rule(F.col("_type").isNotNull() & ~((F.col("_type") == F.col("type")) & (F.col("_level") == F.col("level"))), "REVIEWED_TYPE_OVERRIDE_MISMATCH")
     if "nuts" in groups or "parents" in groups:
-        r = r.join(small(_counties(records, profile)), "county", "left")
+        r = r.join(small(_counties(records, profile) if counties is None else counties), "county", "left")
     if "nuts" in groups:
         some = F.col("nuts") != ""
         rule(some & ~F.col("nuts").rlike(NUTS), "NUTS_FORMAT_INVALID", F.col("nuts"))
@@ -176,11 +176,11 @@ def type_rules(records: DataFrame, overrides: dict[str, tuple] | None = None) ->
     return out
 
 
-def county_rules(records: DataFrame, profile: Profile) -> DataFrame:
+def county_rules(records: DataFrame, profile: Profile, counties: DataFrame | None = None) -> DataFrame:
     """What counties break: one record after another with another code, one value in several counties, corrections that no longer fit."""
     own = records.where(F.col("type") == COUNTY_TYPE)
     before = F.lag("code").over(W.partitionBy("county").orderBy("row_number"))  # over county records only
-    several = _counties(records, profile).where("_county_nuts IS NOT NULL").groupBy("_county_nuts").agg(F.sort_array(F.collect_set("county")).alias("counties")).where("size(counties) > 1")  # a county code has two digits
+    several = (_counties(records, profile) if counties is None else counties).where("_county_nuts IS NOT NULL").groupBy("_county_nuts").agg(F.sort_array(F.collect_set("county")).alias("counties")).where("size(counties) > 1")  # a county code has two digits
     parts = [
         finding(own.withColumn("_before", before).where("_before != code"), "DUPLICATE_COUNTY_CODE", "blocker", F.col("code"), F.concat_ws(",", "_before", "code")),
         finding(several, "NUTS_DUPLICATE_COUNTY_IDENTIFIER", "blocker", None, F.concat_ws(":", "_county_nuts", F.array_join("counties", ","))),
@@ -227,7 +227,7 @@ def checksum_sample(records: DataFrame, most: int = 20) -> DataFrame:
     return records.where(~checksum_valid(F.col("code"))).select("row_number", "code").orderBy("row_number").limit(most)
 
 
-def volume_rules(records: DataFrame, profile: Profile) -> list[DataFrame]:
+def volume_rules(records: DataFrame, profile: Profile, counties: DataFrame | None = None) -> list[DataFrame]:
     """Counts against the reviewed profile, in one pass."""
     levels = sorted(profile.levels)
     seen = records.agg(
@@ -236,7 +236,7 @@ def volume_rules(records: DataFrame, profile: Profile) -> list[DataFrame]:
         F.count_if(~checksum_valid(F.col("code"))).alias("bad"),
         F.count_if(F.coalesce("nuts", F.lit("")) == "").alias("missing"),
         F.count_if((F.col("parent") == profile.sentinel) & (F.col("level") == 1)).alias("sentinels") if profile.sentinel else F.lit(0).alias("sentinels"),
-    ).crossJoin(_counties(records, profile).agg(F.count_distinct("_county_nuts").alias("nuts3")))  # one row each
+    ).crossJoin((_counties(records, profile) if counties is None else counties).agg(F.count_distinct("_county_nuts").alias("nuts3")))  # one row each
     items = []
 
     def rule(when, name: str, severity: str, detail) -> None:
@@ -262,7 +262,8 @@ def row_rules(rows: DataFrame) -> list[DataFrame]:
 
 def all_findings(records: DataFrame, profile: Profile | None = None) -> DataFrame:
     profile = profile or Profile()
-    parts = [row_findings(records, profile), county_rules(records, profile), cycle_rule(records, profile.sentinel), *volume_rules(records, profile)]
+    counties = _counties(records, profile)
+    parts = [row_findings(records, profile, counties=counties), county_rules(records, profile, counties), cycle_rule(records, profile.sentinel), *volume_rules(records, profile, counties)]
     if profile.overrides:
         asked = records.sparkSession.createDataFrame([(c,) for c in profile.overrides], "code string")
         parts.append(finding(asked.join(records, "code", "left_anti"), "REVIEWED_TYPE_OVERRIDE_MISSING", "blocker", F.col("code")))

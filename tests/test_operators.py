@@ -1,6 +1,7 @@
 """Operators on small cases: nulls, ties, empty inputs, and behaviour that no table shows."""
 
 import io
+import random
 import zipfile
 
 import pytest
@@ -244,6 +245,29 @@ def test_limiter(spark):
     assert got == {("a", 0): (1, False, 1, 100), ("a", 1): (2, False, 0, 100), ("a", 2): (3, True, 0, 100), ("a", 3): (1, False, 1, 200), ("a", 4): (2, False, 0, 200), ("a", 5): (1, False, 1, 400), ("b", 9): (1, False, 1, 150)}
 
 
+def test_cycles_of_many_lengths(spark):
+    """Rings of one to forty units, with long tails that lead to them or end at a missing parent."""
+    rng = random.Random(5)
+    rings, edges = {}, []
+    for size in (1, 2, 3, 7, 16, 17, 40):
+        ids = [f"r{size:02}-{i:02}" for i in rng.sample(range(size), size)]
+        edges += list(zip(ids, ids[1:] + ids[:1]))
+        k = ids.index(min(ids))
+        rings |= {x: (min(ids), i) for i, x in enumerate(ids[k:] + ids[:k])}
+        edges += [(f"t{size}-{i}", f"t{size}-{i + 1}" if i < 20 else ids[0]) for i in range(21)]
+    edges += [(f"m{i}", f"m{i + 1}") for i in range(50)]
+    rng.shuffle(edges)
+    got = graph.cycles(spark.createDataFrame(edges, "id string, parent string"))
+    assert {r.id: (r.cycle, r.position) for r in got.collect()} == rings
+    assert graph.cycles(spark.createDataFrame([("a", "b"), ("b", None)], "id string, parent string")).count() == 0
+
+
+def test_records_without_code_keep_their_findings(spark):
+    rows = spark.createDataFrame([(1, None, "x", "1", None, 99, 9, None), (2, "5", "y", "1", None, 99, 9, None)], "row_number int, code string, name string, county string, parent string, type int, level int, nuts string")
+    found = validation.row_findings(rows, groups=("codes", "types")).where(F.col("rule").endswith("UNKNOWN_TYPE"))
+    assert sorted((r.entity is None) for r in found.collect()) == [False, True]
+
+
 def _folded(rows, window):
     """By the plain fold: {(client, id): (n, resets_at)}. Ids are not repeated."""
     out = {}
@@ -262,8 +286,6 @@ def test_limiter_one_client_has_all_hits(spark, sf):
 
 
 def test_limiter_times(spark):
-    import random
-
     rng = random.Random(3)
     rows = [(rng.choice("abc"), i, rng.choice([rng.randrange(-300, 300), rng.randrange(5000), 77, -100])) for i in range(700)]
     hits = spark.createDataFrame(rows, "client string, id long, at long").repartition(5)
