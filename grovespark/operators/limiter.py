@@ -9,7 +9,8 @@ number of windows. A hit's count is its place in the order of all hits, less
 that of its window's first hit. One client may have all hits: they are split by
 ranges of time, and no task orders more than the distinct times of one window.
 
-Hits without client or time are left out; equal hits count each; hits of one
+Hits without time are left out; those without client are of the client UNKNOWN, or
+left out where clients are no texts; equal hits count each; hits of one
 client and time are in the order of their ids, null first.
 """
 
@@ -18,12 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.tables import cut, small
 from .paging import numbered
 
-# The window and the hits that it allows.
-WINDOW_MS, MOST = 60_000, 120
+# The window, the hits that it allows, and the client of hits that name none.
+WINDOW_MS, MOST, UNKNOWN = 60_000, 120, "unknown"
 
 
 def fold(at: list[int], state: tuple[int, int] | None, window_ms: int) -> tuple[list[int], list[int], tuple[int, int] | None]:
@@ -81,7 +83,8 @@ def starts(times: DataFrame, window_ms: int) -> DataFrame:
 
 def limited(hits: DataFrame, window_ms: int = WINDOW_MS, most: int = MOST) -> DataFrame:
     """Rows (client, id, at, n, resets_at, limited, remaining). hits: (client, id, at in milliseconds)."""
-    whole = hits.select("client", "id", F.col("at").cast("long")).where("client IS NOT NULL AND at IS NOT NULL")
+    client = F.coalesce("client", F.lit(UNKNOWN)) if isinstance(hits.schema["client"].dataType, T.StringType) else F.col("client")
+    whole = hits.select(client.alias("client"), "id", F.col("at").cast("long")).where("client IS NOT NULL AND at IS NOT NULL")
     placed = cut(numbered(whole, "client", "at", "id"))
     times = cut(placed.groupBy("client", "at").agg(F.min("position").alias("position")))
     begun = starts(times.select("client", "at"), window_ms).join(times.withColumnRenamed("at", "start"), ["client", "start"])

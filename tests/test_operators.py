@@ -1,6 +1,8 @@
 """Operators on small cases: nulls, ties, empty inputs, and behaviour that no table shows."""
 
 import io
+import json
+import os
 import random
 import zipfile
 
@@ -242,7 +244,7 @@ def test_matching_prefers_codes(spark):
 def test_limiter(spark):
     hits = spark.createDataFrame([("a", i, t) for i, t in enumerate([0, 10, 20, 100, 105, 300])] + [("b", 9, 50), (None, 10, 1)], "client string, id long, at long")
     got = {(r.client, r.id): (r.n, r.limited, r.remaining, r.resets_at) for r in limiter.limited(hits, 100, 2).collect()}
-    assert got == {("a", 0): (1, False, 1, 100), ("a", 1): (2, False, 0, 100), ("a", 2): (3, True, 0, 100), ("a", 3): (1, False, 1, 200), ("a", 4): (2, False, 0, 200), ("a", 5): (1, False, 1, 400), ("b", 9): (1, False, 1, 150)}
+    assert got == {("a", 0): (1, False, 1, 100), ("a", 1): (2, False, 0, 100), ("a", 2): (3, True, 0, 100), ("a", 3): (1, False, 1, 200), ("a", 4): (2, False, 0, 200), ("a", 5): (1, False, 1, 400), ("b", 9): (1, False, 1, 150), ("unknown", 10): (1, False, 1, 101)}
 
 
 def test_cycles_of_many_lengths(spark):
@@ -292,20 +294,61 @@ def test_limiter_times(spark):
     for window in (1, 7, 100, 10_000):
         assert {(r.client, r.id): (r.n, r.resets_at) for r in limiter.limited(hits, window, 3).collect()} == _folded(rows, window)
     same = spark.createDataFrame([("a", None, 5)] * 4 + [(None, 1, 5), ("a", 1, None)], "client string, id long, at long")
-    assert sorted(r.n for r in limiter.limited(same, 10, 3).collect()) == [1, 2, 3, 4]
+    assert sorted(r.n for r in limiter.limited(same, 10, 3).collect()) == [1, 1, 2, 3, 4]
     assert limiter.limited(same.limit(0), 10, 3).count() == 0
 
 
-def test_limiter_stream(spark, tmp_path):
+@pytest.fixture
+def rocksdb(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    yield
+    spark.conf.unset(name)
+
+
+def _streamed(spark, folder, batches, window, lateness):
+    """Rows counted by the stream, each batch being one file and one micro-batch; and the folder of its checkpoint."""
     from grovespark.streaming.limiter import limited_stream
 
-    hits = spark.createDataFrame([("a", i, 1000 + i * 10) for i in range(5)], "client string, id long, at long")
-    hits.coalesce(1).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(hits.schema).parquet(str(tmp_path / "in"))
-    q = limited_stream(stream, 100, 3).writeStream.format("memory").queryName("limits").option("checkpointLocation", str(tmp_path / "cp")).outputMode("append").trigger(availableNow=True).start()
-    assert q.awaitTermination(90)
+    schema = "client string, id long, at long"
+    for i, batch in enumerate(batches):
+        part = folder / "in" / f"{i:03}.json"
+        part.parent.mkdir(exist_ok=True, parents=True)
+        part.write_text("".join(json.dumps(dict(zip(("client", "id", "at"), row))) + "\n" for row in batch))
+        os.utime(part, (i + 1, i + 1))  # read in this order
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(folder / "in"))
+    q = limited_stream(stream, window, 3, lateness, slot_ms=50).writeStream.format("memory").queryName(folder.name).option("checkpointLocation", str(folder / "cp")).outputMode("append").trigger(availableNow=True).start()
+    assert q.awaitTermination(240)
     q.stop()
-    assert sorted((r.id, r.n, r.limited) for r in spark.table("limits").collect()) == [(i, i + 1, i + 1 > 3) for i in range(5)]
+    return spark.table(folder.name).collect(), str(folder / "cp")
+
+
+def test_limiter_stream_equals_the_batch_query(spark, tmp_path, rocksdb):
+    """One busy client and some others, out of order by less than the lateness, in few and in many micro-batches; the last hit moves the watermark beyond all others."""
+    rng = random.Random(4)
+    rows = [("busy" if rng.random() < 0.6 else rng.choice(["a", "b", None]), i, rng.randrange(1000, 6000)) for i in range(300)] + [("busy", None, 3000), ("busy", None, 3000), ("a", 400, None)]
+    end = ("end", 500, 60_000)
+    want = []
+    for client in ("busy", "a", "b", limiter.UNKNOWN):
+        own = sorted((t, i is not None, i or 0) for c, i, t in rows if (c or limiter.UNKNOWN) == client and t is not None)
+        counts, ends, _ = limiter.fold([t for t, *_ in own], None, 400)
+        want += [(client, there, i, t, n, e) for (t, there, i), n, e in zip(own, counts, ends)]
+    for name, cuts in (("limits_few", 2), ("limits_many", 7)):
+        known = sorted(rows, key=lambda r: (r[2] or 0) + rng.randrange(900))
+        size = len(known) // cuts + 1
+        got, checkpoint = _streamed(spark, tmp_path / name, [known[i : i + size] for i in range(0, len(known), size)] + [[end]], 400, "1 second")
+        assert sorted((r.client, r.id is not None, r.id or 0, r.at, r.n, r.resets_at) for r in got) == sorted(want)
+        assert not any(r.late for r in got) and all(r.limited == (r.n > 3) and r.remaining == max(3 - r.n, 0) for r in got)
+        state = lambda var: spark.read.format("statestore").option("stateVarName", var).load(checkpoint)
+        assert state("window").count() == 0  # windows that are over are gone
+        assert [r.key.client for r in state("waiting").select("key").distinct().collect()] == ["end"]
+
+
+def test_limiter_stream_counts_late_hits(spark, tmp_path, rocksdb):
+    """A hit that comes after its slot was counted counts at the watermark."""
+    batches = [[("a", 1, 1000), ("a", 2, 2000)], [("a", 3, 1900)], [("a", 4, 500)], [("b", 9, 60_000)]]
+    got, _ = _streamed(spark, tmp_path / "limits_late", batches, 5000, "0 seconds")
+    assert sorted((r.id, r.at, r.n, r.resets_at, r.late) for r in got) == [(1, 1000, 1, 6000, False), (2, 2000, 2, 6000, False), (3, 1900, 3, 6000, True), (4, 500, 4, 6000, True)]
 
 
 def test_features(spark, tmp_path):
