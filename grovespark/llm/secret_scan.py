@@ -1,17 +1,19 @@
 """Secret scans: fixed patterns, and tokens that a battery of randomness tests cannot tell from chance.
 
 Patterns give the spans of kinds `assign`, `access` and `hex`. Every other run
-of 16 or more characters of `[A-Za-z0-9+/_=-]` with both letters and digits is
-a candidate. Its encoding is the smallest alphabet that holds it. Three tests
-look for structure: chi-squared uniformity over that alphabet, runs above and
+of 16 or more characters of `[A-Za-z0-9+/_-]` with a letter is a candidate,
+with `=` or `==` at its end. Its encoding is the smallest alphabet that holds
+it. Three tests look for structure: chi-squared uniformity over that alphabet, runs above and
 below its middle, and serial correlation of neighbours; Fisher's method joins
 their p-values, and a joint one below STRUCTURED rules a candidate out. The
-rest are tested against ordinary text, whose chi-squared statistic grows with
-the length by TEXT_COLLISIONS, and whose letters and digits take turns seldom
-(TEXT_CHANGES): a candidate's p-value joins the chances of text as even as that
-and as mixed as that, by Fisher's method. Benjamini and Hochberg's procedure at rate FALSE_RATE, with
-weights in proportion to length, picks the discoveries of each document (kind
-`random`). A document's spans depend on nothing but its text.
+rest are tested against ordinary text: its chi-squared statistic grows with the
+length by TEXT_COLLISIONS, its letters and digits take turns seldom
+(TEXT_CHANGES, or TEXT_CASE_CHANGES with capitals), and its letters are mostly
+the frequent ones (TEXT_LETTERS), so seldom all of them are hexadecimal digits.
+A candidate's p-value joins the chances of text as even, as mixed and of
+letters as rare, by Fisher's method. Benjamini and Hochberg's procedure at rate
+FALSE_RATE, with weights in proportion to length, picks the discoveries of each
+document (kind `random`). A document's spans depend on nothing but its text.
 
 Starts and ends count code points; ends are exclusive.
 
@@ -37,17 +39,23 @@ from . import textbatch as tb
 
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "random")
-FALSE_RATE = 0.01
+FALSE_RATE = 0.003
 STRUCTURED = 0.001
 #: The chance that two characters of ordinary text are equal.
 TEXT_COLLISIONS = 0.066
 #: The chance that a letter of ordinary names and words follows a digit, or a digit a letter.
 TEXT_CHANGES = 0.1
+#: The same between small letters, capitals and digits, where a name has both cases.
+TEXT_CASE_CHANGES = 0.3
+#: Percent of the letters of English text, from a to z.
+TEXT_LETTERS = (8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4, 6.7, 7.5, 1.9, 0.095, 6.0, 6.3, 9.1, 2.8, 0.98, 2.4, 0.15, 2.0, 0.074)
+#: How much wider than chance the rareness of letters spreads: words repeat their parts, and other languages and names use other letters.
+TEXT_SPREAD = 2.0
 
 _ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _HINTS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 _LONG = np.zeros(256, bool)
 _LONG[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")] = True
@@ -55,6 +63,12 @@ _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHI
 #: From the smallest to the largest.
 ALPHABETS = [_DIGITS + "abcdef", _DIGITS + "ABCDEF", _UPPER + "234567", _DIGITS + _LOWER, _DIGITS + _UPPER, _UPPER + _LOWER + _DIGITS, _UPPER + _LOWER + _DIGITS + "+/", _UPPER + _LOWER + _DIGITS + "-_", _UPPER + _LOWER + _DIGITS + "+/-_="]
 
+_SHARE = np.array(TEXT_LETTERS) / sum(TEXT_LETTERS)
+_RARE = -np.log(_SHARE)
+_RARE_MEAN = float((_SHARE * _RARE).sum())
+_RARE_VARIANCE = float((_SHARE * (_RARE - _RARE_MEAN) ** 2).sum())
+_HEX_SHARE = float(_SHARE[:6].sum())
+
 
 def _above(z: float) -> float:
     return erfc(z / sqrt(2)) / 2
@@ -69,6 +83,11 @@ def _chi_above(x: float, df: float) -> float:
     return _above(((max(x, 0.0) / df) ** (1 / 3) - (1 - 2 / (9 * df))) / sqrt(2 / (9 * df)))
 
 
+def _at_least(k: int, n: int, rate: float) -> float:
+    """P(at least k of n), each with the chance `rate`."""
+    return sum(comb(n, j) * rate**j * (1 - rate) ** (n - j) for j in range(k, n + 1)) if n <= 1000 else _above((k - n * rate) / sqrt(n * rate * (1 - rate)))
+
+
 def battery(token: str) -> tuple[float, float]:
     """(joint p-value of the randomness tests, p-value of being ordinary text) of a token."""
     token = token.rstrip("=")
@@ -96,9 +115,16 @@ def battery(token: str) -> tuple[float, float]:
     joint = _chi_above(-2 * sum(log(max(p, 1e-300)) for p in ps), 6)
     more = n * max(k * TEXT_COLLISIONS - 1, 1.0)  # small alphabets: at least twice the collisions of chance
     even = (1 + erf((chi - (k - 1) - more) / sqrt(2 * (k - 1) + 4 * more) / sqrt(2))) / 2
-    changes = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:]) if a.isalnum() and b.isalnum())
-    mixed = sum(comb(n - 1, j) * TEXT_CHANGES**j * (1 - TEXT_CHANGES) ** (n - 1 - j) for j in range(changes, n)) if n <= 1000 else _above((changes - (n - 1) * TEXT_CHANGES) / sqrt((n - 1) * TEXT_CHANGES * (1 - TEXT_CHANGES)))
-    return joint, _chi_above(-2 * (log(max(even, 1e-300)) + log(max(mixed, 1e-300))), 4)
+    views = [even]
+    cased = token != token.lower() and token != token.upper()
+    if cased or not token.isalpha():
+        kinds = [c.isdigit() + 2 * (cased and c.isupper()) for c in token if c.isalnum()]
+        views.append(_at_least(sum(a != b for a, b in zip(kinds, kinds[1:])), n - 1, TEXT_CASE_CHANGES if cased else TEXT_CHANGES))
+    letters = [ord(c) - 97 for c in token.lower() if c.isalpha()]
+    if letters:
+        rare = _HEX_SHARE ** len(letters) if k == 16 else _above((float(_RARE[letters].sum()) - len(letters) * _RARE_MEAN) / sqrt(TEXT_SPREAD * _RARE_VARIANCE * len(letters)))
+        views.append(rare)
+    return joint, _chi_above(-2 * sum(log(max(p, 1e-300)) for p in views), 2 * len(views))
 
 
 def spans_of(text: str) -> list[tuple[str, int, int]]:
@@ -107,7 +133,7 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
     found += [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
     tested = []
     for m in _RUN.finditer(text):
-        if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and not any(a < m.end() and m.start() < b for _, a, b in found):
+        if re.search("[A-Za-z]", m[0]) and not any(a < m.end() and m.start() < b for _, a, b in found):
             joint, p = battery(m[0])
             tested.append((p if joint >= STRUCTURED else 1.0, m.start(), m.end()))
     if tested:

@@ -65,7 +65,7 @@ def test_no_documents(spark, sf, real):
 def test_queries_take_whole_tables(spark, sf):
     n = spark.read.parquet(f"{sf}/documents.parquet").count()
     for name, f in queries.queries().items():
-        if name != "op1_decontaminate":
+        if name not in ("op1_decontaminate", "op11_lexical_search", "op13_collocations"):  # whose rows are not one a document
             assert f(spark, sf).count() == n, name
 
 

@@ -1,5 +1,6 @@
 """Cases where an operator once did less than its whole job."""
 
+import itertools
 import random
 from collections import Counter
 from math import comb
@@ -56,11 +57,34 @@ def test_secret_battery():
     joint = [secret_scan.battery("".join(rng.choices(secret_scan.ALPHABETS[5], k=40)))[0] for _ in range(1500)]
     assert 0.02 < sum(p < 0.05 for p in joint) / len(joint) < 0.09
     assert secret_scan.battery("abcabcabcabcabc1abcabcabcabcabc1")[0] < secret_scan.STRUCTURED
-    for alphabet, size in ((secret_scan.ALPHABETS[0], 16), (secret_scan.ALPHABETS[3], 20), (secret_scan.ALPHABETS[5], 20)):
-        tokens = ["".join(rng.choices(alphabet, k=size)) for _ in range(400)]
-        assert sum(any(k == "random" for k, *_ in secret_scan.spans_of(f"the key {t} is here")) for t in tokens) > 300
-    plain = ["internationalization2024", "customer_order_details_v2", "2024-02-29-release-notes-1", "abcdefghijklmnop1234567890"]
+    plain = ["internationalization2024", "customer_order_details_v2", "2024-02-29-release-notes-1", "abcdefghijklmnop1234567890", "kubernetes-proxy-config", "getUserAccountByEmailAddress", "XMLHttpRequestUpload", "covid19vaccine2021", "Donaudampfschifffahrtsgesellschaft"]
     assert not any(secret_scan.spans_of(f"see {t} there") for t in plain)
+    assert not secret_scan.spans_of(" ".join(plain * 5))
+
+
+def test_secret_recall():
+    """Nine of ten random tokens are found from 16 characters on, of letters alone too (in one case: from 20); and of 24 characters beside 45 names."""
+    rng = random.Random(10)
+    beside = " ".join(["internationalization2024", "customer_order_details_v2", "implementation-notes", "getUserAccountByEmailAddress", "Donaudampfschifffahrtsgesellschaft"] * 9)
+    letters = secret_scan.ALPHABETS[5][:52]
+    for alphabet, size, least in ((0, 16, 0.9), (1, 16, 0.9), (3, 16, 0.9), (5, 16, 0.9), (6, 16, 0.9), (letters, 16, 0.9), (letters[:26], 20, 0.88), (letters[:26], 16, 0.75)):
+        drawn = secret_scan.ALPHABETS[alphabet] if isinstance(alphabet, int) else alphabet
+        found = lambda text, size: any(k in ("random", "hex") and a <= 4 and b >= 4 + size for k, a, b in secret_scan.spans_of(text))
+        assert sum(found(f"key {''.join(rng.choices(drawn, k=size))} is here", size) for _ in range(500)) >= least * 500
+        if len(drawn) > 26 or alphabet == 0:
+            assert sum(found(f"key {''.join(rng.choices(drawn, k=24))} is {beside}", 24) for _ in range(100)) >= 88
+
+
+def test_secret_levels():
+    """Text of independent letters looks like no text less often than the level says; the sums of the binomial are those of a plain count."""
+    rng = random.Random(12)
+    drawn = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", secret_scan.TEXT_LETTERS, k=rng.randrange(16, 40))) for _ in range(2000)]
+    assert sum(secret_scan.battery(t)[1] < 0.01 for t in drawn) < 30
+    for k, n, rate in ((0, 5, 0.3), (3, 5, 0.3), (5, 5, 0.3), (2, 9, 0.1)):
+        ways = sum(rate ** sum(x) * (1 - rate) ** (n - sum(x)) for x in itertools.product((0, 1), repeat=n) if sum(x) >= k)
+        assert abs(secret_scan._at_least(k, n, rate) - ways) < 1e-12
+    assert abs(secret_scan._at_least(110, 1001, 0.1) - secret_scan._at_least(110, 1000, 0.1)) < 0.02  # the normal law beyond 1000
+    assert secret_scan.battery("x" * 5000)[0] < secret_scan.STRUCTURED
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 10])
