@@ -6,6 +6,9 @@ there is none. Every check is a partial aggregate or an equi-join.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,25 +67,27 @@ def approval_verdicts(asked: DataFrame, runs: DataFrame, findings: DataFrame, de
 def approved_context(runs: DataFrame, approvals: DataFrame, snapshots: DataFrame, sources: DataFrame) -> DataFrame:
     """What a release of an approved run rests on: runs with their approval, snapshot and source, and the fault that keeps them back, or null.
 
-    runs: (run, snapshot, commit, status, sha256); approvals: (run, sha256, approved_by, approved_at);
+    runs: (run, snapshot, commit, status, sha256); approvals: (run, sha256, approved_by, approved_at, rationale);
     snapshots: (snapshot, source, source_sha256, size); sources: (source, publisher).
     """
     j = runs.join(approvals.withColumnRenamed("sha256", "_approved"), "run").join(snapshots, "snapshot").join(sources, "source")
     fault = _first((~F.col("status").isin(*RELEASABLE), "APPROVED_IMPORT_STATUS_INVALID"), (F.col("sha256") != F.col("_approved"), "APPROVED_CANDIDATE_DRIFT"))
-    return j.select("run", "snapshot", "commit", "status", "sha256", "approved_by", "approved_at", "source", "publisher", "source_sha256", "size", fault.alias("fault"))
+    return j.select("run", "snapshot", "commit", "status", "sha256", "approved_by", "approved_at", "rationale", "source", "publisher", "source_sha256", "size", fault.alias("fault"))
 
 
 def promotion_verdicts(manifests: DataFrame, contexts: DataFrame, releases: DataFrame, stable: DataFrame) -> DataFrame:
     """Rows (release_id, verdict) of all manifests: promoted, replayed, or the first gate that failed.
 
-    manifests: (release_id, manifest_sha256, run, sha256, commit, approved_by, approved_at, previous_release_id, published_at);
+    manifests: (release_id, manifest_sha256, run, sha256, commit, snapshot, source_sha256, approved_by, approved_at, rationale,
+    previous_release_id, published_at), the snapshot and its hash as the candidate names them;
     contexts: of approved_context(); releases: (release_id, status, manifest_sha256, published_at), one a release;
     stable: (release), the release that the stable channel points to, one row or none.
     """
-    c = contexts.select("run", *(F.col(x).alias(f"_{x}") for x in ("status", "sha256", "commit", "approved_by", "approved_at", "fault")), F.lit(True).alias("_known"))
+    c = contexts.select("run", *(F.col(x).alias(f"_{x}") for x in ("status", "sha256", "commit", "snapshot", "source_sha256", "approved_by", "approved_at", "rationale", "fault")), F.lit(True).alias("_known"))
     own = releases.select("release_id", F.col("status").alias("_state"), F.col("manifest_sha256").alias("_manifest"))
     now = stable.select(F.col("release").alias("_stable")).limit(1).join(releases.where("status = 'published'").select(F.col("release_id").alias("_stable"), F.col("published_at").alias("_since")), "_stable", "left")
     j = manifests.join(own, "release_id", "left").join(c, "run", "left").join(F.broadcast(now), F.lit(True), "left")  # one row at most
+    differ = lambda *names: ~reduce(and_, (F.col(f"_{x}").eqNullSafe(F.col(x)) for x in names))
     there = F.col("_state").isNotNull()
     same = there & (F.col("_state") == "published") & (F.col("_manifest") == F.col("manifest_sha256"))
     fault = _first(
@@ -90,8 +95,8 @@ def promotion_verdicts(manifests: DataFrame, contexts: DataFrame, releases: Data
         (F.col("_known").isNull(), "APPROVED_IMPORT_NOT_FOUND"),
         (F.col("_fault").isNotNull(), "APPROVED_IMPORT_INVALID"),
         (F.col("_status") != "approved", "IMPORT_ALREADY_RELEASED"),
-        ((F.col("_sha256") != F.col("sha256")) | (F.col("_commit") != F.col("commit")), "RELEASE_CONTEXT_DRIFT"),
-        ((F.col("_approved_by") != F.col("approved_by")) | (F.col("_approved_at") != F.col("approved_at")), "RELEASE_APPROVAL_DRIFT"),
+        (differ("sha256", "commit", "snapshot", "source_sha256"), "RELEASE_CONTEXT_DRIFT"),
+        (differ("approved_by", "approved_at", "rationale"), "RELEASE_APPROVAL_DRIFT"),
         (~F.col("_stable").eqNullSafe(F.col("previous_release_id")), "STABLE_CHANNEL_DRIFT"),
         (F.col("_stable").isNotNull() & (F.col("_since").isNull() | (F.col("_since") >= F.col("published_at"))), "RELEASE_TIME_INVALID"),
     )

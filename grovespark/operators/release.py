@@ -20,7 +20,7 @@ def csv_lines(df: DataFrame, columns: tuple[str, ...], key: str) -> DataFrame:
 
 
 def json_lines(df: DataFrame, columns: tuple[str, ...], key: str) -> DataFrame:
-    return df.select(F.col(key), canonical_json({c: F.col(c) for c in columns}).alias("line"))
+    return df.select(F.col(key), canonical_json({c: F.col(c) for c in columns}, df.schema).alias("line"))
 
 
 def identifier_rows(units: DataFrame) -> DataFrame:

@@ -289,6 +289,16 @@ def csv_rows(spark, sf):
     return release.csv_lines(load(spark, sf, "part"), ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "absent"), "p_partkey")
 
 
+@query
+def canonical_nested(spark, sf):
+    """Nested records whose structs are made out of order and whose maps hold their keys out of order, as lines with their hash."""
+    whose = F.struct(F.col("c_nationkey").alias("nation"), F.struct(F.col("c_mktsegment").alias("segment"), F.col("c_custkey").alias("key")).alias("market"))
+    marks = F.create_map(F.lit("z"), F.col("c_custkey"), F.lit("a"), F.col("c_nationkey").cast("long"))
+    parts = F.array(F.struct(F.col("c_name").alias("value"), F.lit("name").alias("scheme")), F.struct(F.col("c_mktsegment").alias("value"), F.lit(None).cast("string").alias("scheme")))
+    rows = load(spark, sf, "customer").select("c_custkey", whose.alias("whose"), marks.alias("marks"), parts.alias("identifiers"))
+    return release.json_lines(rows, ("whose", "marks", "identifiers"), "c_custkey").withColumn("sha256", F.sha2("line", 256))
+
+
 @query
 def ndjson_rows(spark, sf):
     return release.json_lines(load(spark, sf, "nation"), ("n_regionkey", "n_name", "n_nationkey"), "n_nationkey")

@@ -42,7 +42,7 @@ def _decisions(spark, sf):
 
 def _approvals(spark, sf):
     sha = F.when(_order() % 12 == 0, _sha(F.lit("other"))).otherwise(_sha(_order()))
-    return load(spark, sf, "orders").where(_order() % 5 < 2).select(_order().alias("run"), sha.alias("sha256"), F.col("o_custkey").cast("string").alias("approved_by"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("approved_at"))
+    return load(spark, sf, "orders").where(_order() % 5 < 2).select(_order().alias("run"), sha.alias("sha256"), F.col("o_custkey").cast("string").alias("approved_by"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("approved_at"), F.col("o_orderpriority").alias("rationale"))
 
 
 @query
@@ -63,7 +63,7 @@ def _context(spark, sf):
 
 @query
 def approved_context(spark, sf):
-    return _context(spark, sf)
+    return _context(spark, sf).drop("rationale")
 
 
 @query
@@ -74,6 +74,8 @@ def promote_gate(spark, sf):
     at = F.when(k % 13 == 0, "2023-01-01").otherwise("2025-01-01")
     manifests = known.select(
         name.alias("release_id"), _sha(name).alias("manifest_sha256"), F.when(k % 17 == 0, -k).otherwise(k).alias("run"), F.when(k % 19 == 0, F.lit("x")).otherwise(F.col("sha256")).alias("sha256"), "commit", "approved_by",
+        F.when(k % 37 == 0, F.col("snapshot") + 1).otherwise(F.col("snapshot")).alias("snapshot"), F.when(k % 41 == 0, F.lit("y")).otherwise(F.col("source_sha256")).alias("source_sha256"),
+        F.when(k % 43 == 0, F.lit("for no reason")).otherwise(F.col("rationale")).alias("rationale"),
         F.when(k % 23 == 0, F.lit("never")).otherwise(F.col("approved_at")).alias("approved_at"), F.when(k % 29 == 0, F.lit("r0")).otherwise(F.lit("stable-1")).alias("previous_release_id"), at.alias("published_at"),
     )
     old = known.where("run % 31 = 0").select(name.alias("release_id"), F.when(k % 2 == 0, "published").otherwise("draft").alias("status"), _sha(name).alias("manifest_sha256"), F.lit("2024-06-01").alias("published_at"))
@@ -258,7 +260,7 @@ def oracles(forest: str, slug: str) -> dict[str, str]:
             FROM asked a LEFT JOIN runs r USING (run) LEFT JOIN b USING (run) LEFT JOIN d USING (run) LEFT JOIN s USING (run) LEFT JOIN approvals p USING (run)""",
         "approved_context": f"WITH {_CONTEXT} SELECT * FROM context",
         "promote_gate": f"""WITH {_CONTEXT} SELECT 'r' || run AS release_id, CASE WHEN run % 31 = 0 AND run % 2 = 0 THEN 'replayed' WHEN run % 31 = 0 THEN 'RELEASE_ID_COLLISION' WHEN run % 17 = 0 THEN 'APPROVED_IMPORT_NOT_FOUND' WHEN fault IS NOT NULL THEN 'APPROVED_IMPORT_INVALID'
-            WHEN status <> 'approved' THEN 'IMPORT_ALREADY_RELEASED' WHEN run % 19 = 0 THEN 'RELEASE_CONTEXT_DRIFT' WHEN run % 23 = 0 THEN 'RELEASE_APPROVAL_DRIFT' WHEN run % 29 = 0 THEN 'STABLE_CHANNEL_DRIFT' WHEN run % 13 = 0 THEN 'RELEASE_TIME_INVALID' ELSE 'promoted' END AS verdict FROM context""",
+            WHEN status <> 'approved' THEN 'IMPORT_ALREADY_RELEASED' WHEN run % 19 = 0 OR run % 37 = 0 OR run % 41 = 0 THEN 'RELEASE_CONTEXT_DRIFT' WHEN run % 23 = 0 OR run % 43 = 0 THEN 'RELEASE_APPROVAL_DRIFT' WHEN run % 29 = 0 THEN 'STABLE_CHANNEL_DRIFT' WHEN run % 13 = 0 THEN 'RELEASE_TIME_INVALID' ELSE 'promoted' END AS verdict FROM context""",
         "promote_faults": """SELECT c_custkey::VARCHAR AS code, 'PROMOTION_IDENTITY_MISMATCH' AS fault FROM customer WHERE c_custkey % 41 = 0 OR (c_custkey % 3 <> 0 AND c_custkey % 31 = 1)
             UNION ALL SELECT c_custkey::VARCHAR, 'PROMOTION_PROPOSED_ID_COLLISION' FROM customer WHERE c_custkey % 41 <> 0 AND c_custkey % 3 = 0 AND c_custkey % 37 = 0
             UNION ALL SELECT c_custkey::VARCHAR, 'PROMOTION_MATCHED_IDENTITY_MISSING' FROM customer WHERE c_custkey % 41 <> 0 AND c_custkey % 3 <> 0 AND (c_custkey % 31 = 1 OR c_custkey % 43 = 2 OR c_custkey % 47 = 4)

@@ -237,6 +237,8 @@ SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN (event_id % 20)::INTEGER END A
     "diff_gates": _with(_SNAPSHOTS, "SELECT 'SIRUTA_DIFF_TOTAL_MASS_CHANGE' AS rule, total_ratio AS ratio FROM ratios WHERE total_ratio > 0.02 UNION ALL SELECT 'SIRUTA_DIFF_REMOVALS_MASS_CHANGE', removed_ratio FROM ratios WHERE removed_ratio > 0.01 UNION ALL SELECT 'SIRUTA_DIFF_RECORDS_MASS_CHANGE', changed_ratio FROM ratios WHERE changed_ratio > 0.25"),
     "canonical_hash": "SELECT o_orderkey, sha256('{\"custkey\":' || o_custkey || ',\"none\":null,\"orderkey\":' || o_orderkey || ',\"priority\":\"' || o_orderpriority || '\",\"status\":\"' || o_orderstatus || '\"}') AS sha256 FROM orders",
     "csv_rows": "SELECT p_partkey, '\"' || p_partkey || '\",\"' || replace(p_name, '\"', '\"\"') || '\",\"' || p_brand || '\",\"' || p_type || '\",\"' || p_size || '\",\"\"' AS line FROM part",
+    "canonical_nested": """SELECT *, sha256(line) AS sha256 FROM (SELECT c_custkey, '{"identifiers":[{"scheme":"name","value":"' || c_name || '"},{"scheme":null,"value":"' || c_mktsegment || '"}],"marks":{"a":' || c_nationkey || ',"z":' || c_custkey
+        || '},"whose":{"market":{"key":' || c_custkey || ',"segment":"' || c_mktsegment || '"},"nation":' || c_nationkey || '}}' AS line FROM customer)""",
     "ndjson_rows": "SELECT n_nationkey, '{\"n_name\":\"' || n_name || '\",\"n_nationkey\":' || n_nationkey || ',\"n_regionkey\":' || n_regionkey || '}' AS line FROM nation",
     "identifiers_explode": _with(FOREST, "SELECT territory_id, 'ro.ins.siruta' AS scheme, code AS value, status FROM forest UNION ALL SELECT territory_id, 'eu.eurostat.nuts', nuts, status FROM forest WHERE nuts IS NOT NULL"),
     "artifact_sums": "SELECT 'doc-' || doc_id AS name, sha256(text) || '  doc-' || doc_id AS line, strlen(text)::BIGINT AS size FROM documents",

@@ -241,6 +241,31 @@ def test_matching_prefers_codes(spark):
     assert [tuple(r) for r in matching.conflicts(got).collect()] == [("u1", "f3", "f2")]
 
 
+def test_canonical_json_of_nested_values(spark):
+    """The same values in any order of fields and keys give one line; nulls stay nulls at every depth."""
+    def line(df):
+        return [r[0] for r in df.orderBy("n").select(hashing.canonical_json({c: F.col(c) for c in df.columns}, df.schema)).collect()]
+
+    one = spark.sql("SELECT 1 AS n, named_struct('b', 1, 'a', array(named_struct('y', map('q', named_struct('d', 1, 'c', 2), 'p', null), 'x', null), null)) AS v UNION ALL SELECT 2, null")
+    two = spark.sql("SELECT named_struct('a', array(named_struct('x', null, 'y', map('p', null, 'q', named_struct('c', 2, 'd', 1))), null), 'b', 1) AS v, 1 AS n UNION ALL SELECT null, 2")
+    assert line(one) == line(two) == ['{"n":1,"v":{"a":[{"x":null,"y":{"p":null,"q":{"c":2,"d":1}}},null],"b":1}}', '{"n":2,"v":null}']
+    assert line(spark.sql("SELECT 1 AS n, array(array(map(2, 'b', 1, 'a'))) AS v, map() AS e")) == ['{"e":{},"n":1,"v":[[{"1":"a","2":"b"}]]}']
+
+
+def test_promotion_drift(spark):
+    """Each field of a manifest that differs from the approved context has its own verdict; nulls differ from values only."""
+    base = {"run": 1, "sha256": "h", "commit": "c", "snapshot": "s", "source_sha256": "f", "approved_by": "me", "approved_at": "t", "rationale": "good"}
+    contexts = spark.createDataFrame([{**base, "status": "approved", "fault": None}], ", ".join(f"{k} {'long' if k == 'run' else 'string'}" for k in (*base, "status", "fault")))
+    changes = [{}] + [{k: "other"} for k in base if k != "run"] + [{"rationale": None}]
+    rows = [{**base, **change, "release_id": f"r{i}", "manifest_sha256": "m", "previous_release_id": None, "published_at": "u"} for i, change in enumerate(changes)]
+    names = (*base, "release_id", "manifest_sha256", "previous_release_id", "published_at")
+    manifests = spark.createDataFrame([tuple(r[n] for n in names) for r in rows], ", ".join(f"{k} {'long' if k == 'run' else 'string'}" for k in names))
+    none = spark.createDataFrame([], "release_id string, status string, manifest_sha256 string, published_at string")
+    got = governance.promotion_verdicts(manifests, contexts, none, spark.createDataFrame([], "release string"))
+    want = ["promoted"] + ["RELEASE_CONTEXT_DRIFT"] * 4 + ["RELEASE_APPROVAL_DRIFT"] * 4
+    assert [r.verdict for r in got.orderBy("release_id").collect()] == want
+
+
 def test_limiter(spark):
     hits = spark.createDataFrame([("a", i, t) for i, t in enumerate([0, 10, 20, 100, 105, 300])] + [("b", 9, 50), (None, 10, 1)], "client string, id long, at long")
     got = {(r.client, r.id): (r.n, r.limited, r.remaining, r.resets_at) for r in limiter.limited(hits, 100, 2).collect()}
