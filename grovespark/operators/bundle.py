@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import governance, release
+from . import governance, merkle, release
 
 # Artifacts of a release, with what they are for, their media type and the artifact that holds their schema.
 ARTIFACTS = (
@@ -54,8 +54,8 @@ def compatibility(offered: DataFrame, shapes: bool = False) -> DataFrame:
 
 
 def digest(lines: DataFrame, name: str) -> DataFrame:
-    """One row (name, lines, digest): the same however the lines are dealt over files."""
-    return lines.agg(F.count("*").alias("lines"), F.sum(F.xxhash64("line").cast("decimal(38,0)")).cast("string").alias("digest")).select(F.lit(name).alias("name"), "lines", "digest")
+    """One row (name, lines, digest): the root of the lines' hash tree, the same however they are dealt over files."""
+    return merkle.root(lines).select(F.lit(name).alias("name"), "lines", F.col("sha256").alias("digest"))
 
 
 def build(units: DataFrame, changelog: DataFrame, findings: DataFrame, folder: str, release_id: str, snapshot: str) -> DataFrame:

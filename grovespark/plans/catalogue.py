@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import hashing, network, numbers, shapes, text
-from ..operators import canonical, diff, graph, history, identity, limiter, matching, paging, release, search, validation
+from ..operators import canonical, diff, graph, history, identity, limiter, matching, merkle, paging, release, search, validation
 from ..sources import features, registry, snapshots
 from ..sources.tables import load
 from . import governed, inputs
@@ -299,6 +299,13 @@ def canonical_nested(spark, sf):
     return release.json_lines(rows, ("whose", "marks", "identifiers"), "c_custkey").withColumn("sha256", F.sha2("line", 256))
 
 
+@query
+def merkle_tree(spark, sf):
+    """The hash tree over the lines of all orders."""
+    lines = release.json_lines(load(spark, sf, "orders"), ("o_custkey", "o_orderkey", "o_orderstatus"), "o_orderkey")
+    return merkle.tree(lines, 64).withColumn("level", F.col("level").cast("long"))
+
+
 @query
 def ndjson_rows(spark, sf):
     return release.json_lines(load(spark, sf, "nation"), ("n_regionkey", "n_name", "n_nationkey"), "n_nationkey")

@@ -239,6 +239,11 @@ SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN (event_id % 20)::INTEGER END A
     "csv_rows": "SELECT p_partkey, '\"' || p_partkey || '\",\"' || replace(p_name, '\"', '\"\"') || '\",\"' || p_brand || '\",\"' || p_type || '\",\"' || p_size || '\",\"\"' AS line FROM part",
     "canonical_nested": """SELECT *, sha256(line) AS sha256 FROM (SELECT c_custkey, '{"identifiers":[{"scheme":"name","value":"' || c_name || '"},{"scheme":null,"value":"' || c_mktsegment || '"}],"marks":{"a":' || c_nationkey || ',"z":' || c_custkey
         || '},"whose":{"market":{"key":' || c_custkey || ',"segment":"' || c_mktsegment || '"},"nation":' || c_nationkey || '}}' AS line FROM customer)""",
+    "merkle_tree": """WITH h AS (SELECT sha256('{"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}') AS hash, count(*) AS n FROM orders GROUP BY 1),
+        d AS (SELECT CASE WHEN count(*) <= 64 THEN 0 WHEN count(*) <= 1024 THEN 1 WHEN count(*) <= 16384 THEN 2 WHEN count(*) <= 262144 THEN 3 ELSE 4 END AS depth FROM h),
+        l0 AS (SELECT left(hash, depth) AS prefix, sum(n)::BIGINT AS lines, sha256(string_agg(hash || ':' || n, chr(10) ORDER BY hash)) AS sha256 FROM h, d GROUP BY 1), """
+    + ", ".join(f"l{i} AS (SELECT left(prefix, length(prefix) - 1) AS prefix, sum(lines)::BIGINT AS lines, sha256(string_agg(prefix || ':' || sha256, chr(10) ORDER BY prefix)) AS sha256 FROM l{i - 1} WHERE prefix <> '' GROUP BY 1)" for i in range(1, 5))
+    + " SELECT length(prefix) AS level, prefix, lines, sha256 FROM (" + " UNION ALL ".join(f"SELECT * FROM l{i}" for i in range(5)) + ")",
     "ndjson_rows": "SELECT n_nationkey, '{\"n_name\":\"' || n_name || '\",\"n_nationkey\":' || n_nationkey || ',\"n_regionkey\":' || n_regionkey || '}' AS line FROM nation",
     "identifiers_explode": _with(FOREST, "SELECT territory_id, 'ro.ins.siruta' AS scheme, code AS value, status FROM forest UNION ALL SELECT territory_id, 'eu.eurostat.nuts', nuts, status FROM forest WHERE nuts IS NOT NULL"),
     "artifact_sums": "SELECT 'doc-' || doc_id AS name, sha256(text) || '  doc-' || doc_id AS line, strlen(text)::BIGINT AS size FROM documents",

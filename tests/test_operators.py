@@ -1,5 +1,6 @@
 """Operators on small cases: nulls, ties, empty inputs, and behaviour that no table shows."""
 
+import hashlib
 import io
 import json
 import os
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grovespark.functions import hashing, network, numbers, shapes, text
-from grovespark.operators import bundle, diff, governance, graph, history, identity, limiter, matching, parsing, release, search, validation
+from grovespark.operators import bundle, diff, governance, graph, history, identity, limiter, matching, merkle, parsing, release, search, validation
 from grovespark.sources import snapshots, workbook
 
 
@@ -266,6 +267,21 @@ def test_promotion_drift(spark):
     assert [r.verdict for r in got.orderBy("release_id").collect()] == want
 
 
+def test_merkle_tree(spark):
+    """One root for the same lines in any order and files; a changed line names the ranges of its old and new hash; odd tables have a root."""
+    lines = spark.range(3000).select(F.concat(F.lit("line "), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))).alias("line"))
+    one, two = merkle.tree(lines, 20), merkle.tree(lines.repartition(7), 20)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect())) and merkle.differing(one, two).isEmpty()
+    assert one.agg(F.max("level")).first()[0] == 2 and [r.lines for r in one.where("level = 0").collect()] == [3000]
+    changed = lines.withColumn("line", F.when(F.col("line") == "line 77", "line 77!").otherwise(F.col("line")))
+    want = {hashlib.sha256(x).hexdigest()[:2] for x in (b"line 77", b"line 77!")}
+    assert {r.prefix for r in merkle.differing(one, merkle.tree(changed, 20)).collect()} == want
+    root = lambda df: tuple(merkle.root(df).first())
+    assert root(lines.limit(0)) == (0, hashlib.sha256(b"").hexdigest())
+    odd = [spark.createDataFrame(rows, "line string") for rows in ([(None,)], [("",)], [("",), ("",)])]
+    assert len({root(df) for df in odd}) == 3
+
+
 def test_limiter(spark):
     hits = spark.createDataFrame([("a", i, t) for i, t in enumerate([0, 10, 20, 100, 105, 300])] + [("b", 9, 50), (None, 10, 1)], "client string, id long, at long")
     got = {(r.client, r.id): (r.n, r.limited, r.remaining, r.resets_at) for r in limiter.limited(hits, 100, 2).collect()}
