@@ -505,3 +505,13 @@ def test_siblings_without_code(spark):
 
     units = spark.createDataFrame([("u1", None, "Same", None), ("u2", None, "Same", None), ("u3", "9", "Same", None)], "territory_id string, code string, official_name string, parent_id string")
     assert {r.territory_id: r.slug for r in graph.slugs(units).collect()} == {"u1": "same", "u2": "same-u2", "u3": "same-9"}
+
+
+def test_rings_of_repeated_units(spark):
+    """Of a repeated unit the parent at the first position counts, in whatever order rows are read; a unit that is its own parent is a ring."""
+    rows = [("a", "1", 0, "b"), ("b", "2", 1, "a"), ("a", "3", 2, "gone"), ("s", "4", 3, "s"), ("d", "5", 4, "gone"), ("e", "6", 5, "d"), ("d", "7", 6, "e")]
+    schema = "territory_id string, code string, position long, snapshot string, identifiers array<struct<scheme:string,value:string>>, parent_id string, county_id string"
+    for some in (rows, rows[::-1]):
+        units = spark.createDataFrame([(i, code, at, "s1", [], parent, None) for i, code, at, parent in some], schema).coalesce(1)
+        found = governance.candidate_faults(units, "s1").where("fault = 'HIERARCHY_CYCLE'").collect()
+        assert sorted(r.territory_id for r in found) == ["a", "s"]
