@@ -23,12 +23,15 @@ from ..sources.tables import cut
 RANGE_LINES = 1024
 
 
-def tree(lines: DataFrame, range_lines: int = RANGE_LINES) -> DataFrame:
-    """Rows (level, prefix, lines, sha256), the root at level 0 with an empty prefix. lines: (line)."""
+def tree(lines: DataFrame, range_lines: int = RANGE_LINES, deepest: int | None = None) -> DataFrame:
+    """Rows (level, prefix, lines, sha256), the root at level 0 with an empty prefix. lines: (line).
+
+    deepest: the level at which ranges end, even if they hold more than range_lines; every line is in one all the same.
+    """
     own = F.coalesce(F.sha2("line", 256), F.lit("null"))
     distinct = cut(lines.groupBy(own.alias("hash")).agg(F.count("*").alias("n")))
     held, depth = distinct.count(), 0
-    while held > range_lines * 16**depth:
+    while held > range_lines * 16**depth and depth != deepest:
         depth += 1
     entry = F.concat_ws(":", "hash", "n")
     level = distinct.groupBy(F.substring("hash", 1, depth).alias("prefix")).agg(F.sum("n").alias("lines"), F.array_sort(F.collect_list(entry)).alias("entries"))

@@ -515,3 +515,15 @@ def test_rings_of_repeated_units(spark):
         units = spark.createDataFrame([(i, code, at, "s1", [], parent, None) for i, code, at, parent in some], schema).coalesce(1)
         found = governance.candidate_faults(units, "s1").where("fault = 'HIERARCHY_CYCLE'").collect()
         assert sorted(r.territory_id for r in found) == ["a", "s"]
+
+
+def test_depth_of_merkle_tree(spark, sf, monkeypatch):
+    """A tree ends at the deepest level that is asked for, with every line; the query's at the fourth, as its SQL, however many lines there are."""
+    from grovespark.plans import catalogue
+
+    lines = spark.range(3000).select(F.col("id").cast("string").alias("line"))
+    levels = lambda df: {r.level: r.lines for r in df.groupBy("level").agg(F.sum("lines").alias("lines")).collect()}
+    assert levels(merkle.tree(lines, 1, deepest=2)) == dict.fromkeys(range(3), 3000) and levels(merkle.tree(lines, 1)) == dict.fromkeys(range(4), 3000)
+    tree = merkle.tree
+    monkeypatch.setattr(merkle, "tree", lambda lines, most, **options: tree(lines, most / 2**16, **options))  # 1,500 lines would make six levels
+    assert levels(catalogue.queries()["merkle_tree"](spark, sf)) == dict.fromkeys(range(5), 1500)
