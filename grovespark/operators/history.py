@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import cut, small
+
+#: Conflicts: rows of an identifier in a block, about; pairs and rows that a task has on average at most.
+BLOCK_ROWS, TASK_PAIRS, TASK_ROWS = 1_000, 8_000_000, 500_000
+
 
 def latest(rows: DataFrame, keys: tuple[str, ...], by: tuple[str, ...]) -> DataFrame:
     """The last row of each key; ties by the further columns of `by`. Partial maxima, no sort of a key's rows."""
@@ -39,9 +46,27 @@ def missing_identifiers(wanted: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def identifier_conflicts(wanted: DataFrame, known: DataFrame) -> DataFrame:
-    """Identifiers that another unit has: rows (scheme, value, territory_id, other_id)."""
-    k = known.select("scheme", "value", F.col("territory_id").alias("other_id"))
-    return wanted.join(k, ["scheme", "value"]).where("territory_id != other_id").select("scheme", "value", "territory_id", "other_id")
+    """Identifiers that another unit has: rows (scheme, value, territory_id, other_id).
+
+    The pairs of an identifier grow with the square of its units. They are counted first; its rows are dealt to blocks by
+    their unit's hash, each block of wanted rows meets each of known ones, and there are as many tasks as the pairs ask for.
+    """
+    keys = ["scheme", "value"]
+    w, k = cut(wanted.select(*keys, "territory_id")), cut(known.select(*keys, F.col("territory_id").alias("other_id")))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK_ROWS)
+    sizes = w.groupBy(*keys).agg(F.count("*").alias("_w")).join(k.groupBy(*keys).agg(F.count("*").alias("_k")), keys)
+    sizes = cut(sizes.withColumns({"_ws": blocks("_w"), "_ks": blocks("_k")}))
+    rows = F.col("_w") * F.col("_ks") + F.col("_k") * F.col("_ws")
+    tasks = sizes.agg(F.sum(F.col("_w") / TASK_PAIRS * F.col("_k") + rows / TASK_ROWS)).first()[0] or 0
+    sizes = small(sizes)
+
+    def dealt(df, unit, own, others, at, every):
+        block = F.pmod(F.xxhash64(unit), F.col(own)).alias(at)
+        out = df.join(sizes, keys).select(*keys, unit, block, F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1)).alias(every))
+        return out.repartition(math.ceil(tasks) or 1, *keys, "_i", "_j")  # by number, as the rows that make the pairs are too few to be spread otherwise
+
+    pairs = dealt(w, "territory_id", "_ws", "_ks", "_i", "_j").join(dealt(k, "other_id", "_ks", "_ws", "_j", "_i").hint("shuffle_hash"), [*keys, "_i", "_j"])
+    return pairs.where("territory_id != other_id").select(*keys, "territory_id", "other_id")
 
 
 def channel_state(events: DataFrame) -> DataFrame:

@@ -527,3 +527,26 @@ def test_depth_of_merkle_tree(spark, sf, monkeypatch):
     tree = merkle.tree
     monkeypatch.setattr(merkle, "tree", lambda lines, most, **options: tree(lines, most / 2**16, **options))  # 1,500 lines would make six levels
     assert levels(catalogue.queries()["merkle_tree"](spark, sf)) == dict.fromkeys(range(5), 1500)
+
+
+def test_conflicts_in_blocks(spark, monkeypatch):
+    """All conflicts, in any number of blocks and tasks: of identifiers that many units have, and few, and one side only; repeated rows as often as a plain join has them."""
+    rng = random.Random(3)
+    rows = lambda n, units: [("s", rng.choice(["hot", "hot", "hot", str(rng.randrange(9)), None]), f"t{rng.randrange(units)}") for _ in range(n)]
+    wanted, known = rows(300, 90) + [("s", "one", "t1"), ("s", "hot", None)], rows(200, 90) + [("s", "other", "t1"), ("z", "one", "t2")]
+    want = sorted((s, v, t, o) for s, v, t in wanted for z, x, o in known if (s, v) == (z, x) and v is not None and t is not None and o != t)
+    frames = [spark.createDataFrame(r, "scheme string, value string, territory_id string").coalesce(1) for r in (wanted, known)]
+    for block, pairs in ((7, 500), (1_000, 8_000_000)):
+        monkeypatch.setattr(history, "BLOCK_ROWS", block)
+        monkeypatch.setattr(history, "TASK_PAIRS", pairs)
+        assert sorted(map(tuple, history.identifier_conflicts(*frames).collect())) == want
+    assert history.identifier_conflicts(frames[0].limit(0), frames[1]).count() == 0
+
+
+def test_conflicts_of_one_identifier_are_spread(spark, monkeypatch):
+    """The pairs of a single identifier are made in many tasks, none with more than a few times its share."""
+    monkeypatch.setattr(history, "BLOCK_ROWS", 20, raising=False)
+    monkeypatch.setattr(history, "TASK_PAIRS", 5_000, raising=False)
+    units = spark.range(400).select(F.lit("s").alias("scheme"), F.lit("v").alias("value"), F.concat(F.lit("t"), "id").alias("territory_id"))
+    sizes = [r.n for r in history.identifier_conflicts(units, units).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 400 * 399 and len(sizes) > 20 and max(sizes) < 25_000
