@@ -1,13 +1,16 @@
 """Phrases whose words stand together more often than apart, for each language.
 
-Texts are cut at punctuation into pieces. Equal pieces are gathered into one
-with a multiplicity before anything is counted. Words are counted first, then
-the n-grams of each length whose two shorter parts were frequent enough, which
-loses none. Every task counts the weighted n-grams of its pieces in chunks, so that a frequent n-gram leaves a
-chunk once, and sends them to hash buckets. A bucket's counts are added up by
-DuckDB with a memory limit; what is beyond it spills to the task's scratch
-folder, which goes with the task. Only n-grams that are frequent enough leave a
-bucket.
+Texts are cut at punctuation into pieces and those into words. The n-grams of
+each length are first counted by cells: a hash gives each n-gram one of more
+cells than there are words, and a cell's count is never less than that of an
+n-gram in it. The cells that are frequent enough make a Bloom filter; the next
+length counts only n-grams whose two shorter parts are both in it, which loses
+none. A last pass over the texts sends the n-grams in the filters with their
+text; they are counted exactly, so what shares a cell or is in a filter by
+mistake goes again. A task counts what it sends in chunks of texts, so that a
+frequent n-gram leaves a chunk once.
+
+Inside a chunk, two words of a language are the same if their 64-bit hashes are.
 
 A candidate asks for the counts of its parts by rows that are shuffled to where
 those counts are. Parts that many candidates share (frequent words) are
@@ -25,8 +28,9 @@ columns are ignored; a piece of any length is one unit.
 
 from __future__ import annotations
 
-import tempfile
-from collections import Counter
+from dataclasses import dataclass
+from functools import cached_property
+from itertools import islice, pairwise
 
 import numpy as np
 import pandas as pd
@@ -40,32 +44,46 @@ from . import sketch
 from . import textbatch as tb
 from .shared import cut, join_counted
 
-#: What one task holds of a bucket in memory.
-MEMORY = "256MB"
-CHUNK = 4 << 20
+#: Bytes of texts that a task counts at once, and the rows that it sends at once.
+CHUNK, ROWS = 8 << 20, 100_000
+#: There are 2 ** LEAST_CELLS cells at least, 2 ** MOST_CELLS at most (more words than those only let more n-grams through), added up in 2 ** BLOCKS blocks, or fewer.
+LEAST_CELLS, MOST_CELLS, BLOCKS = 20, 36, 12
 #: A filter of frequent n-grams has so many bits, twice, at most (2 ** 29: 128 MB).
 MOST_BITS = 29
 #: A language's phrases are ranked in so many parts first.
 PARTS = 16
-PIECE_ENDS = "[.,;:!?\n-\r]"
+#: Words of more bytes are hashed one by one.
+LONG = 64
 
+_ENDS = np.zeros(256, bool)
+_ENDS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
+_BETWEEN = _ENDS.copy()
+_BETWEEN[[0x09, 0x20]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
-def pieces(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """Rows (lang, piece, m): the distinct pieces of a language, words joined by one space, and how often they occur."""
-    lower = F.translate(F.col(text_col), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    rows = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.explode(F.split(lower, PIECE_ENDS)).alias("piece"))
-    rows = rows.select("lang", F.trim(F.regexp_replace("piece", "[ \t]+", " ")).alias("piece")).where("piece != ''")
-    return rows.groupBy("lang", "piece").agg(F.count("*").alias("m"))
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word, from eight bytes at a time."""
+    import xxhash
 
-def _texts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    flat, begin = tb.gathered(data, starts, ends - starts, np.arange(len(starts)))
-    return pa.StringArray.from_buffers(len(starts), pa.py_buffer(begin.astype(np.int32)), pa.py_buffer(flat))
+    eight = np.ndarray(len(data) + 1, np.uint64, np.append(data, np.zeros(8, np.uint8)), strides=(1,))
+    length = ends - starts
+    h = tb.joined(eight[starts] & _FIRST[np.minimum(length, 8)], length.astype(np.uint64))
+    more, k = np.flatnonzero((length > 8) & (length <= LONG)), 8
+    while len(more):
+        h[more] = tb.joined(h[more], eight[starts[more] + k] & _FIRST[np.minimum(length[more] - k, 8)])
+        k += 8
+        more = more[length[more] > k]
+    for i in np.flatnonzero(length > LONG).tolist():
+        h[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return h
 
 
-def starting(w: tb.Words, n: int) -> np.ndarray:
-    """The places where n words of one piece begin."""
-    return np.flatnonzero(np.arange(len(w.starts)) + n <= np.repeat(w.offsets[1:], w.counts()))
+def _texts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    flat, begin = tb.gathered(data, starts, ends - starts, np.arange(len(starts)))
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(begin), pa.py_buffer(flat))
 
 
 def gram_hashes(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
@@ -76,44 +94,74 @@ def gram_hashes(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _folded(h: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    out = h[rows[:, 0]]
-    for k in range(1, rows.shape[1]):
-        out = tb.joined(out, h[rows[:, k]])
-    return out
-
-
-def chunk_grams(wid: np.ndarray, weight: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct n-grams that begin at the places `at`, as sorted rows of word numbers, and their weights. wid, weight: each word's number and its piece's multiplicity."""
-    code = wid[at].astype(np.int64)
+def chunk_grams(wid: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams that begin at the places `at`: a place of each, and how often it occurs. wid: each word's number."""
+    code = pd.factorize(wid[at])[0]
     for k in range(1, n):
-        code = (pd.factorize(code, sort=True)[0] << 32) | wid[at + k]
-    _, first, inner = np.unique(code, return_index=True, return_inverse=True)
-    own = at[first]
-    return np.stack([wid[own + k] for k in range(n)], axis=1), np.bincount(inner, weight[at], len(first)).astype(np.int64)
-
-
-def packed(words: pa.Array, langs: pa.Array, rows: np.ndarray, totals: np.ndarray) -> bytes:
-    """N-grams with a dictionary of the words that they have. Sorted word numbers compress well."""
-    used = np.zeros(len(words), bool)
-    used[rows] = True
-    local = (np.cumsum(used) - 1).astype(np.int32)
-    some = pa.array(np.flatnonzero(used))
-    one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-    held = {"word": one(words.take(some)), "lang": one(langs.take(some)), "w": one(pa.array(totals))} | {f"w{k}": one(pa.array(local[rows[:, k]])) for k in range(rows.shape[1])}
-    batch = pa.RecordBatch.from_pydict(held)
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-        writer.write_batch(batch)
-    return sink.getvalue().to_pybytes()
-
-
-def unpacked(blob: pa.Buffer, n: int) -> pa.Table:
-    """Rows (lang, gram, w) of what `packed` made."""
-    with pa.ipc.open_stream(blob) as reader:
-        held = {name: column.chunk(0).values for name, column in zip(reader.schema.names, reader.read_all().columns)}
-    parts = [held["word"].take(held[f"w{k}"]) for k in range(n)]
-    return pa.table({"lang": held["lang"].take(held["w0"]), "gram": pc.binary_join_element_wise(*parts, " "), "w": held["w"]})
+        code = pd.factorize((code << 32) | wid[at + k])[0]
+    totals = np.bincount(code)
+    first = np.zeros(len(totals), np.int64)
+    first[code[::-1]] = at[::-1]
+    return first, totals
+
+
+class Counted:
+    """The words of a chunk of texts, and what it sends of their n-grams."""
+
+    def __init__(self, chunk: tb.Chunk, langs: pa.DictionaryArray):
+        self.data, self.langs = _LOWER[chunk.data], langs.dictionary
+        w = tb.words(chunk, _BETWEEN)
+        self.starts, self.ends = w.starts, w.ends
+        self.lang = np.asarray(langs.indices)[chunk.rows][w.doc()]
+        salt = np.array([hash_of(x) for x in langs.dictionary.to_pylist()], np.uint64)
+        self.h = tb.joined(word_hashes(self.data, self.starts, self.ends), salt[self.lang])
+        self.next_too = np.zeros(len(self.h), bool)
+        if len(self.h):
+            self.next_too[:] = ~np.logical_or.reduceat(np.append(_ENDS[self.data], False), self.ends)
+            self.next_too[w.offsets[1:][w.counts() > 0] - 1] = False
+
+    @cached_property
+    def numbers(self) -> np.ndarray:
+        return pd.factorize(self.h)[0]
+
+    def candidates(self, filters: list[Filter]):
+        """For each length in turn the places of the n-grams in its filter; then, for the first length without filter, of those whose parts are in the one before."""
+        at = np.arange(len(self.h))
+        for n, f in enumerate(filters, 1):
+            at = at[f.holds(gram_hashes(self.h, at, n))]
+            yield n, at
+            held = np.zeros(len(self.h) + 1, bool)
+            held[at] = True
+            at = at[self.next_too[at + n - 1] & held[at + 1]]
+        yield len(filters) + 1, at
+
+    def cells(self, at: np.ndarray, n: int, bits: int) -> pa.RecordBatch:
+        """Rows (block, cells, times): how often n-grams fall into each cell."""
+        cells, times = np.unique(cells_of(gram_hashes(self.h, at, n), bits), return_counts=True)
+        width = np.uint64(block_bits(bits))
+        block = (cells >> width).astype(np.int64)
+        bounds = [*np.flatnonzero(np.diff(block, prepend=-1)).tolist(), len(block)]
+        inner, times = (cells & ((np.uint64(1) << width) - np.uint64(1))).astype(np.uint32), times.astype(np.uint32)
+        parts = lambda x: pa.array([x[i:j].tobytes() for i, j in pairwise(bounds)], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(block[bounds[:-1]]), parts(inner), parts(times)], ["block", "cells", "times"])
+
+    def whole(self, at: np.ndarray, n: int):
+        """Rows (lang, gram, w), one for each n-gram."""
+        first, totals = chunk_grams(self.numbers, at, n)
+        for i in range(0, len(first), ROWS):
+            own = first[i : i + ROWS]
+            words = [_texts(self.data, self.starts[own + k], self.ends[own + k]) for k in range(n)]
+            grams = words[0] if n == 1 else pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string()))
+            yield _rows(self.langs.take(pa.array(self.lang[own])), grams.cast(pa.string()), totals[i : i + ROWS])
+
+    def lengths(self) -> pa.RecordBatch:
+        """Each language's number of words, as that of the empty n-gram."""
+        totals = np.bincount(self.lang, minlength=len(self.langs))
+        return _rows(self.langs, pa.array([""] * len(totals), pa.string()), totals)
+
+
+def _rows(langs: pa.Array, grams: pa.Array, totals: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([langs, grams, pa.array(totals.astype(np.int64))], ["lang", "gram", "w"])
 
 
 def hash_of(text: str) -> int:
@@ -122,74 +170,70 @@ def hash_of(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode())
 
 
-def frequent(grams: DataFrame, n: int) -> tuple[np.ndarray, int]:
-    """A Bloom filter of n-grams (lang, gram), with 16 bits or more for each up to 2 ** MOST_BITS; what is in it by mistake costs a row, nothing is ever missing."""
-    bits = min(max((16 * grams.count()).bit_length(), 20), MOST_BITS)
+def block_bits(bits: int) -> int:
+    return max(bits - BLOCKS, LEAST_CELLS)
+
+
+def cells_of(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return hashes >> np.uint64(64 - bits)
+
 
-    def hashes(batch):
-        salt = {x: hash_of(x) for x in batch.column(0).unique().to_pylist()}
-        lang = np.array([salt[x] for x in batch.column(0).to_pylist()], np.uint64)
-        for c in tb.chunks(batch.column(1)):
-            w = tb.words(c)
-            h = tb.joined(tb.word_hashes(c, w), lang[c.rows][w.doc()])
-            yield gram_hashes(h, np.arange(0, len(h), n), n)
+@dataclass
+class Filter:
+    """A Bloom filter of cells of `bits` bits: what is in it by mistake costs a row, nothing is ever missing."""
 
-    return sketch.sketched(grams.select("lang", "gram"), hashes, bits, 2, 1), bits
+    bitmap: np.ndarray
+    width: int
+    bits: int
 
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        return sketch.present(self.bitmap, cells_of(hashes, self.bits), self.width)
 
-def counts(found: DataFrame, n: int, least: int, shorter: tuple[np.ndarray, int] | None = None) -> DataFrame:
-    """Rows (lang, gram, a): the n-grams that occur `least` times or more, if both their (n - 1)-grams are in the filter `shorter`. With n = 1 also, as the empty n-gram, in parts, each language's number of words."""
-    known = found.sparkSession.sparkContext.broadcast(shorter)
-    buckets = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+def chunks_of(batches, filters: list[Filter]):
+    """For each chunk of texts (lang, text) its words, and the lengths and places of the n-grams that may be frequent."""
+    for batch in batches:
+        langs = batch.column(0).dictionary_encode()
+        for c in tb.chunks(batch.column(1), CHUNK):
+            x = Counted(c, langs)
+            yield x, x.candidates(filters)
+
+
+def frequent(texts: DataFrame, filters: list[Filter], least: int, bits: int) -> Filter:
+    """The filter of the next length, with 16 bits or more for each cell, twice, up to 2 ** MOST_BITS."""
+    known = texts.sparkSession.sparkContext.broadcast(filters)
+    block = block_bits(bits)
+
+    def send(batches):
+        for x, lengths in chunks_of(batches, known.value):
+            *_, (n, at) = lengths
+            if len(at):
+                yield x.cells(at, n, bits)
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        cells, times = (np.frombuffer(b"".join(group[x]), np.uint32) for x in ("cells", "times"))
+        often = np.flatnonzero(np.bincount(cells, times, 1 << block) >= least)
+        return pd.DataFrame({"cell": often + (int(group["block"].iloc[0]) << block)})
+
+    sent = texts.mapInArrow(send, "block long, cells binary, times binary")
+    found = cut(sent.groupBy("block").applyInPandas(add, "cell long"))
+    width = min(max((16 * found.count()).bit_length(), 20), MOST_BITS)
+    return Filter(sketch.sketched(found, lambda batch: iter([np.asarray(batch.column(0)).view(np.uint64)]), width, 2, 1), width, bits)
+
+
+def counts(texts: DataFrame, filters: list[Filter], least: int) -> DataFrame:
+    """Rows (lang, gram, a): the n-grams in the filters that occur `least` times or more. Also, as the empty n-gram, each language's number of words."""
+    known = texts.sparkSession.sparkContext.broadcast(filters)
 
     def send(batches):
-        for batch in batches:
-            langs, weights = batch.column(0).dictionary_encode(), np.asarray(batch.column(2))
-            codes = np.asarray(langs.indices)
-            salt = np.array([hash_of(x) for x in langs.dictionary.to_pylist()], np.uint64)
-            for c in tb.chunks(batch.column(1), CHUNK):
-                w = tb.words(c)
-                lang, weight = codes[c.rows][w.doc()], weights[c.rows][w.doc()]
-                hashes = tb.joined(tb.word_hashes(c, w), salt[lang])
-                wid, h = pd.factorize(hashes)  # a word of each language on its own
-                first = np.full(len(h), -1)
-                first[wid[::-1]] = np.arange(len(wid))[::-1]
-                texts, own = _texts(c.data, w.starts[first], w.ends[first]), langs.dictionary.take(pa.array(lang[first]))
-                at = starting(w, n)
-                if known.value:
-                    often = np.zeros(len(wid) + 1, bool)
-                    begin = starting(w, n - 1)
-                    often[begin] = sketch.present(known.value[0], gram_hashes(hashes, begin, n - 1), known.value[1])
-                    at = at[often[at] & often[at + 1]]
-                rows, totals = chunk_grams(wid, weight, at, n)
-                bucket = ((_folded(h, rows)) >> np.uint64(33)) % np.uint64(buckets)
-                order = np.argsort(bucket.astype(np.uint32), kind="stable")
-                bounds = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-                full = np.flatnonzero(np.diff(bounds)).tolist()
-                blobs = [packed(texts, own, rows[x], totals[x]) for x in (order[bounds[k] : bounds[k + 1]] for k in full)]
-                yield pa.RecordBatch.from_pydict({"bucket": pa.array(full, pa.int32()), "grams": pa.array(blobs, pa.binary())})
-
-    def add(batches):
-        import duckdb
-
-        total = Counter()
-
-        def rows():
-            for batch in batches:
-                for blob in batch.column(1):
-                    part = unpacked(blob.as_buffer(), n)
-                    if n == 1:
-                        for lang, held in zip(*part.group_by("lang").aggregate([("w", "sum")]).to_pydict().values()):
-                            total[lang] += held
-                    yield from part.to_batches()
-
-        with tempfile.TemporaryDirectory() as scratch, duckdb.connect(config={"memory_limit": MEMORY, "threads": 1, "temp_directory": scratch, "preserve_insertion_order": False}) as con:
-            con.register("grams", pa.RecordBatchReader.from_batches(pa.schema([("lang", pa.string()), ("gram", pa.string()), ("w", pa.int64())]), rows()))
-            yield from con.sql(f"SELECT lang, gram, CAST(sum(w) AS BIGINT) AS a FROM grams GROUP BY lang, gram HAVING sum(w) >= {least}").to_arrow_reader(10_000)
-        yield pa.RecordBatch.from_pydict({"lang": pa.array(list(total), pa.string()), "gram": pa.array([""] * len(total), pa.string()), "a": pa.array(list(total.values()), pa.int64())})
-
-    sent = found.select("lang", "piece", "m").mapInArrow(send, "bucket int, grams binary")
-    return sent.repartition(buckets, "bucket").mapInArrow(add, "lang string, gram string, a long")
+        filters = known.value
+        for x, lengths in chunks_of(batches, filters):
+            yield x.lengths()
+            for n, at in islice(lengths, len(filters)):
+                yield from x.whole(at, n)
+
+    sent = texts.mapInArrow(send, "lang string, gram string, w long")
+    return sent.repartition("lang", "gram").groupBy("lang", "gram").agg(F.sum("w").alias("a")).where(F.col("a") >= least)
 
 
 def with_parts(grams: DataFrame, most: int) -> DataFrame:
@@ -218,12 +262,13 @@ def collocations(docs: DataFrame, most: int = 3, least: int = 10, share: int = 5
 
     A phrase goes if a longer candidate that holds it has at least share / 100 of its occurrences.
     """
-    held = cut(pieces(docs, lang_col, text_col))
-    last = cut(counts(held, 1, least))
-    found = last
-    for n in range(2, most + 1):  # both n-grams inside a frequent one are frequent
-        last = cut(counts(held, n, least, frequent(last.where("gram != ''"), n - 1)))
-        found = found.union(last)
+    texts = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(max((size // 4).bit_length(), LEAST_CELLS), MOST_CELLS)  # a word with what is beside it has two bytes at least, mostly six
+    filters: list[Filter] = []
+    for _ in range(most):
+        filters.append(frequent(texts, filters, least, bits))
+    found = cut(counts(texts, filters, least))
     grams = found.where("gram != ''").withColumn("size", F.size(F.split("gram", " ")))
     total = found.where("gram = ''").groupBy("lang").agg(F.sum("a").alias("n"))
     words = F.split("gram", " ")

@@ -1,13 +1,16 @@
 """The Jaccard join, ranked search and collocations against plain versions, on real rows and odd ones; and on an empty table."""
 
 import math
+import random
 import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from grovespark.llm import collocations, jaccard_join, lexical_search
+from grovespark.llm import textbatch as tb
 
 from . import brute
 from .conftest import table
@@ -132,3 +135,44 @@ def test_empty_tables(spark, empty):
     assert collocations.collocations(empty.selectExpr("text", "kept AS lang")).count() == 0
     items = spark.createDataFrame([(1, "some text")], "item_id long, text string")
     assert lexical_search.search(lexical_search.build(empty), items, 10).count() == 0
+
+
+def test_collocations_with_too_few_cells(spark, docs, monkeypatch):
+    """What shares a cell with frequent n-grams is counted with its text, and goes again if it is rare."""
+    one = docs.selectExpr("text", "cast(null as string) AS lang")
+    want = sorted(collocations.collocations(one, 3, 5, first=500).collect())
+    assert want
+    monkeypatch.setattr(collocations, "MOST_CELLS", 9)
+    assert sorted(collocations.collocations(one, 3, 5, first=500).collect()) == want
+
+
+def test_collocations_filters(spark):
+    """All frequent n-grams are in the filters, and few others: only what is frequent leaves the tasks with its text."""
+    rng = random.Random(3)
+    often = ["often here", "and there", "İ often here"]
+    rows = [("en", f"{rng.choice(often)}, r{rng.random()} s{rng.random()} {rng.choice(often)}") for _ in range(3_000)]
+    texts = spark.createDataFrame(rows + [(None, None), ("de", "")], "lang string, text string").selectExpr("coalesce(lang, 'und') AS lang", "text").repartition(3)
+    filters = []
+    for _ in range(2):
+        filters.append(collocations.frequent(texts, filters, 10, 24))
+    x = collocations.Counted(next(tb.chunks(pa.array([t for _, t in rows]))), pa.array(["en"] * len(rows)).dictionary_encode())
+    lengths = dict(x.candidates(filters))
+    sent = {n: {g for b in x.whole(lengths[n], n) for g in b.column(1).to_pylist()} for n in (1, 2)}
+    got = {r.gram: r.a for r in collocations.counts(texts, filters, 10).collect() if r.lang == "en"}
+    pieces = [p.split() for _, t in rows for p in re.split("[.,]", t)]
+    for n in (1, 2):
+        seen = Counter(" ".join(p[i : i + n]) for p in pieces for i in range(len(p) - n + 1))
+        want = {g: c for g, c in seen.items() if c >= 10}
+        assert {g: c for g, c in got.items() if g and len(g.split(" ")) == n} == want
+        assert want.keys() <= sent[n] and len(sent[n]) < len(want) + 0.01 * len(seen)
+    assert got[""] == sum(map(len, pieces))
+
+
+def test_word_hashes():
+    words = [b"a", b"a\x00", b"a\x00\x00"]
+    words += [b"x" * n + e for n in (6, 7, 8, 15, 16, 62, 63, 64, 65, 3_000) for e in (b"y", b"z", b"\x00")]
+    data = np.frombuffer(b" ".join(words + words), np.uint8)
+    length = np.array([len(w) for w in words + words])
+    starts = np.cumsum(length + 1) - length - 1
+    h = collocations.word_hashes(data, starts, starts + length)
+    assert (h[: len(words)] == h[len(words) :]).all() and len(set(h.tolist())) == len(words)
