@@ -1,14 +1,14 @@
 """Phrases whose words stand together more often than apart, for each language.
 
 Texts are cut at punctuation into pieces and those into words. The n-grams of
-each length are first counted by cells: a hash gives each n-gram one of more
-cells than there are words, and a cell's count is never less than that of an
-n-gram in it. The cells that are frequent enough make a Bloom filter; the next
-length counts only n-grams whose two shorter parts are both in it, which loses
-none. A last pass over the texts sends the n-grams in the filters with their
-text; they are counted exactly, so what shares a cell or is in a filter by
-mistake goes again. A task counts what it sends in chunks of texts, so that a
-frequent n-gram leaves a chunk once.
+each length are first counted by cells: a hash gives each n-gram one of as many
+cells as there are words or more, unless most words are very short, and a
+cell's count is never less than that of an n-gram in it. The cells that are
+frequent enough make a Bloom filter; the next length counts only n-grams whose
+two shorter parts are both in it, which loses none. A last pass over the texts
+sends the n-grams in the filters with their text; they are counted exactly, so
+what shares a cell or is in a filter by mistake goes again. A task counts what
+it sends in chunks of texts, so that a frequent n-gram leaves a chunk once.
 
 Inside a chunk, two words of a language are the same if their 64-bit hashes are.
 
