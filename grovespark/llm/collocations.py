@@ -42,7 +42,7 @@ from pyspark.sql.window import Window
 
 from . import sketch
 from . import textbatch as tb
-from .shared import cut, join_counted
+from .shared import cut, join_counted, shuffled
 
 #: Bytes of texts that a task counts at once, and the rows that it sends at once.
 CHUNK, ROWS = 8 << 20, 100_000
@@ -242,7 +242,7 @@ def with_parts(grams: DataFrame, most: int) -> DataFrame:
     cuts = F.transform(F.sequence(F.lit(1), F.col("size") - 1), lambda k: F.array(F.struct(k.alias("k"), F.lit(0).alias("side"), F.array_join(F.slice(words, F.lit(1), k), " ").alias("part")), F.struct(k.alias("k"), F.lit(1).alias("side"), F.array_join(F.slice(words, k + 1, F.col("size") - k), " ").alias("part"))))
     asked = grams.where("size > 1").select("lang", "gram", "size", "a", F.inline(F.flatten(cuts)))
     known = grams.select("lang", F.col("gram").alias("part"), F.col("a").alias("f"))
-    answers = known.join(asked.groupBy("lang", "part").agg(F.count("*").alias("asked")), ["lang", "part"])
+    answers = known.join(shuffled(asked.groupBy("lang", "part").agg(F.count("*").alias("asked"))), ["lang", "part"])
     told = join_counted(asked, cut(answers), ["lang", "part"], "asked")
     of = lambda k, side: F.max(F.when((F.col("k") == k) & (F.col("side") == side), F.col("f")))
     rows = told.groupBy("lang", "gram", "size", "a").agg(*(of(k, side).alias(f"f{k}_{side}") for k in range(1, most) for side in (0, 1)))
@@ -274,7 +274,7 @@ def collocations(docs: DataFrame, most: int = 3, least: int = 10, share: int = 5
     words = F.split("gram", " ")
     inner = F.flatten(F.transform(F.sequence(F.lit(2), F.col("size") - 1), lambda s: F.transform(F.sequence(F.lit(1), F.col("size") - s + 1), lambda i: F.array_join(F.slice(words, i, s), " "))))
     longer = grams.where("size > 2").select("lang", "a", F.explode(F.array_distinct(inner)).alias("phrase")).groupBy("lang", "phrase").agg(F.max("a").alias("held"))
-    kept = with_parts(grams, most).join(longer, ["lang", "phrase"], "left").where(F.col("held").isNull() | (100 * F.col("held") < share * F.col("a")))
+    kept = with_parts(grams, most).join(shuffled(longer), ["lang", "phrase"], "left").where(F.col("held").isNull() | (100 * F.col("held") < share * F.col("a")))
     order = [F.desc("score"), F.desc("a"), "phrase"]
     # the best of each part of a language first, so that no task ranks all its phrases
     part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, shuffled
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -19,10 +19,10 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     if large:
         both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        out = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        out = both.where("v > u").join(shuffled(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         least = links.groupBy("u").agg(F.min("v").alias("m"))
-        out = links.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
+        out = links.join(shuffled(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
     return out.where("u > v").distinct()
 
 

@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from . import textbatch as tb
 from .components import components
-from .shared import cut, join_counted, small
+from .shared import cut, join_counted, shuffled, small
 
 #: Words of a sketch with fewer bits than this are left out where that loses nothing.
 FEW_BITS = 3
@@ -168,7 +168,7 @@ def _joined(pairs: DataFrame, table: DataFrame, payload: str) -> DataFrame:
     for own, other in (("a", "b"), ("b", "a")):
         salt = F.pmod(F.xxhash64(other), F.floor(F.col("c") / SALT) + 1).cast("int")
         side = copies.select(F.col("gid").alias(own), F.col("salt"), F.col(payload).alias(f"of_{own}"))
-        pairs = pairs.withColumn("salt", salt).join(side, [own, "salt"]).drop("salt")
+        pairs = pairs.withColumn("salt", salt).join(shuffled(side), [own, "salt"]).drop("salt")
     return pairs
 
 
@@ -232,7 +232,7 @@ def _cross(rows: DataFrame, percent: int) -> DataFrame:
     parts = F.floor(F.col("c") / SALT).cast("int")
     one = rows.select("key", _row().alias("x"), "c", F.pmod(F.xxhash64("gid"), parts + 1).cast("int").alias("part"))
     other = rows.select("key", _row().alias("y"), F.explode(F.sequence(F.lit(0), parts)).alias("part"))
-    return one.join(other, ["key", "part"]).where((F.col("x.gid") < F.col("y.gid")) & _may_link(percent)).select(F.col("x.gid").alias("x"), F.col("y.gid").alias("y"), "c")
+    return one.join(shuffled(other), ["key", "part"]).where((F.col("x.gid") < F.col("y.gid")) & _may_link(percent)).select(F.col("x.gid").alias("x"), F.col("y.gid").alias("y"), "c")
 
 
 def _distinct(met: DataFrame) -> DataFrame:

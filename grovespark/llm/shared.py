@@ -36,6 +36,15 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """df, whose join is a shuffled one whatever Spark takes its size to be.
+
+    Spark takes a table for as many rows after an explode as before, and one read from files for as large as they are
+    compressed, so it would broadcast tables of many times the size that it allows.
+    """
+    return df.hint("merge")
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: Column | None = None) -> DataFrame:
     """df, which must be cheap to count, marked for broadcast if it has at most `rows` rows; else as it is, for a shuffled join.
 
@@ -54,5 +63,5 @@ def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], count: str)
     least = rows.count() // HOT_KEYS
     hot = F.broadcast(table.where(F.col(count) > least))
     cold = table.where(F.col(count) <= least).drop(count)
-    apart = rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys)
+    apart = rows.join(hot.select(*keys), keys, "left_anti").join(shuffled(cold), keys)
     return apart.unionByName(rows.join(hot.drop(count), keys))

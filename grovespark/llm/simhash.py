@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from . import textbatch as tb
 from .components import components
-from .shared import cut, join_counted
+from .shared import cut, join_counted, shuffled
 
 BITS = 64
 #: What it costs to send a probe to its bucket, in comparisons.
@@ -181,7 +181,7 @@ def links(fps: DataFrame, distance: int) -> DataFrame:
         return fps.select(F.col("fp").alias(name), F.inline(listed)).select(name, "part", F.col(name).bitwiseAND(F.col("mask")).bitwiseXOR(F.col("flip")).alias("key"))
 
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    return keyed(held, "a").join(keyed(asked, "b"), ["part", "key"]).where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    return keyed(held, "a").join(shuffled(keyed(asked, "b")), ["part", "key"]).where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
 def assigned(docs: DataFrame, size: int = 4, distance: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

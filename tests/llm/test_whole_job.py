@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from grovespark.llm import bpe, decontaminate, language_model, quality, queries, secret_scan, simhash, substrings, suffix_dedup, token_counts, token_records
+from grovespark.llm import bpe, components, decontaminate, language_model, quality, queries, secret_scan, shared, simhash, substrings, suffix_dedup, token_counts, token_records
 
 from . import brute
 from .test_contracts import bag
@@ -106,6 +106,22 @@ def test_simhash_probes_are_bounded():
         assert sum(comb(len(own), k) for own, t in plan for k in range(t + 1)) <= simhash.MOST_PROBES
 
 
+def test_large_tables_are_not_broadcast(spark):
+    """Spark takes an exploded table for as many rows as before, and would send all probes to the driver; only counted tables are broadcast."""
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    fps = spark.range(3_000).select(F.xxhash64("id").alias("fp"))
+    assert "BroadcastHashJoin" in plan(fps.join(fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(200)))), "fp"))
+    assert "Broadcast" not in plan(simhash.links(fps, 4))
+    edges = spark.range(3_000).select(F.col("id").alias("u"), F.lit(-1).cast("long").alias("v"))
+    assert "Broadcast" not in plan(components._star(edges, True)) + plan(components._star(edges, False))
+    several = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(200)))).select("fp")
+    joined = plan(shared.join_counted(several, fps.withColumn("n", F.when(F.col("fp") > 0, 201).otherwise(1)), ["fp"], "n"))
+    assert joined.count("BroadcastHashJoin") == 2 and joined.count("SortMergeJoin") == 1  # the frequent keys, twice, and the others
+
+
 def test_one_large_group_of_near_copies(spark):
     rng = random.Random(2)
     words = prose(rng, 400).split()
