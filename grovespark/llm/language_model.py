@@ -19,8 +19,9 @@ until one is absent. With q the least and C the greatest count of a level,
 where a context that was never seen leaves all weight to the shorter one.
 
 The filter is broadcast if it has at most BROADCAST_BYTES. A larger one stays a
-table of slices: every chunk of about a megabyte of text sends its distinct
-n-grams to their slices and gets the levels back, so the scores are the same.
+table of slices, PART_BUCKETS of an order to a part: every chunk of SENT_BYTES
+of text sends its distinct n-grams to the parts, sorted and as differences, and
+gets back a byte for each, so the scores are the same.
 
 The exact unigram counts for the base score: words whose count lies above a
 limit, FREQUENT of them at most, come from a broadcast table; all others by a
@@ -47,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textbatch as tb
-from .shared import cut
+from .shared import cut, shuffled
 
 FOLDS, HELD_OUT = 7, 2
 ORDERS = 3
@@ -56,7 +57,9 @@ WEIGHTS = {2: 0.5, 3: 0.6}
 DISCOUNT = 0.75
 BITS_EACH = 10
 BLOCK_BITS, PROBES = 512, 4
-BUCKET_BYTES = 2 << 20
+BUCKET_BYTES = 8 << 20
+#: Of the filter's parts and the chunks of text that are sent to them: neither grows with the input.
+PART_BUCKETS, SENT_BYTES, ASKED_AT_ONCE = 8, 8 << 20, 2_000_000
 BROADCAST_BYTES = 256 << 20
 FREQUENT = 500_000
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -117,19 +120,28 @@ def _added(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return values[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def _packed(values: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
-    """Sorted values as differences, in planes of bytes, compressed; counts likewise. The count of values leads."""
+def _pressed(raw) -> bytes:
+    """Compressed bytes; their size before leads."""
+    return memoryview(raw).nbytes.to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpressed(packed: bytes) -> bytes:
+    n = int.from_bytes(packed[:8], "little")
+    return pa.decompress(packed[8:], decompressed_size=n, codec="zstd", asbytes=True) if n else b""
 
-    def planes(x: np.ndarray) -> bytes:
-        raw = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T)
-        return len(x).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
-    return planes(np.diff(values, prepend=np.uint64(0))), planes(counts)
+def _planes(x: np.ndarray) -> bytes:
+    """Whole numbers in planes of bytes, compressed."""
+    return _pressed(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T))
+
+
+def _packed(values: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Sorted values as differences, and counts."""
+    return _planes(np.diff(values, prepend=np.uint64(0))), _planes(counts)
 
 
 def _wide(packed: bytes) -> np.ndarray:
-    n = int.from_bytes(packed[:8], "little")
-    raw = pa.decompress(packed[8:], decompressed_size=8 * n, codec="zstd", asbytes=True) if n else b""
+    raw = _unpressed(packed)
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
@@ -190,6 +202,12 @@ class Shape:
     def bucket(self, grams: np.ndarray) -> np.ndarray:
         return (grams >> np.uint64(64 - self.bits)).astype(np.int64)
 
+    def by_part(self, grams: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The parts that sorted n-grams fall in, and those of each."""
+        part = self.bucket(grams) // PART_BUCKETS
+        at = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        return part[at], np.split(grams, at[1:])
+
     def block(self, grams: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
         """A hash of each n-gram, and the first word of its block in its slice."""
         h = tb.mixed(grams + np.uint64(0x2545F4914F6CDD1D * order % 2**64))
@@ -295,10 +313,9 @@ class Scorer:
             p = np.where(context > 0, WEIGHTS[order] * share + (1 - WEIGHTS[order]) * p, p)
         return np.log10(p)
 
-    def scored(self, c: tb.Chunk, levels) -> list[pa.Array]:
-        """Columns n_tokens, n_often, whole, part, score, rare, times of a chunk's texts."""
-        t = Tokens(c)
-        grams, begin = t.grams(), t.offsets[:-1]
+    def scored(self, t: Tokens, grams: list[np.ndarray], levels) -> list[pa.Array]:
+        """Columns n_tokens, n_often, whole, part, score, rare, times of the texts of t, whose n-grams are `grams`."""
+        begin = t.offsets[:-1]
         code, h = pd.factorize(grams[0])
         at = np.searchsorted(self.often_h, h)
         known = np.where(self.often_h[at] == h, self.often_c[at], 0)
@@ -310,7 +327,7 @@ class Scorer:
         rare = np.flatnonzero((known == 0)[code])
         doc = np.searchsorted(t.offsets, rare, "right") - 1
         pair, times = np.unique(doc * np.int64(len(h)) + code[rare], return_counts=True)
-        lists = pa.array(np.searchsorted(pair, np.arange(len(c) + 1) * np.int64(len(h))).astype(np.int32))
+        lists = pa.array(np.searchsorted(pair, np.arange(len(t.offsets)) * np.int64(len(h))).astype(np.int32))
         return [
             pa.array(np.diff(t.offsets)), pa.array(summed((known > 0)[code].astype(np.int64))), pa.array(summed(logs // 10**9)), pa.array(summed(logs % 10**9)),
             pa.array(summed(self.log_p(grams, begin, levels))), pa.ListArray.from_arrays(lists, pa.array(h[pair % max(len(h), 1)].view(np.int64))), pa.ListArray.from_arrays(lists, pa.array(times)),
@@ -328,69 +345,87 @@ def _by_broadcast(rows: DataFrame, found: Filter, scorer: Scorer, schema: T.Stru
         lm, own = model.value
         for b in batches:
             for c in tb.chunks(b.column(3)):
-                yield pa.RecordBatch.from_arrays([*(b.column(i)[c.rows] for i in range(3)), *own.scored(c, lm.levels)], names=["_id", "_key", "held_out", *_SCORED])
+                t = Tokens(c)
+                yield pa.RecordBatch.from_arrays([*(b.column(i)[c.rows] for i in range(3)), *own.scored(t, t.grams(), lm.levels)], names=["_id", "_key", "held_out", *_SCORED])
 
     return rows.mapInArrow(run, schema)
 
 
+def distinct(some: list[tuple[Tokens, list[np.ndarray]]], order: int) -> np.ndarray:
+    """Sorted, so by buckets, and the same however a chunk's texts are ordered."""
+    return _counted(np.concatenate([g[order - 1] for _, g in some]))[0]
+
+
 def _by_slices(rows: DataFrame, shape: Shape, slices: DataFrame, scorer: Scorer, schema: T.StructType) -> DataFrame:
-    """The same, with the distinct n-grams of every chunk sent to their slices. Slices are read once for each of SALTS parts of the chunks."""
+    """The same, with the distinct n-grams of every chunk sent to the parts of the filter. Chunks and parts have a size of their own, whatever the input's: only their numbers grow with it."""
     shared = rows.sparkSession.sparkContext.broadcast(scorer)
-    salts = max(1, rows.rdd.getNumPartitions() // 64)
 
     def named(batches):  # every chunk gets a name; written down once, so that it stays
         for b in batches:
-            for c in tb.chunks(b.column(3)):
+            for c in tb.chunks(b.column(3), SENT_BYTES):
                 yield pa.RecordBatch.from_arrays([*(b.column(i)[c.rows] for i in range(4)), pa.array(np.full(len(c), int.from_bytes(os.urandom(8), "little", signed=True)))], names=["_id", "_key", "held_out", "_text", "chunk"])
 
-    table = cut(rows.mapInArrow(named, T.StructType([*rows.schema, T.StructField("chunk", T.LongType())])))
+    chunks = cut(rows.mapInArrow(named, T.StructType([*rows.schema, T.StructField("chunk", T.LongType())]))).groupBy("chunk")
 
-    def asked(batches):
-        for b in batches:
-            chunk = np.array(b.column(1))
-            for c in tb.chunks(b.column(0)):
-                for first in np.flatnonzero(np.append(True, chunk[c.rows][1:] != chunk[c.rows][:-1])).tolist():
-                    own = int(chunk[c.rows][first])
-                    texts = b.column(0)[c.rows].filter(pa.array(chunk[c.rows] == own))
-                    for part in tb.chunks(texts):
-                        for order, g in enumerate(Tokens(part).grams(), 1):
-                            g = np.unique(g)
-                            bucket = shape.bucket(g)
-                            at = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), own)), pa.array(np.full(len(at), own % salts)), pa.array(np.full(len(at), order)), pa.array(bucket[at]), pa.array([x.tobytes() for x in np.split(g, at[1:])], pa.binary())], names=["chunk", "salt", "order", "bucket", "grams"])
-
-    probes = table.select("_text", "chunk").mapInArrow(asked, "chunk long, salt long, order long, bucket long, grams binary")
-    salted = slices.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    keys = ["order", "bucket", "salt"]
-
-    def answer(mine: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        if not len(mine) or not len(own):
-            return pd.DataFrame({"chunk": mine["chunk"][:0], "order": mine["order"][:0], "grams": mine["grams"][:0], "levels": mine["grams"][:0]})
-        words = np.frombuffer(own["words"].iloc[0], np.uint64)
-        levels = [shape.levels(words, 0, np.frombuffer(g, np.uint64), int(mine["order"].iloc[0])).astype(np.uint8).tobytes() for g in mine["grams"]]
-        return pd.DataFrame({"chunk": mine["chunk"], "order": mine["order"], "grams": mine["grams"], "levels": levels})
-
-    answers = probes.groupBy(*keys).cogroup(salted.groupBy(*keys)).applyInPandas(answer, "chunk long, order long, grams binary, levels binary")
-
-    def finish(mine: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        known = {}
+    def tokens(own: pa.Table) -> list[tuple[Tokens, list[np.ndarray]]]:
+        return [(t, t.grams()) for t in map(Tokens, tb.chunks(own["_text"].combine_chunks()))]
+
+    def asked(own: pa.Table) -> pa.Table:
+        some, out = tokens(own), []
+        for order in range(1, ORDERS + 1):
+            part, grams = shape.by_part(distinct(some, order))
+            out.append(pa.table({"chunk": np.full(len(part), own["chunk"][0].as_py()), "order": np.full(len(part), order), "part": part, "grams": pa.array([_planes(np.diff(x, prepend=np.uint64(0))) for x in grams], pa.binary())}))
+        return pa.concat_tables(out)
+
+    def answer(mine: pa.Table, own: pa.Table) -> pa.Table:
+        levels, held, n = [], [], 0
+        if len(mine):
+            order, part = mine["order"][0].as_py(), mine["part"][0].as_py()
+            size = shape.words[order - 1]
+            words = np.zeros(PART_BUCKETS * size, np.uint64)  # a bucket without n-grams has no slice
+            for bucket, raw in zip(own["bucket"].to_pylist(), own["words"]):
+                words[(bucket % PART_BUCKETS) * size :][:size] = np.frombuffer(raw.as_buffer(), np.uint64)
+
+            def told():
+                g = np.concatenate(held)
+                found = shape.levels(words, shape.bucket(g) % PART_BUCKETS * size, g, order).astype(np.uint8)
+                levels.extend(_pressed(x.tobytes()) for x in np.split(found, np.cumsum([len(x) for x in held])[:-1]))
+
+            for raw in mine["grams"]:
+                held.append(np.cumsum(_wide(raw.as_py()), dtype=np.uint64))
+                n += len(held[-1])
+                if n > ASKED_AT_ONCE:
+                    told()
+                    held, n = [], 0
+            if held:
+                told()
+        return pa.table({"chunk": mine["chunk"], "order": mine["order"], "part": mine["part"], "levels": pa.array(levels, pa.binary())})
+
+    probes = chunks.applyInArrow(asked, "chunk long, order long, part long, grams binary")
+    parts = slices.withColumn("part", F.floor(F.col("bucket") / PART_BUCKETS))
+    answers = probes.groupBy("order", "part").cogroup(parts.groupBy("order", "part")).applyInArrow(answer, "chunk long, order long, part long, levels binary")
+
+    def finish(mine: pa.Table, own: pa.Table) -> pa.Table:
+        some, known = tokens(mine), {}
+        own = own.sort_by([("order", "ascending"), ("part", "ascending")])
         for order in range(1, ORDERS + 1):
-            some = own[own["order"] == order]
-            g = np.frombuffer(b"".join(some["grams"]), np.uint64)
-            n = np.frombuffer(b"".join(some["levels"]), np.uint8)
-            by = np.argsort(g)
-            known[order] = np.append(g[by], np.uint64(2**64 - 1)), np.append(n[by], 0)
+            g = distinct(some, order)
+            n = np.frombuffer(b"".join(_unpressed(x) for x, k in zip(own["levels"].to_pylist(), own["order"].to_pylist()) if k == order), np.uint8)
+            if len(g) != len(n):
+                raise RuntimeError(f"{len(n)} answers for {len(g)} n-grams")
+            known[order] = g, n
 
         def levels(grams, order):
             g, n = known[order]
-            at = np.searchsorted(g, grams)
-            return np.where(g[at] == grams, n[at], 0).astype(np.int64)
+            by = np.argsort(grams)
+            out = np.empty(len(grams), np.int64)
+            out[by] = n[np.searchsorted(g, grams[by])]
+            return out
 
-        text = pa.array(mine["_text"], pa.string(), from_pandas=True)
-        parts = [pd.DataFrame({k: mine[k].iloc[c.rows] for k in ("_id", "_key", "held_out")} | {k: x.to_pylist() for k, x in zip(_SCORED, shared.value.scored(c, levels))}) for c in tb.chunks(text)]
-        return pd.concat(parts) if parts else pd.DataFrame({k: [] for k in ("_id", "_key", "held_out", *_SCORED)})
+        scored = [pa.table(shared.value.scored(t, g, levels), names=_SCORED) for t, g in some]
+        return pa.table([*(mine[k] for k in ("_id", "_key", "held_out")), *pa.concat_tables(scored).columns], names=["_id", "_key", "held_out", *_SCORED])
 
-    return table.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(finish, schema)
+    return chunks.cogroup(answers.groupBy("chunk")).applyInArrow(finish, schema)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -417,8 +452,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broad
     else:
         scored = cut(_by_slices(rows, shape, slices, scorer, schema))
 
-    rare = scored.where(F.size("rare") > 0).select("_id", "_key", F.inline(F.arrays_zip("rare", "times"))).select("_id", "_key", F.col("rare").alias("h"), "times").distinct()
-    met = rare.join(vocabulary.where(step < least), "h").groupBy("_id", "_key").agg(F.sum("times").alias("n_rare"), F.sum(F.round(F.log10(F.col("c") + 1), 15).cast("decimal(38,15)") * F.col("times")).alias("rare_sum"))
+    listed = scored.where(F.size("rare") > 0).select("_id", "_key", "rare", "times").dropDuplicates(["_id", "_key"])  # repeated rows have the same words
+    rare = listed.select("_id", "_key", F.inline(F.arrays_zip("rare", "times"))).select("_id", "_key", F.col("rare").alias("h"), "times")
+    met = rare.join(shuffled(vocabulary.where(step < least)), "h").groupBy("_id", "_key").agg(F.sum("times").alias("n_rare"), F.sum(F.round(F.log10(F.col("c") + 1), 15).cast("decimal(38,15)") * F.col("times")).alias("rare_sum"))
     s, m = scored.alias("s"), met.alias("m")
     both = s.join(m, (F.col("s._key") == F.col("m._key")) & F.col("s._id").eqNullSafe(F.col("m._id")), "left")
     base = (F.col("whole").cast("decimal(38,15)") / F.lit(10**6) + F.col("part").cast("decimal(38,15)") / F.lit(10**15)).cast("double") + F.coalesce(F.col("rare_sum").cast("double"), F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))

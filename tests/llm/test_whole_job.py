@@ -6,11 +6,13 @@ from collections import Counter
 from math import comb
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from grovespark.llm import bpe, components, decontaminate, language_model, quality, queries, secret_scan, shared, simhash, substrings, suffix_dedup, token_counts, token_records
+from grovespark.llm import textbatch as tb
 
 from . import brute
 from .test_contracts import bag
@@ -122,6 +124,22 @@ def test_large_tables_are_not_broadcast(spark):
     assert joined.count("BroadcastHashJoin") == 2 and joined.count("SortMergeJoin") == 1  # the frequent keys, twice, and the others
 
 
+def test_language_model_sends_few_rows(spark, sf, monkeypatch):
+    """A chunk of text sends a row for each part of a large filter, not for each of its many buckets; the scores are those of the filter in memory."""
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    (c,) = tb.chunks(pa.array([r.text for r in documents.select("text").collect()], pa.string()), 1 << 30)
+    tokens = language_model.Tokens(c)
+    shape = language_model.Shape(9, [1, 1, 1], 1)
+    for order in range(1, language_model.ORDERS + 1):
+        g = language_model.distinct([(tokens, tokens.grams())], order)
+        part, grams = shape.by_part(g)
+        assert len(set(shape.bucket(g).tolist())) == 512 and part.tolist() == list(range(64))
+        assert np.array_equal(np.concatenate(grams), np.unique(tokens.grams()[order - 1]))
+    monkeypatch.setattr(language_model, "BUCKET_BYTES", len(c.data) // 512)
+    scores = [bag(language_model.score(documents, broadcast_bytes=b).select("doc_id", F.round("score", 9).alias("score")), "doc_id", "score") for b in (0, 1 << 30)]
+    assert scores[0] == scores[1]
+
+
 def test_one_large_group_of_near_copies(spark):
     rng = random.Random(2)
     words = prose(rng, 400).split()
