@@ -46,12 +46,12 @@ def shuffled(df: DataFrame) -> DataFrame:
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: Column | None = None) -> DataFrame:
-    """df, which must be cheap to count, marked for broadcast if it has at most `rows` rows; else as it is, for a shuffled join.
+    """df, which must be cheap to count, marked for broadcast if it has at most `rows` rows; else for a shuffled join.
 
     size: the bytes of a row's arrays and texts, which together must be at most BROADCAST_BYTES as well.
     """
     n, held = df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(size if size is not None else F.lit(0)), F.lit(0))).first()
-    return F.broadcast(df) if n <= rows and held <= BROADCAST_BYTES else df
+    return F.broadcast(df) if n <= rows and held <= BROADCAST_BYTES else shuffled(df)
 
 
 def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], count: str) -> DataFrame:

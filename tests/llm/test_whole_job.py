@@ -119,6 +119,8 @@ def test_large_tables_are_not_broadcast(spark):
     assert "Broadcast" not in plan(simhash.links(fps, 4))
     edges = spark.range(3_000).select(F.col("id").alias("u"), F.lit(-1).cast("long").alias("v"))
     assert "Broadcast" not in plan(components._star(edges, True)) + plan(components._star(edges, False))
+    assert "Broadcast" not in plan(fps.join(shared.small(fps, rows=2_999), "fp"))
+    assert "BroadcastHashJoin" in plan(fps.join(shared.small(fps, rows=3_000), "fp"))
     several = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(200)))).select("fp")
     joined = plan(shared.join_counted(several, fps.withColumn("n", F.when(F.col("fp") > 0, 201).otherwise(1)), ["fp"], "n"))
     assert joined.count("BroadcastHashJoin") == 2 and joined.count("SortMergeJoin") == 1  # the frequent keys, twice, and the others
